@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from tidemark.llm import packing, quality, warc
+from tidemark.llm import contamination, language, lines, packing, quality, warc
 
 QUERIES = {
+    "op1_line_dedup": lines.op1_line_dedup,
     "op3_quality_rules": quality.op3_quality_rules,
+    "op4_language_id": language.op4_language_id,
+    "op5_benchmark_decontamination": contamination.op5_benchmark_decontamination,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_content_addressed_warc": warc.op8_content_addressed_warc,
 }
 
 ORACLE_SQL = {
+    "op1_line_dedup": lines.OP1_SQL,
     "op3_quality_rules": quality.OP3_SQL,
+    "op5_benchmark_decontamination": contamination.OP5_SQL,
     "op8_content_addressed_warc": warc.OP8_SQL,
 }
