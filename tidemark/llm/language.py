@@ -70,25 +70,68 @@ def words_of(text: str) -> list[bytes]:
     return text.lower().encode("utf-8", "surrogatepass").split()
 
 
-class Scorer(dict):
-    """word -> row of code lengths; rows are numbered as words come."""
+class Automaton:
+    """All trees as one automaton: a state is the longest context that any tree knows; costs[state, symbol] has a column for each tree."""
 
     def __init__(self, trees: list[Tree]):
-        super().__init__()
-        self.trees, self.rows = trees, []
-
-    def __missing__(self, word: bytes) -> int:
-        self.rows.append([t.bits(word) for t in self.trees])
-        self[word] = row = len(self.rows) - 1
-        return row
-
-    def lengths(self, texts: list[list[bytes]]) -> list[np.ndarray]:
-        if len(self) > CACHE:
-            self.clear()
-            self.rows = []
-        numbers = [list(map(self.__getitem__, words)) for words in texts]
-        rows = np.array(self.rows or [[0.0] * len(self.trees)])
-        return [rows[n].sum(0) if n else np.zeros(len(self.trees)) for n in numbers]
+        depth = max((t.depth for t in trees), default=0)
+        contexts = sorted({b""}.union(*(t.costs for t in trees)), key=lambda c: (len(c), c))
+        number = {c: k for k, c in enumerate(contexts)}
+        seen = sorted({s for t in trees for c in t.costs.values() for s in c if s >= 0})
+        self.symbol = np.zeros(256, np.int32)  # 0: a byte that no tree has seen
+        self.symbol[seen] = np.arange(1, len(seen) + 1)
+        self.costs = np.full((len(contexts), len(seen) + 1, len(trees)), 8.0, np.float32)
+        self.after = np.zeros((len(contexts), len(seen) + 1), np.int32)
+        for k, context in enumerate(contexts):
+            if context:
+                self.costs[k] = self.costs[number[context[1:]]]
+            for j, tree in enumerate(trees):
+                if (here := tree.costs.get(context)) is not None:
+                    self.costs[k, :, j] += here[-1]
+                    known = [x for x in here if x >= 0]
+                    self.costs[k, self.symbol[known], j] = [here[x] for x in known]
+            for x in seen:
+                longest = (context + bytes([x]))[-depth:] if depth else b""
+                while longest not in number:
+                    longest = longest[1:]
+                self.after[k, self.symbol[x]] = number[longest]
+        self.start = number.get(b" ", 0) if depth else 0
+
+    def bits(self, words: list[bytes]) -> np.ndarray:
+        """Code lengths of words, a column for each tree: all words advance by a byte at a time, longest first."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(-lengths, kind="stable")
+        begins = (np.cumsum(lengths + 1) - lengths - 1)[order]
+        coded = self.symbol[np.frombuffer(b" ".join(words) + b" ", np.uint8)]
+        active = np.searchsorted(-lengths[order], -np.arange(lengths.max(initial=-1) + 1), side="right")
+        total, state = np.zeros((len(words), self.costs.shape[2])), np.full(len(words), self.start, np.int32)
+        for step, n in enumerate(active.tolist()):
+            at, symbol = state[:n], coded[begins[:n] + step]
+            total[:n] += self.costs[at, symbol]
+            state[:n] = self.after[at, symbol]
+        out = np.empty_like(total)
+        out[order] = total
+        return out
+
+
+class Scorer:
+    """Code lengths of texts; those of a word are kept while there is room."""
+
+    def __init__(self, automaton: Automaton):
+        self.automaton, self.number = automaton, {}
+        self.rows = np.zeros((0, automaton.costs.shape[2]))
+
+    def lengths(self, texts: list[list[bytes]]) -> np.ndarray:
+        if len(self.number) > CACHE:
+            self.number, self.rows = {}, self.rows[:0]
+        new = list(set().union(*texts).difference(self.number))
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
+        self.rows = np.concatenate((self.rows, self.automaton.bits(new)))
+        out = np.zeros((len(texts), self.rows.shape[1]))
+        for k, words in enumerate(texts):
+            if words:
+                out[k] = self.rows[list(map(self.number.__getitem__, words))].sum(0)
+        return out
 
 
 def sample(labelled: DataFrame, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> list[tuple[str, str]]:
@@ -115,7 +158,7 @@ def learn(sampled: list[tuple[str, str]]) -> dict[str, Tree]:
 def identified(docs: DataFrame, trees: dict[str, Tree]) -> DataFrame:
     """doc_id, lang_pred, score: the posterior of the best language, all being as likely beforehand."""
     names = list(trees)
-    shared = docs.sparkSession.sparkContext.broadcast(list(trees.values()))
+    shared = docs.sparkSession.sparkContext.broadcast(Automaton(list(trees.values())))  # bounded by the sample
     schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
     def score(batches):
