@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import contamination, language, lines, packing, quality, warc
+from tidemark.llm import contamination, language, lines, packing, quality, substrings, warc
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
+    "op2_substring_dedup": substrings.op2_substring_dedup,
     "op3_quality_rules": quality.op3_quality_rules,
     "op4_language_id": language.op4_language_id,
     "op5_benchmark_decontamination": contamination.op5_benchmark_decontamination,
@@ -15,6 +16,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_line_dedup": lines.OP1_SQL,
+    "op2_substring_dedup": substrings.OP2_SQL,
     "op3_quality_rules": quality.OP3_SQL,
     "op5_benchmark_decontamination": contamination.OP5_SQL,
     "op8_content_addressed_warc": warc.OP8_SQL,
