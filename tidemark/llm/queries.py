@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import contamination, language, lines, packing, quality, substrings, warc
+from tidemark.llm import contamination, language, lines, neardup, packing, quality, substrings, warc
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_benchmark_decontamination": contamination.op5_benchmark_decontamination,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_content_addressed_warc": warc.op8_content_addressed_warc,
+    "op10_ngram_jaccard_join": neardup.op10_ngram_jaccard_join,
 }
 
 ORACLE_SQL = {
