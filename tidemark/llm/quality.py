@@ -41,13 +41,14 @@ RULES = (
     Rule("symbols", "symbols_per_word", None, 0.1),
     Rule("repeated lines", "dup_lines_per_line", None, 0.5),
     Rule("stop words", "stop_words_per_word", 0.02, None),
-    Rule("longest word", "longest_word", None, 1000),
 )
 
 
-def _removed(text: Column, characters: str) -> Column:
-    """How many of these one-byte characters a text has: each replacement is a plain byte search."""
-    return sum((F.octet_length(text) - F.octet_length(F.replace(text, F.lit(c))) for c in characters), F.lit(0))
+def _words(text: Column) -> Column:
+    """Split at one plain character, which takes no regular expression; the other white space is made blank first."""
+    for c in SPACES[1:]:
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
 
 
 def _let(value: Column, body) -> Column:
@@ -56,12 +57,9 @@ def _let(value: Column, body) -> Column:
 
 
 def _repeat_words(words: Column) -> Column:
-    """Words in windows of 8 found twice or more, by hashes of windows: pairs of pairs of pairs, then neighbours in sorted order."""
+    """Words in windows of 8 found twice or more: by hashes of windows, and neighbours in sorted order where some are equal."""
     hashed = F.transform(words, lambda w: F.xxhash64(w))
-
-    def joined(array: Column, step: int) -> Column:
-        rest = F.greatest(F.size(array) - step, F.lit(0))
-        return F.zip_with(F.slice(array, 1, rest), F.slice(array, step + 1, rest), lambda a, b: F.xxhash64(a, b))
+    windows = _let(hashed, lambda h: F.slice(F.transform(h, lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, WINDOW)])), 1, F.greatest(F.size(h) - (WINDOW - 1), F.lit(0))))
 
     def covered(placed: Column) -> Column:
         # places of windows that equal a neighbour in sorted order, then the words that they cover
@@ -73,33 +71,28 @@ def _repeat_words(words: Column) -> Column:
     def count(all_windows: Column) -> Column:
         return _let(F.array_sort(F.transform(all_windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), covered)
 
-    w8 = joined(joined(joined(hashed, 1), 2), 4)
-    return w8, count
+    return _let(windows, lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), F.lit(0)).otherwise(count(w)))
 
 
 def measured(docs: DataFrame) -> DataFrame:
     """docs with the counts and ratios that rules are about."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    words = F.array_remove(F.split(text, f"[{SPACES}]+"), "")
     with_lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(f"[^{SPACES}]"))
-    stops = F.array(*[F.lit(w) for w in sorted({w for ws in STOP_WORDS.values() for w in ws})])
-    w8, count = _repeat_words(F.col("q_words"))
+    stops = sorted({w for ws in STOP_WORDS.values() for w in ws})
     per_word = lambda c: F.coalesce(F.try_divide(c, F.col("n_words")), F.lit(0.0))
-    one = docs.withColumns({"q_words": words, "q_lines": with_lines})
-    two = one.withColumns({"q_windows": w8, "n_words": F.size("q_words").cast("long")})
+    one = docs.withColumns({"q_words": _words(text), "q_lines": with_lines})
+    two = one.withColumns({"n_repeat_words": _repeat_words(F.col("q_words")).cast("long"), "n_words": F.size("q_words").cast("long")})
     three = two.withColumns({
-        "word_chars": (F.char_length(text) - _removed(text, SPACES)).cast("long"),
-        "n_symbols": _removed(text, SYMBOLS).cast("long"),
+        "word_chars": F.char_length(F.array_join("q_words", "")).cast("long"),
+        "n_symbols": (F.octet_length(text) - F.octet_length(F.regexp_replace(text, f"[{SYMBOLS}]", ""))).cast("long"),
         "n_dup_lines": (F.size("q_lines") - F.size(F.array_distinct("q_lines"))).cast("long"),
-        "n_repeat_words": F.when(F.size(F.array_distinct("q_windows")) == F.size("q_windows"), F.lit(0)).otherwise(count(F.col("q_windows"))).cast("long"),
-        "n_stop_words": F.size(F.filter("q_words", lambda w: F.array_contains(stops, w))).cast("long"),
+        "n_stop_words": F.size(F.filter("q_words", lambda w: w.isin(stops))).cast("long"),
         "n_lines": F.size("q_lines").cast("long"),
-        "longest_word": F.coalesce(F.array_max(F.transform("q_words", lambda w: F.char_length(w))), F.lit(0)).cast("long"),
     })
     return three.withColumns({
         "chars_per_word": per_word(F.col("word_chars")), "symbols_per_word": per_word(F.col("n_symbols")), "stop_words_per_word": per_word(F.col("n_stop_words")),
         "dup_lines_per_line": F.coalesce(F.try_divide(F.col("n_dup_lines"), F.col("n_lines")), F.lit(0.0)),
-    }).drop("q_words", "q_lines", "q_windows")
+    }).drop("q_words", "q_lines")
 
 
 def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -134,8 +127,7 @@ again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS c
 rep AS (SELECT r, count(DISTINCT i + k) AS n FROM again, range(0, 8) AS o(k) GROUP BY r),
 m AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
   length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
-  coalesce(n, 0)::BIGINT AS n_repeat_words, len(ls) AS n_lines, len(list_filter(w, lambda x: x IN ({stops}))) AS n_stop_words,
-  coalesce(list_max(list_transform(w, lambda x: length(x))), 0) AS longest_word FROM w LEFT JOIN rep USING (r)),
+  coalesce(n, 0)::BIGINT AS n_repeat_words, len(ls) AS n_lines, len(list_filter(w, lambda x: x IN ({stops}))) AS n_stop_words FROM w LEFT JOIN rep USING (r)),
 v AS (SELECT *, coalesce(word_chars::DOUBLE / nullif(n_words, 0), 0) AS chars_per_word, coalesce(n_symbols::DOUBLE / nullif(n_words, 0), 0) AS symbols_per_word,
   coalesce(n_stop_words::DOUBLE / nullif(n_words, 0), 0) AS stop_words_per_word, coalesce(n_dup_lines::DOUBLE / nullif(n_lines, 0), 0) AS dup_lines_per_line,
   (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed FROM m)
