@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import contamination, language, lines, neardup, packing, quality, substrings, warc
+from tidemark.llm import contamination, language, lines, neardup, packing, quality, scoring, substrings, warc
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_quality_rules": quality.op3_quality_rules,
     "op4_language_id": language.op4_language_id,
     "op5_benchmark_decontamination": contamination.op5_benchmark_decontamination,
+    "op6_lm_scoring": scoring.op6_lm_scoring,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_content_addressed_warc": warc.op8_content_addressed_warc,
     "op10_ngram_jaccard_join": neardup.op10_ngram_jaccard_join,
