@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import contamination, language, lines, neardup, packing, quality, scoring, substrings, warc
+from tidemark.llm import contamination, language, lines, neardup, packing, quality, scoring, secrets, substrings, warc
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_lm_scoring": scoring.op6_lm_scoring,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_content_addressed_warc": warc.op8_content_addressed_warc,
+    "op9_secret_scan": secrets.op9_secret_scan,
     "op10_ngram_jaccard_join": neardup.op10_ngram_jaccard_join,
 }
 
