@@ -35,7 +35,7 @@ from tidemark.llm.words import Words, blocks, mix, window_places, windows
 SHINGLE, DIMENSIONS, FAN_OUT = 5, 128, 16
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT = 75
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 12 << 20
 #: Members of a block, or shingles of a connected group, that one task takes at once.
 MOST_MEMBERS, MOST_SHINGLES = 4096, 8_000_000
 #: Classes up to which their ids are sent to all tasks rather than joined by a shuffle.

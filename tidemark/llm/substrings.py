@@ -25,7 +25,7 @@ from tidemark.llm.words import Words, blocks, window_places, windows
 
 WINDOW = 13
 PREFIXES = (1, 2, 4)
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 12 << 20
 GROUP_SUFFIXES = 1_500_000
 OUT = pa.schema([("target", pa.int32()), ("doc_id", pa.int64()), ("row_key", pa.int64()), ("payload", pa.binary())])
 OUT_SQL = "target int, doc_id long, row_key long, payload binary"

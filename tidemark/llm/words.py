@@ -10,6 +10,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
+#: Bytes hashed at a time; only a longer word makes a longer segment.
+SEGMENT = 1 << 19
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -19,12 +21,12 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(12, int(n).bit_length())
+    size = max(SEGMENT, 1 << int(n).bit_length())
     if size not in _powers:
-        _powers.clear()
         with np.errstate(over="ignore"):
             up, down = np.full(size, _BASE, _U), np.full(size, _BASE_INVERSE, _U)
             up[0] = down[0] = 1
+            _powers.clear()
             _powers[size] = np.cumprod(up, dtype=_U), np.cumprod(down, dtype=_U)
     return _powers[size]
 
@@ -64,12 +66,19 @@ class Words:
         if len(gap) and not gap[0]:
             edge = np.concatenate(([0], edge))
         self.begins, self.ends = edge[0::2], edge[1::2]
-        up, down = _power_tables(len(joined))
-        with np.errstate(over="ignore"):
-            sums = np.zeros(len(joined) + 1, _U)
-            np.cumsum(_BYTE_VALUES[joined] * up[: len(joined)], out=sums[1:], dtype=_U)
-            h = (sums[self.ends] - sums[self.begins]) * down[self.begins]
-            self.hashes = mix(h ^ ((self.ends - self.begins).astype(_U) << _U(56)))
+        self.hashes = np.empty(len(self.begins), _U)
+        first = 0
+        while first < len(self.begins):  # in segments, so that tables and sums stay small
+            last = max(first + 1, int(np.searchsorted(self.begins, self.begins[first] + SEGMENT)))
+            start = self.begins[first]
+            part = joined[start : self.ends[last - 1]]
+            up, down = _power_tables(len(part))
+            begins, ends = self.begins[first:last] - start, self.ends[first:last] - start
+            with np.errstate(over="ignore"):
+                sums = np.zeros(len(part) + 1, _U)
+                np.cumsum(_BYTE_VALUES[part] * up[: len(part)], out=sums[1:], dtype=_U)
+                self.hashes[first:last] = mix(((sums[ends] - sums[begins]) * down[begins]) ^ ((ends - begins).astype(_U) << _U(56)))
+            first = last
         lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
         self.offsets = np.concatenate(([0], np.cumsum(lengths)))
         self.bounds = np.searchsorted(self.begins, self.offsets)
