@@ -1,4 +1,585 @@
 """Registered queries and the SQL that gives the same rows."""
 
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tidemark.functions import columns as C
+from tidemark.mql.engine import Engine
+from tidemark.operators import derivatives as D
+from tidemark.operators import ingest, liquidity, pricing, robust, series, storage, structure, universes
+from tidemark.plans import views as V
+from tidemark.plans.market import MARKET, market
+
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+
+
+def query(sql: str | None = None, name: str | None = None):
+    """Registers a query under its function's name."""
+
+    def add(f):
+        key = name or f.__name__
+        QUERIES[key] = f
+        if sql:
+            ORACLE_SQL[key] = sql
+        return f
+
+    return add
+
+
+def r(c, digits: int = 6):
+    return F.round(F.col(c) if isinstance(c, str) else c, digits)
+
+
+# --- the query language over market states
+
+_MQL = {
+    "mql_project_filter": ("SELECT asset, venue_count FROM market WHERE venue_count >= 8 AND reported_perp_volume_24h_usd > 500000", "SELECT asset, venue_count FROM market WHERE venue_count >= 8 AND reported_perp_volume_24h_usd > 500000"),
+    "mql_between_in": ("SELECT asset, included_venue_count AS n FROM market WHERE included_venue_count BETWEEN 3 AND 6 AND reference_price_method NOT IN ('derivative_fallback')", "SELECT asset, included_venue_count AS n FROM market WHERE included_venue_count BETWEEN 3 AND 6 AND reference_price_method NOT IN ('derivative_fallback')"),
+    "mql_not_or_precedence": ("SELECT asset FROM market WHERE NOT venue_count < 5 OR reference_price_method = 'single_venue_spot' AND venue_count = 1", "SELECT asset FROM market WHERE (NOT venue_count < 5) OR (reference_price_method = 'single_venue_spot' AND venue_count = 1)"),
+    "mql_is_null": ("SELECT asset, reference_price_method FROM market WHERE p10_p90_spread_bps IS NULL", "SELECT asset, reference_price_method FROM market WHERE p10_p90_spread_bps IS NULL"),
+    "mql_null_comparison": ("SELECT asset FROM market WHERE reported_spot_volume_24h_usd = NULL OR venue_count IN (2, NULL)", "SELECT asset FROM market WHERE venue_count IN (2, NULL)"),
+    "mql_order_nulls_last": ("SELECT asset FROM market WHERE venue_count <= 3 ORDER BY venue_count DESC, asset LIMIT 50", "SELECT asset FROM market WHERE venue_count <= 3 ORDER BY venue_count DESC NULLS LAST, asset LIMIT 50"),
+}
+for _name, (_text, _sql) in _MQL.items():
+    query(f"WITH {MARKET} {_sql}", _name)(lambda spark, sf_dir, text=_text: Engine(market(spark, sf_dir)).run(text))
+
+_ROUNDED = "round(price_dispersion_bps, 6) AS price_dispersion_bps"
+
+
+@query(f"WITH {MARKET} SELECT asset, round(reference_price, 6) AS reference_price, venue_count, {_ROUNDED} FROM market WHERE venue_count >= 8 ORDER BY market.price_dispersion_bps DESC NULLS LAST, asset LIMIT 10")
+def mql_topk(spark, sf_dir):
+    out = Engine(market(spark, sf_dir)).run("SELECT asset, reference_price, venue_count, price_dispersion_bps FROM market WHERE venue_count >= 8 ORDER BY price_dispersion_bps DESC, asset LIMIT 10")
+    return out.withColumns({"reference_price": r("reference_price"), "price_dispersion_bps": r("price_dispersion_bps")})
+
+
+@query(f"WITH {MARKET} SELECT count(*) AS n, 62 AS n_columns FROM market")
+def mql_star(spark, sf_dir):
+    out = Engine(market(spark, sf_dir)).run("SELECT * FROM market;")
+    return out.groupBy().agg(F.count("*").alias("n")).withColumn("n_columns", F.lit(len(out.columns)))
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE contains(lower(coalesce(p_name, '')), 'steel') OR contains(lower(p_brand), 'steel')")
+def search_substring(spark, sf_dir):
+    needle = "STEEL".lower()
+    return V.table(spark, sf_dir, "part").filter(F.contains(F.lower(F.coalesce("p_name", F.lit(""))), F.lit(needle)) | F.contains(F.lower("p_brand"), F.lit(needle))).select("p_partkey", "p_name")
+
+
+@query(f"WITH {MARKET} SELECT asset_id, round(reference_price, 6) AS reference_price FROM market WHERE asset = 'P77'")
+def asset_lookup(spark, sf_dir):
+    return market(spark, sf_dir).filter(F.col("symbol") == "P77").select("asset_id", r("reference_price__value").alias("reference_price"))
+
+
+@query(f"WITH {MARKET} SELECT asset, round(reported_volume_24h_usd, 2) AS volume FROM market WHERE venue_count >= 3 ORDER BY reported_volume_24h_usd DESC NULLS LAST, asset_id LIMIT 20")
+def top_by_volume_min_venues(spark, sf_dir):
+    m = market(spark, sf_dir).filter("venue_count >= 3").orderBy(F.desc_nulls_last("reported_volume_24h_usd"), "asset_id").limit(20)
+    return m.select(F.col("symbol").alias("asset"), r("reported_volume_24h_usd", 2).alias("volume"))
+
+
+@query(f"WITH {MARKET} SELECT count(*) AS assets, count(*) FILTER (venue_count >= 2) AS multi_venue, count(*) FILTER (venue_count = 1) AS single_venue, round(sum(reported_volume_24h_usd), 0) AS volume, round(median(price_dispersion_bps), 6) AS median_dispersion FROM market")
+def market_overview(spark, sf_dir):
+    return market(spark, sf_dir).agg(F.count("*").alias("assets"), F.count_if(F.col("venue_count") >= 2).alias("multi_venue"), F.count_if(F.col("venue_count") == 1).alias("single_venue"), F.round(F.sum("reported_volume_24h_usd"), 0).alias("volume"), r(F.median("dispersion__price_dispersion_bps")).alias("median_dispersion"))
+
+
+def scanner_text(min_venues: int | None = None, min_volume: float | None = None, dispersion: tuple | None = None) -> str:
+    """Filters of the scanner as query text."""
+    tests = [f"venue_count >= {min_venues}"] * (min_venues is not None) + [f"reported_volume_24h_usd >= {min_volume}"] * (min_volume is not None) + [f"price_dispersion_bps BETWEEN {dispersion[0]} AND {dispersion[1]}"] * bool(dispersion)
+    return "SELECT asset, venue_count FROM market" + (" WHERE " + " AND ".join(tests) if tests else "")
+
+
+@query(f"WITH {MARKET} SELECT asset, venue_count FROM market WHERE venue_count >= 4 AND reported_volume_24h_usd >= 1000000 AND price_dispersion_bps BETWEEN 0 AND 400")
+def scanner_filter(spark, sf_dir):
+    return Engine(market(spark, sf_dir)).run(scanner_text(4, 1_000_000, (0, 400)))
+
+
+# --- robust statistics
+
+
+@query(f"WITH {V.OBS}, x AS ({V.median_sql('obs', 'asset', 'price', 'volume', 'weighted_median')}) SELECT asset, round(weighted_median, 6) AS weighted_median FROM x")
+def weighted_median(spark, sf_dir):
+    return robust.weighted_median(V.obs(spark, sf_dir), ["asset"], "price", "volume").select("asset", r("weighted_median").alias("weighted_median"))
+
+
+@query(f"WITH {V.OBS}, c AS ({V.median_sql('obs', 'asset', 'price', 'volume', 'c')}), o AS (SELECT asset, abs(price - c) AS d, volume FROM obs JOIN c USING (asset)), x AS ({V.median_sql('o', 'asset', 'd', 'volume', 'm')}) SELECT asset, round(m, 6) AS weighted_mad FROM x")
+def weighted_mad(spark, sf_dir):
+    return robust.weighted_mad(V.obs(spark, sf_dir), ["asset"], "price", "volume").select("asset", r("weighted_mad").alias("weighted_mad"))
+
+
+@query(f"WITH {V.OBS} SELECT asset, round(sum(price * volume) / nullif(sum(CASE WHEN price IS NOT NULL THEN volume END), 0), 6) AS weighted_mean, round(median(price), 6) AS median, round(quantile_cont(price, 0.1), 6) AS p10, round(quantile_cont(price, 0.9), 6) AS p90, round(stddev_samp(price), 6) AS sd FROM obs GROUP BY asset")
+def group_statistics(spark, sf_dir):
+    p = lambda q: r(F.percentile("price", F.lit(q)))
+    return V.obs(spark, sf_dir).groupBy("asset").agg(r(robust.weighted_mean("price", "volume")).alias("weighted_mean"), r(F.median("price")).alias("median"), p(0.1).alias("p10"), p(0.9).alias("p90"), r(F.stddev_samp("price")).alias("sd"))
+
+
+@query(f"WITH {V.OBS}, l AS (SELECT asset, list(volume ORDER BY volume) AS ws FROM obs WHERE volume IS NOT NULL GROUP BY asset), c AS (SELECT asset, {V.cap_sql('ws')} AS s FROM l) SELECT asset, round(list_max(s), 6) AS largest, round(list_min(s), 6) AS smallest, round(list_sum(s), 6) AS total FROM c")
+def cap_weights(spark, sf_dir):
+    w = V.obs(spark, sf_dir).groupBy("asset").agg(F.array_sort(F.collect_list("volume")).alias("w")).filter(F.size("w") > 0).withColumn("s", robust.cap_weights(F.col("w"), 0.35))
+    return w.select("asset", r(F.array_max("s")).alias("largest"), r(F.array_min("s")).alias("smallest"), r(C.total(F.col("s"))).alias("total"))
+
+
+@query(f"WITH {V.OBS}, {V.VOLUMES} SELECT asset, round(hhi, 6) AS hhi, round(effective_count, 6) AS effective_count, round(largest_share, 6) AS largest_share FROM hh")
+def hhi_effective_count(spark, sf_dir):
+    return robust.concentration(V.obs(spark, sf_dir), "asset", "venue", "volume").select("asset", r("hhi").alias("hhi"), r("effective_count").alias("effective_count"), r("largest_share").alias("largest_share"))
+
+
+@query(f"WITH {V.OBS}, x AS (SELECT asset, price, row_number() OVER (PARTITION BY asset ORDER BY price) AS k, count(*) OVER (PARTITION BY asset) AS n FROM obs) SELECT asset, round(avg(price), 10) AS trimmed_mean FROM x WHERE k > floor(n * 0.1) AND k <= n - floor(n * 0.1) GROUP BY asset")
+def trimmed_mean(spark, sf_dir):
+    return robust.trimmed_mean(V.obs(spark, sf_dir), ["asset"], "price").select("asset", r("trimmed_mean", 10).alias("trimmed_mean"))
+
+
+@query(f"WITH {V.POINTS} SELECT asset, id, round((count(*) OVER (PARTITION BY asset ORDER BY price RANGE UNBOUNDED PRECEDING) - count(*) OVER (PARTITION BY asset, price) / 2.0) / count(*) OVER (PARTITION BY asset) * 100, 6) AS rank FROM points")
+def percentile_rank_mid(spark, sf_dir):
+    return robust.percentile_rank(V.points(spark, sf_dir), ["asset"], "price").select("asset", "id", r("percentile_rank").alias("rank"))
+
+
+# --- prices
+
+
+@query(f"WITH {V.PRICES} SELECT asset, round(reference_price, 6) AS reference_price, method, venue_count, included_count, excluded_count, n_spot_preferred, n_extreme_deviation, round(min_price, 6) AS min_price, round(max_price, 6) AS max_price FROM pr")
+def reference_price(spark, sf_dir):
+    p = pricing.reference_prices(V.obs(spark, sf_dir))
+    return p.select("asset", r("reference_price").alias("reference_price"), "method", "venue_count", "included_count", "excluded_count", "n_spot_preferred", "n_extreme_deviation", r("min_price").alias("min_price"), r("max_price").alias("max_price"))
+
+
+@query(f"WITH {V.PRICES} SELECT asset, round(mad_bps, 6) AS mad_bps, round(p10_p90_bps, 6) AS p10_p90_bps, round(max_dev_bps, 6) AS max_dev_bps FROM pr")
+def price_dispersion(spark, sf_dir):
+    return pricing.reference_prices(V.obs(spark, sf_dir)).select("asset", r("mad_bps").alias("mad_bps"), r("p10_p90_bps").alias("p10_p90_bps"), r("max_dev_bps").alias("max_dev_bps"))
+
+
+_FRESH_WEIGHT = f"greatest(0.001::DOUBLE, (CASE WHEN volume > 0 THEN sqrt(volume) ELSE 0.001::DOUBLE END) * ({V.FRESH}) * (CASE source WHEN 'mid' THEN 1.0::DOUBLE ELSE 0.6::DOUBLE END))"
+
+
+@query(f"WITH {V.OBS} SELECT asset, venue, count(*) AS n, round(sum({_FRESH_WEIGHT}), 5) AS weight FROM obs GROUP BY asset, venue")
+def raw_weights(spark, sf_dir):
+    w = V.obs(spark, sf_dir).withColumn("w", pricing.raw_weight(F.col("volume"), F.col("age_s"), F.col("source")))
+    return w.groupBy("asset", "venue").agg(F.count("*").alias("n"), r(F.sum("w"), 5).alias("weight"))
+
+
+@query(f"WITH {V.PRICES} SELECT asset, venue, kind, l_orderkey, l_linenumber, l_suppkey, round(w2.price, 6) AS price, reason, round(weight, 6) AS weight FROM w2 LEFT JOIN (SELECT DISTINCT asset, price, rw, weight FROM ca) AS ca USING (asset, price, rw)")
+def provenance_rows(spark, sf_dir):
+    return pricing.provenance(V.obs(spark, sf_dir)).select("asset", "venue", "kind", "l_orderkey", "l_linenumber", "l_suppkey", r("price").alias("price"), "reason", r("weight").alias("weight"))
+
+
+@query(f"WITH {V.PRICES} SELECT reason, count(*) AS n FROM w2 WHERE reason IS NOT NULL GROUP BY reason")
+def reason_histogram(spark, sf_dir):
+    return pricing.provenance(V.obs(spark, sf_dir)).filter("reason is not null").groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {V.BOOK}, t AS (SELECT asset, venue, max(price) FILTER (side = 'bid') AS bid, min(price) FILTER (side = 'ask') AS ask FROM book GROUP BY asset, venue) SELECT asset, venue, round(CASE WHEN bid <= ask THEN (bid + ask) / 2 END, 9) AS mid, round(CASE WHEN bid <= ask THEN (ask - bid) / ((bid + ask) / 2) * 10000 END, 7) AS spread_bps FROM t")
+def mid_and_spread(spark, sf_dir):
+    side = lambda s, f: f(F.when(F.col("side") == s, F.col("price")))
+    t = V.book(spark, sf_dir).groupBy("asset", "venue").agg(side("bid", F.max).alias("bid"), side("ask", F.min).alias("ask")).withColumn("mid", pricing.mid_price(F.col("bid"), F.col("ask")))
+    return t.select("asset", "venue", r("mid", 9).alias("mid"), r(F.try_divide(F.col("ask") - F.col("bid"), "mid") * 10_000, 7).alias("spread_bps"))
+
+
+@query(f"WITH {V.OBS}, g AS (SELECT asset, venue, count(*) AS n, round(sum(volume), 2) AS volume, min(age_s) AS freshest, arg_max(round(price, 6), (l_extendedprice, l_orderkey, l_linenumber, l_suppkey, l_quantity)) AS price FROM obs GROUP BY asset, venue) SELECT * FROM g")
+def venue_decomposition(spark, sf_dir):
+    order = F.struct("l_extendedprice", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
+    return V.obs(spark, sf_dir).groupBy("asset", "venue").agg(F.count("*").alias("n"), r(F.sum("volume"), 2).alias("volume"), F.min("age_s").alias("freshest"), F.max_by(r("price"), order).alias("price"))
+
+
+# --- volume, derivatives, structure
+
+
+@query(f"WITH {V.OBS}, {V.VOLUMES} SELECT asset, round(spot_usd, 2) AS spot_usd, round(perp_usd, 2) AS perp_usd, round(futures_usd, 2) AS futures_usd, round(total_usd, 2) AS total_usd, round(derivative_usd, 2) AS derivative_usd, round(perp_dominance, 6) AS perp_dominance FROM vo")
+def volume_by_segment(spark, sf_dir):
+    v = D.volume_by_segment(V.obs(spark, sf_dir))
+    return v.select("asset", *[r(c, 2).alias(c) for c in ("spot_usd", "perp_usd", "futures_usd", "total_usd", "derivative_usd")], r("perp_dominance").alias("perp_dominance"))
+
+
+@query(f"WITH {V.OBS}, {V.VOLUMES} SELECT asset, venue, round(share, 6) AS share FROM sh")
+def venue_volume_shares(spark, sf_dir):
+    v = V.obs(spark, sf_dir).filter("volume > 0").groupBy("asset", "venue").agg(F.sum("volume").alias("v"))
+    return v.select("asset", "venue", r(C.ratio("v", F.sum("v").over(Window.partitionBy("asset")))).alias("share"))
+
+
+@query(f"WITH {V.DERIVATIVES} SELECT funding_reason, count(*) AS n, round(sum(rate_8h), 6) AS total FROM f8 GROUP BY funding_reason")
+def funding_8h(spark, sf_dir):
+    return D.funding(V.derivatives(spark, sf_dir)).groupBy("funding_reason").agg(F.count("*").alias("n"), r(F.sum("rate_8h")).alias("total"))
+
+
+@query(f"WITH {V.DERIVATIVES} SELECT asset, round(median(rate_8h), 9) AS median, round(min(rate_8h), 9) AS low, round(max(rate_8h), 9) AS high, round(median(rate_8h) * 1095, 8) AS annualised, round(CASE WHEN count(rate_8h) >= 2 THEN (max(rate_8h) - min(rate_8h)) * 10000 END, 8) AS dispersion_bps, count(DISTINCT venue) AS venue_count FROM f8 WHERE rate_8h IS NOT NULL GROUP BY asset")
+def funding_aggregate(spark, sf_dir):
+    f = D.funding_by_asset(V.derivatives(spark, sf_dir))
+    return f.select("asset", r("rate_8h_median", 9).alias("median"), r("rate_8h_min", 9).alias("low"), r("rate_8h_max", 9).alias("high"), r("annualised_simple", 8).alias("annualised"), r("dispersion_bps", 8).alias("dispersion_bps"), "venue_count")
+
+
+@query(f"WITH {V.DERIVATIVES} SELECT oi_unit, oi_reason, count(*) AS n, round(sum(usd_equivalent), 2) AS usd, round(sum(base_equivalent), 4) AS base FROM oi GROUP BY oi_unit, oi_reason")
+def open_interest_units(spark, sf_dir):
+    return D.open_interest(V.derivatives(spark, sf_dir)).groupBy("oi_unit", "oi_reason").agg(F.count("*").alias("n"), r(F.sum("usd_equivalent"), 2).alias("usd"), r(F.sum("base_equivalent"), 4).alias("base"))
+
+
+@query(f"WITH {V.DERIVATIVES} SELECT asset, round(sum(usd_equivalent), 2) AS total_usd, round(sum(usd_equivalent) FILTER (kind = 'perpetual'), 2) AS perpetual_usd, count(DISTINCT CASE WHEN oi_reason IS NULL THEN venue END) AS venue_count, count(oi_reason) AS excluded_count FROM oi GROUP BY asset")
+def open_interest_aggregate(spark, sf_dir):
+    return D.open_interest_by_asset(V.derivatives(spark, sf_dir)).select("asset", r("total_usd", 2).alias("total_usd"), r("perpetual_usd", 2).alias("perpetual_usd"), "venue_count", "excluded_count")
+
+
+@query(f"WITH {V.DERIVATIVES}, b AS (SELECT *, (price - reference_price) / reference_price * 10000 AS off FROM deriv WHERE reference_price > 0) SELECT asset, round(median(off) FILTER (kind = 'perpetual'), 6) AS perp, round(median(off) FILTER (kind = 'future'), 6) AS futures FROM b GROUP BY asset")
+def basis_bps(spark, sf_dir):
+    return D.basis_by_asset(V.derivatives(spark, sf_dir)).select("asset", r("perp_basis_bps_median").alias("perp"), r("futures_basis_bps_median").alias("futures"))
+
+
+@query(f"WITH {V.DERIVATIVES}, o AS (SELECT asset, sum(usd_equivalent) AS u FROM oi GROUP BY asset), v AS (SELECT asset, sum(volume) AS v FROM obs GROUP BY asset) SELECT asset, round(u / nullif(v, 0), 6) AS oi_to_volume FROM o JOIN v USING (asset)")
+def oi_to_volume(spark, sf_dir):
+    j = D.open_interest_by_asset(V.derivatives(spark, sf_dir)).join(D.volume_by_segment(V.obs(spark, sf_dir)).withColumnRenamed("total_usd", "v"), "asset")
+    return j.select("asset", r(C.ratio("total_usd", "v")).alias("oi_to_volume"))
+
+
+@query(f"WITH {MARKET} SELECT asset_id, round(fragmentation_index, 6) AS fragmentation_index FROM market")
+def fragmentation_index(spark, sf_dir):
+    return market(spark, sf_dir).select("asset_id", r("fragmentation__fragmentation_index").alias("fragmentation_index"))
+
+
+@query(f"WITH {V.OBS} SELECT asset, count(DISTINCT CASE WHEN kind = 'spot' THEN venue END) AS spot_venues, count(DISTINCT CASE WHEN kind = 'perpetual' THEN venue END) AS perp_venues, count(DISTINCT CASE WHEN kind = 'future' THEN venue END) AS future_venues, count(*) FILTER (kind = 'spot') AS spot_count, count(*) FILTER (kind = 'perpetual') AS perp_count, count(*) FILTER (kind = 'future') AS future_count, count(DISTINCT ccy) AS currencies FROM obs GROUP BY asset")
+def structure_counts(spark, sf_dir):
+    return structure.venue_counts(V.obs(spark, sf_dir))
+
+
+@query(f"WITH {V.PRICES}, e AS (SELECT asset, count(DISTINCT venue) AS n, min(age_s) AS freshest, max(age_s) AS oldest FROM obs GROUP BY asset) SELECT 'asset:named:part:P' || asset AS asset_id, round(least(1, venue_count::DOUBLE / n), 6) AS coverage_ratio, freshest, oldest FROM e LEFT JOIN pr USING (asset)")
+def coverage_and_freshness(spark, sf_dir):
+    return market(spark, sf_dir).select("asset_id", r("quality__coverage__coverage_ratio").alias("coverage_ratio"), F.col("quality__freshness__freshest_observation_age_seconds").alias("freshest"), F.col("quality__freshness__oldest_observation_age_seconds").alias("oldest"))
+
+
+# --- order books
+
+_DEPTHS = ", ".join(f"CASE WHEN count(*) FILTER (side = '{s}') > 0 AND count(*) FILTER (side = '{s}' AND usd IS NULL AND price {op} reference_price * (1 {sign} {b} / 10000.0::DOUBLE)) = 0 THEN round(coalesce(sum(usd) FILTER (side = '{s}' AND price {op} reference_price * (1 {sign} {b} / 10000.0::DOUBLE)), 0), 7) END AS depth_{b}_{s}" for b in liquidity.BANDS for s, op, sign in (("bid", ">=", "-"), ("ask", "<=", "+")))
+
+
+@query(f"WITH {V.BOOK} SELECT asset, {_DEPTHS} FROM book GROUP BY asset")
+def depth_bands(spark, sf_dir):
+    d = liquidity.depth_bands(V.book(spark, sf_dir), ["asset"])
+    return d.select("asset", *[r(c, 7).alias(c) for c in d.columns if c != "asset"])
+
+
+@query(f"""WITH {V.BOOK}, t AS (SELECT *, greatest(0, least(usd, 10000 - coalesce(sum(usd) OVER (PARTITION BY asset, side ORDER BY CASE side WHEN 'bid' THEN -price ELSE price END, size, venue ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS take FROM book WHERE usd > 0),
+g AS (SELECT asset, side, sum(usd) AS there, (sum(price * take) / sum(take) - max(reference_price)) / max(reference_price) * 10000 AS off FROM t GROUP BY asset, side)
+SELECT asset, side, CASE WHEN there >= 10000 THEN round(greatest(0, CASE side WHEN 'ask' THEN off ELSE -off END), 6) END AS impact_bps FROM g""")
+def walk_impact(spark, sf_dir):
+    return liquidity.walk(V.book(spark, sf_dir), ["asset"], liquidity.NOTIONALS[0]).select("asset", "side", r("impact_bps").alias("impact_bps"))
+
+
+@query(f"WITH {V.BOOK}, t AS (SELECT asset, venue, max(price) FILTER (side = 'bid') AS bid, min(price) FILTER (side = 'ask') AS ask FROM book GROUP BY asset, venue), s AS (SELECT asset, (ask - bid) / ((ask + bid) / 2) * 10000 AS bps FROM t WHERE ask > bid AND bid > 0) SELECT asset, round(min(bps), 6) AS best_spread_bps, round(CASE WHEN count(*) >= 2 THEN median(bps) END, 6) AS median_spread_bps, count(*) AS venue_count FROM s GROUP BY asset")
+def spread_best_median(spark, sf_dir):
+    return liquidity.spreads(V.book(spark, sf_dir)).select("asset", r("best_spread_bps").alias("best_spread_bps"), r("median_spread_bps").alias("median_spread_bps"), "venue_count")
+
+
+@query(f"WITH {V.BOOK}, d AS (SELECT asset, {_DEPTHS} FROM book GROUP BY asset) SELECT asset, round((depth_50_bid - depth_50_ask) / nullif(depth_50_bid + depth_50_ask, 0), 6) AS imbalance FROM d")
+def book_imbalance(spark, sf_dir):
+    return liquidity.imbalance(liquidity.depth_bands(V.book(spark, sf_dir), ["asset"])).select("asset", r("imbalance").alias("imbalance"))
+
+
+@query(f"WITH {V.BOOK}, s AS (SELECT asset, venue, sum(usd) AS v FROM book WHERE usd > 0 GROUP BY asset, venue), t AS (SELECT asset, v / sum(v) OVER (PARTITION BY asset) AS x FROM s) SELECT asset, round(sum(x * x), 6) AS hhi, round(max(x), 6) AS largest_share FROM t GROUP BY asset")
+def liquidity_concentration(spark, sf_dir):
+    levels = V.book(spark, sf_dir).withColumn("usd", liquidity.notional())
+    return robust.concentration(levels, "asset", "venue", "usd").select("asset", r("hhi").alias("hhi"), r("largest_share").alias("largest_share"))
+
+
+# --- series
+
+_LR = "CASE WHEN price > 0 AND lag(price) OVER o > 0 THEN ln(price / lag(price) OVER o) END"
+_O = "WINDOW o AS (PARTITION BY asset ORDER BY ts_ms, id)"
+
+
+def _trail(hours: int) -> str:
+    return f"SELECT * FROM (SELECT *, max(ts_ms) OVER (PARTITION BY asset) AS last FROM points) WHERE ts_ms >= last - {hours * series.HOUR_MS}"
+
+
+@query(f"WITH {V.POINTS} SELECT asset, id, round({_LR}, 9) AS log_return FROM points {_O}")
+def log_returns(spark, sf_dir):
+    return series.log_returns(V.points(spark, sf_dir)).select("asset", "id", r("log_return", 9).alias("log_return"))
+
+
+@query(f"WITH {V.POINTS}, t AS ({_trail(720)}), l AS (SELECT asset, price, {_LR} AS x FROM t {_O}) SELECT asset, round(CASE WHEN count(*) >= 10 AND 1 - count(*) / 2880.0 <= 0.35 THEN stddev_samp(x) * sqrt(35040) END, 6) AS realised, count(*) AS points FROM l GROUP BY asset")
+def realised_volatility(spark, sf_dir):
+    return series.volatility(V.points(spark, sf_dir), 720, 10).select("asset", r("realised").alias("realised"), "points")
+
+
+@query(f"WITH {V.POINTS}, t AS ({_trail(168)}) SELECT asset, round(CASE WHEN count(*) >= 2 THEN arg_max(price, (ts_ms, id)) / arg_min(price, (ts_ms, id)) - 1 END, 9) AS change, count(*) AS points FROM t GROUP BY asset")
+def window_returns(spark, sf_dir):
+    return series.window_returns(V.points(spark, sf_dir), 168).select("asset", r("change", 9).alias("change"), "points")
+
+
+@query(f"WITH {V.POINTS}, m AS (SELECT *, abs(price - lag(price) OVER o) AS move, row_number() OVER (PARTITION BY asset ORDER BY ts_ms DESC, id DESC) AS back FROM points {_O}) SELECT asset, round(CASE WHEN count(*) >= 15 THEN avg(move) FILTER (back <= 14) / arg_max(price, (ts_ms, id)) * 10000 END, 6) AS atr_bps FROM m GROUP BY asset")
+def atr_14(spark, sf_dir):
+    return series.true_range(V.points(spark, sf_dir)).select("asset", r("atr_bps").alias("atr_bps"))
+
+
+def _ema_sql(p: str, span: int) -> str:
+    a = 2.0 / (span + 1)
+    return f"CASE WHEN len({p}) >= {span} THEN list_reduce({p}, lambda s, x: {a!r}::DOUBLE * x + {1 - a!r}::DOUBLE * s) END"
+
+
+@query(f"WITH {V.POINTS}, p AS (SELECT asset, list(price ORDER BY ts_ms, id) AS p FROM points GROUP BY asset), e AS (SELECT asset, {_ema_sql('p', 12)} AS f, {_ema_sql('p', 26)} AS s FROM p) SELECT asset, round(f, 6) AS ema_12, round(s, 6) AS ema_26, round(f - s, 6) AS macd FROM e")
+def ema_12_26_macd(spark, sf_dir):
+    e = series.paths(V.points(spark, sf_dir)).select("asset", series.ema(F.col("prices"), 12).alias("f"), series.ema(F.col("prices"), 26).alias("s"))
+    return e.select("asset", r("f").alias("ema_12"), r("s").alias("ema_26"), r(F.col("f") - F.col("s")).alias("macd"))
+
+
+_START = "struct_pack(g := list_sum(list_transform(m[1:14], lambda x: greatest(x, 0.0))) / 14, l := list_sum(list_transform(m[1:14], lambda x: greatest(-x, 0.0))) / 14)"
+
+
+@query(f"""WITH {V.POINTS}, d AS (SELECT asset, ts_ms, id, price - lag(price) OVER o AS m FROM points {_O}), p AS (SELECT asset, list(m ORDER BY ts_ms, id) FILTER (m IS NOT NULL) AS m FROM d GROUP BY asset),
+w AS (SELECT asset, list_reduce(list_concat([{_START}], list_transform(m[15:], lambda x: struct_pack(g := greatest(x, 0.0), l := greatest(-x, 0.0)))), lambda s, x: struct_pack(g := (s.g * 13 + x.g) / 14, l := (s.l * 13 + x.l) / 14)) AS s, len(m) AS n FROM p WHERE len(m) >= 14)
+SELECT asset, CASE WHEN s IS NOT NULL THEN round(CASE WHEN s.l = 0 THEN CASE WHEN s.g > 0 THEN 100.0 ELSE 50.0 END ELSE 100 - 100 / (1 + s.g / s.l) END, 6) END AS rsi FROM (SELECT DISTINCT asset FROM points) LEFT JOIN w USING (asset)""")
+def rsi_14(spark, sf_dir):
+    return series.paths(V.points(spark, sf_dir)).select("asset", r(series.rsi(F.col("prices"))).alias("rsi"))
+
+
+@query(f"WITH {V.POINTS}, b AS (SELECT *, row_number() OVER (PARTITION BY asset ORDER BY ts_ms DESC, id DESC) AS back FROM points) SELECT asset, round(CASE WHEN count(*) = 20 THEN 4 * stddev_samp(price) / avg(price) * 10000 END, 6) AS width_bps FROM b WHERE back <= 20 GROUP BY asset")
+def bollinger_width(spark, sf_dir):
+    return series.bollinger_width(V.points(spark, sf_dir)).select("asset", r("width_bps").alias("width_bps"))
+
+
+@query(f"WITH {V.POINTS}, t AS ({_trail(720)}) SELECT asset, count(*) AS present, round(1 - count(*) / 2880.0, 6) AS missing FROM t GROUP BY asset")
+def window_coverage(spark, sf_dir):
+    return series.trailing(V.points(spark, sf_dir), 720).groupBy("asset").agg(F.count("*").alias("present"), r(1 - F.count("*") / 2880).alias("missing"))
+
+
+@query(f"WITH {V.POINTS}, z AS (SELECT asset, CASE WHEN count(*) >= 8 AND stddev_samp(price) > 0 THEN (arg_max(price, (ts_ms, id)) - avg(price)) / stddev_samp(price) END AS z FROM points GROUP BY asset) SELECT asset, round(z, 6) AS z FROM z")
+def zscore_pressure(spark, sf_dir):
+    last = F.max_by("price", F.struct("ts_ms", "id"))
+    return V.points(spark, sf_dir).groupBy("asset").agg(r(structure.z_score(last, F.avg("price"), F.stddev_samp("price"), F.count("price"))).alias("z"))
+
+
+@query(f"WITH {V.POINTS} SELECT asset, CASE WHEN count(*) >= 2688 THEN 'available' WHEN count(*) >= 672 THEN 'warming' ELSE 'insufficient_history' END AS status FROM points GROUP BY asset")
+def genome_lifecycle(spark, sf_dir):
+    return V.points(spark, sf_dir).groupBy("asset").agg(structure.lifecycle(F.count("*")).alias("status"))
+
+
+@query(f"WITH {V.POINTS}, n AS (SELECT asset, arg_min(price, (abs(ts_ms - (as_of_ms - {7 * 86_400_000})), ts_ms, id)) AS p FROM points WHERE ts_ms < as_of_ms AND abs(ts_ms - (as_of_ms - {7 * 86_400_000})) <= {48 * 3_600_000} GROUP BY asset) SELECT asset, round(p, 6) AS price_then FROM n")
+def asof_nearest(spark, sf_dir):
+    return series.nearest(V.points(spark, sf_dir), 7 * 86_400_000, 48 * 3_600_000).select("asset", r("price_then").alias("price_then"))
+
+
+@query(f"WITH {V.POINTS}, l AS (SELECT asset, arg_max(price, (ts_ms, id)) AS p, max(ts_ms) AS t FROM points WHERE ts_ms < as_of_ms GROUP BY asset) SELECT asset, CASE WHEN {V.AS_OF_MS} - t <= {5 * 86_400_000} THEN round(p, 6) END AS latest FROM l")
+def asof_latest_max_age(spark, sf_dir):
+    p = V.points(spark, sf_dir).filter("ts_ms < as_of_ms").groupBy("asset").agg(F.max_by("price", F.struct("ts_ms", "id")).alias("p"), F.max("ts_ms").alias("t"))
+    return p.select("asset", F.when(V.AS_OF_MS - F.col("t") <= 5 * 86_400_000, r("p")).alias("latest"))
+
+
+@query(f"WITH {V.POINTS} SELECT asset, count(*) AS n, max(ts_ms) AS newest FROM points WHERE ts_ms < {V.AS_OF_MS - 10 * 86_400_000} GROUP BY asset")
+def no_lookahead_view(spark, sf_dir):
+    return V.points(spark, sf_dir).filter(F.col("ts_ms") < V.AS_OF_MS - 10 * 86_400_000).groupBy("asset").agg(F.count("*").alias("n"), F.max("ts_ms").alias("newest"))
+
+
+@query(f"WITH {V.POINTS}, v AS (SELECT asset, CASE WHEN count(*) >= 16 THEN median(price) END AS m FROM points GROUP BY asset) SELECT asset, round(m, 6) AS baseline FROM v")
+def volume_baseline(spark, sf_dir):
+    return V.points(spark, sf_dir).groupBy("asset").agg(r(F.when(F.count("price") >= 16, F.median("price"))).alias("baseline"))
+
+
+# --- ingest
+
+_TICK = f"""tick AS (SELECT *, CASE WHEN l_suppkey % 23 = 0 THEN NULL ELSE l_suppkey END AS instrument, l_orderkey % 29 <> 0 AS active, CASE WHEN l_linenumber <> 6 THEN price * (1 - l_tax / 50) END AS bid, CASE WHEN l_linenumber <> 5 THEN price * (1 - (l_discount - 0.05::DOUBLE) / 50) END AS ask,
+  CASE WHEN l_quantity = 7 THEN NULL WHEN l_quantity = 9 THEN -1.0::DOUBLE ELSE price END AS last, price * 1.1::DOUBLE AS high, price * (CASE WHEN l_quantity = 11 THEN 1.2::DOUBLE ELSE 0.9::DOUBLE END) AS low FROM obs),
+cand AS (SELECT *, CASE WHEN bid IS NOT NULL AND ask IS NOT NULL AND bid > ask THEN NULL ELSE coalesce((bid + ask) / 2, last) END AS candidate FROM tick),
+judged AS (SELECT *, CASE WHEN instrument IS NULL THEN 'unresolved_instrument' WHEN NOT active THEN 'inactive_instrument' WHEN bid IS NOT NULL AND ask IS NOT NULL AND candidate IS NULL THEN 'crossed_book' WHEN candidate IS NULL THEN 'missing_price' WHEN candidate <= 0 THEN 'non_positive_price'
+  WHEN high < low THEN 'schema_failure' WHEN age_s > 1800 THEN 'stale' WHEN age_s < -1800 THEN 'missing_timestamp' END AS reason FROM cand)"""
+
+
+def _judged(spark, sf_dir):
+    o, n = V.obs(spark, sf_dir), F.col("l_linenumber")
+    t = o.withColumns({"instrument": F.when(F.col("l_suppkey") % 23 != 0, F.col("l_suppkey")), "active": F.col("l_orderkey") % 29 != 0, "bid": F.when(n != 6, F.col("price") * (1 - F.col("l_tax") / 50)), "ask": F.when(n != 5, F.col("price") * (1 - (F.col("l_discount") - 0.05) / 50)), "last": F.when(F.col("l_quantity") == 9, -1.0).when(F.col("l_quantity") != 7, F.col("price")), "high": F.col("price") * 1.1, "low": F.col("price") * F.when(F.col("l_quantity") == 11, 1.2).otherwise(0.9)})
+    crossed = F.col("bid").isNotNull() & F.col("ask").isNotNull() & (F.col("bid") > F.col("ask"))
+    t = t.withColumn("candidate", F.when(~F.coalesce(crossed, F.lit(False)), F.coalesce(pricing.mid_price(F.col("bid"), F.col("ask")), F.col("last"))))
+    return t.withColumn("reason", ingest.ticker_reason({c: F.col(c) for c in ("instrument", "active", "bid", "ask", "candidate", "high", "low", "age_s")}))
+
+
+@query(f"WITH {V.OBS}, {_TICK} SELECT coalesce(reason, 'accepted') AS reason, count(*) AS n FROM judged GROUP BY 1")
+def validate_reason_counts(spark, sf_dir):
+    return _judged(spark, sf_dir).groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+_ROW = "l_orderkey, l_linenumber, asset, l_suppkey, l_quantity, l_extendedprice"
+
+
+@query(f"WITH {V.OBS}, {_TICK} SELECT reason, {_ROW} FROM (SELECT *, row_number() OVER (PARTITION BY reason ORDER BY {_ROW}) AS k FROM judged WHERE reason IS NOT NULL) WHERE k <= 200")
+def quarantine_capped(spark, sf_dir):
+    row = _ROW.split(", ")
+    return ingest.quarantined(_judged(spark, sf_dir), "reason", row).select("reason", *row)
+
+
+@query(f"WITH {V.OBS} SELECT asset, venue, kind, ccy, min(l_suppkey) AS instrument_id, count(*) - 1 AS others FROM (SELECT DISTINCT asset, venue, kind, ccy, l_suppkey FROM obs) GROUP BY asset, venue, kind, ccy")
+def dedupe_instruments(spark, sf_dir):
+    i = V.obs(spark, sf_dir).select("asset", "venue", "kind", "ccy", F.col("l_suppkey").alias("instrument_id")).distinct()
+    keys = ["asset", "venue", "kind", "ccy"]
+    return ingest.deduped_first(i, keys, ["instrument_id"]).join(i.groupBy(*keys).agg((F.count("*") - 1).alias("others")), keys)
+
+
+@query(f"WITH {V.POINTS} SELECT asset, ts_ms - ts_ms % 3600000 AS hour, arg_max(id, (ts_ms, id)) AS id FROM points GROUP BY ALL")
+def dedupe_keep_last(spark, sf_dir):
+    p = V.points(spark, sf_dir).select("asset", (F.col("ts_ms") - F.col("ts_ms") % 3_600_000).alias("hour"), "ts_ms", "id")
+    return ingest.deduped_last(p, ["asset", "hour"], ["ts_ms", "id"]).select("asset", "hour", "id")
+
+
+@query(f"WITH {V.PRICES} SELECT asset, venue, arg_min(l_orderkey, (CASE WHEN reason IS NULL THEN 0 ELSE 1 END, CASE WHEN kind = 'spot' THEN 0 ELSE 1 END, -coalesce(volume, 0), {_ROW.replace('asset, ', '')})) AS l_orderkey FROM w2 GROUP BY asset, venue")
+def representative_ticker(spark, sf_dir):
+    p = pricing.provenance(V.obs(spark, sf_dir))
+    order = F.struct(F.when(F.col("reason").isNull(), 0).otherwise(1).alias("a"), F.when(F.col("kind") == "spot", 0).otherwise(1).alias("b"), (-F.coalesce("volume", F.lit(0.0))).alias("c"), "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice")
+    return p.groupBy("asset", "venue").agg(F.min_by("l_orderkey", order).alias("l_orderkey"))
+
+
+_INSTRUMENTS = "i AS (SELECT p_partkey AS instrument_id, p_partkey % 16 AS venue, p_brand AS symbol, CASE p_size % 3 WHEN 0 THEN 'spot' WHEN 1 THEN 'perpetual_linear' ELSE 'future_dated' END AS class, CASE p_size % 3 WHEN 0 THEN 'spot' WHEN 1 THEN 'perpetual' ELSE 'future' END AS type FROM part)"
+
+
+@query(f"""WITH {_INSTRUMENTS}, o AS (SELECT o_orderkey AS id, o_custkey % 16 AS venue, 'Brand#' || (1 + o_orderkey % 5) || (1 + o_custkey % 5) AS symbol, CASE o_orderkey % 5 WHEN 0 THEN 'spot' WHEN 1 THEN 'perpetual_linear' WHEN 2 THEN 'derivative' WHEN 3 THEN 'future' END AS hint FROM orders),
+j AS (SELECT o.*, instrument_id, CASE WHEN hint IS NULL THEN 4 WHEN class = hint THEN 1 WHEN type = hint THEN 2 WHEN hint = 'derivative' AND type <> 'spot' THEN 3 END AS tier FROM o LEFT JOIN i USING (venue, symbol)),
+b AS (SELECT *, min(tier) OVER (PARTITION BY id) AS best FROM j), g AS (SELECT id, max(best) AS best, count(*) FILTER (tier = best) AS n, min(instrument_id) FILTER (tier = best) AS m FROM b GROUP BY id)
+SELECT id, CASE WHEN best = 1 OR n = 1 THEN m END AS instrument_id FROM g""")
+def index_tiered_join(spark, sf_dir):
+    size = F.col("p_size") % 3
+    i = V.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("instrument_id"), (F.col("p_partkey") % 16).alias("venue"), F.col("p_brand").alias("symbol"), F.when(size == 0, "spot").when(size == 1, "perpetual_linear").otherwise("future_dated").alias("class"), F.when(size == 0, "spot").when(size == 1, "perpetual").otherwise("future").alias("type"))
+    k = F.col("o_orderkey")
+    o = V.table(spark, sf_dir, "orders").select(k.alias("id"), (F.col("o_custkey") % 16).alias("venue"), F.concat(F.lit("Brand#"), 1 + k % 5, 1 + F.col("o_custkey") % 5).alias("symbol"), F.when(k % 5 == 0, "spot").when(k % 5 == 1, "perpetual_linear").when(k % 5 == 2, "derivative").when(k % 5 == 3, "future").alias("hint"))
+    return ingest.tiered_match(o, i).select("id", "instrument_id")
+
+
+_EDGES = "e AS (SELECT 'c' || (s_suppkey % 7) AS src, 'c' || (s_nationkey % 7) AS dst, 1 + abs(s_acctbal) / 1000000 AS rate, 'v' || (s_suppkey % 16) AS venue, s_suppkey AS observed_at FROM supplier WHERE s_suppkey % 3 = 0 AND s_suppkey % 7 <> 5 AND s_nationkey % 7 <> 5)"
+
+
+@query(f"""WITH RECURSIVE {_EDGES}, b0 AS (SELECT *, 1000 AS cost FROM e UNION ALL SELECT dst, src, 1 / rate, venue, observed_at, 1050 FROM e), b AS (SELECT src, dst, unnest(arg_min(struct_pack(rate := rate, venue := venue, observed_at := observed_at, cost := cost), (cost, venue, observed_at, rate))) FROM b0 WHERE src <> dst GROUP BY src, dst),
+p AS (SELECT src AS currency, rate, 1 AS hops, cost AS total, [struct_pack(c := cost, v := venue, n := src)] AS trail, venue AS source, observed_at FROM b WHERE dst = 'c0'
+UNION ALL SELECT b.src, p.rate * b.rate, hops + 1, total + cost, list_concat([struct_pack(c := cost, v := venue, n := b.src)], trail), b.venue, least(p.observed_at, b.observed_at) FROM p JOIN b ON b.dst = p.currency WHERE hops < 3 AND b.src <> 'c0' AND NOT list_contains(list_transform(trail, lambda t: t.n), b.src))
+SELECT currency, round(arg_min(rate, (total, trail)), 9) AS rate, arg_min(hops, (total, trail)) AS hops, arg_min(source, (total, trail)) AS source, arg_min(observed_at, (total, trail)) AS observed_at FROM p GROUP BY currency""")
+def fx_best_path(spark, sf_dir):
+    s = V.table(spark, sf_dir, "supplier").filter("s_suppkey % 3 = 0 and s_suppkey % 7 <> 5 and s_nationkey % 7 <> 5")
+    e = s.select(F.concat(F.lit("c"), F.col("s_suppkey") % 7).alias("src"), F.concat(F.lit("c"), F.col("s_nationkey") % 7).alias("dst"), (1 + F.abs("s_acctbal") / 1_000_000).alias("rate"), F.concat(F.lit("v"), F.col("s_suppkey") % 16).alias("venue"), F.col("s_suppkey").alias("observed_at"))
+    return ingest.best_paths(e, "c0").select("currency", r("rate", 9).alias("rate"), "hops", "source", "observed_at")
+
+
+@query("WITH s AS (SELECT p_brand AS ticker, p_name AS name, p_partkey % 16 AS venue FROM part) SELECT ticker, name, count(DISTINCT venue) AS venues FROM s GROUP BY ticker, name HAVING count(DISTINCT venue) >= 2")
+def name_agreement(spark, sf_dir):
+    p = V.table(spark, sf_dir, "part").select(F.col("p_brand").alias("ticker"), F.col("p_name").alias("name"), (F.col("p_partkey") % 16).alias("venue"))
+    return ingest.agreed_names(p)
+
+
+@query("""WITH s AS (SELECT p_partkey, p_brand AS ticker, p_name AS name, p_partkey % 16 AS venue, CASE WHEN p_size % 9 = 0 THEN '0x' || substr(sha256(p_name), 1, 40) END AS address, p_size % 2 = 0 AS traded_only FROM part),
+a AS (SELECT ticker, name FROM s GROUP BY ticker, name HAVING count(DISTINCT venue) >= 2),
+x AS (SELECT s.*, CASE WHEN ticker = 'Brand#11' AND venue = 3 THEN 1 WHEN address IS NOT NULL THEN 2 WHEN ticker = 'Brand#12' AND NOT traded_only THEN 3 WHEN ticker = 'Brand#13' THEN 4 WHEN ticker = 'Brand#14' THEN 5 WHEN a.name IS NOT NULL THEN 6 ELSE 7 END AS k FROM s LEFT JOIN a USING (ticker, name))
+SELECT p_partkey, CASE k WHEN 1 THEN 'asset:native:one:A' WHEN 2 THEN 'asset:evm:1:' || address WHEN 3 THEN 'asset:fiat:brand#12' WHEN 5 THEN 'asset:native:fourteen:Brand#14' WHEN 6 THEN 'asset:named:' || regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g') || ':' || ticker ELSE 'asset:unresolved:' || venue || ':' || ticker END AS asset_id,
+  CASE k WHEN 1 THEN 'manual_override' WHEN 4 THEN 'ambiguous' WHEN 6 THEN 'probable' WHEN 7 THEN 'unresolved' ELSE 'resolved' END AS resolution_state FROM x""")
+def identity_resolution(spark, sf_dir):
+    p = V.table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("ticker"), F.col("p_name").alias("name"), (F.col("p_partkey") % 16).alias("venue"), F.when(F.col("p_size") % 9 == 0, F.concat(F.lit("0x"), F.substring(F.sha2(F.col("p_name").cast("binary"), 256), 1, 40))).alias("address"), F.lit(None).cast("string").alias("chain"), (F.col("p_size") % 2 == 0).alias("traded_only"))
+    o = spark.createDataFrame([(3, "Brand#11", "asset:native:one:A")], "o_venue int, o_ticker string, o_asset string")
+    return ingest.identities(p, o, ["Brand#12"], {"Brand#14": "fourteen"}, ["Brand#13"]).select("p_partkey", "asset_id", "resolution_state")
+
+
+# --- storage
+
+_SLOT = f"ts_ms - ts_ms % {C.SLOT_MS}"
+
+
+@query(f"WITH {V.POINTS} SELECT {_SLOT} AS slot, strftime(make_timestamp(({_SLOT}) * 1000), '%Y%m%dT%H%M%SZ') AS label, count(*) AS n FROM points GROUP BY 1, 2")
+def slot_floor(spark, sf_dir):
+    return V.points(spark, sf_dir).select(C.slot(F.col("ts_ms")).alias("slot"), C.slot_label(F.col("ts_ms")).alias("label")).groupBy("slot", "label").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {V.POINTS}, s AS (SELECT DISTINCT {_SLOT} AS slot FROM points), d AS (SELECT DISTINCT slot - slot % 86400000 AS day FROM s), e AS (SELECT day, day + unnest(range(0, 96)) * {C.SLOT_MS} AS slot FROM d) SELECT day, slot FROM e ANTI JOIN s USING (slot)")
+def slot_gaps(spark, sf_dir):
+    return storage.missing_slots(V.points(spark, sf_dir), "ts_ms")
+
+
+@query(f"WITH {V.POINTS} SELECT asset, {_SLOT} AS slot, arg_max(id, (ts_ms, id)) AS id FROM points GROUP BY 1, 2")
+def daily_compaction(spark, sf_dir):
+    p = V.points(spark, sf_dir).select("asset", C.slot(F.col("ts_ms")).alias("slot"), "ts_ms", "id")
+    return storage.compacted_day(p).select("asset", "slot", "id")
+
+
+@query(f"WITH {V.POINTS} SELECT {_SLOT} AS slot, count(*) AS n FROM points GROUP BY 1 HAVING count(*) > 1")
+def duplicate_slots(spark, sf_dir):
+    return storage.duplicate_slots(V.points(spark, sf_dir).select(C.slot(F.col("ts_ms")).alias("slot")))
+
+
+_HALF = V.AS_OF_MS - 15 * 86_400_000
+
+
+@query(f"""WITH {V.POINTS}, h AS (SELECT asset, {_SLOT} AS observed_at, max(price) AS price, min(CASE WHEN ts_ms < {_HALF} THEN 0 ELSE 1 END) AS i FROM points GROUP BY 1, 2), v AS (SELECT asset, sum(price) AS volume FROM h GROUP BY asset ORDER BY volume DESC NULLS LAST, asset LIMIT 50)
+SELECT asset, observed_at, round(price, 6) AS price FROM h LEFT JOIN (SELECT asset, true AS top FROM v) USING (asset) WHERE observed_at <= {V.AS_OF_MS} AND observed_at >= {V.AS_OF_MS - storage.HISTORY_MS} AND (top OR observed_at >= {V.AS_OF_MS - storage.GRACE_MS})""")
+def history_extend(spark, sf_dir):
+    h = V.points(spark, sf_dir).groupBy("asset", C.slot(F.col("ts_ms")).alias("observed_at")).agg(F.max("price").alias("price"))
+    out = storage.extended_history(h.filter(F.col("observed_at") < _HALF), h.filter(F.col("observed_at") >= _HALF), h.groupBy("asset").agg(F.sum("price").alias("volume")), V.AS_OF_MS, 50)
+    return out.select("asset", "observed_at", r("price").alias("price"))
+
+
+@query("SELECT p_partkey, (('0x' || substr(sha256('asset:named:part:P' || p_partkey), 1, 16))::UBIGINT % 64)::INT AS shard_index FROM part")
+def shard_assignment(spark, sf_dir):
+    return V.table(spark, sf_dir, "part").select("p_partkey", C.shard(F.concat(F.lit("asset:named:part:P"), F.col("p_partkey")), 64).alias("shard_index"))
+
+
+@query("WITH s AS (SELECT (('0x' || substr(sha256('asset:named:part:P' || p_partkey), 1, 16))::UBIGINT % 64)::INT AS shard_index FROM part) SELECT shard_index, count(*) AS n FROM s GROUP BY 1")
+def shard_reconcile(spark, sf_dir):
+    return storage.shard_rows(V.table(spark, sf_dir, "part").select(F.concat(F.lit("asset:named:part:P"), F.col("p_partkey")).alias("id")), "id")
+
+
+@query(f"WITH {V.POINTS}, g AS (SELECT {_SLOT} AS slot FROM points GROUP BY 1), k AS (SELECT slot, ({V.AS_OF_MS} - slot) / 3600000.0 AS age, row_number() OVER (ORDER BY slot DESC) AS rank FROM g) SELECT slot, CASE WHEN rank = 1 THEN 'keep_latest' WHEN rank <= 3 THEN 'keep_newest' WHEN age < 6 THEN 'keep_young' WHEN age <= 48 THEN 'keep_retained' ELSE 'delete' END AS action FROM k")
+def retention_plan(spark, sf_dir):
+    # generations are at most a few thousand slots; the newest three are found by a top-k, not by ranking all in one task
+    g = V.points(spark, sf_dir).select(C.slot(F.col("ts_ms")).alias("slot")).distinct()
+    newest = g.orderBy(F.desc("slot")).limit(3).withColumn("rank", F.row_number().over(Window.orderBy(F.desc("slot")))).withColumnRenamed("slot", "n_slot")
+    k = g.join(F.broadcast(newest), F.col("slot") == F.col("n_slot"), "left")
+    return k.select("slot", storage.retention_action((V.AS_OF_MS - F.col("slot")) / 3_600_000.0, F.coalesce(F.col("rank") == 1, F.lit(False)), F.coalesce("rank", F.lit(9))).alias("action"))
+
+
+@query(f"""WITH {V.OBS}, g AS (SELECT l_linenumber AS generation, count(DISTINCT venue) AS venues, count(DISTINCT asset) AS assets, avg(CASE WHEN l_quantity < 10 THEN 1.0 ELSE 0.0 END) AS failures FROM obs GROUP BY 1)
+SELECT generation, array_to_string(list_filter([CASE WHEN venues < 4 THEN 'too_few_venues' END, CASE WHEN venues / 16.0 < 0.35 THEN 'venue_ratio' END, CASE WHEN assets < 1900 * 0.5 THEN 'asset_drop' END, CASE WHEN failures > 0.25 THEN 'parse_failures' END], lambda x: x IS NOT NULL), ',') AS reasons FROM g""")
+def validity_gate(spark, sf_dir):
+    g = V.obs(spark, sf_dir).groupBy(F.col("l_linenumber").alias("generation")).agg(F.count_distinct("venue").alias("venues"), F.count_distinct("asset").alias("assets"), F.avg(F.when(F.col("l_quantity") < 10, 1.0).otherwise(0.0)).alias("failures"))
+    m = {"venues": F.col("venues"), "expected_venues": F.lit(16.0), "assets": F.col("assets"), "previous_assets": F.lit(1900), "shard_rows": F.col("assets"), "parse_failures": F.col("failures")}
+    return g.select("generation", F.array_join(storage.gate(m), ",").alias("reasons"))
+
+
+# --- universes
+
+
+def _ranked(spark, sf_dir):
+    m = market(spark, sf_dir)
+    return m.select("asset_id", "resolution_state", "venue_count", F.col("reported_volume_24h_usd").alias("volume"), F.col("structure__spot_venue_count").alias("spot_venues"), F.col("structure__perp_venue_count").alias("perp_venues"), F.col("reported_volume_24h_usd").alias("depth_50"))
+
+
+@query(f"WITH {MARKET} SELECT asset_id FROM market WHERE venue_count >= 2 AND reported_volume_24h_usd >= 1000000")
+def universe_liquid(spark, sf_dir):
+    return universes.universe(_ranked(spark, sf_dir), "liquid").select("asset_id")
+
+
+@query(f"WITH {MARKET} SELECT asset_id FROM market WHERE reported_volume_24h_usd IS NOT NULL ORDER BY reported_volume_24h_usd DESC, asset_id LIMIT 100")
+def universe_top_ranked(spark, sf_dir):
+    return universes.universe(_ranked(spark, sf_dir), "top_100").select("asset_id")
+
+
+@query(f"WITH {V.OBS} SELECT 'asset:named:part:P' || asset AS asset_id FROM obs GROUP BY asset HAVING count(*) FILTER (kind = 'spot') > 0 AND count(*) FILTER (kind = 'perpetual') = 0")
+def universe_spot_only(spark, sf_dir):
+    return universes.universe(_ranked(spark, sf_dir), "spot_only").select("asset_id")
+
+
+@query()
+def book_plan_budgets(spark, sf_dir):
+    o = V.obs(spark, sf_dir).groupBy("asset", "venue").agg(F.sum("volume").alias("v")).filter("v >= 100000")
+    c = o.select("asset", "venue", F.concat_ws(":", F.lit("instrument"), "venue", "asset").alias("instrument"), (-F.col("v")).cast("long").alias("rank"))
+    return universes.book_plan(c)
+
+
+# --- scalars
+
+
+@query("SELECT e.event_id, round(json_extract_string(props, '$.k')::DOUBLE, 6) AS number, CASE WHEN json_extract_string(props, '$.k')::DOUBLE > 0 THEN json_extract_string(props, '$.k')::DOUBLE END AS positive FROM events e")
+def numeric_parse(spark, sf_dir):
+    text = F.get_json_object("props", "$.k")
+    return V.table(spark, sf_dir, "events").select("event_id", r(C.parse_number(text)).alias("number"), C.parse_positive(text).alias("positive"))
+
+
+@query("SELECT p_partkey, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS name_key, regexp_replace(regexp_replace(lower(p_brand), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM part")
+def name_normalise(spark, sf_dir):
+    return V.table(spark, sf_dir, "part").select("p_partkey", C.name_key(F.col("p_name")).alias("name_key"), C.slug(F.col("p_brand")).alias("slug"))
+
+
+@query("SELECT s_suppkey, 'asset:named:' || s_name || ':S' AS asset_id, 'named' AS space FROM supplier")
+def identifier_parse(spark, sf_dir):
+    i = C.asset_id("named", F.col("s_name"), F.lit("S"))
+    return V.table(spark, sf_dir, "supplier").select("s_suppkey", i.alias("asset_id"), C.id_space(i).alias("space"))
+
+
+@query("SELECT date_trunc('hour', ts) AS hour, count(*) AS n, round(min(value), 6) AS low, round(max(value), 6) AS high, round(avg(value), 6) AS mean, round(arg_min(value, event_id), 6) AS first, round(arg_max(value, event_id), 6) AS last FROM events GROUP BY 1")
+def rollup_hourly(spark, sf_dir):
+    e = V.table(spark, sf_dir, "events")
+    return e.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(F.count("*").alias("n"), r(F.min("value")).alias("low"), r(F.max("value")).alias("high"), r(F.avg("value")).alias("mean"), r(F.min_by("value", "event_id")).alias("first"), r(F.max_by("value", "event_id")).alias("last"))
