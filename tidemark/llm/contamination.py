@@ -239,7 +239,9 @@ def spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cut: bool
         one = rows.mapInArrow(searcher(phrases), SPANS)
         found = one if found is None else found.union(one)
     if passes > 1:
-        found = found.groupBy("doc_id", "row_key").agg(F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.max("cut").alias("cut"))
+        found = found.groupBy("doc_id", "row_key").agg(F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.max("cut").alias("cut"), F.count("*").alias("rows"))
+        # rows that repeat an id and text came once per pass each
+        found = found.withColumn("again", F.explode(F.sequence(F.lit(1), (F.col("rows") / passes).cast("int")))).drop("again", "rows")
     return found
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +46,32 @@ def small_batches(spark: SparkSession, mb: int = 16) -> None:
 def row_key(text: str = "text"):
     """Tells apart rows that repeat a doc_id with another text."""
     return F.xxhash64(F.col(text))
+
+
+def summed(parts: DataFrame, size: int) -> np.ndarray:
+    """The sum of arrays of `size` doubles that tasks hold in slices: (part, salt, payload). Two levels, so that no task gets more than about the root of all."""
+
+    def add(group: pa.Table) -> pa.Table:
+        total = np.zeros(len(group["payload"][0].as_py()) // 8)
+        for x in group["payload"]:
+            total += np.frombuffer(x.as_py())
+        return pa.table({"part": group["part"][:1], "salt": pa.array([0], pa.int32()), "payload": pa.array([total.tobytes()], pa.binary())})
+
+    rows = parts.groupBy("part", "salt").applyInArrow(add, SLICE).groupBy("part").applyInArrow(add, SLICE).orderBy("part").collect()
+    return np.concatenate([np.frombuffer(r["payload"]) for r in rows]) if rows else np.zeros(size)
+
+
+SLICE = "part int, salt int, payload binary"
+
+
+def slices(total: np.ndarray, salts: int, number: int = 16) -> pa.RecordBatch:
+    """A task's array as rows for summed()."""
+    from pyspark import TaskContext
+
+    flat = np.array_split(total.astype(np.float64).ravel(), number)
+    salt = TaskContext.get().partitionId() % salts
+    return pa.RecordBatch.from_arrays([pa.array(range(number), pa.int32()), pa.array([salt] * number, pa.int32()), pa.array([x.tobytes() for x in flat], pa.binary())], names=["part", "salt", "payload"])
+
+
+def salts_of(df: DataFrame) -> int:
+    return max(1, math.isqrt(df.rdd.getNumPartitions()))

@@ -20,15 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.runtime import shuffle_partitions, small_batches, table
+from tidemark.llm.runtime import SLICE, salts_of, shuffle_partitions, slices, small_batches, summed, table
 from tidemark.llm.words import Words, blocks, window_places, windows
 
 WINDOW = 13
 PREFIXES = (1, 2, 4)
 BLOCK_BYTES = 12 << 20
 GROUP_SUFFIXES = 1_500_000
-OUT = pa.schema([("target", pa.int32()), ("doc_id", pa.int64()), ("row_key", pa.int64()), ("payload", pa.binary())])
-OUT_SQL = "target int, doc_id long, row_key long, payload binary"
+OUT = pa.schema([("target", pa.int32()), ("bucket", pa.int32()), ("payload", pa.binary())])
+OUT_SQL = "target int, bucket int, payload binary"
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -69,20 +69,17 @@ class _Suffixes:
 
 def prefix_counts(rows: DataFrame, window: int, bits: int) -> list[np.ndarray]:
     """How many suffixes have each prefix bin, by prefix length; the tables' size depends on bits alone."""
-    schema = pa.schema([("level", pa.int32()), ("bin", pa.int32()), ("n", pa.int64())])
+    salts = salts_of(rows)
 
     def count(batches):
-        total = np.zeros((len(PREFIXES), 1 << bits), np.int64)
+        total = np.zeros((len(PREFIXES), 1 << bits))
         for texts, *_ in blocks(batches, BLOCK_BYTES, ["text", "doc_id"]):
             for level, found in enumerate(_Suffixes(texts, window, bits).bins):
                 total[level] += np.bincount(found, minlength=1 << bits)
-        level, at = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(level, pa.int32()), pa.array(at, pa.int32()), pa.array(total[level, at], pa.int64())], schema=schema)
+        yield slices(total, salts)
 
-    out = [np.zeros(1 << bits, np.int64) for _ in PREFIXES]
-    for level, at, n in rows.mapInArrow(count, "level int, bin int, n long").groupBy("level", "bin").agg(F.sum("n")).collect():
-        out[level][at] = n
-    return out
+    size = len(PREFIXES) << bits
+    return list(summed(rows.mapInArrow(count, SLICE), size).reshape(len(PREFIXES), 1 << bits).astype(np.int64))
 
 
 def prefix_groups(counts: list[np.ndarray], most: int) -> list[np.ndarray]:
@@ -107,27 +104,27 @@ def _targets(bins: list[np.ndarray], groups: list[np.ndarray]) -> np.ndarray:
     return target
 
 
-def _batches(rows: list[tuple]):
+def _batches(rows):
     """Rows of OUT in Arrow batches of a few MB."""
     held, size = [], 0
     for row in rows:
         held.append(row)
-        size += len(row[3]) + 40
+        size += len(row[2])
         if size > 4 << 20:
-            yield pa.RecordBatch.from_pylist([dict(zip(OUT.names, r, strict=True)) for r in held], schema=OUT)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), OUT, strict=True)], schema=OUT)
             held, size = [], 0
     if held:
-        yield pa.RecordBatch.from_pylist([dict(zip(OUT.names, r, strict=True)) for r in held], schema=OUT)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), OUT, strict=True)], schema=OUT)
 
 
-def _covered(ids: np.ndarray, keys: np.ndarray, bounds: np.ndarray, places: np.ndarray, target: int):
-    """Rows that tell each document the places of its repeated windows; places are of the block's words."""
-    places = np.sort(places)
-    text = np.searchsorted(bounds, places, side="right") - 1
-    cuts = np.flatnonzero(np.diff(text, prepend=-1, append=-1))
+def _flags(ids: np.ndarray, keys: np.ndarray, places: np.ndarray, buckets: int):
+    """Rows that tell a bucket of documents the places of their repeated windows; a document's bucket is its id modulo their number."""
+    bucket = np.mod(ids, buckets)
+    order = np.lexsort((places, ids, bucket))
+    ids, keys, places, bucket = ids[order], keys[order], places[order], bucket[order]
+    cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
     for a, b in zip(cuts, cuts[1:], strict=False):
-        t = text[a]
-        yield target, int(ids[t]), int(keys[t]), (places[a:b] - bounds[t]).astype(np.uint32).tobytes()
+        yield -1 - int(bucket[a]), int(bucket[a]), _packed(np.diff(ids[a:b], prepend=0), keys[a:b], places[a:b].astype(np.uint32))
 
 
 def nodes_of_block(digests: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -140,22 +137,23 @@ def nodes_of_block(digests: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, n
     return order, begin, later
 
 
-def repeats(docs: DataFrame, window: int = WINDOW, group_suffixes: int = GROUP_SUFFIXES) -> DataFrame:
-    """doc_id, row_key, payload: places of windows that also start in a document with a smaller id. Several rows a document."""
-    small_batches(docs.sparkSession)
+def repeats(docs: DataFrame, buckets: int, keyed: bool, window: int = WINDOW, group_suffixes: int = GROUP_SUFFIXES) -> DataFrame:
+    """(bucket, payload): documents and places of windows that also start in a document with a smaller id.
+
+    keyed: documents are told apart by their text too, for rows that repeat an id.
+    """
     bits = min(20, max(10, shuffle_partitions(docs.sparkSession).bit_length() + 6))
     rows = docs.filter("doc_id is not null and text is not null").select("text", F.col("doc_id").cast("long").alias("doc_id"))
     groups = prefix_groups(prefix_counts(rows, window, bits), group_suffixes)
-    # row_key tells rows that repeat an id apart; without such rows it is 0, which takes no room
-    repeated = rows.groupBy("doc_id").count().filter("count > 1").limit(1).count()
-    keyed = rows.withColumn("row_key", F.xxhash64("text") if repeated else F.lit(0).cast("long"))
+    rows = rows.withColumn("row_key", F.xxhash64("text") if keyed else F.lit(0).cast("long"))
 
     def emit(batches):
         for texts, ids, keys in blocks(batches, BLOCK_BYTES, ["text", "doc_id", "row_key"]):
             ids, keys = np.array(ids, np.int64), np.array(keys, np.int64)
             s = _Suffixes(texts, window, bits)
             order, _, later = nodes_of_block(s.digests, ids[s.text])
-            yield from _batches(_covered(ids, keys, s.bounds, s.places[order[later]], -1 - int(ids[0] & 1023)))
+            gone = order[later]
+            yield from _batches(_flags(ids[s.text[gone]], keys[s.text[gone]], s.places[gone] - s.bounds[s.text[gone]], buckets))
             stay = order[~later]
             target = _targets([b[stay] for b in s.bins], groups)
             by_target = np.argsort(target, kind="stable")
@@ -163,52 +161,60 @@ def repeats(docs: DataFrame, window: int = WINDOW, group_suffixes: int = GROUP_S
             cuts = np.flatnonzero(np.diff(target, prepend=-1, append=-1))
             steps = lambda x: np.diff(x, prepend=x.dtype.type(0))
             table_of_block = steps(ids), keys, steps(s.bounds.astype(np.uint32))
-            yield from _batches((int(target[a]), None, None, _packed(steps(s.digests[stay[a:b]]), s.places[stay[a:b]].astype(np.uint32), *table_of_block)) for a, b in zip(cuts, cuts[1:], strict=False))
+            yield from _batches((int(target[a]), None, _packed(steps(s.digests[stay[a:b]]), s.places[stay[a:b]].astype(np.uint32), *table_of_block)) for a, b in zip(cuts, cuts[1:], strict=False))
 
     def subtree(group: pa.Table) -> pa.Table:
-        if group.num_rows == 0 or group["target"][0].as_py() < 0:
+        if group["target"][0].as_py() < 0:  # flags of single tasks: nothing is left to resolve
             return group
         parts = [_unpacked(x.as_py(), np.uint64, np.uint32, np.int64, np.int64, np.uint32) for x in group["payload"]]
         digests = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
-        tables = [(np.cumsum(p[2]), p[3], np.cumsum(p[4], dtype=np.int64)) for p in parts]
-        docs = np.concatenate([ids[np.searchsorted(bounds, p[1], side="right") - 1] for p, (ids, _, bounds) in zip(parts, tables, strict=True)])
+        docs, keys, places = [], [], []
+        for _, at, ids, row_keys, bounds in parts:
+            bounds = np.cumsum(bounds, dtype=np.int64)
+            text = np.searchsorted(bounds, at, side="right") - 1
+            docs.append(np.cumsum(ids)[text])
+            keys.append(row_keys[text])
+            places.append(at - bounds[text])
+        docs, keys, places = np.concatenate(docs), np.concatenate(keys), np.concatenate(places)
         order, _, later = nodes_of_block(digests, docs)
-        flagged = np.zeros(len(digests), bool)
-        flagged[order[later]] = True
-        out, at = [], 0
-        for p, (ids, keys, bounds) in zip(parts, tables, strict=True):
-            out += _covered(ids, keys, bounds, p[1][flagged[at : at + len(p[1])]].astype(np.int64), 0)
-            at += len(p[1])
-        return pa.Table.from_batches(list(_batches(out)), schema=OUT)
+        gone = order[later]
+        return pa.Table.from_batches(list(_batches(_flags(docs[gone], keys[gone], places[gone], buckets))), schema=OUT)
 
-    return keyed.mapInArrow(emit, OUT_SQL).groupBy("target").applyInArrow(subtree, OUT_SQL).select("doc_id", "row_key", "payload").withColumn("keyed", F.lit(bool(repeated)))
+    return rows.mapInArrow(emit, OUT_SQL).groupBy("target").applyInArrow(subtree, OUT_SQL).select("bucket", "payload")
 
 
 def deduped(docs: DataFrame, window: int = WINDOW, group_suffixes: int = GROUP_SUFFIXES) -> DataFrame:
     """doc_id, n_words, n_removed, text: the words that no earlier document's window covers, joined by one space."""
-    found = repeats(docs, window, group_suffixes)
-    places = found.groupBy(F.col("doc_id").alias("p_doc"), F.col("row_key").alias("p_key"), "keyed").agg(F.collect_list("payload").alias("places"))
+    spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    joined = rows.join(places, (F.col("doc_id") == F.col("p_doc")) & (~F.col("keyed") | (F.xxhash64("text") == F.col("p_key"))), "left").select("doc_id", "text", "places")
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("text", pa.string())])
-
-    def remove(batches):
-        cover = np.arange(window)
-        for batch in batches:
-            out = [[], [], []]
-            for text, places in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                words = (text or "").encode().split()
-                n, gone = len(words), 0
-                if places:
-                    keep = np.ones(n, bool)
-                    keep[(np.frombuffer(b"".join(places), np.uint32).astype(np.int64)[:, None] + cover).ravel()] = False
-                    gone = n - int(np.count_nonzero(keep))
-                    words = [words[i] for i in np.flatnonzero(keep).tolist()]
-                for into, value in zip(out, (n, gone, b" ".join(words).decode()), strict=True):
-                    into.append(value)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, f.type) for x, f in zip(out, list(schema)[1:], strict=True))], schema=schema)
-
-    return joined.mapInArrow(remove, "doc_id long, n_words long, n_removed long, text string")
+    keyed = bool(rows.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count())
+    buckets = 4 * shuffle_partitions(spark) + 1
+    found = repeats(rows, buckets, keyed, window, group_suffixes)
+    dealt = rows.select("doc_id", "text", (F.xxhash64("text") if keyed else F.lit(0).cast("long")).alias("row_key"), F.coalesce(F.pmod("doc_id", F.lit(buckets)), F.lit(0)).cast("int").alias("bucket"))
+    cover = np.arange(window)
+
+    def remove(texts: pa.Table, flags: pa.Table) -> pa.Table:
+        parts = [_unpacked(x.as_py(), np.int64, np.int64, np.uint32) for x in flags["payload"]]
+        ids, keys, places = (np.concatenate([f(p) for p in parts]) if parts else np.zeros(0, np.int64) for f in (lambda p: np.cumsum(p[0]), lambda p: p[1], lambda p: p[2].astype(np.int64)))
+        order = np.lexsort((keys, ids))
+        ids, keys, places = ids[order], keys[order], places[order]
+        cuts = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])))) if len(ids) else np.zeros(0, np.int64)
+        spans = {(int(ids[a]), int(keys[a])): places[a:b] for a, b in zip(cuts, np.append(cuts, len(ids))[1:], strict=True)}
+        out = [[], [], []]
+        for doc_id, text, key in zip(texts["doc_id"].to_pylist(), texts["text"].to_pylist(), texts["row_key"].to_pylist(), strict=True):
+            words = (text or "").encode().split()
+            n, gone = len(words), 0
+            if text is not None and (at := spans.get((doc_id, key))) is not None:
+                keep = np.ones(n, bool)
+                keep[(at[:, None] + cover).ravel()] = False
+                gone = n - int(np.count_nonzero(keep))
+                words = [words[i] for i in np.flatnonzero(keep).tolist()]
+            for into, value in zip(out, (n, gone, b" ".join(words).decode()), strict=True):
+                into.append(value)
+        return pa.table({"doc_id": texts["doc_id"], "n_words": pa.array(out[0], pa.int64()), "n_removed": pa.array(out[1], pa.int64()), "text": pa.array(out[2], pa.string())})
+
+    return dealt.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(remove, "doc_id long, n_words long, n_removed long, text string")
 
 
 def op2_substring_dedup(spark, sf_dir):
