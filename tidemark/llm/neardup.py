@@ -221,8 +221,27 @@ def frequent(texts: DataFrame) -> np.ndarray:
     return out
 
 
+def _joined(member: np.ndarray, begin: np.ndarray, size: np.ndarray, n: int) -> np.ndarray:
+    """Labels of 0..n - 1 such that the members of each list have one label."""
+    label = np.arange(n)
+    while len(begin):
+        least = np.minimum.reduceat(label[member], begin)
+        new = label.copy()
+        np.minimum.at(new, member, np.repeat(least, size))
+        new = new[new]
+        if np.array_equal(new, label):
+            break
+        label = new
+    return label
+
+
 def rare_blocks(texts: DataFrame, often: np.ndarray) -> DataFrame:
-    """(block, cid): classes that share one of their rarest shingles; equal lists of classes are one block."""
+    """(block, cid): classes that share one of their rarest shingles.
+
+    A task merges lists of its shingles that overlap, which loses no pair, and
+    blocks with the same members, of whatever task, are one: a group of copies
+    is then about one block and not one for each shingle.
+    """
     n_targets = shuffle_partitions(texts.sparkSession)
     rank = texts.sparkSession.sparkContext.broadcast(np.floor(np.log2(often + 1.0)).astype(np.uint8))
     schema = pa.schema([("target", pa.int32()), ("payload", pa.binary())])
@@ -261,13 +280,16 @@ def rare_blocks(texts: DataFrame, often: np.ndarray) -> DataFrame:
         keys, cids = keys[new], cids[new]
         begin = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         size = np.diff(np.append(begin, len(keys)))
+        several = np.repeat(size > 1, size)
+        names, member = np.unique(cids[several], return_inverse=True)
+        size = size[size > 1]
+        label = _joined(member, np.cumsum(size) - size, size, len(names))
+        order = np.lexsort((names, label))
+        label, names = label[order], names[order]
+        begin = np.flatnonzero(np.diff(label, prepend=-1))
         with np.errstate(over="ignore"):
-            name = mix(np.add.reduceat(mix(cids.view(_U)), begin) + size.astype(_U))
-        several = size > 1
-        _, first = np.unique(name[several], return_index=True)
-        begin, size, name = begin[several][first], size[several][first], name[several][first]
-        rows = np.repeat(begin - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum()) if len(size) else np.zeros(0, np.int64)
-        return pa.table({"block": pa.array(np.repeat(name, size).view(np.int64)), "cid": pa.array(cids[rows])})
+            block = mix(np.add.reduceat(mix(names.view(_U)), begin)) if len(begin) else np.zeros(0, _U)
+        return pa.table({"block": pa.array(np.repeat(block, np.diff(np.append(begin, len(names)))).view(np.int64)), "cid": pa.array(names)})
 
     return texts.select("text").mapInArrow(emit, "target int, payload binary").groupBy("target").applyInArrow(gather, "block long, cid long").distinct()
 
