@@ -11,6 +11,7 @@ from tidemark.operators import derivatives as D
 from tidemark.operators import ingest, liquidity, pricing, robust, series, storage, structure, universes
 from tidemark.plans import views as V
 from tidemark.plans.market import MARKET, market
+from tidemark.sources.datasets import flattened
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -369,6 +370,23 @@ def volume_baseline(spark, sf_dir):
     return V.points(spark, sf_dir).groupBy("asset").agg(r(F.when(F.count("price") >= 16, F.median("price"))).alias("baseline"))
 
 
+@query(f"""WITH {V.POINTS}, t AS ({_trail(720)}), k AS (SELECT asset, ts_ms, id, (count(*) OVER (PARTITION BY asset ORDER BY price RANGE UNBOUNDED PRECEDING) - count(*) OVER (PARTITION BY asset, price) / 2.0) / count(*) OVER (PARTITION BY asset) * 100 AS rank, count(*) OVER (PARTITION BY asset) AS n FROM t)
+SELECT asset, CASE WHEN max(n) >= 20 THEN round(arg_max(rank, (ts_ms, id)), 6) END AS percentile_30d FROM k GROUP BY asset""")
+def crowding_vector(spark, sf_dir):
+    """Where the latest value stands among those of 30 days, if there are enough."""
+    k = robust.percentile_rank(series.trailing(V.points(spark, sf_dir), 720), ["asset"], "price")
+    return k.groupBy("asset").agg(F.when(F.count("*") >= 20, r(F.max_by("percentile_rank", F.struct("ts_ms", "id")))).alias("percentile_30d"))
+
+
+@query(f"""WITH {V.DERIVATIVES}, {V.VOLUMES}, f AS (SELECT asset, CASE WHEN count(rate_8h) >= 8 AND stddev_samp(rate_8h) > 0 THEN (max(rate_8h) - avg(rate_8h)) / stddev_samp(rate_8h) END AS z FROM f8 WHERE rate_8h IS NOT NULL GROUP BY asset)
+SELECT asset, round(z, 6) AS funding_z, round(perp_dominance, 6) AS perp_dominance, (z IS NOT NULL)::INT + (perp_dominance IS NOT NULL)::INT AS available FROM vo LEFT JOIN f USING (asset)""")
+def pressure_vector(spark, sf_dir):
+    """Components that an asset has, and how many."""
+    f = D.funding(V.derivatives(spark, sf_dir)).filter("rate_8h is not null").groupBy("asset").agg(structure.z_score(F.max("rate_8h"), F.avg("rate_8h"), F.stddev_samp("rate_8h"), F.count("rate_8h")).alias("z"))
+    j = D.volume_by_segment(V.obs(spark, sf_dir)).join(f, "asset", "left")
+    return j.select("asset", r("z").alias("funding_z"), r("perp_dominance").alias("perp_dominance"), (F.col("z").isNotNull().cast("int") + F.col("perp_dominance").isNotNull().cast("int")).alias("available"))
+
+
 # --- ingest
 
 _TICK = f"""tick AS (SELECT *, CASE WHEN l_suppkey % 23 = 0 THEN NULL ELSE l_suppkey END AS instrument, l_orderkey % 29 <> 0 AS active, CASE WHEN l_linenumber <> 6 THEN price * (1 - l_tax / 50) END AS bid, CASE WHEN l_linenumber <> 5 THEN price * (1 - (l_discount - 0.05::DOUBLE) / 50) END AS ask,
@@ -568,6 +586,12 @@ def numeric_parse(spark, sf_dir):
     return V.table(spark, sf_dir, "events").select("event_id", r(C.parse_number(text)).alias("number"), C.parse_positive(text).alias("positive"))
 
 
+@query("SELECT o_custkey, count(*) AS stats__n, to_json(list(o_orderkey ORDER BY o_orderkey))::VARCHAR AS stats__keys FROM orders GROUP BY o_custkey")
+def json_flatten(spark, sf_dir):
+    o = V.table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.struct(F.count("*").alias("n"), F.array_sort(F.collect_list("o_orderkey")).alias("keys")).alias("stats"))
+    return flattened(o)
+
+
 @query("SELECT p_partkey, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS name_key, regexp_replace(regexp_replace(lower(p_brand), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM part")
 def name_normalise(spark, sf_dir):
     return V.table(spark, sf_dir, "part").select("p_partkey", C.name_key(F.col("p_name")).alias("name_key"), C.slug(F.col("p_brand")).alias("slug"))

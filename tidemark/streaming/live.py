@@ -59,7 +59,7 @@ def prices(quotes: DataFrame, now_ms: Column, stale_s: float = STALE_S) -> DataF
     kept = judged(quotes, now_ms, stale_s).filter("reason is null")
     pairs = kept.groupBy("asset").agg(F.array_sort(F.collect_list(F.struct(F.col("price").alias("x"), F.col("weight").alias("w")))).alias("pairs"))
     capped = let(F.col("pairs"), lambda ps: F.zip_with(ps, cap_weights(F.transform(ps, lambda p: p["w"]), MOST_SHARE), lambda p, s: F.struct(p["x"].alias("x"), s.alias("w"))))
-    return pairs.select("asset", median_of(capped).alias("live_price"), F.size("pairs").alias("venues"))
+    return pairs.select("asset", median_of(capped).alias("live_price"), F.size("pairs").cast("long").alias("venues"))
 
 
 def announced(states: DataFrame) -> DataFrame:
