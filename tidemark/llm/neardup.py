@@ -32,7 +32,9 @@ from tidemark.llm.runtime import shuffle_partitions, small_batches, store, table
 from tidemark.llm.substrings import _packed, _unpacked
 from tidemark.llm.words import Words, blocks, mix, window_places, windows
 
-SHINGLE, DIMENSIONS, FAN_OUT = 5, 128, 16
+SHINGLE, DIMENSION_BITS, FAN_OUT = 5, 9, 16
+#: With so many, unrelated texts of up to some 8,000 words fall below the bound; fewer tell only shorter ones apart.
+DIMENSIONS = 1 << DIMENSION_BITS
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT = 75
 BLOCK_BYTES = 12 << 20
@@ -68,7 +70,7 @@ def points(sets: list[np.ndarray]) -> np.ndarray:
     """Count vectors."""
     lengths = np.fromiter(map(len, sets), np.int64, len(sets))
     flat = np.concatenate(sets) if sets else np.zeros(0, _U)
-    cell = np.repeat(np.arange(len(sets)), lengths) * DIMENSIONS + (flat >> _U(64 - 7)).astype(np.int64)
+    cell = np.repeat(np.arange(len(sets)), lengths) * DIMENSIONS + (flat >> _U(64 - DIMENSION_BITS)).astype(np.int64)
     return np.bincount(cell, minlength=len(sets) * DIMENSIONS).reshape(len(sets), DIMENSIONS).astype(np.int32)
 
 
@@ -92,7 +94,7 @@ class RTree:
             rows = rows[rows * FAN_OUT**level < k]
             fits = (100 * low[rows] * PERCENT <= 10_000 * size) & (100 * size * PERCENT <= 10_000 * high[rows])
             rows = rows[fits]
-            bound = np.minimum(most[rows], own).sum(1)
+            bound = np.minimum(most[rows], own).sum(1, dtype=np.int64)
             rows = rows[(100 + PERCENT) * bound >= PERCENT * (size + low[rows])]
             if level:
                 rows = (rows[:, None] * FAN_OUT + np.arange(FAN_OUT)).ravel()
