@@ -12,6 +12,8 @@ import numpy as np
 
 #: Bytes hashed at a time; only a longer word makes a longer segment.
 SEGMENT = 1 << 19
+#: Texts in a block, however short they are.
+MOST_TEXTS = 8192
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -110,7 +112,7 @@ def window_places(bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def blocks(batches: Iterator, size: int, columns: list[str]) -> Iterator[tuple]:
-    """Arrow batches regrouped: yields (texts as bytes, other columns' lists) of about so many bytes; text comes first in columns."""
+    """Arrow batches regrouped: yields (texts as bytes, other columns' lists) of about so many bytes and at most MOST_TEXTS rows; text comes first in columns."""
     held, total = [[] for _ in columns], 0
     for batch in batches:
         values = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns]
@@ -120,7 +122,7 @@ def blocks(batches: Iterator, size: int, columns: list[str]) -> Iterator[tuple]:
             for into, value in zip(held[1:], row[1:], strict=True):
                 into.append(value)
             total += len(text)
-            if total >= size:
+            if total >= size or len(held[0]) >= MOST_TEXTS:
                 yield tuple(held)
                 held, total = [[] for _ in columns], 0
     if held[0]:
