@@ -291,9 +291,10 @@ def rare_blocks(texts: DataFrame, often: np.ndarray) -> DataFrame:
         begin = np.flatnonzero(np.diff(label, prepend=-1))
         with np.errstate(over="ignore"):
             block = mix(np.add.reduceat(mix(names.view(_U)), begin)) if len(begin) else np.zeros(0, _U)
-        return pa.table({"block": pa.array(np.repeat(block, np.diff(np.append(begin, len(names)))).view(np.int64)), "cid": pa.array(names)})
+        lists = pa.ListArray.from_arrays(pa.array(np.append(begin, len(names)), pa.int32()), pa.array(names, pa.int64()))
+        return pa.table({"block": pa.array(block.view(np.int64)), "cids": lists})
 
-    return texts.select("text").mapInArrow(emit, "target int, payload binary").groupBy("target").applyInArrow(gather, "block long, cid long").distinct()
+    return texts.select("text").mapInArrow(emit, "target int, payload binary").groupBy("target").applyInArrow(gather, "block long, cids array<long>").dropDuplicates(["block"]).select("block", F.explode("cids").alias("cid"))
 
 
 def labelled(docs: DataFrame) -> DataFrame:
