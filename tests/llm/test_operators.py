@@ -238,6 +238,14 @@ def test_language_accuracy_and_exact_lengths(spark):
     assert {x.lang_pred for x in language.identified(df, {}).collect()} == {"und"}
 
 
+def test_every_language_keeps_a_sample(spark):
+    rows = [(k, f"{k} " + "x" * 500, f"big{k % 4}") for k in range(400)] + [(1000, "y" * 900, "rare"), (1001, "z", "rarer")]
+    got = language.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most_bytes=8000)
+    taken = collections.Counter(lang for lang, _ in got)
+    assert taken["rare"] == taken["rarer"] == 1 and all(taken[f"big{k}"] == 3 for k in range(4))
+    assert sum(len(t) for _, t in got) <= 8000
+
+
 def test_scoring(spark, docs):
     rule = (F.coalesce(F.col("doc_id"), F.lit(0)) % 7) != 2
     c = collections.Counter(x for d, t, *_ in corpus() if (d or 0) % 7 != 2 for x in [*words((t or "").lower()), None])

@@ -27,7 +27,7 @@ from tidemark.llm.runtime import small_batches, table
 DEPTH = 4
 #: Most documents that one language's tree is grown on: one for each of so many hash buckets.
 SAMPLE_ROWS = 256
-#: Most bytes of sampled texts, all languages together.
+#: Most bytes of sampled texts, all languages together, but for one document of each.
 SAMPLE_BYTES = 24 << 20
 CACHE = 400_000
 _LETTER = re.compile(r"[^\W\d_]")
@@ -134,16 +134,27 @@ class Scorer:
         return out
 
 
+def fair_share(sizes: list[int], most: int) -> int:
+    """What each may take at most so that all together take `most`: what small ones leave goes to the others."""
+    left, share = most, most
+    for k, size in enumerate(sorted(sizes)):
+        share = left // (len(sizes) - k)
+        left -= min(size, share)
+    return share
+
+
 def sample(labelled: DataFrame, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> list[tuple[str, str]]:
-    """(lang, text) of at most `rows` documents a language: the one with the least hash of each bucket, by partial aggregation."""
+    """(lang, text) of at most `rows` documents a language: the one with the least hash of each bucket, by partial aggregation. A language has its share of the bytes, and one document in any case."""
     hashed = labelled.filter("lang is not null and text is not null").withColumn("h", F.xxhash64("doc_id", F.lit(1)))
-    least = hashed.groupBy("lang", F.pmod("h", F.lit(rows)).alias("bucket")).agg(F.min(F.struct("h", "doc_id")).alias("m"))
+    least = hashed.groupBy("lang", F.pmod("h", F.lit(rows)).alias("bucket")).agg(F.min(F.struct("h", "doc_id", F.length("text").alias("size"))).alias("m"))
+    share = fair_share([r[0] for r in least.groupBy("lang").agg(F.sum("m.size").alias("size")).select("size").collect()], most_bytes)
     ids = least.select(F.col("m.h").alias("h")).distinct()
-    out, size = [], 0
+    out, size, sizes = [], 0, Counter()
     for lang, text in hashed.join(F.broadcast(ids), "h").select("lang", "text").orderBy("h", "lang", "text").toLocalIterator():
+        if lang in sizes and (sizes[lang] + len(text) > share or size + len(text) > most_bytes):
+            continue
+        sizes[lang] += len(text)
         size += len(text)
-        if out and size > most_bytes:
-            break
         out.append((lang, text))
     return out
 
