@@ -1,7 +1,9 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
 A candidate is a run of 12 or more characters that keys are made of, with a
-digit in it, anywhere in the whole text. Its features are its length, how its
+digit in it, anywhere in the whole text; what stands after a name with a key
+word in it and a sign (= or :), whatever its length and characters; or what
+begins as keys of known issuers do. Its features are its length, how its
 characters follow one another, how much of it dictionary words cover, whether
 it is part of a path or address, and the words beside it. The forest is trained
 from labelled findings, at most MOST_FINDINGS of them; without any given, from
@@ -27,11 +29,19 @@ from tidemark.llm.quality import STOP_WORDS
 from tidemark.llm.runtime import small_batches, table
 
 MOST_FINDINGS, TREES, TREE_DEPTH, LEAST_LEAF = 20_000, 25, 9, 4
+#: Characters before a sign in which its name ends.
+NAME_CHARS = 64
 _RUN = re.compile(r"[A-Za-z0-9+/_=.@:-]{12,}")
 _KEY = re.compile(r"[A-Za-z0-9+/_-]{12,}={0,2}")
 # Words that stand before keys, and words that stand before things that only look like them.
 KEY_WORDS = "access api apikey auth authorization bearer credential key passphrase passwd password private pwd secret token".split()
 OTHER_WORDS = "checksum commit digest etag file hash id image md5 order page path phone ref revision sha sha1 sha256 uuid version".split()
+_NAME = re.compile(rf"[A-Za-z0-9_.-]*(?:{'|'.join(KEY_WORDS)})[A-Za-z0-9_.-]*[\"'`\])]{{0,2}}[ \t]*$", re.IGNORECASE)
+_SIGN = re.compile(r"(?:=>|:=|=+|:)[ \t]*")
+_SCHEME = re.compile(r"(?:basic|bearer|token)[ \t]+(?=\S)", re.IGNORECASE)
+_QUOTED = re.compile(r"(?P<q>[\"'`])(?P<value>[^\n]+?)(?P=q)")
+_BARE = re.compile(r"[\"'`]?(?P<value>(?:(?!&[A-Za-z_]+=)[^\s\"'`])+)")
+_PREFIX = re.compile(r"(?<![A-Za-z0-9])(?:A[KS]IA|AIza|eyJ|gh[opsur]_|github_pat_|glpat-|hf_|npm_|[prs]k[_-]|xox[abeprs]-)[A-Za-z0-9_.+/=-]*[A-Za-z0-9_=]")
 _COMMON = sorted({w for ws in STOP_WORDS.values() for w in ws if len(w) > 2} | set("data file home index main model name page path report src test user version".split()), key=len, reverse=True)
 _WORD = re.compile("|".join(_COMMON))
 _BESIDE = re.compile(r"[A-Za-z0-9]+")
@@ -40,15 +50,35 @@ _CLASSES[list(b"0123456789")], _CLASSES[list(range(65, 91))], _CLASSES[list(rang
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """(start, end) in characters: key characters with a digit and, where there is a name before an equals sign, what follows that."""
-    out = []
+    """(start, end) in characters: key characters with a digit and, where there is a name before an equals sign, what follows that; values of names with a key word; known prefixes."""
+    out = set(named_values(text))
+    out.update(m.span() for m in _PREFIX.finditer(text))
     for run in _RUN.finditer(text):
         for m in _KEY.finditer(text, run.start(), run.end()):
             start = m.start()
             if (name := text.find("=", max(0, start - 1), m.end() - 12)) > 0:
                 start = name + 1
             if any("0" <= c <= "9" for c in text[start : m.end()]):
-                out.append((start, m.end()))
+                out.add((start, m.end()))
+    return sorted(out)
+
+
+def named_values(text: str) -> list[tuple[int, int]]:
+    """(start, end) of what is assigned to a name with a key word, without quotes and what ends a sentence."""
+    out, at = [], 0
+    while sign := _SIGN.search(text, at):
+        at = sign.end()
+        if not _NAME.search(text, max(0, sign.start() - NAME_CHARS), sign.start()):
+            continue
+        if scheme := _SCHEME.match(text, at):
+            at = scheme.end()
+        if m := _QUOTED.match(text, at) or _BARE.match(text, at):
+            start, end = m.span("value")
+            while m.re is _BARE and end > start and text[end - 1] in ",;.)]}":
+                end -= 1
+            if end > start:
+                out.append((start, end))
+            at = m.end()
     return out
 
 
@@ -85,20 +115,23 @@ def made_findings(n: int = 4000, seed: int = 7) -> list[tuple[str, int, int, boo
     while len(out) < n:
         secret = r.random() < 0.5
         if secret:
-            form = r.randrange(6)
-            value = ["AKIA" + of(upper + digits, 16), of(hexed, r.choice((18, 32, 40, 64))), of(mixed, r.randint(20, 44)), of(mixed + "+/", 40), "ghp_" + of(mixed, 36), of(mixed + "_-", r.randint(16, 30))][form]
-            named = form in (1, 2, 3, 5) or r.random() < 0.3
+            form = r.randrange(10)
+            value = ["AKIA" + of(upper + digits, 16), of(hexed, r.choice((18, 32, 40, 64))), of(mixed, r.randint(20, 44)), of(mixed + "+/", 40), "ghp_" + of(mixed, 36), of(mixed + "_-", r.randint(16, 30)),
+                "AKIA" + of(upper + "234567", 16) if r.random() < 0.5 else "AKIA" + of(upper, 16), of(lower, r.randint(16, 32)) if r.random() < 0.5 else of(upper + lower, r.randint(16, 32)), "".join((word() + word()).capitalize() for _ in range(r.randint(3, 5))), of(mixed + "!$#%*?", r.randint(8, 16))][form]
+            named = form in (1, 2, 3, 5, 7, 8, 9) or r.random() < 0.3
             key = r.choice(KEY_WORDS)
             lead = r.choice((f"{key}=", f'{key} = "', f"{key}: ", f"{word()}_{key}=")) if named else ""
         else:
-            form = r.randrange(9)
+            form = r.randrange(12)
             value = [
                 f"{of(hexed, 8)}-{of(hexed, 4)}-{of(hexed, 4)}-{of(hexed, 4)}-{of(hexed, 12)}", of(hexed, 40), of(digits, r.randint(12, 16)), f"{word()}/{word()}{of(digits, 2)}/{word()}{word()}", f"{word()}_{word()}_{word()}{of(digits, 2)}",
                 "-".join((of(digits, 4), of(digits, 2), of(digits, 2), of(digits, 4))), word() + word() + word() + of(digits, 1), f"{word()}-{word()}-{word()}-{of(digits, 3)}", of(hexed, 64),
+                word(), r.choice("changeme enabled false nil no none null required true undefined unknown yes".split()), r.choice((of(digits, r.randint(1, 4)), "${" + word().upper() + "}", f"<{word()}>", f"{word()}_{word()}", f"{word()}.{word()}()")),
             ][form]
-            lead = r.choice((f"{r.choice(OTHER_WORDS)} ", f"{r.choice(OTHER_WORDS)}: ", "https://example.com/")) if form in (0, 1, 8) else r.choice(("", "https://example.com/", f"{r.choice(OTHER_WORDS)} ", "/"))
-        if len(value) < 12 or not any(c in digits for c in value):
-            continue
+            key = r.choice(KEY_WORDS)
+            lead = r.choice((f"{key}=", f'{key} = "', f"{key}: ", f"{word()}_{key}=")) if form > 8 else r.choice((f"{r.choice(OTHER_WORDS)} ", f"{r.choice(OTHER_WORDS)}: ", "https://example.com/")) if form in (0, 1, 8) else r.choice(("", "https://example.com/", f"{r.choice(OTHER_WORDS)} ", "/"))
+        if not secret and form < 9 and (len(value) < 12 or not any(c in digits for c in value)):
+            continue  # such a value without a key word before it is no candidate
         head = " ".join(word() for _ in range(r.randint(1, 6))) + " " + lead
         out.append((head + value + r.choice((" ", '" ', ". ", ", ")) + word(), len(head), len(head) + len(value), secret))
     return out
