@@ -148,6 +148,19 @@ def test_benchmark_in_passes(spark, docs, monkeypatch, passes):
     assert sorted(map(tuple, contamination.verdicts(docs, bench).collect()), key=repr) == want
 
 
+def test_cut_over_passes(spark, monkeypatch):
+    word = lambda k: [f"{k}{c}" for c in "abcdefghijklmnopqrstuvwxyz"]
+    items = [(k, " ".join(word(f"i{k}"))) for k in range(6)] + [(6, " ".join([*word("i0")[13:], *word("new")[:13]]))]
+    text = "Start here " + " and then ".join(t for _, t in items[:3]) + " é, " + items[6][1] + " End. " + items[4][1]
+    df = spark.createDataFrame([(1, text), (1, text), (2, "nothing of it"), (None, text), (3, None)], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = lambda: sorted((r.asDict(recursive=True) | {"items": sorted(r["items"])} for r in contamination.spans(df, bench, cut=True).collect()), key=repr)
+    want = rows()
+    assert [r["cut"].split() for r in want if r["cut"]] == ["Start here and then and then é, End.".split()] * 3
+    monkeypatch.setattr(contamination, "PHRASE_BYTES", 150)
+    assert rows() == want
+
+
 def test_line_templates(spark):
     head = ["user alice logged in from site north today", "user bob logged in from site north today", "user carol logged in from site north today", "user dave logged in from site north today", "user eve logged in from site north today", "user fay logged in from site north today"]
     rows = [(k, f"own words {'abcdefghij'[k]} here\ntook {k} ms to load all pages\n{head[k % 6].replace('user', 'now the user') }\n12 {k}", "en", "s", 1) for k in range(10)] + [(None, "took 1 ms to load all pages", "en", "s", 1), (11, None, "en", "s", 1), (12, "", "en", "s", 1)]

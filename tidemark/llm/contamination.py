@@ -199,6 +199,22 @@ def hits_of_shard(phrases: Phrases, texts: list[bytes]) -> tuple[Words, np.ndarr
     return words, hit, items
 
 
+def cut_text(text: bytes, words: Words, t: int, found: list[dict]) -> str:
+    """Text t of words without its spans, which are merged."""
+    left, at, a, offset = [], 0, words.bounds[t], words.offsets[t]
+    for s in found:
+        left.append(text[at : words.begins[a + s["begin"]] - offset])
+        at = words.ends[a + s["end"] - 1] - offset
+    return b"".join([*left, text[at:]]).decode("utf-8", "surrogatepass")
+
+
+def merged(spans):
+    """Sorted spans with overlapping and touching ones made one."""
+    last = lambda s: F.element_at(s, -1)
+    grown = lambda s, x: F.concat(F.slice(s, 1, F.size(s) - 1), F.array(F.struct(last(s)["begin"].alias("begin"), F.greatest(last(s)["end"], x["end"]).alias("end"))))
+    return F.aggregate(F.array_sort(spans), F.array().cast("array<struct<begin: int, end: int>>"), lambda s, x: F.when((F.size(s) > 0) & (F.try_element_at(s, F.lit(-1))["end"] >= x["begin"]), grown(s, x)).otherwise(F.concat(s, F.array(x))))
+
+
 SPANS = "doc_id long, row_key long, n_words long, spans array<struct<begin: int, end: int>>, items array<string>, cut string"
 
 
@@ -220,12 +236,8 @@ def spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cut: bool
                     a, b = words.bounds[t], words.bounds[t + 1]
                     edge = np.flatnonzero(np.diff(np.concatenate(([0], hit[a:b].view(np.int8), [0]))))
                     out[t] = [{"begin": x, "end": y} for x, y in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)]
-                    if cut:
-                        left, at = [], 0
-                        for s in out[t]:
-                            left.append(texts[t][at : words.begins[a + s["begin"]] - words.offsets[t]])
-                            at = words.ends[a + s["end"] - 1] - words.offsets[t]
-                        cuts[t] = b"".join([*left, texts[t][at:]]).decode()
+                    if cut and passes == 1:
+                        cuts[t] = cut_text(texts[t], words, t, out[t])
                 values = (ids, keys, counts, out, [sorted(x) for x in items], cuts)
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 
@@ -239,12 +251,28 @@ def spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cut: bool
         one = rows.mapInArrow(searcher(phrases), SPANS)
         found = one if found is None else found.union(one)
     if passes > 1:
-        found = found.groupBy("doc_id", "row_key").agg(F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.max("cut").alias("cut"), F.count("*").alias("rows"))
-        # rows that repeat an id and text came once per pass each
-        found = found.withColumn("again", F.explode(F.sequence(F.lit(1), (F.col("rows") / passes).cast("int")))).drop("again", "rows")
+        found = found.groupBy("doc_id", "row_key").agg(F.max("n_words").alias("n_words"), merged(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.count("*").alias("rows"))
+        if cut:
+            found = cut_again(rows, found.drop("rows"), schema)
+        else:  # rows that repeat an id and text came once per pass each
+            found = found.withColumn("again", F.explode(F.sequence(F.lit(1), (F.col("rows") / passes).cast("int")))).drop("again", "rows").withColumn("cut", F.lit(None).cast("string"))
     return found
 
 
+def cut_again(rows: DataFrame, found: DataFrame, schema: pa.Schema) -> DataFrame:
+    """found for each of the rows, with the text cut once from the merged spans of all passes."""
+    named = found.withColumnsRenamed({"doc_id": "f_doc", "row_key": "f_row"})
+    joined = rows.join(named, F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.col("row_key") == F.col("f_row"))).select("text", "doc_id", "row_key", "n_words", "spans", "items")
+
+    def cutter(batches):
+        for texts, *values in blocks(batches, SHARD_BYTES, ["text", "doc_id", "row_key", "n_words", "spans", "items"]):
+            words = Words([t.lower() for t in texts], _GAP_TABLE)
+            cuts = [cut_text(text, words, t, found) if found else None for t, (text, found) in enumerate(zip(texts, values[3], strict=True))]
+            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip((*values, cuts), schema, strict=True)], schema=schema)
+
+    return joined.mapInArrow(cutter, SPANS)
+
+
 def verdicts(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The digest of spans(): counts of words, of hit words and of items, and whether a twentieth of the words is hit."""
     found = spans(docs, benchmark, window)
