@@ -7,19 +7,32 @@ from pyspark.sql import functions as F
 
 from tidemark.mql.engine import market_schema
 from tidemark.operators import derivatives as D
-from tidemark.operators import liquidity, structure
+from tidemark.operators import liquidity, series, structure
 from tidemark.operators.pricing import reference_prices
 from tidemark.operators.robust import concentration
 from tidemark.plans import views as V
 
 
-def states(obs: DataFrame, derivs: DataFrame, levels: DataFrame) -> DataFrame:
-    """The wide row; families that an asset lacks are null. All parts are partitioned by asset, so the joins need no exchange of their own."""
+CHANGES, VOLATILITIES = ("1h", "24h", "7d"), ("1h", "4h", "24h", "7d")
+
+
+def series_families(points: DataFrame) -> list[DataFrame]:
+    """Returns, volatilities, ranges and indicators by asset, and how far its history reaches."""
+    prices = F.col("prices")
+    indicators = series.paths(points).select("asset", series.rsi(prices).alias("rsi_14"), series.ema(prices, 12).alias("ema_12"), series.ema(prices, 26).alias("ema_26"), structure.lifecycle(F.size(prices)).alias("genome_status"))
+    changes = [series.window_returns(points, series.WINDOW_HOURS[w]).select("asset", F.col("change").alias(f"change_{w}")) for w in CHANGES]
+    realised = [series.volatility(points, series.WINDOW_HOURS[w], series.LEAST[w]).select("asset", F.col("realised").alias(f"realised_{w}")) for w in VOLATILITIES]
+    return [indicators, series.true_range(points), *changes, *realised]
+
+
+def states(obs: DataFrame, derivs: DataFrame, levels: DataFrame, points: DataFrame, names: DataFrame) -> DataFrame:
+    """The wide row; families that an asset lacks are null, and so are those that nothing here derives yet (README, known limits). All parts are partitioned by asset, so the joins need no exchange of their own."""
     prices = reference_prices(obs)
     parts = [
         D.volume_by_segment(obs), concentration(obs, "asset", "venue", "volume"), structure.venue_counts(obs), D.funding_by_asset(derivs).withColumnsRenamed({"venue_count": "funding_venues", "dispersion_bps": "funding_dispersion"}),
         D.open_interest_by_asset(derivs).withColumnsRenamed({"total_usd": "oi_usd", "venue_count": "oi_venues", "excluded_count": "oi_excluded"}), D.basis_by_asset(derivs), liquidity.spreads(levels).withColumnRenamed("venue_count", "liquidity_venues"),
         obs.groupBy("asset").agg(F.min("age_s").alias("freshest"), F.max("age_s").alias("oldest"), F.count_distinct("venue").alias("expected_venues")),
+        concentration(levels.withColumn("usd", liquidity.notional()), "asset", "venue", "usd").select("asset", F.col("hhi").alias("liquidity_hhi"), F.col("largest_share").alias("liquidity_share")), names, *series_families(points),
     ]
     wide = prices
     for part in parts:
@@ -35,14 +48,16 @@ def states(obs: DataFrame, derivs: DataFrame, levels: DataFrame) -> DataFrame:
         "funding__rate_8h_median": F.col("rate_8h_median"), "funding__annualised_simple": F.col("annualised_simple"), "funding__venue_count": F.col("funding_venues"), "funding__dispersion_bps": F.col("funding_dispersion"),
         "open_interest__total_usd": F.col("oi_usd"), "open_interest__total_base": F.col("total_base"), "open_interest__venue_count": F.col("oi_venues"), "basis__perp_basis_bps_median": F.col("perp_basis_bps_median"), "basis__futures_basis_bps_median": F.col("futures_basis_bps_median"),
         "fragmentation__effective_venue_count": F.col("effective_count"), "fragmentation__volume_concentration_hhi": F.col("hhi"), "fragmentation__largest_venue_volume_share": F.col("largest_share"), "fragmentation__fragmentation_index": index,
-        "crowding__oi_to_volume": F.try_divide("oi_usd", "total_usd"), "crowding__perp_dominance": F.col("perp_dominance"), "genome__status": F.lit("insufficient_history"), "quality__coverage__coverage_ratio": F.least(F.lit(1.0), F.try_divide("venue_count", "expected_venues")),
+        "crowding__oi_to_volume": F.try_divide("oi_usd", "total_usd"), "crowding__perp_dominance": F.col("perp_dominance"), "genome__status": F.coalesce("genome_status", F.lit("insufficient_history")), "quality__coverage__coverage_ratio": F.least(F.lit(1.0), F.try_divide("venue_count", "expected_venues")),
         "quality__freshness__freshest_observation_age_seconds": F.col("freshest"), "quality__freshness__oldest_observation_age_seconds": F.col("oldest"), "is_partial": F.col("reference_price").isNull(),
+        "name": F.col("asset_name"), "liquidity__largest_venue_share": F.col("liquidity_share"), "liquidity__concentration_hhi": F.col("liquidity_hhi"), "volatility__atr_14_bps": F.col("atr_bps"), "technical__rsi_14": F.col("rsi_14"), "technical__ema_12": F.col("ema_12"), "technical__ema_26": F.col("ema_26"),
+        **{f"returns__change_{w}": F.col(f"change_{w}") for w in CHANGES}, **{f"volatility__realised_{w}": F.col(f"realised_{w}") for w in VOLATILITIES},
     }
     return wide.select(*[named.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in market_schema().fields])
 
 
 def market(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return states(V.obs(spark, sf_dir), V.derivatives(spark, sf_dir), V.book(spark, sf_dir))
+    return states(V.obs(spark, sf_dir), V.derivatives(spark, sf_dir), V.book(spark, sf_dir), V.points(spark, sf_dir), V.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("asset"), F.col("p_name").alias("asset_name")))
 
 
 #: The columns of the market that the registered queries use.
