@@ -225,23 +225,82 @@ def test_plan_is_close_to_the_bound():
     assert packing.plan({}) == []
 
 
-@pytest.mark.parametrize("text", ["a   b", "a \n b", "\n\n x\n  y", "", "\t x", "a\n \nb", "naïve çé 12  34 \n\n", "é  b", "<|endoftext|>"])
+@pytest.mark.parametrize("text", [" " * 1_000_000, "\n" * 1_000_000 + "x", "x" * 300_000, "x <|endoftext|> y", "a  <|endoftext|><|endoftext|>\n\n", "a \x1c b\x85 c", "a   b", "a \n b", "\n\n x\n  y", "", "\t x", "a\n \nb", "naïve çé 12  34 \n\n", "é  b", "<|endoftext|>"])
 def test_encoder(text):
     import public_tokenizers
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    e = packing.Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    e = packing.Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json")))
     assert np.frombuffer(e.ids(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_on_random_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    e = packing.Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json")))
+    r = random.Random(3)
+    parts = ["a", "b", " ", "  ", "\n", "\t", "é", "1", "'s", "!", "<|endoftext|>", "\x1c", "\x85", "\u2003", "\xa0", "\u200b", "中"]
+    for _ in range(3000):
+        text = "".join(r.choice(parts) for _ in range(r.randint(0, 14)))
+        assert np.frombuffer(e.ids(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
+
+
+def test_ranges_of_a_plan():
+    rows = [(5, 0, 3, 0, 0), (5, 3, 1, 3, 0), (5, 4, 100, 4, 0), (9, 0, 7, 104, 0)]
+    widths, ranged = packing.ranged(rows)
+    width = dict(widths)
+    for length, first, n, *_ in rows:
+        for rank in range(first, first + n):
+            assert sum(1 for x, k, f, m, *_ in ranged if x == length and k == rank // width[length] and f <= rank < f + m) == 1
+    assert len(ranged) <= 2 * len(rows) + 2
+
+
+def test_words_tell_apart_what_a_polynomial_does_not():
+    from tidemark.llm.words import Words
+
+    bit = [bin(i).count("1") % 2 for i in range(1024)]
+    a, b = bytes(97 + x for x in bit), bytes(98 - x for x in bit)
+    w = Words([a + b" " + b + b" " + a, b"", b"x" * 64 + b" " + b"x" * 65])
+    assert len(set(w.hashes[:3].tolist())) == 2 and w.bounds.tolist() == [0, 3, 3, 5]
+    assert w.same(np.array([0, 0, 3]), w, np.array([2, 1, 4])).tolist() == [True, False, False]
+    short = Words([b"abcdefgh abcdefghi abcdefgh\x00 a a\x00"])
+    assert len(set(short.hashes.tolist())) == 5
+
+
+def test_suffix_tree_against_sorting():
+    r = np.random.Generator(np.random.PCG64(2))
+    rows = r.integers(0, 3, (400, 5))
+    order, shared = substrings.suffix_tree(rows)
+    ranked = sorted(map(tuple, rows.tolist()))
+    assert [tuple(x) for x in rows[order].tolist()] == ranked
+    lcp = lambda a, b: next((k for k in range(5) if a[k] != b[k]), 5)
+    assert shared.tolist() == [0, *(lcp(a, b) for a, b in zip(ranked, ranked[1:]))]
+    docs = r.integers(0, 9, 400)
+    least = {}
+    for row, d in zip(map(tuple, rows.tolist()), docs.tolist()):
+        least[row] = min(least.get(row, d), d)
+    assert substrings.later_in_nodes(rows, docs).tolist() == [least[tuple(x)] < d for x, d in zip(rows.tolist(), docs.tolist())]
+
+
+def test_equal_hashes_of_other_words_are_told_apart(monkeypatch):
+    from tidemark.llm import words as W
+
+    monkeypatch.setattr(W.Words, "_hashed", lambda self: (self.ends - self.begins).astype(np.uint64))  # words of one length collide
+    w = W.Words([b"aa bb aa cc dd aa bb"])
+    assert substrings.symbols_of(w).tolist()[0] == substrings.symbols_of(w).tolist()[2] and len(set(substrings.symbols_of(w).tolist())) == 4
+    p = contamination.Phrases([("x", "one two")])
+    assert not contamination.hits_of_shard(p, [b"six two one ten"])[1].any()
+
+
 def test_language_accuracy_and_exact_lengths(spark):
     r = random.Random(5)
     syllables = {"en": "th er on an re".split(), "fr": "eau ou ai é en".split(), "de": "sch ei ch ung ä".split()}
     text = lambda lang: " ".join("".join(r.choice(syllables[lang]) for _ in range(r.randint(1, 4))) for _ in range(30))
     rows = [(k, text(lang), lang) for k, lang in enumerate(["en", "fr", "de"] * 30)]
-    df = spark.createDataFrame([*rows, (900, None, "en"), (901, "12 34 !", "en"), (902, "", None), (902, "", None)], "doc_id long, text string, lang string")
+    df = spark.createDataFrame([*rows, (900, None, "en"), (901, "12 34 !", "en"), (903, "² ½ Ⅷ ④", None), (902, "", None), (902, "", None)], "doc_id long, text string, lang string")
     trees = language.learn(language.sample(df.filter("doc_id % 2 = 0")))
     got = [(x.doc_id, x.lang_pred, x.score) for x in language.identified(df, trees).collect()]
     assert all(p == rows[d][2] and 0 <= s <= 1 for d, p, s in got if d < 900) and all(p == "und" for d, p, _ in got if d >= 900)
@@ -282,7 +341,7 @@ def test_scoring_is_a_distribution(spark):
 
 def test_archive(spark):
     rows = [(1, "u", "<p>é</p>"), (2, None, "<p>é</p>"), (3, "u\r\nx", None), (4, "u", ""), (5, "u", "own"), (5, "u", "own"), (6, "u", "x" * 100_000)]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"digest": F.lit("x"), "top": F.lit(1), "bytes": F.lit(2)})
     payloads, headers = warc.write_archive(pages)
     assert payloads.count() == 4
     back = {(r.page_id, r.record_type, r.refers, bytes(r.payload).decode()) for r in warc.parse_records(warc.read_records(payloads, headers)).collect()}
@@ -296,6 +355,31 @@ def test_archive(spark):
     assert digest == base64.b32encode(hashlib.sha1(b"abc").digest()).decode()
 
 
+def test_archive_without_ids(spark):
+    pages = spark.createDataFrame([(None, "u", "same"), (1, "u", "same"), (2, "u", "same"), (None, "u", "own"), (None, "u", "own")], "page_id long, url string, html string")
+    payloads, headers = warc.write_archive(pages)
+    assert payloads.count() == 2 and headers.count() == 5
+    back = collections.Counter((r.page_id, r.record_type, bytes(r.payload)) for r in warc.parse_records(warc.read_records(payloads, headers)).collect())
+    assert back == {(None, "revisit", b"same"): 1, (1, "revisit", b"same"): 1, (2, "response", b"same"): 1, (None, "response", b"own"): 2}
+    head = bytes(headers.filter("page_id = 1").first().header).decode()
+    assert "WARC-Date: 1970-01-01T00:00:00Z\r\n" in head and f"WARC-Profile: {warc.REVISIT}\r\n" in head
+
+
+def test_clashing_columns_and_repeated_rows(spark, docs):
+    names = {n: F.lit("own") for n in ("places", "g_doc", "g_row", "n_lines", "n_words", "kept", "q_words", "held", "row_key", "pos", "key", "template", "bits", "score", "candidate")}
+    busy = docs.select("doc_id", "text", "lang").withColumns(names)
+    plain = docs.select("doc_id", "text", "lang")
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    a, b = lines.deduped(busy), lines.deduped(plain)
+    assert rows(a.select(*b.columns)) == rows(b) and {r.places for r in a.collect()} == {"own"} and a.count() == busy.count()
+    a = quality.judged(busy)
+    assert rows(a.select(*quality.BASE)) == rows(quality.judged(plain).select(*quality.BASE)) and {r.q_words for r in a.collect()} == {"own"} and len(set(a.columns)) == len(a.columns)
+    trees = language.learn([("en", "one two three"), ("fr", "un deux trois")])
+    assert rows(language.identified(busy, trees)) == rows(language.identified(plain, trees))
+    assert rows(secrets.scan(busy)) == rows(secrets.scan(plain))
+    assert rows(substrings.deduped(busy)) == rows(substrings.deduped(plain))
+
+
 def test_secrets(spark):
     forest = secrets.train()
     held = secrets.made_findings(800, seed=99)

@@ -8,7 +8,10 @@ text, and rows of matches walk back to the nearest sampled suffix for their
 place. The words so covered are merged into spans.
 
 Nulls: a null text has no words, in documents and in the benchmark; items
-without an id are skipped. Repeated item rows count once.
+without an id are skipped. Repeated item rows count once. Rows without doc_id,
+and rows that repeat a document, are judged each by its own text. Without
+documents there is no result, without a benchmark nothing is hit. Columns other
+than doc_id, item_id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -25,8 +28,8 @@ WINDOW = 13
 #: All of ASCII but digits and lower-case letters.
 GAPS = bytes([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 SHARD_BYTES = 12 << 20
-#: Benchmark bytes that one pass holds; a larger benchmark takes several passes.
-PHRASE_BYTES = 32 << 20
+#: Bytes of benchmark text that one pass holds, as arrays of some 12 times that and never over 50 times; a larger benchmark takes several passes.
+PHRASE_BYTES = 4 << 20
 SAMPLING = 16
 _GAP_TABLE = delimiter_table(GAPS)
 
@@ -149,20 +152,50 @@ class FmIndex:
 
 
 class Phrases:
-    """The benchmark's windows as rows of symbols, and which items have each."""
+    """The benchmark's windows as rows of symbols, last first and padded with 0, and which items have each: arrays only, some 80 bytes a word."""
 
     def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW):
-        words = Words([(text or "").encode().lower() for _, text in items], _GAP_TABLE)
-        self.vocabulary, symbols = np.unique(words.hashes, return_inverse=True)
-        self.names, found = [name for name, _ in items], {}
-        for k, (a, b) in enumerate(zip(words.bounds, words.bounds[1:], strict=False)):
-            for i in range(a, max(a + 1, b - window + 1)) if b > a else ():
-                found.setdefault(tuple(symbols[i : min(b, i + window)].tolist()), set()).add(k)
-        self.lengths = np.array([len(p) for p in found], np.int64)
-        self.rows = np.zeros((len(found), window), np.int64)
-        for row, phrase in zip(self.rows, found, strict=True):
-            row[: len(phrase)] = np.array(phrase[::-1]) + 1
-        self.owners = [sorted(x) for x in found.values()]
+        self.words = words = Words([(text or "").encode().lower() for _, text in items], _GAP_TABLE)
+        self.vocabulary, self.first, symbols = np.unique(words.hashes, return_index=True, return_inverse=True)
+        self.names = [name for name, _ in items]
+        counts = np.diff(words.bounds)
+        each = np.where(counts > 0, np.maximum(1, counts - window + 1), 0)
+        item = np.repeat(np.arange(len(items), dtype=np.int32), each)
+        start = np.repeat(words.bounds[:-1], each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        lengths = np.minimum(counts, window)[item]
+        rows = np.zeros((len(start), window), np.int32)
+        for k in range(window):
+            inside = lengths > k
+            rows[inside, k] = symbols[start[inside] + lengths[inside] - 1 - k] + 1
+        keys = rows.view(f"V{4 * window}").ravel() if len(rows) else np.zeros(0, "V4")
+        _, at, owned = np.unique(keys, return_index=True, return_inverse=True)
+        self.rows, self.lengths = rows[at], lengths[at]
+        pairs = np.unique(np.stack((owned.ravel(), item), 1), axis=0) if len(rows) else np.zeros((0, 2), np.int64)
+        self.owners, self.cuts = pairs[:, 1].astype(np.int32), np.searchsorted(pairs[:, 0], np.arange(len(at) + 1))
+
+    def runs(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(symbol of each word, begins, lengths) of runs of known words in one text that can hold a phrase; words of runs are known by their bytes, not their hashes alone."""
+        symbol = np.searchsorted(self.vocabulary, words.hashes)
+        symbol[symbol == len(self.vocabulary)] = 0
+        known = self.vocabulary[symbol] == words.hashes
+        edge = np.zeros(len(known) + 1, bool)
+        edge[words.bounds] = True
+        while True:
+            begin = known & (edge[:-1] | ~np.concatenate(([False], known[:-1])))
+            end = known & (edge[1:] | ~np.append(known[1:], False))
+            begins, lengths = np.flatnonzero(begin), np.flatnonzero(end) - np.flatnonzero(begin) + 1
+            long = lengths >= self.lengths.min()
+            begins, lengths = begins[long], lengths[long]
+            places = _spread(begins, lengths)
+            other = ~words.same(places, self.words, self.first[symbol[places]])
+            if not other.any():
+                return symbol, begins, lengths
+            known[places[other]] = False
+
+
+def _spread(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All places of runs, one run after the other."""
+    return np.repeat(begins - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
 
 
 def hits_of_shard(phrases: Phrases, texts: list[bytes]) -> tuple[Words, np.ndarray, list[set[str]]]:
@@ -171,31 +204,20 @@ def hits_of_shard(phrases: Phrases, texts: list[bytes]) -> tuple[Words, np.ndarr
     hit, items = np.zeros(len(words.hashes), bool), [set() for _ in texts]
     if not len(phrases.rows) or not len(words.hashes):
         return words, hit, items
-    symbol = np.searchsorted(phrases.vocabulary, words.hashes)
-    symbol[symbol == len(phrases.vocabulary)] = 0
-    known = phrases.vocabulary[symbol] == words.hashes
-    # runs of known words within one text
-    first = np.zeros(len(known) + 1, bool)
-    first[words.bounds] = True
-    begin = known & (first[:-1] | ~np.concatenate(([False], known[:-1])))
-    end = known & (first[1:] | ~np.append(known[1:], False))
-    begins, lengths = np.flatnonzero(begin), np.flatnonzero(end) - np.flatnonzero(begin) + 1
-    long = lengths >= phrases.lengths.min()
-    begins, lengths = begins[long], lengths[long]
+    symbol, begins, lengths = phrases.runs(words)
     if not len(begins):
         return words, hit, items
-    places = np.repeat(begins - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths) + np.arange(lengths.sum())
+    places = _spread(begins, lengths)
     index = FmIndex(symbol[places] + 1, lengths, len(phrases.vocabulary))
     which, (low, high) = index.search(phrases.rows, phrases.lengths)
     if len(which):
         times = high - low
-        rows = np.repeat(low - np.concatenate(([0], np.cumsum(times)[:-1])), times) + np.arange(times.sum())
-        at, phrase = places[index.locate(rows)], np.repeat(which, times)
+        at, phrase = places[index.locate(_spread(low, times))], np.repeat(which, times)
         change = np.bincount(at, minlength=len(hit) + 1) - np.bincount(at + phrases.lengths[phrase], minlength=len(hit) + 1)
         hit = np.cumsum(change)[:-1] > 0
         text = np.searchsorted(words.bounds, at, side="right") - 1
         for t, p in np.unique(np.stack((text, phrase), 1), axis=0).tolist():
-            items[t].update(phrases.names[k] for k in phrases.owners[p])
+            items[t].update(phrases.names[k] for k in phrases.owners[phrases.cuts[p] : phrases.cuts[p + 1]].tolist())
     return words, hit, items
 
 
@@ -226,8 +248,9 @@ def spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cut: bool
     rows = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row_key"))
     schema = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))), ("items", pa.list_(pa.string())), ("cut", pa.string())])
 
-    def searcher(phrases: Phrases):
+    def searcher(shared):
         def search(batches):
+            phrases = shared.value
             for texts, ids, keys in blocks(batches, SHARD_BYTES, ["text", "doc_id", "row_key"]):
                 words, hit, items = hits_of_shard(phrases, texts)
                 counts, out, cuts = np.diff(words.bounds), [[] for _ in ids], [None] * len(ids)
@@ -247,8 +270,8 @@ def spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cut: bool
     found = None
     for k in range(passes):
         part = named.filter(F.pmod(F.xxhash64("name"), F.lit(passes)) == k) if passes > 1 else named
-        phrases = Phrases([(r[0], r[1]) for r in part.collect()], window)  # at most about PHRASE_BYTES
-        one = rows.mapInArrow(searcher(phrases), SPANS)
+        shared = docs.sparkSession.sparkContext.broadcast(Phrases([(r[0], r[1]) for r in part.collect()], window))  # at most about PHRASE_BYTES
+        one = rows.mapInArrow(searcher(shared), SPANS)
         found = one if found is None else found.union(one)
     if passes > 1:
         found = found.groupBy("doc_id", "row_key").agg(F.max("n_words").alias("n_words"), merged(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.count("*").alias("rows"))
@@ -283,6 +306,7 @@ def verdicts(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Dat
 
 
 def op5_benchmark_decontamination(spark, sf_dir):
+    """The verdict on every whole document against the whole benchmark."""
     return verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key")
 
 

@@ -8,13 +8,17 @@ so a word's code length does not depend on its neighbours and is worked out
 once per word and task, not once per occurrence.
 
 Nulls: rows with a null text or lang teach nothing; a null text is `und`, and so
-is one without a letter. Without anything to learn from all texts are `und`.
+is one without a letter (`str.isalpha`, so neither digits nor superscripts nor
+fractions). Without anything to learn from all texts are `und`. Rows without
+doc_id are judged like others; rows that repeat a document are judged each for
+itself, and may be sampled twice. Without rows there is no result; columns other
+than doc_id, text and lang are not looked at. A whole text is scored, however
+long it is.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -30,7 +34,6 @@ SAMPLE_ROWS = 256
 #: Most bytes of sampled texts, all languages together, but for one document of each.
 SAMPLE_BYTES = 24 << 20
 CACHE = 400_000
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 class Tree:
@@ -146,15 +149,16 @@ def fair_share(sizes: list[int], most: int) -> int:
 def sample(labelled: DataFrame, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> list[tuple[str, str]]:
     """(lang, text) of at most `rows` documents a language: the one with the least hash of each bucket, by partial aggregation. A language has its share of the bytes, and one document in any case."""
     hashed = labelled.filter("lang is not null and text is not null").withColumn("h", F.xxhash64("doc_id", F.lit(1)))
-    least = hashed.groupBy("lang", F.pmod("h", F.lit(rows)).alias("bucket")).agg(F.min(F.struct("h", "doc_id", F.length("text").alias("size"))).alias("m"))
+    least = hashed.groupBy("lang", F.pmod("h", F.lit(rows)).alias("bucket")).agg(F.min(F.struct("h", "doc_id", F.octet_length("text").alias("size"))).alias("m"))
     share = fair_share([r[0] for r in least.groupBy("lang").agg(F.sum("m.size").alias("size")).select("size").collect()], most_bytes)
     ids = least.select(F.col("m.h").alias("h")).distinct()
     out, size, sizes = [], 0, Counter()
     for lang, text in hashed.join(F.broadcast(ids), "h").select("lang", "text").orderBy("h", "lang", "text").toLocalIterator():
-        if lang in sizes and (sizes[lang] + len(text) > share or size + len(text) > most_bytes):
+        n = len(text.encode())
+        if lang in sizes and (sizes[lang] + n > share or size + n > most_bytes):
             continue
-        sizes[lang] += len(text)
-        size += len(text)
+        sizes[lang] += n
+        size += n
         out.append((lang, text))
     return out
 
@@ -175,7 +179,7 @@ def identified(docs: DataFrame, trees: dict[str, Tree]) -> DataFrame:
     def score(batches):
         scorer = Scorer(shared.value)
         for batch in batches:
-            texts = [t if t is not None and names and _LETTER.search(t) else None for t in batch.column(1).to_pylist()]
+            texts = [t if t is not None and names and any(map(str.isalpha, t)) else None for t in batch.column(1).to_pylist()]
             langs, scores = [], []
             for text, bits in zip(texts, scorer.lengths([words_of(t or "") for t in texts]), strict=True):
                 if text is None:
@@ -192,6 +196,7 @@ def identified(docs: DataFrame, trees: dict[str, Tree]) -> DataFrame:
 
 
 def op4_language_id(spark, sf_dir):
+    """The language of every whole text, learnt from documents that are not held out; see the module for nulls and ties (the first language by name wins)."""
     docs = table(spark, sf_dir, "documents")
     held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
     trees = learn(sample(docs.select("doc_id", "text", "lang").filter(~held_out)))

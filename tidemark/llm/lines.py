@@ -9,7 +9,9 @@ more documents are dropped everywhere but in the document with the smallest id.
 
 Nulls: a null text stays null; rows without doc_id are neither counted nor
 changed. Lines without a word always stay. Rows that repeat a doc_id count as
-one document.
+one document. Without rows there is no result. Other columns stay as they are,
+but for those named like what is added (n_lines, n_dropped), which give way.
+Ties do not arise: the document with the smallest id keeps a template.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.runtime import store, table
+from tidemark.llm.runtime import held, released, store, table
 
 DEPTH, MOST_VALUES, CONSTANT_TENTHS, MIN_DOCS = 3, 4, 6, 8
 SPACES = " \t\x0b\f\r"
@@ -68,17 +70,19 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
 def deduped(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """docs with the text that is left, and n_lines (with a word) and n_dropped."""
-    ids = docs.select("doc_id", "text")
-    gone = recurring_lines(ids, min_docs).select(F.col("doc_id").alias("g_doc"), F.col("row_key").alias("g_row"), "places")
-    joined = docs.join(gone, (F.col("doc_id") == F.col("g_doc")) & (F.xxhash64("text") == F.col("g_row")), "left")
-    lines = F.split("text", "\n")
+    gone = recurring_lines(docs.select("doc_id", "text"), min_docs).select("doc_id", "row_key", "places")
+    doc_id, own = F.col("held.doc_id"), F.col("held.text")
+    joined = held(docs).join(gone, (doc_id == F.col("doc_id")) & (F.xxhash64(own) == F.col("row_key")), "left")
+    lines = F.split(own, "\n")
     left = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("places", i)), "\n")
     counted = F.size(F.filter(lines, lambda line: line.rlike(f"[^{SPACES}]")))
-    text = F.when(F.col("places").isNull(), F.col("text")).otherwise(left)
-    return joined.select(*[c for c in docs.columns if c != "text"], F.coalesce(counted, F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("places"), F.lit(0)).cast("long").alias("n_dropped"), text.alias("text"))
+    text = F.when(F.col("places").isNull(), own).otherwise(left)
+    made = joined.select("held", F.coalesce(counted, F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("places"), F.lit(0)).cast("long").alias("n_dropped"), text.alias("text"))
+    return released(made, docs, "n_lines", "n_dropped", "text")
 
 
 def op1_line_dedup(spark, sf_dir):
+    """Per document: its lines with a word, how many of them go, and the digest of the text that is left (null: empty)."""
     out = deduped(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 

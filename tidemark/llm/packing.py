@@ -9,16 +9,23 @@ place of the rounded ones, and small lengths go by best fit into what is left.
 A plan's rows say which ranks of which length go to which sequences; pieces get
 their rank within their length by salted counting and find their row by a join.
 The plan's size depends on capacity and groups, not on the corpus.
+
+Nulls: a null text is empty, a row without doc_id is packed like any other, and
+rows that repeat a document are packed each for itself. Without rows there are
+no sequences. Other columns of the input are not looked at.
 """
 
 from __future__ import annotations
 
 import base64
 import bisect
+import json
 import re
+import sys
 from array import array
 from collections import defaultdict
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import tiktoken
@@ -26,35 +33,69 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.runtime import shuffle_partitions, small_batches, store
+from tidemark.llm.words import release
 
 CAPACITY, SMALL, GROUPS, END_ID = 2048, 512, 1000, 0
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
-_SPACE_RUN = re.compile(r"\s\s")
+# The characters of Unicode's property White_Space.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_SPACE_RUN = re.compile(f"[{WHITE}]{{2,}}+")
 
 
 class Encoder:
-    """Byte-level BPE. The vocabulary's pattern looks ahead only within runs of white space, so texts without any take a simpler, faster pattern."""
+    """Byte-level BPE. Added tokens are cut out first, as longest matches from the left.
+
+    The vocabulary's pattern looks ahead only for the last character of a run of
+    white space before a word. Texts are cut before that character instead, and
+    the pattern without its look-ahead, which never goes back, gives the same.
+    """
 
     LOOK_AHEAD = r"\s+(?!\S)|"
 
-    def __init__(self, vocabulary: str, pattern: str):
+    def __init__(self, vocabulary: str, pattern: str, added: dict[str, int] | None = None):
         with open(vocabulary, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.full, self.plain = (tiktoken.Encoding("vocabulary", pat_str=x, mergeable_ranks=ranks, special_tokens={}).encode_ordinary for x in (pattern, pattern.replace(self.LOOK_AHEAD, "")))
+        self.plain = tiktoken.Encoding("vocabulary", pat_str=pattern.replace(self.LOOK_AHEAD, ""), mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.added = added or {}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split if self.added else lambda text: [text]
+
+    def _ordinary(self, text: str, out: array) -> None:
+        at = 0
+        for run in _SPACE_RUN.finditer(text):
+            if (end := run.end()) < len(text):
+                out.extend(self.plain(text[at : end - 1]))
+                at = end - 1
+        out.extend(self.plain(text[at:] if at else text))
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        return array("I", (self.full if _SPACE_RUN.search(text) else self.plain)(text)).tobytes()
+        out = array("I")
+        for k, part in enumerate(self.cut(text)):
+            if k % 2:
+                out.append(self.added[part])
+            elif part:
+                self._ordinary(part, out)
+        return out.tobytes() if sys.byteorder == "little" else np.array(out, "<u4").tobytes()
 
 
-def pieces(docs: DataFrame, vocabulary: str | None = None, pattern: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def added_tokens(path: str) -> dict[str, int]:
+    """Added tokens of a vocabulary file and their ids; only such as are matched anywhere and just so."""
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    if odd := [t["content"] for t in tokens if t["single_word"] or t["lstrip"] or t["rstrip"]]:
+        raise ValueError(f"added tokens that are matched in another way: {odd}")
+    return {t["content"]: t["id"] for t in tokens}
+
+
+def pieces(docs: DataFrame, vocabulary: str | None = None, pattern: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, added: dict[str, int] | None = None) -> DataFrame:
     """One row per piece with its ids; a null text is empty. Longer documents are cut from the end, so only the first piece is shorter."""
     vocabulary = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    added = added_tokens(public_tokenizers.path("byte_bpe_50k.json")) if added is None else added
     pattern = pattern or public_tokenizers.PATTERN
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
 
     def encode(batches):
-        encoder = Encoder(vocabulary, pattern)
+        encoder = Encoder(vocabulary, pattern, added)
         end = array("I", [end_id]).tobytes()
         for batch in batches:
             out = [[], [], [], [], []]
@@ -66,6 +107,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, pattern: str | None =
                     for into, value in zip(out, (doc_id, k, a, b - a, ids[4 * a : 4 * b]), strict=True):
                         into.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, schema, strict=True)], schema=schema)
+        release()
 
     small_batches(docs.sparkSession, 8)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, PIECES)
@@ -172,6 +214,16 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, small: int = SMALL
     return rows
 
 
+def ranged(rows: list[tuple[int, int, int, int, int]]) -> tuple[list[tuple], list[tuple]]:
+    """A plan's rows by the ranges of ranks that they touch, and the width of a length's ranges: it has as many of them as rows, so a piece meets two rows on average and not all."""
+    totals: dict[int, list[int]] = defaultdict(lambda: [0, 0])
+    for length, _, n, *_ in rows:
+        totals[length][0] += n
+        totals[length][1] += 1
+    width = {length: -(-n // k) for length, (n, k) in totals.items()}
+    return list(width.items()), [(length, k, first, n, sequence, at) for length, first, n, sequence, at in rows for k in range(first // width[length], (first + n - 1) // width[length] + 1)]
+
+
 def pack(measured: DataFrame, capacity: int = CAPACITY, small: int = SMALL, groups: int = GROUPS) -> DataFrame:
     """Adds sequence_id and offset to rows of pieces (doc_id, piece, length, and what else they have).
 
@@ -180,7 +232,7 @@ def pack(measured: DataFrame, capacity: int = CAPACITY, small: int = SMALL, grou
     """
     spark = measured.sparkSession
     histogram = {r["length"]: r["count"] for r in measured.groupBy("length").count().collect()}  # at most `capacity` rows
-    planned = spark.createDataFrame(plan(histogram, capacity, small, groups) or [(0, 0, 0, 0, 0)], "length long, first_rank long, n long, first_sequence long, at long")
+    planned = plan(histogram, capacity, small, groups)
     salted = measured.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shuffle_partitions(spark))).cast("int"))
     counts = salted.groupBy("length", "salt").count()
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
@@ -188,12 +240,16 @@ def pack(measured: DataFrame, capacity: int = CAPACITY, small: int = SMALL, grou
     order = Window.partitionBy("length", "salt").orderBy("doc_id", "piece")
     ranked = salted.withColumn("place", F.row_number().over(order)).join(bases, (F.col("length") == F.col("b_length")) & (F.col("salt") == F.col("b_salt")))
     ranked = ranked.withColumn("rank", F.col("base") + F.col("place") - 1).drop("b_length", "b_salt", "base", "place", "salt")
-    p = F.broadcast(planned.withColumnRenamed("length", "p_length"))
-    found = ranked.join(p, (F.col("length") == F.col("p_length")) & (F.col("rank") >= F.col("first_rank")) & (F.col("rank") < F.col("first_rank") + F.col("n")))
+    widths, rows = ranged(planned)
+    widths = spark.createDataFrame(widths or [(0, 1)], "w_length long, width long")
+    p = spark.createDataFrame(rows or [(0, 0, 0, 0, 0, 0)], "p_length long, p_range long, first_rank long, n long, first_sequence long, at long")
+    placed = ranked.join(F.broadcast(widths), F.col("length") == F.col("w_length")).withColumn("range", F.floor(F.col("rank") / F.col("width")))
+    found = placed.join(F.broadcast(p), (F.col("length") == F.col("p_length")) & (F.col("range") == F.col("p_range")) & (F.col("rank") >= F.col("first_rank")) & (F.col("rank") < F.col("first_rank") + F.col("n")))
     return found.select(*measured.columns, (F.col("first_sequence") + F.col("rank") - F.col("first_rank")).alias("sequence_id"), F.col("at").alias("offset"))
 
 
 def op7_best_fit_packing(spark, sf_dir):
+    """All documents packed into sequences of 2048 tokens; null texts are empty, repeated rows are packed each for itself, no rows give none."""
     return packed(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
@@ -206,7 +262,6 @@ def packed(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def sequences(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """The packed sequences themselves: sequence_id and ids, the pieces' ids one after the other."""
-    made = store(pieces(docs, capacity=capacity), "piece-ids")
-    placed = pack(made.drop("ids"), capacity).join(made.select("doc_id", "piece", "ids"), ["doc_id", "piece"])
+    placed = pack(store(pieces(docs, capacity=capacity), "piece-ids"), capacity)
     parts = placed.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("parts"))
     return parts.select("sequence_id", F.aggregate("parts", F.lit(b""), lambda acc, x: F.concat(acc, x["ids"])).alias("ids"))

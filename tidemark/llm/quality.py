@@ -1,7 +1,10 @@
 """Quality rules: a table of thresholds compiled into one projection of built-in expressions.
 
 Nulls: a null text has no words, so it fails the base rule. Lines are split at
-line feeds, words at ASCII white space; the whole text is measured.
+line feeds, words at ASCII white space; the whole text is measured. Each row is
+judged by itself, so rows that repeat a document, or have no doc_id, get the
+same verdict as any; without rows there is no result. Columns of the input stay,
+but for those named like a measure or verdict, which give way to it.
 """
 
 from __future__ import annotations
@@ -11,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.runtime import table
+from tidemark.llm.runtime import held, released, table
 
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -74,13 +77,16 @@ def _repeat_words(words: Column) -> Column:
     return _let(windows, lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), F.lit(0)).otherwise(count(w)))
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """docs with the counts and ratios that rules are about."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stop_words", "n_lines", "chars_per_word", "symbols_per_word", "stop_words_per_word", "dup_lines_per_line"]
+
+
+def _measured(docs: DataFrame) -> DataFrame:
+    """held() rows with the counts and ratios that rules are about."""
+    text = F.coalesce(F.col("held.text"), F.lit(""))
     with_lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(f"[^{SPACES}]"))
     stops = sorted({w for ws in STOP_WORDS.values() for w in ws})
     per_word = lambda c: F.coalesce(F.try_divide(c, F.col("n_words")), F.lit(0.0))
-    one = docs.withColumns({"q_words": _words(text), "q_lines": with_lines})
+    one = held(docs).withColumns({"q_words": _words(text), "q_lines": with_lines})
     two = one.withColumns({"n_repeat_words": _repeat_words(F.col("q_words")).cast("long"), "n_words": F.size("q_words").cast("long")})
     three = two.withColumns({
         "word_chars": F.char_length(F.array_join("q_words", "")).cast("long"),
@@ -92,7 +98,12 @@ def measured(docs: DataFrame) -> DataFrame:
     return three.withColumns({
         "chars_per_word": per_word(F.col("word_chars")), "symbols_per_word": per_word(F.col("n_symbols")), "stop_words_per_word": per_word(F.col("n_stop_words")),
         "dup_lines_per_line": F.coalesce(F.try_divide(F.col("n_dup_lines"), F.col("n_lines")), F.lit(0.0)),
-    }).drop("q_words", "q_lines")
+    }).select("held", *MEASURES)
+
+
+def measured(docs: DataFrame) -> DataFrame:
+    """docs with the counts and ratios that rules are about."""
+    return released(_measured(docs), docs, *MEASURES)
 
 
 def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -104,13 +115,15 @@ def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             broken = broken | (F.col(rule.metric) < rule.least)
         if rule.most is not None:
             broken = broken | (F.col(rule.metric) > rule.most)
-    return measured(docs).withColumn("base_failed", base).withColumn("kept", ~F.col("base_failed") & ~broken)
+    verdicts = _measured(docs).withColumn("base_failed", base).withColumn("kept", ~F.col("base_failed") & ~broken)
+    return released(verdicts, docs, *MEASURES, "base_failed", "kept")
 
 
 BASE = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
 
 def op3_quality_rules(spark, sf_dir):
+    """Counts and verdict of every whole text; a null text counts as empty and fails the base rule."""
     return judged(table(spark, sf_dir, "documents").select("doc_id", "text")).select(*BASE)
 
 

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder every executor can reach: spark.checkpoint.dir, or one of our own where that is unset and all runs in this process (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -43,6 +45,17 @@ def small_batches(spark: SparkSession, mb: int = 16) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
 
 
+def held(docs: DataFrame) -> DataFrame:
+    """docs' rows as one column `held`, so that names of its columns cannot clash with those that an operator adds."""
+    return docs.select(F.struct("*").alias("held"))
+
+
+def released(rows: DataFrame, docs: DataFrame, *added) -> DataFrame:
+    """held() undone, with columns added; a column of docs with the name of an added one gives way to it."""
+    names = set(rows.select(*added).columns)
+    return rows.select(*[F.col("held").getField(c).alias(c) for c in docs.columns if c not in names], *added)
+
+
 def row_key(text: str = "text"):
     """Tells apart rows that repeat a doc_id with another text."""
     return F.xxhash64(F.col(text))

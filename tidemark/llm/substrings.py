@@ -1,39 +1,59 @@
 """Substring dedup with prefix-partitioned suffix trees over words.
 
-A suffix begins at every word that has WINDOW words from there on. Suffixes go
-to groups by variable-length prefixes: of one word, and of two or four where a
-shorter one alone would outgrow the memory of a task; small prefixes share a
-group. A group's subtree is built over the sorted suffixes of its documents.
-Its edges carry digests of their words, and it is cut off below WINDOW words, so
-each internal node at that depth is a run of equal digests; runs over two or
-more documents are the repeats. Before that, a task resolves what its own
-documents tell: only the suffixes of a node's smallest document travel.
+A suffix begins at every word that has WINDOW words from there on, and is cut
+off after those. Suffixes go to groups by variable-length prefixes: of one word,
+and of more where shorter ones alone would outgrow the memory of a task; small
+prefixes share a group. A group's subtree is its suffixes in lexicographic order
+with the words that each shares with the one before (the LCP array): its
+internal nodes of depth WINDOW are the runs of suffixes that share all of them.
+Nodes that hold two or more documents are repeats, and the windows of all but
+the smallest are removed; windows that overlap or touch make one maximal repeat
+of a document. Suffixes are compared by words, byte by byte, not by hashes.
+
+Only suffixes that can be in such a node travel with their words:
+
+1. Documents are stored in blocks. A block resolves the nodes of its own.
+2. It tells digests of the windows that it has left, and hears which of them
+   other blocks have, as a bit for each.
+3. Those suffixes go to their groups, and the groups answer with places.
+4. Each block removes what it has been told.
+
+A node has at most one document's suffixes of each block, so a passage that a
+third of all documents share costs a group no more than there are blocks; if
+those are more than a group may hold, groups are resolved in two steps.
 
 Nulls: a null text has no words. Rows without doc_id neither remove words from
-others nor lose any. Rows that repeat a doc_id are one document to each other.
+others nor lose any. Rows that repeat a doc_id are one document to each other:
+none loses a word to another. Without rows there is no result. Other columns are
+not looked at. Whole texts take part, however long; one text is in one block.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.runtime import SLICE, salts_of, shuffle_partitions, slices, small_batches, summed, table
+from tidemark.llm.runtime import SLICE, salts_of, shuffle_partitions, slices, small_batches, store, summed, table
 from tidemark.llm.words import Words, blocks, window_places, windows
 
 WINDOW = 13
-PREFIXES = (1, 2, 4)
+PREFIXES = (1, 2, 4, 8)
 BLOCK_BYTES = 12 << 20
-GROUP_SUFFIXES = 1_500_000
-OUT = pa.schema([("target", pa.int32()), ("bucket", pa.int32()), ("payload", pa.binary())])
-OUT_SQL = "target int, bucket int, payload binary"
+#: Suffixes that a group may have, and digests that one task compares.
+GROUP_SUFFIXES, TASK_DIGESTS = 750_000, 2_000_000
+#: Bits of a digest that are compared; equal ones only make suffixes travel.
+DIGEST_BITS = 48
+BLOCK_SQL, PART_SQL = "block long, payload binary", "target long, block long, payload binary"
+PART = pa.schema([("target", pa.int64()), ("block", pa.int64()), ("payload", pa.binary())])
 
 
 def _planes(values: np.ndarray) -> bytes:
     """The numbers' bytes by significance, so that bytes that are mostly zero compress away."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+    return np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
 
 
 def _unplanes(data: memoryview, dtype) -> np.ndarray:
@@ -55,169 +75,295 @@ def _unpacked(data: bytes, *dtypes) -> list[np.ndarray]:
     return out
 
 
-class _Suffixes:
-    """The suffixes of a block of documents."""
-
-    def __init__(self, texts: list[bytes], window: int, bits: int):
-        words = Words(texts)
-        self.bounds = words.bounds
-        self.places, self.text = window_places(words.bounds, window)
-        shift = np.uint64(64 - bits)
-        self.bins = [(windows(words.hashes, k)[self.places] >> shift).astype(np.int32) for k in PREFIXES]
-        self.digests = windows(words.hashes, window)[self.places]
+def stored_blocks(docs: DataFrame) -> DataFrame:
+    """(block, payload): documents in blocks of about BLOCK_BYTES, as a table, so that every later step sees the same blocks."""
+
+    def write(batches):
+        pack = zstandard.ZstdCompressor(level=1).compress
+        number = TaskContext.get().partitionId() << 32
+        for texts, ids in blocks(batches, BLOCK_BYTES, ["text", "doc_id"]):
+            known = np.array([i is not None for i in ids])
+            payload = _packed(np.array([i or 0 for i in ids], np.int64), known, np.array([len(t) for t in texts], np.int64), np.frombuffer(b"".join(texts), np.uint8))
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([pack(payload)], pa.binary())], names=["block", "payload"])
+            number += 1
+
+    return store(docs.select("text", F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(write, BLOCK_SQL), "blocks")
+
+
+class Block:
+    """Documents of a block and their suffixes: places (of first words), text, docs, digests."""
+
+    def __init__(self, payload: bytes, window: int):
+        self.ids, self.known, lengths, body = _unpacked(zstandard.ZstdDecompressor().decompress(payload), np.int64, bool, np.int64, np.uint8)
+        ends, body = np.cumsum(lengths).tolist(), body.tobytes()
+        self.texts = [body[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        self.window, self.words = window, Words(self.texts)
+        places, text = window_places(self.words.bounds, window)
+        taken = self.known[text]
+        self.places, self.text = places[taken], text[taken]
+        self.docs = self.ids[self.text]
+        self.digests = windows(self.words.hashes, window)[self.places]
+
+    def resolved(self) -> tuple[np.ndarray, np.ndarray]:
+        """(suffixes whose node has a smaller document here, the others)."""
+        order = np.argsort(self.digests, kind="stable")
+        ordered = self.digests[order]
+        again = np.concatenate(([False], ordered[1:] == ordered[:-1]))
+        some = order[again | np.append(again[1:], False)]
+        later = np.zeros(len(order), bool)
+        if len(some):
+            symbols = symbols_of(self.words)
+            later[some] = later_in_nodes(symbols[self.places[some][:, None] + np.arange(self.window)], self.docs[some])
+        return np.flatnonzero(later), np.flatnonzero(~later)
+
+    def prefix_bins(self, at: np.ndarray, bits: int) -> list[np.ndarray]:
+        return [(windows(self.words.hashes, min(k, self.window))[self.places[at]] >> np.uint64(64 - bits)).astype(np.int64) for k in PREFIXES]
+
+    def flags(self, at: np.ndarray) -> bytes:
+        return _packed(self.text[at].astype(np.uint32), (self.places[at] - self.words.bounds[self.text[at]]).astype(np.uint32))
+
+
+def symbols_of(words: Words) -> np.ndarray:
+    """Numbers of words, equal for equal bytes and only for those."""
+    _, first, number = np.unique(words.hashes, return_index=True, return_inverse=True)
+    number = number.astype(np.int32)
+    others: dict[bytes, int] = {}  # words that share their hash with another one
+    for k in np.flatnonzero(~words.same(np.arange(len(number)), words, first[number])).tolist():
+        number[k] = others.setdefault(words.data[words.begins[k] : words.ends[k]], len(first) + len(others))
+    return number
+
+
+def suffix_tree(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes (rows of symbols) in lexicographic order, and how many symbols each shares with the one before."""
+    padded = np.zeros((len(rows), -(-rows.shape[1] // 2) * 2), np.uint64)
+    padded[:, : rows.shape[1]] = rows
+    keys = padded[:, 0::2] << np.uint64(32) | padded[:, 1::2]
+    order = np.lexsort(keys.T[::-1])
+    sorted_rows = rows[order]
+    differ = sorted_rows[1:] != sorted_rows[:-1]
+    shared = np.where(differ.any(1), differ.argmax(1), rows.shape[1]) if len(rows) > 1 else np.zeros(0, np.int64)
+    return order, np.concatenate(([0], shared))[: len(rows)]
+
+
+def later_in_nodes(rows: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Which suffixes are of a document that is not the smallest of their node at full depth."""
+    order, shared = suffix_tree(rows)
+    begin = np.flatnonzero(shared < rows.shape[1])
+    smallest = np.minimum.reduceat(docs[order], begin)
+    out = np.zeros(len(rows), bool)
+    out[order] = docs[order] > np.repeat(smallest, np.diff(np.append(begin, len(rows))))
+    return out
 
 
-def prefix_counts(rows: DataFrame, window: int, bits: int) -> list[np.ndarray]:
+def prefix_counts(stored: DataFrame, window: int, bits: int) -> list[np.ndarray]:
     """How many suffixes have each prefix bin, by prefix length; the tables' size depends on bits alone."""
-    salts = salts_of(rows)
+    salts = salts_of(stored)
 
     def count(batches):
         total = np.zeros((len(PREFIXES), 1 << bits))
-        for texts, *_ in blocks(batches, BLOCK_BYTES, ["text", "doc_id"]):
-            for level, found in enumerate(_Suffixes(texts, window, bits).bins):
-                total[level] += np.bincount(found, minlength=1 << bits)
+        for batch in batches:
+            for payload in batch.column(1):
+                b = Block(payload.as_py(), window)
+                for level, found in enumerate(b.prefix_bins(np.arange(len(b.places)), bits)):
+                    total[level] += np.bincount(found, minlength=1 << bits)
         yield slices(total, salts)
 
     size = len(PREFIXES) << bits
-    return list(summed(rows.mapInArrow(count, SLICE), size).reshape(len(PREFIXES), 1 << bits).astype(np.int64))
+    return list(summed(stored.mapInArrow(count, SLICE), size).reshape(len(PREFIXES), 1 << bits).astype(np.int64))
 
 
-def prefix_groups(counts: list[np.ndarray], most: int) -> list[np.ndarray]:
-    """By prefix length, the group of each bin; -1 where a longer prefix decides."""
+def prefix_groups(counts: list[np.ndarray], most: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """By prefix length, the group of each bin, -1 where a longer prefix decides; and over how many groups, by digest, a bin of the longest is split."""
     out, group, held = [], 0, 0
+    splits = np.ones(len(counts[-1]), np.uint64)
     for level, count in enumerate(counts):
-        groups = np.full(len(count), -1, np.int32)
+        last = level + 1 == len(counts)
+        groups = np.full(len(count), -1, np.int64)
         for at, n in enumerate(count.tolist()):
-            if n > most and level + 1 < len(counts):
+            if n > most and not last:
                 continue
             if held and held + n > most:
                 group, held = group + 1, 0
             groups[at], held = group, held + n
+            if n > most:
+                splits[at] = -(-n // most)
+                group, held = group + int(splits[at]), 0
         out.append(groups)
-    return out
+    return out, splits
 
 
-def _targets(bins: list[np.ndarray], groups: list[np.ndarray]) -> np.ndarray:
+def _targets(bins: list[np.ndarray], groups: list[np.ndarray], splits: np.ndarray, digests: np.ndarray) -> np.ndarray:
     target = groups[0][bins[0]]
     for found, group in zip(bins[1:], groups[1:], strict=True):
         target = np.where(target < 0, group[found], target)
-    return target
+    parts = splits[bins[-1]]
+    longest = parts > 1
+    longest &= np.logical_and.reduce([group[found] < 0 for found, group in zip(bins[:-1], groups[:-1], strict=True)])
+    return target + np.where(longest, digests % parts, 0).astype(np.int64)
 
 
-def _batches(rows):
-    """Rows of OUT in Arrow batches of a few MB."""
+def _parts(rows):
+    """Rows of PART in Arrow batches of a few MB."""
     held, size = [], 0
     for row in rows:
         held.append(row)
         size += len(row[2])
         if size > 4 << 20:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), OUT, strict=True)], schema=OUT)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), PART, strict=True)], schema=PART)
             held, size = [], 0
     if held:
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), OUT, strict=True)], schema=OUT)
-
-
-def _flags(ids: np.ndarray, keys: np.ndarray, places: np.ndarray, buckets: int):
-    """Rows that tell a bucket of documents the places of their repeated windows; a document's bucket is its id modulo their number."""
-    bucket = np.mod(ids, buckets)
-    order = np.lexsort((places, ids, bucket))
-    ids, keys, places, bucket = ids[order], keys[order], places[order], bucket[order]
-    cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        yield -1 - int(bucket[a]), int(bucket[a]), _packed(np.diff(ids[a:b], prepend=0), keys[a:b], places[a:b].astype(np.uint32))
-
-
-def nodes_of_block(digests: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The order of sorted suffixes; in it, where nodes begin; and which suffixes are of a document that is not their node's smallest."""
-    order = np.argsort(digests, kind="stable")
-    ordered = digests[order]
-    begin = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.zeros(0, np.int64)
-    smallest = np.minimum.reduceat(docs[order], begin) if len(begin) else docs[:0]
-    later = docs[order] > np.repeat(smallest, np.diff(np.append(begin, len(order))))
-    return order, begin, later
-
-
-def repeats(docs: DataFrame, buckets: int, keyed: bool, window: int = WINDOW, group_suffixes: int = GROUP_SUFFIXES) -> DataFrame:
-    """(bucket, payload): documents and places of windows that also start in a document with a smaller id.
-
-    keyed: documents are told apart by their text too, for rows that repeat an id.
-    """
-    bits = min(20, max(10, shuffle_partitions(docs.sparkSession).bit_length() + 6))
-    rows = docs.filter("doc_id is not null and text is not null").select("text", F.col("doc_id").cast("long").alias("doc_id"))
-    groups = prefix_groups(prefix_counts(rows, window, bits), group_suffixes)
-    rows = rows.withColumn("row_key", F.xxhash64("text") if keyed else F.lit(0).cast("long"))
-
-    def emit(batches):
-        for texts, ids, keys in blocks(batches, BLOCK_BYTES, ["text", "doc_id", "row_key"]):
-            ids, keys = np.array(ids, np.int64), np.array(keys, np.int64)
-            s = _Suffixes(texts, window, bits)
-            order, _, later = nodes_of_block(s.digests, ids[s.text])
-            gone = order[later]
-            yield from _batches(_flags(ids[s.text[gone]], keys[s.text[gone]], s.places[gone] - s.bounds[s.text[gone]], buckets))
-            stay = order[~later]
-            target = _targets([b[stay] for b in s.bins], groups)
-            by_target = np.argsort(target, kind="stable")
-            stay, target = stay[by_target], target[by_target]
-            cuts = np.flatnonzero(np.diff(target, prepend=-1, append=-1))
-            steps = lambda x: np.diff(x, prepend=x.dtype.type(0))
-            table_of_block = steps(ids), keys, steps(s.bounds.astype(np.uint32))
-            yield from _batches((int(target[a]), None, _packed(steps(s.digests[stay[a:b]]), s.places[stay[a:b]].astype(np.uint32), *table_of_block)) for a, b in zip(cuts, cuts[1:], strict=False))
-
-    def subtree(group: pa.Table) -> pa.Table:
-        if group["target"][0].as_py() < 0:  # flags of single tasks: nothing is left to resolve
-            return group
-        parts = [_unpacked(x.as_py(), np.uint64, np.uint32, np.int64, np.int64, np.uint32) for x in group["payload"]]
-        digests = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
-        docs, keys, places = [], [], []
-        for _, at, ids, row_keys, bounds in parts:
-            bounds = np.cumsum(bounds, dtype=np.int64)
-            text = np.searchsorted(bounds, at, side="right") - 1
-            docs.append(np.cumsum(ids)[text])
-            keys.append(row_keys[text])
-            places.append(at - bounds[text])
-        docs, keys, places = np.concatenate(docs), np.concatenate(keys), np.concatenate(places)
-        order, _, later = nodes_of_block(digests, docs)
-        gone = order[later]
-        return pa.Table.from_batches(list(_batches(_flags(docs[gone], keys[gone], places[gone], buckets))), schema=OUT)
-
-    return rows.mapInArrow(emit, OUT_SQL).groupBy("target").applyInArrow(subtree, OUT_SQL).select("bucket", "payload")
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), PART, strict=True)], schema=PART)
+
+
+def _cuts(sorted_values: np.ndarray):
+    """(a, b) of runs of equal values."""
+    cuts = np.flatnonzero(np.diff(sorted_values, prepend=-1, append=-1)) if len(sorted_values) else []
+    return zip(cuts, cuts[1:], strict=False)
+
+
+def _signature(b: Block, left: np.ndarray, targets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted distinct digests of suffixes `left`, the task that compares each)."""
+    own = np.unique(b.digests[left] >> np.uint64(64 - DIGEST_BITS))
+    return own, (own // np.uint64((1 << DIGEST_BITS) // targets + 1)).astype(np.int64)
+
+
+def recurring(stored: DataFrame, window: int, targets: int) -> DataFrame:
+    """(target, block, payload): for each block and task, a bit for each digest that the block told, whether another block has it too."""
+
+    def tell(batches):
+        for batch in batches:
+            for block, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                b = Block(payload.as_py(), window)
+                own, target = _signature(b, b.resolved()[1], targets)
+                yield from _parts((int(target[x]), block, _packed(np.diff(own[x:y], prepend=np.uint64(0)))) for x, y in _cuts(target))
+
+    def compare(group: pa.Table) -> pa.Table:
+        told = [np.cumsum(_unpacked(x.as_py(), np.uint64)[0], dtype=np.uint64) for x in group["payload"]]
+        flat = np.concatenate(told)
+        order = np.argsort(flat, kind="stable")
+        same = np.concatenate(([False], flat[order][1:] == flat[order][:-1]))
+        twice = np.zeros(len(flat), bool)
+        twice[order] = same | np.append(same[1:], False)
+        out, at = [], 0
+        for block, own in zip(group["block"].to_pylist(), told, strict=True):
+            mine, at = twice[at : at + len(own)], at + len(own)
+            if mine.any():
+                out.append((group["target"][0].as_py(), block, np.packbits(mine).tobytes()))
+        return pa.Table.from_batches(list(_parts(out)), schema=PART)
+
+    return stored.mapInArrow(tell, PART_SQL).groupBy("target").applyInArrow(compare, PART_SQL)
+
+
+def _suffix_rows(b: Block, at: np.ndarray, target: np.ndarray, block: int):
+    """PART rows with suffixes `at`, their words once in each row."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    order = np.argsort(target, kind="stable")
+    at, target = at[order], target[order]
+    symbols = symbols_of(b.words)
+    for x, y in _cuts(target):
+        some = at[x:y]
+        used, first, number = np.unique(symbols[b.places[some][:, None] + np.arange(b.window)].ravel(), return_index=True, return_inverse=True)
+        where = (b.places[some][:, None] + np.arange(b.window)).ravel()[first]
+        words = b" ".join(b.words.data[i:j] for i, j in zip(b.words.begins[where].tolist(), b.words.ends[where].tolist(), strict=True))
+        number = number.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32).reshape(len(some), b.window)
+        yield int(target[x]), block, pack(_packed(np.array([len(some), number.itemsize], np.int64), np.frombuffer(words, np.uint8), number.ravel(), b.docs[some], b.text[some].astype(np.uint32), (b.places[some] - b.words.bounds[b.text[some]]).astype(np.uint32)))
+
+
+def _read_suffixes(payload: bytes, window: int):
+    data = zstandard.ZstdDecompressor().decompress(payload)
+    n, width = _unpacked(data, np.int64, np.uint8, np.uint8, np.uint8, np.uint8, np.uint8)[0].tolist()
+    _, words, number, docs, text, place = _unpacked(data, np.int64, np.uint8, {2: np.uint16, 4: np.uint32}[width], np.int64, np.uint32, np.uint32)
+    return words.tobytes(), number.reshape(n, window), docs, text, place
+
+
+def subtree(group: pa.Table, window: int, keep: bool) -> pa.Table:
+    """A group's answers: (-1, block, flags). With keep, also the suffixes that are left, for another step."""
+    if group["target"][0].as_py() < 0:  # answers of an earlier step
+        return group.select(PART.names)
+    parts = [_read_suffixes(x.as_py(), window) for x in group["payload"]]
+    words = Words([p[0] for p in parts])
+    symbols = symbols_of(words)
+    rows = np.concatenate([symbols[first + p[1]] for first, p in zip(words.bounds.tolist(), parts, strict=False)])
+    later = later_in_nodes(rows, np.concatenate([p[2] for p in parts]))
+    out, at = [], 0
+    for block, target, payload, (_, _, docs, text, place) in zip(group["block"].to_pylist(), group["target"].to_pylist(), group["payload"], parts, strict=True):
+        gone, at = later[at : at + len(docs)], at + len(docs)
+        if gone.any():
+            out.append((-1 - block % 1009, block, _packed(text[gone], place[gone])))
+        if keep and not gone.all():
+            out.append((target, block, payload.as_py()))
+    return pa.Table.from_batches(list(_parts(out)), schema=PART)
+
+
+def repeats(stored: DataFrame, window: int = WINDOW, group_suffixes: int = GROUP_SUFFIXES) -> DataFrame:
+    """(block, payload): rows and places of windows that also start in a document with a smaller id."""
+    partitions = shuffle_partitions(stored.sparkSession)
+    bits = min(22, max(10, partitions.bit_length() + 6))
+    counts = prefix_counts(stored, window, bits)
+    groups, splits = prefix_groups(counts, group_suffixes)
+    targets = max(partitions, int(counts[0].sum()) // TASK_DIGESTS + 1)
+    answers = recurring(stored, window, targets)
+
+    def send(blocks_: pa.Table, told: pa.Table) -> pa.Table:
+        out = []
+        for block, payload in zip(blocks_["block"].to_pylist(), blocks_["payload"], strict=True):
+            b = Block(payload.as_py(), window)
+            gone, left = b.resolved()
+            if len(gone):
+                out.append((-1 - block % 1009, block, b.flags(gone)))
+            own, target = _signature(b, left, targets)
+            twice = np.zeros(len(own), bool)
+            heard = dict(zip(told["target"].to_pylist(), told["payload"], strict=True))
+            for x, y in _cuts(target):
+                if (bits_ := heard.get(int(target[x]))) is not None:
+                    twice[x:y] = np.unpackbits(np.frombuffer(bits_.as_py(), np.uint8), count=y - x)
+            some = left[twice[np.searchsorted(own, b.digests[left] >> np.uint64(64 - DIGEST_BITS))]] if len(own) else left
+            if len(some):
+                out += _suffix_rows(b, some, _targets(b.prefix_bins(some, bits), groups, splits, b.digests[some]), block)
+        return pa.Table.from_batches(list(_parts(out)), schema=PART)
+
+    sent = stored.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(send, PART_SQL)
+    salts = -(-stored.count() // group_suffixes)
+    if salts > 1:
+        sent = sent.groupBy("target", F.pmod("block", F.lit(salts)).alias("salt")).applyInArrow(lambda g: subtree(g, window, True), PART_SQL)
+    return sent.groupBy("target").applyInArrow(lambda g: subtree(g, window, False), PART_SQL).select("block", "payload")
 
 
 def deduped(docs: DataFrame, window: int = WINDOW, group_suffixes: int = GROUP_SUFFIXES) -> DataFrame:
-    """doc_id, n_words, n_removed, text: the words that no earlier document's window covers, joined by one space."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    keyed = bool(rows.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count())
-    buckets = 4 * shuffle_partitions(spark) + 1
-    found = repeats(rows, buckets, keyed, window, group_suffixes)
-    dealt = rows.select("doc_id", "text", (F.xxhash64("text") if keyed else F.lit(0).cast("long")).alias("row_key"), F.coalesce(F.pmod("doc_id", F.lit(buckets)), F.lit(0)).cast("int").alias("bucket"))
-    cover = np.arange(window)
-
-    def remove(texts: pa.Table, flags: pa.Table) -> pa.Table:
-        parts = [_unpacked(x.as_py(), np.int64, np.int64, np.uint32) for x in flags["payload"]]
-        ids, keys, places = (np.concatenate([f(p) for p in parts]) if parts else np.zeros(0, np.int64) for f in (lambda p: np.cumsum(p[0]), lambda p: p[1], lambda p: p[2].astype(np.int64)))
-        order = np.lexsort((keys, ids))
-        ids, keys, places = ids[order], keys[order], places[order]
-        cuts = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])))) if len(ids) else np.zeros(0, np.int64)
-        spans = {(int(ids[a]), int(keys[a])): places[a:b] for a, b in zip(cuts, np.append(cuts, len(ids))[1:], strict=True)}
-        out = [[], [], []]
-        for doc_id, text, key in zip(texts["doc_id"].to_pylist(), texts["text"].to_pylist(), texts["row_key"].to_pylist(), strict=True):
-            words = (text or "").encode().split()
-            n, gone = len(words), 0
-            if text is not None and (at := spans.get((doc_id, key))) is not None:
-                keep = np.ones(n, bool)
-                keep[(at[:, None] + cover).ravel()] = False
-                gone = n - int(np.count_nonzero(keep))
-                words = [words[i] for i in np.flatnonzero(keep).tolist()]
-            for into, value in zip(out, (n, gone, b" ".join(words).decode()), strict=True):
-                into.append(value)
-        return pa.table({"doc_id": texts["doc_id"], "n_words": pa.array(out[0], pa.int64()), "n_removed": pa.array(out[1], pa.int64()), "text": pa.array(out[2], pa.string())})
-
-    return dealt.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(remove, "doc_id long, n_words long, n_removed long, text string")
+    """doc_id, n_words, n_removed, spans (removed words, as begin and end of each maximal repeat), text: the words that are left, joined by one space."""
+    small_batches(docs.sparkSession)
+    stored = stored_blocks(docs)
+    found = repeats(stored, window, group_suffixes)
+    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))), ("text", pa.string())])
+
+    def remove(blocks_: pa.Table, flags: pa.Table) -> pa.Table:
+        marks = [_unpacked(x.as_py(), np.uint32, np.uint32) for x in flags["payload"]]
+        text, place = (np.concatenate([m[k] for m in marks]).astype(np.int64) if marks else np.zeros(0, np.int64) for k in (0, 1))
+        order = np.lexsort((place, text))
+        text, place = text[order], place[order]
+        spans = {int(text[a]): place[a:b] for a, b in _cuts(text)}
+        out = [[] for _ in schema]
+        for payload in blocks_["payload"]:
+            ids, known, lengths, body = _unpacked(zstandard.ZstdDecompressor().decompress(payload.as_py()), np.int64, bool, np.int64, np.uint8)
+            at, body = 0, body.tobytes()
+            for k, (doc_id, has, n) in enumerate(zip(ids.tolist(), known.tolist(), lengths.tolist(), strict=True)):
+                words, at = body[at : at + n].split(), at + n
+                total, gone, cut = len(words), 0, []
+                if (begins := spans.get(k)) is not None:
+                    new = np.flatnonzero(np.concatenate(([True], begins[1:] > begins[:-1] + window)))
+                    cut = list(zip(begins[new].tolist(), (begins[np.append(new[1:], len(begins)) - 1] + window).tolist(), strict=True))
+                    for a, b in reversed(cut):
+                        del words[a:b]
+                    gone = total - len(words)
+                for into, value in zip(out, (doc_id if has else None, total, gone, [{"begin": a, "end": b} for a, b in cut], b" ".join(words).decode("utf-8", "surrogatepass")), strict=True):
+                    into.append(value)
+        return pa.Table.from_arrays([pa.array(v, f.type) for v, f in zip(out, schema, strict=True)], schema=schema)
+
+    return stored.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(remove, "doc_id long, n_words long, n_removed long, spans array<struct<begin: int, end: int>>, text string")
 
 
 def op2_substring_dedup(spark, sf_dir):
+    """Per document: its words, how many of them windows of smaller documents cover, and the digest of the others."""
     out = deduped(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 

@@ -4,8 +4,12 @@ Payload bytes are stored once under their SHA-256; every record's exact header
 is stored apart with that digest. Records are rebuilt by joining the two, and
 each payload is hashed again when it is read.
 
-Nulls: a null page is an empty payload. Rows that repeat a page id and payload
-count as one page captured twice: each gets a record of the same type.
+Nulls: a null page is an empty payload, a null address an empty one. Rows that
+repeat a page id and payload count as one page captured twice: each gets a
+record of the same type. Rows without page_id are never the first of a payload
+that a row with an id has too; among themselves they count as one page. Without
+pages both tables are empty; columns other than page_id, url and html are not
+looked at.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.runtime import store, table
 
 CRLF = "\r\n"
+REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: RFC 4648 digits, and those of Spark's conv in base 32.
 BASE32, CONV32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 
@@ -26,8 +31,8 @@ def base32_of_hex(hexed):
     return F.translate(F.concat(*chunks), CONV32, BASE32)
 
 
-def write_archive(pages: DataFrame, min_bytes: int = 0) -> tuple[DataFrame, DataFrame]:
-    """(payloads: digest, payload), (headers: page_id, digest, header).
+def write_archive(pages: DataFrame, min_bytes: int = 0, date: str = "1970-01-01T00:00:00Z") -> tuple[DataFrame, DataFrame]:
+    """(payloads: digest, payload), (headers: page_id, digest, header). date: when the pages were captured, as the table does not tell.
 
     Of pages with equal payloads of at least min_bytes, the one with the largest
     id is the response and the others are revisits; smaller ones are responses.
@@ -41,8 +46,8 @@ def write_archive(pages: DataFrame, min_bytes: int = 0) -> tuple[DataFrame, Data
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
     header = F.concat(
         F.lit(f"WARC/1.1{CRLF}WARC-Type: "), F.when(response, "response").otherwise("revisit"),
-        F.lit(f"{CRLF}WARC-Record-ID: "), name(F.col("page_id")),
-        F.when(response, F.lit("")).otherwise(F.concat(F.lit(f"{CRLF}WARC-Refers-To: "), name(F.col("top")))),
+        F.lit(f"{CRLF}WARC-Record-ID: "), name(F.col("page_id")), F.lit(f"{CRLF}WARC-Date: {date}"),
+        F.when(response, F.lit("")).otherwise(F.concat(F.lit(f"{CRLF}WARC-Profile: {REVISIT}{CRLF}WARC-Refers-To: "), name(F.col("top")))),
         F.lit(f"{CRLF}WARC-Target-URI: "), F.regexp_replace("url", "[\r\n]", ""),
         F.lit(f"{CRLF}WARC-Payload-Digest: sha1:"), base32_of_hex(F.col("sha1")),
         F.lit(f"{CRLF}WARC-Block-Digest: sha256:"), F.lower(F.hex("digest")),
@@ -52,7 +57,7 @@ def write_archive(pages: DataFrame, min_bytes: int = 0) -> tuple[DataFrame, Data
     # Pages that are not the first of their payload; a table of ids, which Catalyst broadcasts only if its stored size allows.
     others = store(typed.filter(~F.col("first")).select(F.col("page_id").alias("o_page"), F.col("digest").alias("o_digest")), "others")
     bodies = made.select("page_id", F.unhex(F.sha2("payload", 256)).alias("digest"), "payload")
-    once = bodies.join(others, (F.col("page_id") == F.col("o_page")) & (F.col("digest") == F.col("o_digest")), "left_anti").select("digest", "payload")
+    once = bodies.join(others, F.col("page_id").eqNullSafe(F.col("o_page")) & (F.col("digest") == F.col("o_digest")), "left_anti").select("digest", "payload")
     if digests.groupBy("page_id", "digest").count().filter("count > 1").limit(1).count():  # the same page twice: its payload is still stored once
         once = once.dropDuplicates(["digest"])
     return store(once, "payloads"), headers
@@ -66,8 +71,8 @@ def read_records(payloads: DataFrame, headers: DataFrame) -> DataFrame:
 
 
 def parse_records(records: DataFrame) -> DataFrame:
-    """Fields and payload of WARC records."""
-    text = F.decode(F.col("record"), "UTF-8")
+    """Fields and payload of WARC records. As a string a record is its own bytes; what follows the header is neither decoded nor copied."""
+    text = F.col("record").cast("string")
     head = records.select("page_id", "record", F.substring_index(text, CRLF + CRLF, 1).alias("head"))
     field = lambda n: F.regexp_extract("head", f"\r\n{n}: ([^\r\n]*)", 1)
     n = field("Content-Length").cast("int")

@@ -1,36 +1,29 @@
 """Words of whole texts as 64-bit hashes, for many documents at once, in numpy.
 
-A word's hash is a polynomial over its bytes, taken from running sums modulo
-2**64, then mixed. Sequences of words are hashed by pairing shorter ones.
+A word's bytes are taken eight at a time and mixed into its hash one after the
+other, all words side by side; words over LONG bytes, of which a text can hold
+few, are hashed one by one. Sequences of words are hashed by pairing shorter
+ones. Where equal hashes decide what is removed, `same` compares the bytes.
 """
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 
-#: Bytes hashed at a time; only a longer word makes a longer segment.
-SEGMENT = 1 << 19
+#: Bytes of a word beyond which it is hashed by itself.
+LONG = 64
 #: Texts in a block, however short they are.
 MOST_TEXTS = 8192
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_BYTE_VALUES = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, 256, dtype=np.uint64)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(SEGMENT, 1 << int(n).bit_length())
-    if size not in _powers:
-        with np.errstate(over="ignore"):
-            up, down = np.full(size, _BASE, _U), np.full(size, _BASE_INVERSE, _U)
-            up[0] = down[0] = 1
-            _powers.clear()
-            _powers[size] = np.cumprod(up, dtype=_U), np.cumprod(down, dtype=_U)
-    return _powers[size]
+_SEED = _U(0x9E3779B97F4A7C15)
+#: By bytes that are left of a word: which of the eight count.
+_MASKS = np.array([0, *((1 << 8 * k) - 1 for k in range(1, 9))], _U)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -59,32 +52,54 @@ _SPACE_TABLE = delimiter_table()
 class Words:
     """hashes: of all words; bounds[i]:bounds[i + 1]: those of text i; begins, ends: byte places in the joined texts."""
 
-    __slots__ = ("begins", "bounds", "ends", "hashes", "offsets")
+    __slots__ = ("begins", "bounds", "data", "ends", "hashes", "offsets")
 
     def __init__(self, texts: list[bytes], delimiters: np.ndarray = _SPACE_TABLE):
-        joined = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-        gap = delimiters[joined]
+        self.data = b" ".join(texts) + b" " + bytes(8)  # eight bytes more, so that the last word can be read in eights
+        gap = delimiters[np.frombuffer(self.data, np.uint8, len(self.data) - 8)]
         edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
         if len(gap) and not gap[0]:
             edge = np.concatenate(([0], edge))
         self.begins, self.ends = edge[0::2], edge[1::2]
-        self.hashes = np.empty(len(self.begins), _U)
-        first = 0
-        while first < len(self.begins):  # in segments, so that tables and sums stay small
-            last = max(first + 1, int(np.searchsorted(self.begins, self.begins[first] + SEGMENT)))
-            start = self.begins[first]
-            part = joined[start : self.ends[last - 1]]
-            up, down = _power_tables(len(part))
-            begins, ends = self.begins[first:last] - start, self.ends[first:last] - start
-            with np.errstate(over="ignore"):
-                sums = np.zeros(len(part) + 1, _U)
-                np.cumsum(_BYTE_VALUES[part] * up[: len(part)], out=sums[1:], dtype=_U)
-                self.hashes[first:last] = mix(((sums[ends] - sums[begins]) * down[begins]) ^ ((ends - begins).astype(_U) << _U(56)))
-            first = last
+        self.hashes = self._hashed()
         lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
         self.offsets = np.concatenate(([0], np.cumsum(lengths)))
         self.bounds = np.searchsorted(self.begins, self.offsets)
 
+    def _eights(self, begins: np.ndarray, left: np.ndarray) -> np.ndarray:
+        """Eight bytes from each place, those past the word's end as 0."""
+        each = np.ndarray(len(self.data) - 7, "<u8", self.data, strides=(1,))
+        return each[begins] & _MASKS[np.minimum(left, 8)]
+
+    def _hashed(self) -> np.ndarray:
+        lengths = self.ends - self.begins
+        out = mix(lengths.astype(_U) + _SEED)
+        at, step = np.flatnonzero(lengths <= LONG), 0
+        while len(at):
+            with np.errstate(over="ignore"):
+                out[at] = mix((out[at] + _SEED) ^ self._eights(self.begins[at] + step, lengths[at] - step))
+            step += 8
+            at = at[lengths[at] > step]
+        view = memoryview(self.data)
+        for k in np.flatnonzero(lengths > LONG).tolist():
+            out[k] = xxhash.xxh3_64_intdigest(view[self.begins[k] : self.ends[k]])
+        return out
+
+    def same(self, mine: np.ndarray, other: Words, its: np.ndarray) -> np.ndarray:
+        """Whether words number mine[i] here and its[i] there have the same bytes."""
+        lengths = self.ends[mine] - self.begins[mine]
+        out = lengths == other.ends[its] - other.begins[its]
+        at, step = np.flatnonzero(out & (lengths <= LONG)), 0
+        while len(at):
+            left = lengths[at] - step
+            out[at] &= self._eights(self.begins[mine[at]] + step, left) == other._eights(other.begins[its[at]] + step, left)
+            step += 8
+            at = at[out[at] & (lengths[at] > step)]
+        a, b = memoryview(self.data), memoryview(other.data)
+        for k in np.flatnonzero(out & (lengths > LONG)).tolist():
+            out[k] = a[self.begins[mine[k]] : self.ends[mine[k]]] == b[other.begins[its[k]] : other.ends[its[k]]]
+        return out
+
 
 def windows(hashes: np.ndarray, k: int) -> np.ndarray:
     """Hashes of k consecutive items, one for each place that has k left in the array; texts are told apart by the caller."""
@@ -127,3 +142,12 @@ def blocks(batches: Iterator, size: int, columns: list[str]) -> Iterator[tuple]:
                 held, total = [[] for _ in columns], 0
     if held[0]:
         yield tuple(held)
+    del held
+    release()
+
+
+def release() -> None:
+    """Gives freed memory back: a worker is kept for later tasks, and what it holds meanwhile counts against its executor."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
