@@ -290,7 +290,7 @@ def test_equal_hashes_of_other_words_are_told_apart(monkeypatch):
 
     monkeypatch.setattr(W.Words, "_hashed", lambda self: (self.ends - self.begins).astype(np.uint64))  # words of one length collide
     w = W.Words([b"aa bb aa cc dd aa bb"])
-    assert substrings.symbols_of(w).tolist()[0] == substrings.symbols_of(w).tolist()[2] and len(set(substrings.symbols_of(w).tolist())) == 4
+    assert substrings.symbols_of(w)[0].tolist()[0] == substrings.symbols_of(w)[0].tolist()[2] and len(set(substrings.symbols_of(w)[0].tolist())) == 4
     p = contamination.Phrases([("x", "one two")])
     assert not contamination.hits_of_shard(p, [b"six two one ten"])[1].any()
 
@@ -333,10 +333,90 @@ def test_scoring(spark, docs):
         assert any((r.n_tokens, r.n_known) == (n, k) and math.isclose(r.base_score, b, rel_tol=1e-9) for n, k, b in want[r.doc_id])
 
 
-def test_scoring_is_a_distribution(spark):
-    t = scoring.Tokens([b"a bb ccc", b""])
-    weights = np.random.Generator(np.random.PCG64(1)).normal(size=((1 << scoring.FEATURE_BITS) + 1, scoring.CLASSES + 1)).astype(np.float32)
-    assert np.allclose(np.exp(scoring.class_scores(t, weights, 0, 5)).sum(1), 1, atol=1e-5) and t.bounds.tolist() == [0, 4, 5]
+def _small_model(seed=1):
+    r = np.random.Generator(np.random.PCG64(seed))
+    texts = [b"a bb ccc a bb", b"", b"ccc a dd a bb", b"ee"]
+    c = collections.Counter(h for h in scoring.Tokens(texts).hashes.tolist())
+    hashes = np.array(sorted(c), np.uint64)
+    n = np.array([c[h] for h in hashes.tolist()])
+    leaves = scoring.learnt_leaves(hashes, n, r.integers(0, 9, (len(hashes), 2 * scoring.CONTEXTS)).astype(float))
+    leaf = leaves.of(hashes)
+    model = scoring.Model(leaves, np.bincount(leaf, n, scoring.CLASSES * scoring.SLOTS), np.bincount(leaf, minlength=scoring.CLASSES * scoring.SLOTS), 10)
+    for softmax in model.levels:
+        softmax.weights += r.normal(size=softmax.weights.shape).astype(np.float32)
+    return model, hashes, n, texts
+
+
+def test_scoring_is_a_distribution():
+    model, hashes, n, texts = _small_model()
+    t = scoring.Tokens(texts)
+    assert t.bounds.tolist() == [0, 6, 7, 13, 15]
+    for at in (0, 3, 8):  # in one context: all known words and room for an unknown one in each leaf
+        total = 0.0
+        for h, k in [*zip(hashes.tolist(), n.tolist())]:
+            x = scoring.Tokens(texts)
+            x.hashes[at] = h
+            counts = np.zeros(len(x.hashes))
+            counts[at] = k
+            total += 10 ** model.scores(x, counts)[at]
+        p, q = (s.probabilities([r[at : at + 1] for r in rows])[0] for s, rows, _ in model.cases(t)[1])
+        assert math.isclose(p.sum(), 1, rel_tol=1e-5) and math.isclose(q.sum(), 1, rel_tol=1e-5)
+        assert 0 < total < 1
+
+
+def test_scores_against_a_plain_model():
+    """Every probability again, with loops over features, classes and slots."""
+    model, hashes, n, texts = _small_model()
+    t = scoring.Tokens(texts)
+    count = dict(zip(hashes.tolist(), n.tolist()))
+    got = model.scores(t, np.array([count.get(h, 0) for h in t.hashes.tolist()]))
+    m64, top = (1 << 64) - 1, lambda x, bits: x >> (64 - bits)
+
+    def mix(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & m64
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & m64
+        return x ^ x >> 31
+
+    pair = lambda a, b: mix(a * 0xD6E8FEB86659FD93 + b + 0xA0761D6478BD642F & m64)
+    begin, end = int(scoring._BEGIN), int(scoring._END)
+    at = 0
+    for text in texts:
+        words = [int(h) for h in scoring.Tokens([text]).hashes]
+        for k, w in enumerate(words):
+            one, two = words[k - 1] if k else begin, words[k - 2] if k > 1 else begin
+            histories = [mix(one), pair(two, one), mix(two ^ end)]
+            leaf = int(model.leaves.of(np.array([w], np.uint64))[0])
+            want = math.log10((count.get(w, 0) + 1) / (model.counts[leaf] + model.kinds[leaf] + 1))
+            c, slot = divmod(leaf, scoring.SLOTS)
+            for softmax, about, right in ((model.levels[0], None, c), (model.levels[1], c, slot)):
+                hs = histories if about is None else [mix(h ^ mix(about + 1)) for h in histories]
+                z = softmax.weights[(3 << softmax.bits) + (about or 0)].astype(float)
+                for kind, h in enumerate(hs):
+                    z = z + softmax.weights[(kind << softmax.bits) + top(h, softmax.bits)]
+                want += z[right] / math.log(10) - math.log10(sum(math.exp(x) for x in z))
+            assert math.isclose(got[at], want, rel_tol=1e-4, abs_tol=1e-4)
+            at += 1
+
+
+def test_an_update_follows_the_gradient():
+    model, *_, texts = _small_model(4)
+    t = scoring.Tokens(texts * 5)
+    n = np.zeros(len(t.hashes))
+    before = model.scores(t, n).sum()
+    for softmax in model.levels:
+        softmax.start()
+    for _ in range(30):
+        model.learn(t)
+    assert model.scores(t, n).sum() > before + 1
+
+
+def test_scoring_learns_context(spark):
+    r = random.Random(8)
+    follow = {f"a{k}": f"b{k}" for k in range(30)}
+    text = lambda: " ".join(f"{a} {follow[a]}" for a in (r.choice(list(follow)) for _ in range(40)))
+    df = spark.createDataFrame([(k, text()) for k in range(400)], "doc_id long, text string")
+    got = scoring.scored(df, F.col("doc_id") % 4 != 0).filter("doc_id % 4 = 0").agg(F.sum("score") / F.sum("n_tokens"), F.sum("base_score") / F.sum("n_tokens")).first()
+    assert got[0] > got[1] + 0.3  # half of the words follow from the word before
 
 
 def test_archive(spark):

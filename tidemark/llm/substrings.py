@@ -12,7 +12,7 @@ of a document. Suffixes are compared by words, byte by byte, not by hashes.
 
 Only suffixes that can be in such a node travel with their words:
 
-1. Documents are stored in blocks. A block resolves the nodes of its own.
+1. Documents are dealt to blocks. A block resolves the nodes of its own.
 2. It tells digests of the windows that it has left, and hears which of them
    other blocks have, as a bit for each.
 3. Those suffixes go to their groups, and the groups answer with places.
@@ -30,24 +30,29 @@ not looked at. Whole texts take part, however long; one text is in one block.
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.runtime import SLICE, salts_of, shuffle_partitions, slices, small_batches, store, summed, table
-from tidemark.llm.words import Words, blocks, window_places, windows
+from tidemark.llm.runtime import SLICE, salts_of, shuffle_partitions, slices, small_batches, summed, table
+from tidemark.llm.words import Words, blocks, release, window_places, windows
 
 WINDOW = 13
 PREFIXES = (1, 2, 4, 8)
 BLOCK_BYTES = 12 << 20
 #: Suffixes that a group may have, and digests that one task compares.
 GROUP_SUFFIXES, TASK_DIGESTS = 750_000, 2_000_000
-#: Bits of a digest that are compared; equal ones only make suffixes travel.
-DIGEST_BITS = 48
+#: Digests are cut to this many bits more than count all suffixes; equal ones only make suffixes travel, some of them for nothing.
+SPARE_BITS = 9
+#: Bytes of texts for a block.
+BUCKET_BYTES = 10 << 20
 BLOCK_SQL, PART_SQL = "block long, payload binary", "target long, block long, payload binary"
+BLOCK = pa.schema([("block", pa.int64()), ("payload", pa.binary())])
 PART = pa.schema([("target", pa.int64()), ("block", pa.int64()), ("payload", pa.binary())])
 
 
@@ -75,45 +80,65 @@ def _unpacked(data: bytes, *dtypes) -> list[np.ndarray]:
     return out
 
 
-def stored_blocks(docs: DataFrame) -> DataFrame:
-    """(block, payload): documents in blocks of about BLOCK_BYTES, as a table, so that every later step sees the same blocks."""
+def dealt(docs: DataFrame, buckets: int) -> DataFrame:
+    """(block, payload): documents by the hash of id and text. Rows of a task with the same id and text travel once, with their number."""
 
-    def write(batches):
+    def deal(batches):
         pack = zstandard.ZstdCompressor(level=1).compress
-        number = TaskContext.get().partitionId() << 32
         for texts, ids in blocks(batches, BLOCK_BYTES, ["text", "doc_id"]):
-            known = np.array([i is not None for i in ids])
-            payload = _packed(np.array([i or 0 for i in ids], np.int64), known, np.array([len(t) for t in texts], np.int64), np.frombuffer(b"".join(texts), np.uint8))
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([pack(payload)], pa.binary())], names=["block", "payload"])
-            number += 1
+            rows = Counter(zip(ids, texts, strict=True))
+            parts: dict[int, list] = defaultdict(list)
+            for (doc_id, text), times in rows.items():
+                parts[xxhash.xxh3_64_intdigest(text, (doc_id or 0) & 0xFFFFFFFF) % buckets].append((doc_id, text, times))
+            yield from _batches(BLOCK, ((bucket, pack(_documents(part))) for bucket, part in parts.items()))
+
+    return docs.select("text", F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(deal, BLOCK_SQL)
+
 
-    return store(docs.select("text", F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(write, BLOCK_SQL), "blocks")
+def _documents(rows: list[tuple[int | None, bytes, int]]) -> bytes:
+    ids, texts, times = zip(*rows, strict=True)
+    numbers = np.array([[i or 0, i is not None, len(t), n] for i, t, n in zip(ids, texts, times, strict=True)], np.int64)
+    return _packed(numbers.ravel(), np.frombuffer(b"".join(texts), np.uint8))
+
+
+def _read_documents(payloads) -> list[tuple[int | None, bytes, int]]:
+    """Documents of a block with their numbers of rows, in an order that does not depend on how they came."""
+    unpack, rows = zstandard.ZstdDecompressor().decompress, Counter()
+    for payload in payloads:
+        numbers, body = _unpacked(unpack(payload.as_py()), np.int64, np.uint8)
+        at, body = 0, body.tobytes()
+        for doc_id, known, n, times in numbers.reshape(-1, 4).tolist():
+            rows[known, doc_id, body[at : at + n]] += times
+            at += n
+    return [(doc_id if known else None, text, rows[known, doc_id, text]) for known, doc_id, text in sorted(rows)]
 
 
 class Block:
     """Documents of a block and their suffixes: places (of first words), text, docs, digests."""
 
-    def __init__(self, payload: bytes, window: int):
-        self.ids, self.known, lengths, body = _unpacked(zstandard.ZstdDecompressor().decompress(payload), np.int64, bool, np.int64, np.uint8)
-        ends, body = np.cumsum(lengths).tolist(), body.tobytes()
-        self.texts = [body[a:b] for a, b in zip([0, *ends], ends, strict=False)]
-        self.window, self.words = window, Words(self.texts)
+    def __init__(self, rows: list[tuple[int | None, bytes, int]], window: int):
+        known = np.array([i is not None for i, *_ in rows], bool)
+        self.window, self.words = window, Words([t for _, t, _ in rows])
         places, text = window_places(self.words.bounds, window)
-        taken = self.known[text]
+        taken = known[text]
         self.places, self.text = places[taken], text[taken]
-        self.docs = self.ids[self.text]
+        self.docs = np.array([i or 0 for i, *_ in rows], np.int64)[self.text]
         self.digests = windows(self.words.hashes, window)[self.places]
+        self.symbols = None
+
+    def numbered(self) -> tuple[np.ndarray, np.ndarray]:
+        self.symbols = symbols_of(self.words) if self.symbols is None else self.symbols
+        return self.symbols
 
     def resolved(self) -> tuple[np.ndarray, np.ndarray]:
         """(suffixes whose node has a smaller document here, the others)."""
-        order = np.argsort(self.digests, kind="stable")
+        order = np.argsort(self.digests)
         ordered = self.digests[order]
-        again = np.concatenate(([False], ordered[1:] == ordered[:-1]))
-        some = order[again | np.append(again[1:], False)]
+        again = np.concatenate(([False], ordered[1:] == ordered[:-1]))[: len(order)]
+        some = order[again | np.append(again[1:], False)[: len(order)]]
         later = np.zeros(len(order), bool)
         if len(some):
-            symbols = symbols_of(self.words)
-            later[some] = later_in_nodes(symbols[self.places[some][:, None] + np.arange(self.window)], self.docs[some])
+            later[some] = later_in_nodes(self.numbered()[0][self.places[some][:, None] + np.arange(self.window)], self.docs[some])
         return np.flatnonzero(later), np.flatnonzero(~later)
 
     def prefix_bins(self, at: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -123,14 +148,23 @@ class Block:
         return _packed(self.text[at].astype(np.uint32), (self.places[at] - self.words.bounds[self.text[at]]).astype(np.uint32))
 
 
-def symbols_of(words: Words) -> np.ndarray:
-    """Numbers of words, equal for equal bytes and only for those."""
-    _, first, number = np.unique(words.hashes, return_index=True, return_inverse=True)
-    number = number.astype(np.int32)
+def symbols_of(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of words, equal for equal bytes and only for those; and the place of one word of each number."""
+    order = np.argsort(words.hashes)
+    ordered = words.hashes[order]
+    new = np.concatenate(([True], ordered[1:] != ordered[:-1]))[: len(order)]
+    first = order[new]
+    number = np.empty(len(order), np.int32)
+    number[order] = np.cumsum(new, dtype=np.int32) - 1
     others: dict[bytes, int] = {}  # words that share their hash with another one
+    more = []
     for k in np.flatnonzero(~words.same(np.arange(len(number)), words, first[number])).tolist():
-        number[k] = others.setdefault(words.data[words.begins[k] : words.ends[k]], len(first) + len(others))
-    return number
+        word = words.data[words.begins[k] : words.ends[k]]
+        if word not in others:
+            others[word] = len(first) + len(others)
+            more.append(k)
+        number[k] = others[word]
+    return number, np.append(first, more).astype(np.int64)
 
 
 def suffix_tree(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -155,21 +189,22 @@ def later_in_nodes(rows: np.ndarray, docs: np.ndarray) -> np.ndarray:
     return out
 
 
-def prefix_counts(stored: DataFrame, window: int, bits: int) -> list[np.ndarray]:
+def prefix_counts(docs: DataFrame, window: int, bits: int) -> list[np.ndarray]:
     """How many suffixes have each prefix bin, by prefix length; the tables' size depends on bits alone."""
-    salts = salts_of(stored)
+    rows = docs.filter("doc_id is not null").select("text")
+    salts = salts_of(rows)
 
     def count(batches):
         total = np.zeros((len(PREFIXES), 1 << bits))
-        for batch in batches:
-            for payload in batch.column(1):
-                b = Block(payload.as_py(), window)
-                for level, found in enumerate(b.prefix_bins(np.arange(len(b.places)), bits)):
-                    total[level] += np.bincount(found, minlength=1 << bits)
+        for (texts,) in blocks(batches, BLOCK_BYTES, ["text"]):
+            words = Words(texts)
+            places, _ = window_places(words.bounds, window)
+            for level, k in enumerate(PREFIXES):
+                total[level] += np.bincount((windows(words.hashes, min(k, window))[places] >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
         yield slices(total, salts)
 
     size = len(PREFIXES) << bits
-    return list(summed(stored.mapInArrow(count, SLICE), size).reshape(len(PREFIXES), 1 << bits).astype(np.int64))
+    return list(summed(rows.mapInArrow(count, SLICE), size).reshape(len(PREFIXES), 1 << bits).astype(np.int64))
 
 
 def prefix_groups(counts: list[np.ndarray], most: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -202,128 +237,143 @@ def _targets(bins: list[np.ndarray], groups: list[np.ndarray], splits: np.ndarra
     return target + np.where(longest, digests % parts, 0).astype(np.int64)
 
 
-def _parts(rows):
-    """Rows of PART in Arrow batches of a few MB."""
+def _batches(schema: pa.Schema, rows):
+    """Rows in Arrow batches of a few MB; the last of a row's values is its payload."""
     held, size = [], 0
     for row in rows:
         held.append(row)
-        size += len(row[2])
+        size += len(row[-1])
         if size > 4 << 20:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), PART, strict=True)], schema=PART)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
             held, size = [], 0
     if held:
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), PART, strict=True)], schema=PART)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
+
+
+def _parts(rows) -> pa.Table:
+    return pa.Table.from_batches(list(_batches(PART, rows)), schema=PART)
 
 
 def _cuts(sorted_values: np.ndarray):
     """(a, b) of runs of equal values."""
-    cuts = np.flatnonzero(np.diff(sorted_values, prepend=-1, append=-1)) if len(sorted_values) else []
+    cuts = np.flatnonzero(np.diff(sorted_values, prepend=-1, append=-1)).tolist() if len(sorted_values) else []
     return zip(cuts, cuts[1:], strict=False)
 
 
-def _signature(b: Block, left: np.ndarray, targets: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted distinct digests of suffixes `left`, the task that compares each)."""
-    own = np.unique(b.digests[left] >> np.uint64(64 - DIGEST_BITS))
-    return own, (own // np.uint64((1 << DIGEST_BITS) // targets + 1)).astype(np.int64)
+def _signature(digests: np.ndarray, bits: int, targets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted distinct digests, cut to so many bits, and the task that compares each)."""
+    own = np.sort(digests >> np.uint64(64 - bits))
+    own = own[np.concatenate(([True], own[1:] != own[:-1]))[: len(own)]]
+    return own, (own // np.uint64((1 << bits) // targets + 1)).astype(np.int64)
 
 
-def recurring(stored: DataFrame, window: int, targets: int) -> DataFrame:
+def recurring(texts: DataFrame, window: int, bits: int, targets: int) -> DataFrame:
     """(target, block, payload): for each block and task, a bit for each digest that the block told, whether another block has it too."""
 
-    def tell(batches):
-        for batch in batches:
-            for block, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                b = Block(payload.as_py(), window)
-                own, target = _signature(b, b.resolved()[1], targets)
-                yield from _parts((int(target[x]), block, _packed(np.diff(own[x:y], prepend=np.uint64(0)))) for x, y in _cuts(target))
+    def tell(group: pa.Table) -> pa.Table:
+        block = group["block"][0].as_py()
+        b = Block(_read_documents(group["payload"]), window)
+        own, target = _signature(b.digests[b.resolved()[1]], bits, targets)
+        out = _parts((int(target[x]), block, _packed(np.diff(own[x:y], prepend=np.uint64(0)))) for x, y in _cuts(target))
+        del b
+        release()
+        return out
 
     def compare(group: pa.Table) -> pa.Table:
         told = [np.cumsum(_unpacked(x.as_py(), np.uint64)[0], dtype=np.uint64) for x in group["payload"]]
-        flat = np.concatenate(told)
-        order = np.argsort(flat, kind="stable")
-        same = np.concatenate(([False], flat[order][1:] == flat[order][:-1]))
-        twice = np.zeros(len(flat), bool)
-        twice[order] = same | np.append(same[1:], False)
-        out, at = [], 0
+        flat = np.sort(np.concatenate(told))
+        twice = flat[1:][flat[1:] == flat[:-1]]
+        out = []
         for block, own in zip(group["block"].to_pylist(), told, strict=True):
-            mine, at = twice[at : at + len(own)], at + len(own)
+            at = np.minimum(np.searchsorted(twice, own), max(0, len(twice) - 1))
+            mine = twice[at] == own if len(twice) else np.zeros(0, bool)
             if mine.any():
                 out.append((group["target"][0].as_py(), block, np.packbits(mine).tobytes()))
-        return pa.Table.from_batches(list(_parts(out)), schema=PART)
+        return _parts(out)
 
-    return stored.mapInArrow(tell, PART_SQL).groupBy("target").applyInArrow(compare, PART_SQL)
+    return texts.groupBy("block").applyInArrow(tell, PART_SQL).groupBy("target").applyInArrow(compare, PART_SQL)
 
 
 def _suffix_rows(b: Block, at: np.ndarray, target: np.ndarray, block: int):
-    """PART rows with suffixes `at`, their words once in each row."""
-    pack = zstandard.ZstdCompressor(level=1).compress
+    """PART rows with suffixes `at`, their words once in each row, frequent ones first."""
+    pack = zstandard.ZstdCompressor(level=3).compress
     order = np.argsort(target, kind="stable")
     at, target = at[order], target[order]
-    symbols = symbols_of(b.words)
+    symbols, first = b.numbered()
     for x, y in _cuts(target):
         some = at[x:y]
-        used, first, number = np.unique(symbols[b.places[some][:, None] + np.arange(b.window)].ravel(), return_index=True, return_inverse=True)
-        where = (b.places[some][:, None] + np.arange(b.window)).ravel()[first]
-        words = b" ".join(b.words.data[i:j] for i, j in zip(b.words.begins[where].tolist(), b.words.ends[where].tolist(), strict=True))
-        number = number.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32).reshape(len(some), b.window)
-        yield int(target[x]), block, pack(_packed(np.array([len(some), number.itemsize], np.int64), np.frombuffer(words, np.uint8), number.ravel(), b.docs[some], b.text[some].astype(np.uint32), (b.places[some] - b.words.bounds[b.text[some]]).astype(np.uint32)))
+        flat = symbols[b.places[some][:, None] + np.arange(b.window)].ravel()
+        times = np.bincount(flat, minlength=len(first))
+        used = np.flatnonzero(times)
+        used = used[np.argsort(-times[used], kind="stable")]
+        times[used] = np.arange(len(used))
+        words = b" ".join([b.words.data[i:j] for i, j in zip(b.words.begins[first[used]].tolist(), b.words.ends[first[used]].tolist(), strict=True)])
+        number = times[flat].astype(np.uint16 if len(used) <= 1 << 16 else np.uint32)
+        yield int(target[x]), block, pack(_packed(np.array([len(some), number.itemsize], np.int64), np.frombuffer(words, np.uint8), number, np.diff(b.docs[some], prepend=0), np.diff(b.text[some].astype(np.int32), prepend=np.int32(0)), (b.places[some] - b.words.bounds[b.text[some]]).astype(np.uint32)))
 
 
 def _read_suffixes(payload: bytes, window: int):
     data = zstandard.ZstdDecompressor().decompress(payload)
     n, width = _unpacked(data, np.int64, np.uint8, np.uint8, np.uint8, np.uint8, np.uint8)[0].tolist()
-    _, words, number, docs, text, place = _unpacked(data, np.int64, np.uint8, {2: np.uint16, 4: np.uint32}[width], np.int64, np.uint32, np.uint32)
-    return words.tobytes(), number.reshape(n, window), docs, text, place
+    _, words, number, docs, text, place = _unpacked(data, np.int64, np.uint8, {2: np.uint16, 4: np.uint32}[width], np.int64, np.int32, np.uint32)
+    return words.tobytes(), number.reshape(n, window), np.cumsum(docs), np.cumsum(text, dtype=np.int32).astype(np.uint32), place
 
 
 def subtree(group: pa.Table, window: int, keep: bool) -> pa.Table:
-    """A group's answers: (-1, block, flags). With keep, also the suffixes that are left, for another step."""
+    """A group's answers: (below 0, block, flags). With keep, also the suffixes that are left, for another step."""
     if group["target"][0].as_py() < 0:  # answers of an earlier step
         return group.select(PART.names)
     parts = [_read_suffixes(x.as_py(), window) for x in group["payload"]]
     words = Words([p[0] for p in parts])
-    symbols = symbols_of(words)
-    rows = np.concatenate([symbols[first + p[1]] for first, p in zip(words.bounds.tolist(), parts, strict=False)])
-    later = later_in_nodes(rows, np.concatenate([p[2] for p in parts]))
+    symbols = symbols_of(words)[0]
+    later = later_in_nodes(np.concatenate([symbols[first + p[1].astype(np.int64)] for first, p in zip(words.bounds.tolist(), parts, strict=False)]), np.concatenate([p[2] for p in parts]))
     out, at = [], 0
     for block, target, payload, (_, _, docs, text, place) in zip(group["block"].to_pylist(), group["target"].to_pylist(), group["payload"], parts, strict=True):
         gone, at = later[at : at + len(docs)], at + len(docs)
         if gone.any():
-            out.append((-1 - block % 1009, block, _packed(text[gone], place[gone])))
+            out.append((-1 - block, block, _packed(text[gone], place[gone])))
         if keep and not gone.all():
             out.append((target, block, payload.as_py()))
-    return pa.Table.from_batches(list(_parts(out)), schema=PART)
+    del words, symbols, parts
+    release()
+    return _parts(out)
 
 
-def repeats(stored: DataFrame, window: int = WINDOW, group_suffixes: int = GROUP_SUFFIXES) -> DataFrame:
-    """(block, payload): rows and places of windows that also start in a document with a smaller id."""
-    partitions = shuffle_partitions(stored.sparkSession)
+def repeats(docs: DataFrame, texts: DataFrame, n_blocks: int, window: int = WINDOW, group_suffixes: int = GROUP_SUFFIXES) -> DataFrame:
+    """(block, payload): rows and places of windows that also start in a document with a smaller id. texts: the documents as dealt to blocks."""
+    partitions = shuffle_partitions(docs.sparkSession)
     bits = min(22, max(10, partitions.bit_length() + 6))
-    counts = prefix_counts(stored, window, bits)
+    counts = prefix_counts(docs, window, bits)
     groups, splits = prefix_groups(counts, group_suffixes)
-    targets = max(partitions, int(counts[0].sum()) // TASK_DIGESTS + 1)
-    answers = recurring(stored, window, targets)
+    total = int(counts[0].sum())
+    targets = max(partitions, total // TASK_DIGESTS + 1)
+    digest_bits = min(60, total.bit_length() + SPARE_BITS)
+    answers = recurring(texts, window, digest_bits, targets)
+
+    def send(documents: pa.Table, told: pa.Table) -> pa.Table:
+        if not len(documents):
+            return _parts([])
+        block = documents["block"][0].as_py()
+        b = Block(_read_documents(documents["payload"]), window)
+        gone, left = b.resolved()
+        own, target = _signature(b.digests[left], digest_bits, targets)
+        twice = np.zeros(len(own), bool)
+        heard = dict(zip(told["target"].to_pylist(), told["payload"], strict=True))
+        for x, y in _cuts(target):
+            if (answer := heard.get(int(target[x]))) is not None:
+                twice[x:y] = np.unpackbits(np.frombuffer(answer.as_py(), np.uint8), count=y - x)
+        own = own[twice]
+        mine = b.digests[left] >> np.uint64(64 - digest_bits)
+        some = left[own[np.minimum(np.searchsorted(own, mine), len(own) - 1)] == mine] if len(own) else left[:0]
+        out = [(-1 - block, block, b.flags(gone))] if len(gone) else []
+        if len(some):
+            out += _suffix_rows(b, some, _targets(b.prefix_bins(some, bits), groups, splits, b.digests[some]), block)
+        del b
+        release()
+        return _parts(out)
 
-    def send(blocks_: pa.Table, told: pa.Table) -> pa.Table:
-        out = []
-        for block, payload in zip(blocks_["block"].to_pylist(), blocks_["payload"], strict=True):
-            b = Block(payload.as_py(), window)
-            gone, left = b.resolved()
-            if len(gone):
-                out.append((-1 - block % 1009, block, b.flags(gone)))
-            own, target = _signature(b, left, targets)
-            twice = np.zeros(len(own), bool)
-            heard = dict(zip(told["target"].to_pylist(), told["payload"], strict=True))
-            for x, y in _cuts(target):
-                if (bits_ := heard.get(int(target[x]))) is not None:
-                    twice[x:y] = np.unpackbits(np.frombuffer(bits_.as_py(), np.uint8), count=y - x)
-            some = left[twice[np.searchsorted(own, b.digests[left] >> np.uint64(64 - DIGEST_BITS))]] if len(own) else left
-            if len(some):
-                out += _suffix_rows(b, some, _targets(b.prefix_bins(some, bits), groups, splits, b.digests[some]), block)
-        return pa.Table.from_batches(list(_parts(out)), schema=PART)
-
-    sent = stored.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(send, PART_SQL)
-    salts = -(-stored.count() // group_suffixes)
+    sent = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(send, PART_SQL)
+    salts = -(-n_blocks // group_suffixes)
     if salts > 1:
         sent = sent.groupBy("target", F.pmod("block", F.lit(salts)).alias("salt")).applyInArrow(lambda g: subtree(g, window, True), PART_SQL)
     return sent.groupBy("target").applyInArrow(lambda g: subtree(g, window, False), PART_SQL).select("block", "payload")
@@ -332,34 +382,31 @@ def repeats(stored: DataFrame, window: int = WINDOW, group_suffixes: int = GROUP
 def deduped(docs: DataFrame, window: int = WINDOW, group_suffixes: int = GROUP_SUFFIXES) -> DataFrame:
     """doc_id, n_words, n_removed, spans (removed words, as begin and end of each maximal repeat), text: the words that are left, joined by one space."""
     small_batches(docs.sparkSession)
-    stored = stored_blocks(docs)
-    found = repeats(stored, window, group_suffixes)
+    n_blocks = max(shuffle_partitions(docs.sparkSession), (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES)
+    texts = dealt(docs, n_blocks)
+    found = repeats(docs, texts, n_blocks, window, group_suffixes)
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))), ("text", pa.string())])
 
-    def remove(blocks_: pa.Table, flags: pa.Table) -> pa.Table:
+    def remove(documents: pa.Table, flags: pa.Table) -> pa.Table:
         marks = [_unpacked(x.as_py(), np.uint32, np.uint32) for x in flags["payload"]]
         text, place = (np.concatenate([m[k] for m in marks]).astype(np.int64) if marks else np.zeros(0, np.int64) for k in (0, 1))
         order = np.lexsort((place, text))
         text, place = text[order], place[order]
         spans = {int(text[a]): place[a:b] for a, b in _cuts(text)}
         out = [[] for _ in schema]
-        for payload in blocks_["payload"]:
-            ids, known, lengths, body = _unpacked(zstandard.ZstdDecompressor().decompress(payload.as_py()), np.int64, bool, np.int64, np.uint8)
-            at, body = 0, body.tobytes()
-            for k, (doc_id, has, n) in enumerate(zip(ids.tolist(), known.tolist(), lengths.tolist(), strict=True)):
-                words, at = body[at : at + n].split(), at + n
-                total, gone, cut = len(words), 0, []
-                if (begins := spans.get(k)) is not None:
-                    new = np.flatnonzero(np.concatenate(([True], begins[1:] > begins[:-1] + window)))
-                    cut = list(zip(begins[new].tolist(), (begins[np.append(new[1:], len(begins)) - 1] + window).tolist(), strict=True))
-                    for a, b in reversed(cut):
-                        del words[a:b]
-                    gone = total - len(words)
-                for into, value in zip(out, (doc_id if has else None, total, gone, [{"begin": a, "end": b} for a, b in cut], b" ".join(words).decode("utf-8", "surrogatepass")), strict=True):
-                    into.append(value)
+        for k, (doc_id, whole, times) in enumerate(_read_documents(documents["payload"])):
+            words = whole.split()
+            total, cut = len(words), []
+            if (begins := spans.get(k)) is not None:
+                new = np.flatnonzero(np.concatenate(([True], begins[1:] > begins[:-1] + window)))
+                cut = list(zip(begins[new].tolist(), (begins[np.append(new[1:], len(begins)) - 1] + window).tolist(), strict=True))
+                words = [w for a, b in zip([0, *(b for _, b in cut)], [*(a for a, _ in cut), total], strict=True) for w in words[a:b]]
+            row = (doc_id, total, total - len(words), [{"begin": a, "end": b} for a, b in cut], b" ".join(words).decode("utf-8", "surrogatepass"))
+            for into, value in zip(out, row, strict=True):
+                into.extend([value] * times)
         return pa.Table.from_arrays([pa.array(v, f.type) for v, f in zip(out, schema, strict=True)], schema=schema)
 
-    return stored.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(remove, "doc_id long, n_words long, n_removed long, spans array<struct<begin: int, end: int>>, text string")
+    return texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(remove, "doc_id long, n_words long, n_removed long, spans array<struct<begin: int, end: int>>, text string")
 
 
 def op2_substring_dedup(spark, sf_dir):
