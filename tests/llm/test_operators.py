@@ -169,6 +169,12 @@ def test_line_templates(spark):
     assert all(got[k] == (2, f"own words {'abcdefghij'[k]} here\n12 {k}") for k in range(1, 10))
 
 
+def test_lines_that_recur_as_they_stand(spark):
+    rows = [(5, "one two three four five\nshort line", None), (3, "one two three four five\nshort line\n one two three four five", None), (9, "one two three four 5\none two three four five", None), (9, "one two three four five", None), (None, "one two three four five", None)]
+    got = sorted((r.doc_id or 0, r.n_lines, r.n_dropped, r.text) for r in lines.deduped(spark.createDataFrame(rows, "doc_id long, text string, x string")).collect())
+    assert got == [(0, 1, 0, "one two three four five"), (3, 3, 0, rows[1][1]), (5, 2, 1, "short line"), (9, 1, 1, ""), (9, 2, 1, "one two three four 5")]
+
+
 def test_quality(spark, docs):
     got = collections.Counter(tuple(r) for r in quality.judged(docs.select("doc_id", "text")).select(*quality.BASE[:-1]).collect())
     want = collections.Counter()

@@ -5,7 +5,9 @@ words with a digit are fields there. In a leaf, a later position that shows
 more than MOST_VALUES different words over the leaf's different lines is a
 field too. A line's template is the line with its fields masked, if enough
 constant words remain; else the line itself. Templates found in MIN_DOCS or
-more documents are dropped everywhere but in the document with the smallest id.
+more documents are dropped everywhere but in the document with the smallest id;
+fewer could be fields that only look alike. A line of LEAST_EXACT words or more
+that recurs just as it stands is dropped from the second document on.
 
 Nulls: a null text stays null; rows without doc_id are neither counted nor
 changed. Lines without a word always stay. Rows that repeat a doc_id count as
@@ -22,27 +24,29 @@ from pyspark.sql import functions as F
 from tidemark.llm.runtime import held, released, store, table
 
 DEPTH, MOST_VALUES, CONSTANT_TENTHS, MIN_DOCS = 3, 4, 6, 8
+#: Words of a line from which on it is dropped as it stands where a smaller document has it too.
+LEAST_EXACT = 5
 SPACES = " \t\x0b\f\r"
 FIELD = "<*>"
 #: A word with a digit; anchored at its start and possessive, so that long words cost one pass.
 _DIGIT_WORD = rf"(?<![^{SPACES}])[^{SPACES}0-9]*+[0-9][^{SPACES}]*+"
 
 
-def _key(words):
-    return F.xxhash64(F.array_join(words, " "))
-
-
 def _enough(words, n):
     return 10 * F.size(F.array_remove(words, FIELD)) >= CONSTANT_TENTHS * n
 
 
 def parsed(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """A row per line with a word: doc_id, row_key, pos, words (masked), n, leaf, key (its template as far as the line alone tells)."""
+    """A row per line with a word: doc_id, row_key, pos, words (masked), n, leaf, key (its template as far as the line alone tells), exact (of the line as it stands, if it has LEAST_EXACT words)."""
     lines = docs.filter("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("row_key"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     masked = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", _DIGIT_WORD, FIELD)).otherwise(F.col("line"))
     split = lambda c: F.array_remove(F.split(c, f"[{SPACES}]+"), "")
-    worded = lines.withColumn("words", split(masked)).withColumn("n", F.size("words")).filter("n > 0")
-    return worded.withColumns({"leaf": F.xxhash64("n", F.array_join(F.slice("words", 1, depth), " ")), "key": F.when(_enough(F.col("words"), F.col("n")), _key(F.col("words"))).otherwise(F.xxhash64(F.lit(1), F.array_join(split(F.col("line")), " ")))})
+    # blank lines are told by the line itself: a filter on the words would split each line twice
+    worded = lines.filter(F.col("line").rlike(f"[^{SPACES}]")).withColumn("words", split(masked)).withColumn("n", F.size("words"))
+    return worded.withColumns({
+        "leaf": F.xxhash64("n", F.slice("words", 1, depth)), "key": F.when(_enough(F.col("words"), F.col("n")), F.xxhash64("words")).otherwise(F.xxhash64(F.lit(1), split(F.col("line")))),
+        "exact": F.when(F.col("n") >= LEAST_EXACT, F.xxhash64("line")),
+    })
 
 
 def templates(docs: DataFrame, facts: DataFrame, depth: int = DEPTH, most_values: int = MOST_VALUES) -> DataFrame:
@@ -54,17 +58,21 @@ def templates(docs: DataFrame, facts: DataFrame, depth: int = DEPTH, most_values
     values = lines.select("leaf", F.posexplode("words").alias("p", "word")).filter(F.col("p") >= depth).groupBy("leaf", "p", F.xxhash64("word").alias("w")).count()
     fields = values.groupBy("leaf", "p").count().filter(F.col("count") > most_values).groupBy("leaf").agg(F.collect_list("p").alias("fields"))
     general = lines.join(fields, "leaf").withColumn("general", F.transform("words", lambda w, i: F.when(F.array_contains("fields", i), F.lit(FIELD)).otherwise(w)))
-    return general.filter(_enough(F.col("general"), F.size("words"))).select("key", F.xxhash64(F.lit(2), "leaf", F.array_join("general", " ")).alias("template"))
+    return general.filter(_enough(F.col("general"), F.size("words"))).select("key", F.xxhash64(F.lit(2), "leaf", "general").alias("template"))
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """doc_id, row_key, and the places of lines to drop."""
-    facts = store(parsed(docs).select("doc_id", "row_key", "pos", "leaf", "key"), "lines")
+    facts = store(parsed(docs).select("doc_id", "row_key", "pos", "leaf", "key", "exact"), "lines")
     known = store(templates(docs, facts), "templates")
     keyed = facts.join(known, "key", "left").select("doc_id", "row_key", "pos", F.coalesce("template", "key").alias("t"))
     often = keyed.groupBy("t").agg(F.count_distinct("doc_id").alias("n"), F.min("doc_id").alias("first")).filter(F.col("n") >= min_docs)
     often = store(often.select(F.col("t").alias("o_t"), "first"), "recurring")
-    dropped = keyed.join(often, (F.col("t") == F.col("o_t")) & (F.col("doc_id") > F.col("first")))
+    again = facts.filter("exact is not null").groupBy("exact").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter(F.col("first") < F.col("last"))
+    again = store(again.select(F.col("exact").alias("o_exact"), "first"), "repeated")
+    by_template = keyed.join(often, (F.col("t") == F.col("o_t")) & (F.col("doc_id") > F.col("first")))
+    by_line = facts.join(again, (F.col("exact") == F.col("o_exact")) & (F.col("doc_id") > F.col("first")))
+    dropped = by_template.select("doc_id", "row_key", "pos").union(by_line.select("doc_id", "row_key", "pos"))
     return dropped.groupBy("doc_id", "row_key").agg(F.collect_set("pos").alias("places"))
 
 
@@ -91,7 +99,7 @@ _WORDS = "list_filter(regexp_split_to_array({}, '[ \\t\\x0b\\f\\r]+'), lambda x:
 OP1_SQL = f"""
 WITH d AS (SELECT doc_id, text FROM documents),
 l AS (SELECT doc_id, unnest(range(0, len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS line FROM d WHERE text IS NOT NULL),
-w AS (SELECT doc_id, pos, {_WORDS.format('line')} AS raw FROM l),
+w AS (SELECT doc_id, pos, line, {_WORDS.format('line')} AS raw FROM l),
 m AS (SELECT *, list_transform(raw, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '{FIELD}' ELSE x END) AS words, len(raw) AS n FROM w WHERE len(raw) > 0),
 k AS (SELECT *, array_to_string(list_concat([n::VARCHAR], words[1:{DEPTH}]), ' ') AS leaf,
   CASE WHEN 10 * len(list_filter(words, lambda x: x <> '{FIELD}')) >= {CONSTANT_TENTHS} * n THEN 'm ' || array_to_string(words, ' ') ELSE 'r ' || array_to_string(raw, ' ') END AS key FROM m),
@@ -103,7 +111,9 @@ g AS (SELECT DISTINCT key, leaf, list_transform(words, lambda x, i: CASE WHEN li
 t AS (SELECT key, 'g ' || leaf || ' ' || array_to_string(general, ' ') AS template FROM g WHERE 10 * len(list_filter(general, lambda x: x <> '{FIELD}')) >= {CONSTANT_TENTHS} * len(general)),
 a AS (SELECT doc_id, pos, coalesce(template, k.key) AS tk FROM k LEFT JOIN t USING (key)),
 o AS (SELECT tk, min(doc_id) AS first FROM a GROUP BY tk HAVING count(DISTINCT doc_id) >= {MIN_DOCS}),
-x AS (SELECT doc_id, list(pos) AS places FROM a JOIN o USING (tk) WHERE doc_id > first GROUP BY doc_id),
+e AS (SELECT line, min(doc_id) AS first FROM k WHERE n >= {LEAST_EXACT} GROUP BY line HAVING min(doc_id) < max(doc_id)),
+y AS (SELECT doc_id, pos FROM a JOIN o USING (tk) WHERE doc_id > first UNION SELECT doc_id, pos FROM k JOIN e USING (line) WHERE doc_id > first),
+x AS (SELECT doc_id, list(pos) AS places FROM y GROUP BY doc_id),
 n AS (SELECT doc_id, count(*) AS n FROM k GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_lines, coalesce(len(places), 0)::BIGINT AS n_dropped,
   sha256(coalesce(array_to_string(list_filter(string_split(text, chr(10)), lambda s, i: NOT list_contains(coalesce(places, []), i - 1)), chr(10)), '')) AS kept_sha256
