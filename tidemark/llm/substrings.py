@@ -40,13 +40,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.runtime import SLICE, salts_of, shuffle_partitions, slices, small_batches, summed, table
-from tidemark.llm.words import Words, blocks, release, window_places, windows
+from tidemark.llm.words import LONG, Words, blocks, release, window_places, windows
 
 WINDOW = 13
 PREFIXES = (1, 2, 4, 8)
 BLOCK_BYTES = 12 << 20
 #: Suffixes that a group may have, and digests that one task compares.
-GROUP_SUFFIXES, TASK_DIGESTS = 750_000, 2_000_000
+GROUP_SUFFIXES, TASK_DIGESTS = 2_000_000, 2_000_000
+#: Words that all tasks know, and how many of them each task proposes.
+COMMON, COMMON_OF_TASK = 1 << 14, 4096
 #: Digests are cut to this many bits more than count all suffixes; equal ones only make suffixes travel, some of them for nothing.
 SPARE_BITS = 9
 #: Bytes of texts for a block.
@@ -169,14 +171,14 @@ def symbols_of(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 def suffix_tree(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes (rows of symbols) in lexicographic order, and how many symbols each shares with the one before."""
-    padded = np.zeros((len(rows), -(-rows.shape[1] // 2) * 2), np.uint64)
-    padded[:, : rows.shape[1]] = rows
-    keys = padded[:, 0::2] << np.uint64(32) | padded[:, 1::2]
-    order = np.lexsort(keys.T[::-1])
-    sorted_rows = rows[order]
-    differ = sorted_rows[1:] != sorted_rows[:-1]
-    shared = np.where(differ.any(1), differ.argmax(1), rows.shape[1]) if len(rows) > 1 else np.zeros(0, np.int64)
-    return order, np.concatenate(([0], shared))[: len(rows)]
+    column = lambda k: rows[:, k].astype(np.uint64) if k < rows.shape[1] else np.zeros(len(rows), np.uint64)
+    order = np.lexsort([column(k) << np.uint64(32) | column(k + 1) for k in range(0, rows.shape[1], 2)][::-1])
+    shared, same = np.zeros(len(rows), np.int64), np.ones(max(0, len(rows) - 1), bool)
+    for k in range(rows.shape[1]):
+        ordered = rows[order, k]
+        same &= ordered[1:] == ordered[:-1]
+        shared[1:] += same
+    return order, shared
 
 
 def later_in_nodes(rows: np.ndarray, docs: np.ndarray) -> np.ndarray:
@@ -294,21 +296,57 @@ def recurring(texts: DataFrame, window: int, bits: int, targets: int) -> DataFra
     return texts.groupBy("block").applyInArrow(tell, PART_SQL).groupBy("target").applyInArrow(compare, PART_SQL)
 
 
-def _suffix_rows(b: Block, at: np.ndarray, target: np.ndarray, block: int):
-    """PART rows with suffixes `at`, their words once in each row, frequent ones first."""
+class Common:
+    """Words that need not travel with suffixes, most frequent first."""
+
+    def __init__(self, words: list[bytes]):
+        self.words = Words([b" ".join(words)])
+        self.order = np.argsort(self.words.hashes)
+        self.hashes = self.words.hashes[self.order]
+
+    def numbers(self, words: Words, some: np.ndarray) -> np.ndarray:
+        """Number of each of some words, -1 if it is not common."""
+        if not len(self.hashes):
+            return np.full(len(some), -1, np.int64)
+        at = self.order[np.minimum(np.searchsorted(self.hashes, words.hashes[some]), len(self.hashes) - 1)]
+        return np.where(words.same(some, self.words, at), at, -1)
+
+
+def common_words(docs: DataFrame) -> list[bytes]:
+    """Words that are frequent in the first block of each task. They only save bytes: any others would give the same results."""
+
+    def count(batches):
+        for (texts,) in blocks(batches, BLOCK_BYTES, ["text"]):
+            words = Words(texts)
+            number, first = symbols_of(words)
+            times = np.bincount(number, minlength=len(first))
+            top = np.argsort(-times, kind="stable")[:COMMON_OF_TASK]
+            top = top[(words.ends - words.begins)[first[top]] <= LONG]
+            at = first[top]
+            yield pa.RecordBatch.from_arrays([pa.array([words.data[i:j] for i, j in zip(words.begins[at].tolist(), words.ends[at].tolist(), strict=True)], pa.binary()), pa.array(times[top])], names=["word", "n"])
+            return
+
+    found = docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(COMMON)
+    return [bytes(r["word"]) for r in found.collect()]  # at most COMMON words of LONG bytes
+
+
+def _suffix_rows(b: Block, at: np.ndarray, target: np.ndarray, block: int, common: Common):
+    """PART rows with suffixes `at`; words that are not common once in each row."""
     pack = zstandard.ZstdCompressor(level=3).compress
     order = np.argsort(target, kind="stable")
     at, target = at[order], target[order]
     symbols, first = b.numbered()
+    codes = common.numbers(b.words, first)
     for x, y in _cuts(target):
         some = at[x:y]
         flat = symbols[b.places[some][:, None] + np.arange(b.window)].ravel()
-        times = np.bincount(flat, minlength=len(first))
-        used = np.flatnonzero(times)
-        used = used[np.argsort(-times[used], kind="stable")]
-        times[used] = np.arange(len(used))
-        words = b" ".join([b.words.data[i:j] for i, j in zip(b.words.begins[first[used]].tolist(), b.words.ends[first[used]].tolist(), strict=True)])
-        number = times[flat].astype(np.uint16 if len(used) <= 1 << 16 else np.uint32)
+        number = codes[flat]
+        rare = number < 0
+        used, local = np.unique(flat[rare], return_inverse=True)
+        number[rare] = COMMON + local
+        where = first[used]
+        words = b" ".join([b.words.data[i:j] for i, j in zip(b.words.begins[where].tolist(), b.words.ends[where].tolist(), strict=True)])
+        number = number.astype(np.uint16 if COMMON + len(used) <= 1 << 16 else np.uint32)
         yield int(target[x]), block, pack(_packed(np.array([len(some), number.itemsize], np.int64), np.frombuffer(words, np.uint8), number, np.diff(b.docs[some], prepend=0), np.diff(b.text[some].astype(np.int32), prepend=np.int32(0)), (b.places[some] - b.words.bounds[b.text[some]]).astype(np.uint32)))
 
 
@@ -316,7 +354,7 @@ def _read_suffixes(payload: bytes, window: int):
     data = zstandard.ZstdDecompressor().decompress(payload)
     n, width = _unpacked(data, np.int64, np.uint8, np.uint8, np.uint8, np.uint8, np.uint8)[0].tolist()
     _, words, number, docs, text, place = _unpacked(data, np.int64, np.uint8, {2: np.uint16, 4: np.uint32}[width], np.int64, np.int32, np.uint32)
-    return words.tobytes(), number.reshape(n, window), np.cumsum(docs), np.cumsum(text, dtype=np.int32).astype(np.uint32), place
+    return words.tobytes(), number.astype(np.int32).reshape(n, window), np.cumsum(docs), np.cumsum(text, dtype=np.int32).astype(np.uint32), place
 
 
 def subtree(group: pa.Table, window: int, keep: bool) -> pa.Table:
@@ -325,8 +363,14 @@ def subtree(group: pa.Table, window: int, keep: bool) -> pa.Table:
         return group.select(PART.names)
     parts = [_read_suffixes(x.as_py(), window) for x in group["payload"]]
     words = Words([p[0] for p in parts])
-    symbols = symbols_of(words)[0]
-    later = later_in_nodes(np.concatenate([symbols[first + p[1].astype(np.int64)] for first, p in zip(words.bounds.tolist(), parts, strict=False)]), np.concatenate([p[2] for p in parts]))
+    symbols, rows = symbols_of(words)[0] + COMMON, np.empty((sum(len(p[2]) for p in parts), window), np.int32)
+    at = 0
+    for first, (_, number, *_) in zip(words.bounds.tolist(), parts, strict=False):
+        rare = number >= COMMON
+        number[rare] = symbols[number[rare] - COMMON + first]
+        rows[at : at + len(number)] = number
+        at += len(number)
+    later = later_in_nodes(rows, np.concatenate([p[2] for p in parts]))
     out, at = [], 0
     for block, target, payload, (_, _, docs, text, place) in zip(group["block"].to_pylist(), group["target"].to_pylist(), group["payload"], parts, strict=True):
         gone, at = later[at : at + len(docs)], at + len(docs)
@@ -334,7 +378,7 @@ def subtree(group: pa.Table, window: int, keep: bool) -> pa.Table:
             out.append((-1 - block, block, _packed(text[gone], place[gone])))
         if keep and not gone.all():
             out.append((target, block, payload.as_py()))
-    del words, symbols, parts
+    del words, symbols, parts, rows
     release()
     return _parts(out)
 
@@ -349,6 +393,7 @@ def repeats(docs: DataFrame, texts: DataFrame, n_blocks: int, window: int = WIND
     targets = max(partitions, total // TASK_DIGESTS + 1)
     digest_bits = min(60, total.bit_length() + SPARE_BITS)
     answers = recurring(texts, window, digest_bits, targets)
+    common = docs.sparkSession.sparkContext.broadcast(Common(common_words(docs)))
 
     def send(documents: pa.Table, told: pa.Table) -> pa.Table:
         if not len(documents):
@@ -367,7 +412,7 @@ def repeats(docs: DataFrame, texts: DataFrame, n_blocks: int, window: int = WIND
         some = left[own[np.minimum(np.searchsorted(own, mine), len(own) - 1)] == mine] if len(own) else left[:0]
         out = [(-1 - block, block, b.flags(gone))] if len(gone) else []
         if len(some):
-            out += _suffix_rows(b, some, _targets(b.prefix_bins(some, bits), groups, splits, b.digests[some]), block)
+            out += _suffix_rows(b, some, _targets(b.prefix_bins(some, bits), groups, splits, b.digests[some]), block, common.value)
         del b
         release()
         return _parts(out)
