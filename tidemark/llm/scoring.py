@@ -105,8 +105,8 @@ class Softmax:
         if about is not None:
             salt = mix(about.astype(_U) + _U(1))
             histories = [mix(h ^ salt) for h in histories]
-        out = [(k << self.bits) + (h >> _U(64 - self.bits)).astype(np.int64) for k, h in enumerate(histories)]
-        return [*out, (KINDS << self.bits) + (np.zeros(len(out[0]), np.int64) if about is None else about)]
+        out = [(k << self.bits) + (h >> _U(64 - self.bits)).astype(np.int32) for k, h in enumerate(histories)]
+        return [*out, (KINDS << self.bits) + (np.zeros(len(out[0]), np.int32) if about is None else about)]
 
     def probabilities(self, rows: list[np.ndarray]) -> np.ndarray:
         z = self.weights.take(rows[0], 0)
@@ -128,11 +128,14 @@ class Softmax:
         np.negative(slope, out=slope)
         slope[np.arange(len(right)), right] += 1
         for r in rows:
-            order = np.argsort(r, kind="stable")
-            ordered = r[order]
-            begin = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-            some = ordered[begin]
-            total = np.add.reduceat(slope[order], begin, axis=0)
+            if r[0] == r[-1] and (r == r[0]).all():  # one bias for all
+                some, begin, total = r[:1], np.zeros(1, np.int64), slope.sum(0, keepdims=True)
+            else:
+                order = np.argsort(r)
+                ordered = r[order]
+                begin = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+                some = ordered[begin]
+                total = np.add.reduceat(slope.take(order, 0), begin, axis=0)
             self.squares[some] += np.einsum("ij,ij->i", total, total)
             self.weights[some] += RATE * total / np.sqrt(self.squares[some] + 0.01)[:, None]
             self.met[some] += np.diff(np.append(begin, len(r)))
