@@ -62,3 +62,18 @@ def test_one_spot_and_fallback(spark):
     assert (one.method, one.mad_bps, one.reference_price) == ("single_venue_spot", None, 5.0)
     perps = _obs(spark, [(5.0, 1.0), (5.1, 1.0)]).withColumn("kind", F.lit("perpetual"))
     assert reference_prices(perps).first().method == "derivative_fallback"
+
+
+def test_many_observations_of_one_asset(spark):
+    """Cost per observation does not depend on how many an asset has; equal ones share their weight."""
+    import time
+
+    schema = "asset int, venue int, kind string, price double, volume double, age_s double, source string"
+    r = random.Random(4)
+    rows = [(1, k % 50, "spot" if k % 3 else "perpetual", 100 + r.random(), float(r.randint(1, 9)), 0.0, "mid") for k in range(10_000)]
+    df = spark.createDataFrame(rows + rows[:5], schema)
+    began = time.perf_counter()
+    got = reference_prices(df).first()
+    assert time.perf_counter() - began < 30 and got.included_count + got.excluded_count == 10_005
+    spot = sorted((p, max(1e-3, v**0.5)) for _, _, kind, p, v, _, _ in rows + rows[:5] if kind == "spot")
+    assert got.reference_price == pytest.approx(model_median(spot))

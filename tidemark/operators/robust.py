@@ -26,6 +26,16 @@ def weighted_median(df: DataFrame, keys: list[str], value: str, weight: str, nam
     return at.groupBy(*keys).agg(F.min_by(middle, "_row").alias(name))
 
 
+def over_median(df: DataFrame, keys: list[str], value: str, weight: str, ties: list[str], name: str) -> DataFrame:
+    """df with the weighted median of its group on each row, in the partitioning by keys that it has."""
+    order = Window.partitionBy(*keys).orderBy(value, *ties)
+    every = Window.partitionBy(*keys)
+    ranked = df.withColumns({"_cum": F.sum(weight).over(order.rowsBetween(Window.unboundedPreceding, 0)), "_half": F.sum(weight).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) / 2, "_next": F.lead(value).over(order)})
+    middle = F.when(F.col("_cum") == F.col("_half"), F.coalesce((F.col(value) + F.col("_next")) / 2, F.col(value))).otherwise(F.col(value))
+    at = F.when(F.col("_cum") >= F.col("_half"), F.struct(F.col("_cum").alias("c"), F.col(value).alias("x"), middle.alias("m")))
+    return ranked.withColumn("_at", at).withColumn(name, F.min("_at").over(every)["m"]).drop("_cum", "_half", "_next", "_at")
+
+
 def weighted_mad(df: DataFrame, keys: list[str], value: str, weight: str, name: str = "weighted_mad") -> DataFrame:
     """Weighted median of distances from the weighted median."""
     centre = weighted_median(df, keys, value, weight, "_centre")
@@ -62,9 +72,11 @@ def concentration(df: DataFrame, group: str, member: str, amount: str) -> DataFr
 
 
 def cap_weights(weights: Column, most: float) -> Column:
-    """Weights as shares of which none is over `most`; excess goes to the others by the room they have, until nothing moves.
+    """Weights as shares of which none is over `most`; excess goes to the others by the room that they have.
 
-    Shares are equal where the cap cannot be met, and 0 without any weight.
+    Shares sum to 1, so where the cap can be met there is as much room as excess
+    at least, and dealing it out once brings no other share over the cap. Shares
+    are equal where the cap cannot be met, and 0 without any weight.
     """
 
     def spread(shares: Column) -> Column:
@@ -79,8 +91,7 @@ def cap_weights(weights: Column, most: float) -> Column:
 
     def capped(w: Column) -> Column:
         every = total(w)
-        start = let(every, lambda t: F.transform(w, lambda x: x / t))
-        dealt = F.aggregate(F.sequence(F.lit(1), F.size(w)), start, lambda shares, _: spread(shares))
+        dealt = let(let(every, lambda t: F.transform(w, lambda x: x / t)), spread)
         final = let(dealt, lambda d: let(total(d), lambda t: F.transform(d, lambda x: x / t)))
         return (
             F.when(F.size(w) == 0, w)
