@@ -1,0 +1,55 @@
+"""Queries without SQL, on a whole table and against brute force, or by held-out accuracy."""
+
+import collections
+
+from tidemark.llm import queries
+
+SF = "/root/testdata/sf0.01"
+
+
+def shingles(text):
+    w = [x.decode() for x in (text or "").translate({k: k + 32 for k in range(65, 91)}).encode().split()]
+    return frozenset([tuple(w)] if 0 < len(w) < 5 else [tuple(w[i : i + 5]) for i in range(len(w) - 4)])
+
+
+def test_join_against_all_pairs_that_share_a_shingle(spark):
+    """Every pair of documents with common shingles, so no link between texts can be missed, near copies included."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    sets = {r.doc_id: shingles(r.text) for r in docs}
+    having, root = collections.defaultdict(list), {d: d for d in sets}
+    for d, s in sets.items():
+        for x in s:
+            having[x].append(d)
+
+    def top(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    common, links = collections.Counter(), 0
+    for d, s in sets.items():
+        common = collections.Counter(e for x in s for e in having[x] if e < d)
+        for e, n in common.items():
+            if 100 * n >= 75 * (len(s) + len(sets[e]) - n):
+                links += 1
+                a, b = top(d), top(e)
+                root[max(a, b)] = min(a, b)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in queries.QUERIES["op10_ngram_jaccard_join"](spark, SF).collect()}
+    assert links > 50 and got == {d: (len(s), top(d)) for d, s in sets.items()}
+
+
+def test_language_of_held_out_documents(spark):
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()}
+    got = [r for r in queries.QUERIES["op4_language_id"](spark, SF).collect() if r.held_out and docs[r.doc_id].lang]
+    assert len(got) > 150 and sum(r.lang_pred == docs[r.doc_id].lang for r in got) >= 0.99 * sum(any(map(str.isalpha, docs[r.doc_id].text or "")) for r in got)
+
+
+def test_model_is_better_than_counts_on_held_out_documents(spark):
+    rows = queries.QUERIES["op6_lm_scoring"](spark, SF).filter("held_out").selectExpr("sum(score) / sum(n_tokens) as score", "sum(base_score) / sum(n_tokens) as base", "count(*) as n").first()
+    assert rows.n > 100 and rows.score > rows.base + 0.1
+
+
+def test_packing_is_close_to_the_bound(spark):
+    rows = queries.QUERIES["op7_best_fit_packing"](spark, SF).selectExpr("sum(length) as n", "count(distinct sequence_id) as used", "max(offset + length) as most").first()
+    assert rows.most <= 2048 and rows.used <= 1.01 * -(-rows.n // 2048) + 1

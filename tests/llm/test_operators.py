@@ -110,6 +110,20 @@ def test_tree_finds_all_pairs_within_the_bound():
         assert set(want) <= set(tree.near(k).tolist())
 
 
+def test_tree_in_packing_order_and_saturated_counts():
+    r = np.random.Generator(np.random.PCG64(5))
+    v = r.poisson(1, (200, neardup.DIMENSIONS)).astype(np.int32)
+    v[100:] = v[:100] + (r.random((100, neardup.DIMENSIONS)) < 0.05)
+    v[7, 3] = v[107, 3] = 200_000  # one group with more shingles than 16 bits count
+    n = v.sum(1)
+    loose = neardup.loosened([x.tobytes() for x in neardup.saturated(v)])
+    order = neardup.packing_order(loose, n)
+    tree = neardup.RTree(loose[order], n[order])
+    for k in range(200):
+        want = {j for j in range(k) if 175 * np.minimum(v[order[k]], v[order[j]]).sum() >= 75 * (n[order[k]] + n[order[j]])}
+        assert want <= set(tree.near(k).tolist())
+
+
 def test_components(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(20)] + [(50, 40), (7, 7)], "a long, b long")
     got = {r.node: r.label for r in components.components(links).collect()}
@@ -276,6 +290,25 @@ def test_words_tell_apart_what_a_polynomial_does_not():
     assert len(set(short.hashes.tolist())) == 5
 
 
+def test_equal_suffixes_go_to_one_group():
+    from tidemark.llm.words import Words, window_places
+
+    r = random.Random(6)
+    vocab = [f"v{k}" for k in range(30)]
+    passage = [r.choice(vocab) for _ in range(40)]
+    texts = [" ".join([r.choice(vocab) for _ in range(r.randint(0, 9))] + passage + [r.choice(vocab) for _ in range(9)]).encode() for _ in range(20)]
+    common = substrings.Common([b"v1", b"v2", b"v3"])
+    found = {}
+    for part in (texts[:3], texts[3:]):  # other blocks, other places
+        w = Words(part)
+        places, _ = window_places(w.bounds, 13)
+        bins = substrings.prefix_bins(w, places, 13, 12, common)
+        for k, p in enumerate(places.tolist()):
+            key = tuple(w.hashes[p : p + 13].tolist())
+            assert found.setdefault(key, tuple(x[k] for x in bins)) == tuple(x[k] for x in bins)
+    assert substrings.sliding_minimum(np.array([5, 3, 4, 1, 9, 8, 7]), 3).tolist() == [3, 1, 1, 1, 7]
+
+
 def test_suffix_tree_against_sorting():
     r = np.random.Generator(np.random.PCG64(2))
     rows = r.integers(0, 3, (400, 5))

@@ -13,7 +13,9 @@ def components(links: DataFrame) -> DataFrame:
 
     A round takes the least label among a node and its neighbours, then that
     label's own label. A node with very many links is pre-aggregated before its
-    shuffle, and joins on it can be split, as Spark deals them out itself.
+    shuffle, and joins on it can be split, as Spark deals them out itself. Nodes
+    are not null; links of a node with itself, and repeated ones, change nothing,
+    and without links there are no nodes.
     """
     links = links.filter("a <> b")
     both = store(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")

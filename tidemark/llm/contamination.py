@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.runtime import small_batches, table
-from tidemark.llm.words import Words, blocks, delimiter_table
+from tidemark.llm.words import Words, blocks, delimiter_table, spread
 
 WINDOW = 13
 #: All of ASCII but digits and lower-case letters.
@@ -186,18 +186,13 @@ class Phrases:
             begins, lengths = np.flatnonzero(begin), np.flatnonzero(end) - np.flatnonzero(begin) + 1
             long = lengths >= self.lengths.min()
             begins, lengths = begins[long], lengths[long]
-            places = _spread(begins, lengths)
+            places = spread(begins, lengths)
             other = ~words.same(places, self.words, self.first[symbol[places]])
             if not other.any():
                 return symbol, begins, lengths
             known[places[other]] = False
 
 
-def _spread(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """All places of runs, one run after the other."""
-    return np.repeat(begins - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-
-
 def hits_of_shard(phrases: Phrases, texts: list[bytes]) -> tuple[Words, np.ndarray, list[set[str]]]:
     """The shard's words, which of them are hit, and by text the items that occur."""
     words = Words([t.lower() for t in texts], _GAP_TABLE)
@@ -207,12 +202,12 @@ def hits_of_shard(phrases: Phrases, texts: list[bytes]) -> tuple[Words, np.ndarr
     symbol, begins, lengths = phrases.runs(words)
     if not len(begins):
         return words, hit, items
-    places = _spread(begins, lengths)
+    places = spread(begins, lengths)
     index = FmIndex(symbol[places] + 1, lengths, len(phrases.vocabulary))
     which, (low, high) = index.search(phrases.rows, phrases.lengths)
     if len(which):
         times = high - low
-        at, phrase = places[index.locate(_spread(low, times))], np.repeat(which, times)
+        at, phrase = places[index.locate(spread(low, times))], np.repeat(which, times)
         change = np.bincount(at, minlength=len(hit) + 1) - np.bincount(at + phrases.lengths[phrase], minlength=len(hit) + 1)
         hit = np.cumsum(change)[:-1] > 0
         text = np.searchsorted(words.bounds, at, side="right") - 1

@@ -14,7 +14,9 @@ a component that is already known are not written.
 
 Nulls: a null or empty text has no shingles and links with nothing; a row
 without doc_id takes part, and its component is that of the smallest id there
-is. Rows that repeat a doc_id are judged by their own texts.
+is. Rows that repeat a doc_id are judged by their own texts. Without rows there
+is no result; columns other than doc_id and text are not looked at. Whole texts
+take part, however long: a group's count that does not fit 16 bits bounds nothing.
 """
 
 from __future__ import annotations
@@ -35,9 +37,12 @@ from tidemark.llm.words import Words, blocks, mix, window_places, windows
 SHINGLE, DIMENSION_BITS, FAN_OUT = 5, 9, 16
 #: With so many, unrelated texts of up to some 8,000 words fall below the bound; fewer tell only shorter ones apart.
 DIMENSIONS = 1 << DIMENSION_BITS
+SATURATED = (1 << 16) - 1
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT = 75
 BLOCK_BYTES = 12 << 20
+#: Bytes of texts whose rare shingles one task gathers.
+TARGET_BYTES = 16 << 20
 #: Members of a block, or shingles of a connected group, that one task takes at once.
 MOST_MEMBERS, MOST_SHINGLES = 4096, 8_000_000
 #: Classes up to which their ids are sent to all tasks rather than joined by a shuffle.
@@ -74,8 +79,29 @@ def points(sets: list[np.ndarray]) -> np.ndarray:
     return np.bincount(cell, minlength=len(sets) * DIMENSIONS).reshape(len(sets), DIMENSIONS).astype(np.int32)
 
 
+def saturated(vectors: np.ndarray) -> np.ndarray:
+    """Count vectors in 16 bits; a count that does not fit becomes the largest number, which loosened() takes for any."""
+    return np.minimum(vectors, SATURATED).astype(np.uint16)
+
+
+def loosened(blobs: list[bytes]) -> np.ndarray:
+    """Count vectors of which the bound stays one: saturated counts are as large as any."""
+    vectors = np.frombuffer(b"".join(blobs), np.uint16).reshape(len(blobs), DIMENSIONS).astype(np.int32)
+    vectors[vectors == SATURATED] = 1 << 22
+    return vectors
+
+
+def packing_order(vectors: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The order in which points are packed to nodes: slabs of sizes that can link (a factor of 4/3), in them by the groups that stand out most, so that like points share nodes and the nodes' maxima stay close to them."""
+    slab = np.floor(np.log(np.maximum(sizes, 1)) / np.log(100 / PERCENT)).astype(np.int64)
+    offset = vectors * 8 - (vectors.sum(0) * 8 // max(1, len(vectors)))
+    first = offset.argmax(1)
+    offset[np.arange(len(vectors)), first] = -(1 << 30)
+    return np.lexsort((sizes, offset.argmax(1), first, slab))
+
+
 class RTree:
-    """Points sorted by size and packed FAN_OUT to a node, nodes likewise; a node has coordinate maxima and its least and largest size."""
+    """Points in packing order, FAN_OUT to a node, nodes likewise; a node has coordinate maxima and its least and largest size."""
 
     def __init__(self, vectors: np.ndarray, sizes: np.ndarray):
         self.vectors, self.sizes = vectors, sizes
@@ -107,7 +133,7 @@ def connected(vectors: np.ndarray, sizes: np.ndarray, ids: np.ndarray, linked=No
 
     Pairs already connected are not looked at again. With sides, only pairs of different sides count.
     """
-    order = np.argsort(sizes, kind="stable")
+    order = packing_order(vectors, sizes)
     tree = RTree(vectors[order], sizes[order])
     root = list(range(len(order)))
 
@@ -192,15 +218,15 @@ def _links_of_groups(rows: DataFrame, key: str, blob: str, make) -> DataFrame:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, row_key, n_shingles, cid (null without shingles), point."""
+    """doc_id, row_key, n_shingles, cid (null without shingles), point (the number of shingles, then the count vector)."""
     schema = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("n_shingles", pa.int64()), ("cid", pa.int64()), ("point", pa.binary())])
 
     def measure(batches):
         for texts, ids, keys in blocks(batches, BLOCK_BYTES, ["text", "doc_id", "row_key"]):
             sets = shingle_sets(texts)
-            vectors = points(sets).astype(np.uint16)
+            vectors = saturated(points(sets))
             cids = [class_id(s) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(cids, pa.int64()), pa.array([v.tobytes() for v in vectors], pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(cids, pa.int64()), pa.array([len(s).to_bytes(8, "little") + v.tobytes() for s, v in zip(sets, vectors, strict=True)], pa.binary())], schema=schema)
 
     rows = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row_key"))
     return rows.mapInArrow(measure, "doc_id long, row_key long, n_shingles long, cid long, point binary")
@@ -237,14 +263,14 @@ def _joined(member: np.ndarray, begin: np.ndarray, size: np.ndarray, n: int) ->
     return label
 
 
-def rare_blocks(texts: DataFrame, often: np.ndarray) -> DataFrame:
+def rare_blocks(texts: DataFrame, often: np.ndarray, text_bytes: int) -> DataFrame:
     """(block, cid): classes that share one of their rarest shingles.
 
     A task merges lists of its shingles that overlap, which loses no pair, and
     blocks with the same members, of whatever task, are one: a group of copies
     is then about one block and not one for each shingle.
     """
-    n_targets = shuffle_partitions(texts.sparkSession)
+    n_targets = max(shuffle_partitions(texts.sparkSession), text_bytes // TARGET_BYTES)
     rank = texts.sparkSession.sparkContext.broadcast(np.floor(np.log2(often + 1.0)).astype(np.uint8))
     schema = pa.schema([("target", pa.int32()), ("payload", pa.binary())])
 
@@ -303,11 +329,12 @@ def labelled(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", "text")
     own = store(classes(texts), "classes")
     each = own.filter("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.first("point").alias("point"))
-    members = rare_blocks(texts, frequent(texts)).join(each.select("cid", "point"), "cid")
+    text_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    members = rare_blocks(texts, frequent(texts), text_bytes).join(each.select("cid", "point"), "cid")
 
     def in_block(ids, blobs, sides):
-        vectors = np.frombuffer(b"".join(blobs), np.uint16).reshape(len(blobs), DIMENSIONS).astype(np.int32)
-        return connected(vectors, vectors.sum(1), ids, sides=sides)
+        vectors = loosened([x[8:] for x in blobs])
+        return connected(vectors, np.frombuffer(b"".join(x[:8] for x in blobs), np.int64), ids, sides=sides)
 
     members = _tiled(store(members.withColumn("weight", F.lit(1)), "blocks"), "block", "weight", MOST_MEMBERS, "cid")
     maybe = components(_links_of_groups(members, "block", "point", in_block))
@@ -338,4 +365,5 @@ def labelled(docs: DataFrame) -> DataFrame:
 
 
 def op10_ngram_jaccard_join(spark, sf_dir):
+    """The component of every document by links of five-word shingle sets; texts without words link with nothing."""
     return labelled(table(spark, sf_dir, "documents")).drop("row_key")

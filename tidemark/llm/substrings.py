@@ -1,9 +1,13 @@
 """Substring dedup with prefix-partitioned suffix trees over words.
 
 A suffix begins at every word that has WINDOW words from there on, and is cut
-off after those. Suffixes go to groups by variable-length prefixes: of one word,
-and of more where shorter ones alone would outgrow the memory of a task; small
-prefixes share a group. A group's subtree is its suffixes in lexicographic order
+off after those. Its anchor is its first word of least hash, words that are not
+common before those that are; so neighbours mostly have the same anchor. Suffixes
+go to groups by variable-length prefixes at their anchors: of one word, and of
+more where shorter ones alone would outgrow the memory of a task; small prefixes
+share a group. Neighbours in one group travel as one stretch of text: prefixes at
+the first words would send each word thirteen times. Equal suffixes have equal
+anchors and meet. A group's subtree is its suffixes in lexicographic order
 with the words that each shares with the one before (the LCP array): its
 internal nodes of depth WINDOW are the runs of suffixes that share all of them.
 Nodes that hold two or more documents are repeats, and the windows of all but
@@ -40,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.runtime import SLICE, salts_of, shuffle_partitions, slices, small_batches, summed, table
-from tidemark.llm.words import LONG, Words, blocks, release, window_places, windows
+from tidemark.llm.words import LONG, Words, blocks, release, spread, window_places, windows
 
 WINDOW = 13
 PREFIXES = (1, 2, 4, 8)
@@ -143,9 +147,6 @@ class Block:
             later[some] = later_in_nodes(self.numbered()[0][self.places[some][:, None] + np.arange(self.window)], self.docs[some])
         return np.flatnonzero(later), np.flatnonzero(~later)
 
-    def prefix_bins(self, at: np.ndarray, bits: int) -> list[np.ndarray]:
-        return [(windows(self.words.hashes, min(k, self.window))[self.places[at]] >> np.uint64(64 - bits)).astype(np.int64) for k in PREFIXES]
-
     def flags(self, at: np.ndarray) -> bytes:
         return _packed(self.text[at].astype(np.uint32), (self.places[at] - self.words.bounds[self.text[at]]).astype(np.uint32))
 
@@ -191,7 +192,30 @@ def later_in_nodes(rows: np.ndarray, docs: np.ndarray) -> np.ndarray:
     return out
 
 
-def prefix_counts(docs: DataFrame, window: int, bits: int) -> list[np.ndarray]:
+def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
+    """The least of each `width` neighbours."""
+    size = 1
+    while 2 * size <= width:
+        values, size = np.minimum(values[:-size], values[size:]), 2 * size
+    return np.minimum(values[: len(values) - width + size], values[width - size :])
+
+
+def prefix_bins(words: Words, places: np.ndarray, window: int, bits: int, common: Common) -> list[np.ndarray]:
+    """By prefix length, the bin of each suffix's prefix at its anchor; where the prefix would leave the suffix, its whole digest tells the bin."""
+    if not len(places):
+        return [places] * len(PREFIXES)
+    rank = words.hashes >> np.uint64(33) | common.has(words.hashes).astype(np.uint64) << np.uint64(31)
+    least = sliding_minimum(rank << np.uint64(32) | np.arange(len(rank), dtype=np.uint64), window)[places]
+    anchor = (least & np.uint64((1 << 32) - 1)).astype(np.int64)
+    out, whole = [], windows(words.hashes, window)[places]
+    for k in PREFIXES:
+        at_anchor = windows(words.hashes, k)
+        found = np.where(anchor + k <= places + window, at_anchor[np.minimum(anchor, len(at_anchor) - 1)], whole) if len(at_anchor) else whole
+        out.append((found >> np.uint64(64 - bits)).astype(np.int64))
+    return out
+
+
+def prefix_counts(docs: DataFrame, window: int, bits: int, common) -> list[np.ndarray]:
     """How many suffixes have each prefix bin, by prefix length; the tables' size depends on bits alone."""
     rows = docs.filter("doc_id is not null").select("text")
     salts = salts_of(rows)
@@ -200,9 +224,8 @@ def prefix_counts(docs: DataFrame, window: int, bits: int) -> list[np.ndarray]:
         total = np.zeros((len(PREFIXES), 1 << bits))
         for (texts,) in blocks(batches, BLOCK_BYTES, ["text"]):
             words = Words(texts)
-            places, _ = window_places(words.bounds, window)
-            for level, k in enumerate(PREFIXES):
-                total[level] += np.bincount((windows(words.hashes, min(k, window))[places] >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+            for level, found in enumerate(prefix_bins(words, window_places(words.bounds, window)[0], window, bits, common.value)):
+                total[level] += np.bincount(found, minlength=1 << bits)
         yield slices(total, salts)
 
     size = len(PREFIXES) << bits
@@ -304,6 +327,11 @@ class Common:
         self.order = np.argsort(self.words.hashes)
         self.hashes = self.words.hashes[self.order]
 
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.zeros(len(hashes), bool)
+        return self.hashes[np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)] == hashes
+
     def numbers(self, words: Words, some: np.ndarray) -> np.ndarray:
         """Number of each of some words, -1 if it is not common."""
         if not len(self.hashes):
@@ -331,30 +359,36 @@ def common_words(docs: DataFrame) -> list[bytes]:
 
 
 def _suffix_rows(b: Block, at: np.ndarray, target: np.ndarray, block: int, common: Common):
-    """PART rows with suffixes `at`; words that are not common once in each row."""
+    """PART rows with suffixes `at`, neighbours as one stretch of words; words that are not common once in each row."""
     pack = zstandard.ZstdCompressor(level=3).compress
     order = np.argsort(target, kind="stable")
     at, target = at[order], target[order]
     symbols, first = b.numbered()
     codes = common.numbers(b.words, first)
     for x, y in _cuts(target):
-        some = at[x:y]
-        flat = symbols[b.places[some][:, None] + np.arange(b.window)].ravel()
+        places, text = b.places[at[x:y]], b.text[at[x:y]]
+        begin = np.flatnonzero(np.concatenate(([True], (places[1:] != places[:-1] + 1) | (text[1:] != text[:-1]))))
+        length = np.diff(np.append(begin, len(places)))
+        flat = symbols[spread(places[begin], length + b.window - 1)]
         number = codes[flat]
         rare = number < 0
         used, local = np.unique(flat[rare], return_inverse=True)
         number[rare] = COMMON + local
-        where = first[used]
-        words = b" ".join([b.words.data[i:j] for i, j in zip(b.words.begins[where].tolist(), b.words.ends[where].tolist(), strict=True)])
+        words = b" ".join([b.words.data[i:j] for i, j in zip(b.words.begins[first[used]].tolist(), b.words.ends[first[used]].tolist(), strict=True)])
         number = number.astype(np.uint16 if COMMON + len(used) <= 1 << 16 else np.uint32)
-        yield int(target[x]), block, pack(_packed(np.array([len(some), number.itemsize], np.int64), np.frombuffer(words, np.uint8), number, np.diff(b.docs[some], prepend=0), np.diff(b.text[some].astype(np.int32), prepend=np.int32(0)), (b.places[some] - b.words.bounds[b.text[some]]).astype(np.uint32)))
+        where = b.words.bounds[text[begin]]
+        yield int(target[x]), block, pack(_packed(np.array([number.itemsize], np.int64), np.frombuffer(words, np.uint8), number, length.astype(np.uint32), b.docs[at[x:y]][begin], text[begin].astype(np.uint32), (places[begin] - where).astype(np.uint32)))
 
 
 def _read_suffixes(payload: bytes, window: int):
+    """(words, suffixes as rows of numbers, and for each its document, its row in the block and its place there)."""
     data = zstandard.ZstdDecompressor().decompress(payload)
-    n, width = _unpacked(data, np.int64, np.uint8, np.uint8, np.uint8, np.uint8, np.uint8)[0].tolist()
-    _, words, number, docs, text, place = _unpacked(data, np.int64, np.uint8, {2: np.uint16, 4: np.uint32}[width], np.int64, np.int32, np.uint32)
-    return words.tobytes(), number.astype(np.int32).reshape(n, window), np.cumsum(docs), np.cumsum(text, dtype=np.int32).astype(np.uint32), place
+    width = _unpacked(data, np.int64, *[np.uint8] * 6)[0][0]
+    _, words, number, length, docs, text, place = _unpacked(data, np.int64, np.uint8, {2: np.uint16, 4: np.uint32}[int(width)], np.uint32, np.int64, np.uint32, np.uint32)
+    length = length.astype(np.int64)
+    stretch = length + window - 1
+    rows = number.astype(np.int32)[spread(np.cumsum(stretch) - stretch, length)[:, None] + np.arange(window)]
+    return words.tobytes(), rows, np.repeat(docs, length), np.repeat(text, length), spread(place.astype(np.int64), length).astype(np.uint32)
 
 
 def subtree(group: pa.Table, window: int, keep: bool) -> pa.Table:
@@ -387,13 +421,13 @@ def repeats(docs: DataFrame, texts: DataFrame, n_blocks: int, window: int = WIND
     """(block, payload): rows and places of windows that also start in a document with a smaller id. texts: the documents as dealt to blocks."""
     partitions = shuffle_partitions(docs.sparkSession)
     bits = min(22, max(10, partitions.bit_length() + 6))
-    counts = prefix_counts(docs, window, bits)
+    common = docs.sparkSession.sparkContext.broadcast(Common(common_words(docs)))
+    counts = prefix_counts(docs, window, bits, common)
     groups, splits = prefix_groups(counts, group_suffixes)
     total = int(counts[0].sum())
     targets = max(partitions, total // TASK_DIGESTS + 1)
     digest_bits = min(60, total.bit_length() + SPARE_BITS)
     answers = recurring(texts, window, digest_bits, targets)
-    common = docs.sparkSession.sparkContext.broadcast(Common(common_words(docs)))
 
     def send(documents: pa.Table, told: pa.Table) -> pa.Table:
         if not len(documents):
@@ -412,7 +446,7 @@ def repeats(docs: DataFrame, texts: DataFrame, n_blocks: int, window: int = WIND
         some = left[own[np.minimum(np.searchsorted(own, mine), len(own) - 1)] == mine] if len(own) else left[:0]
         out = [(-1 - block, block, b.flags(gone))] if len(gone) else []
         if len(some):
-            out += _suffix_rows(b, some, _targets(b.prefix_bins(some, bits), groups, splits, b.digests[some]), block, common.value)
+            out += _suffix_rows(b, some, _targets(prefix_bins(b.words, b.places[some], window, bits, common.value), groups, splits, b.digests[some]), block, common.value)
         del b
         release()
         return _parts(out)

@@ -126,6 +126,11 @@ def window_places(bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return places[ok], text[ok]
 
 
+def spread(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All places of runs, one run after the other."""
+    return np.repeat(begins - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+
+
 def blocks(batches: Iterator, size: int, columns: list[str]) -> Iterator[tuple]:
     """Arrow batches regrouped: yields (texts as bytes, other columns' lists) of about so many bytes and at most MOST_TEXTS rows; text comes first in columns."""
     held, total = [[] for _ in columns], 0
