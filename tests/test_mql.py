@@ -72,5 +72,5 @@ def test_series_reach_the_market(spark):
     m = market.states(V.obs(spark, sf), V.derivatives(spark, sf), V.book(spark, sf), points, names)
     made = ["price_change_1h", "price_change_24h", "price_change_7d", "realised_volatility_1h", "realised_volatility_4h", "realised_volatility_24h", "realised_volatility_7d", "atr_14_bps", "rsi_14", "ema_12", "ema_26", "largest_venue_liquidity_share", "liquidity_concentration_hhi"]
     got = Engine(m).run(f"SELECT asset, genome_status, {', '.join(made)} FROM market WHERE realised_volatility_24h > 0").collect()
-    assert [r.asset for r in got] == ["P77"] and got[0].genome_status == "warming" and None not in got[0]
+    assert [r.asset for r in got] == ["P77"] and got[0].genome_status == "warming_up" and None not in got[0]
     assert m.filter("name = 'a name'").count() == 1 and m.count() == V.obs(spark, sf).select("asset").distinct().count()

@@ -69,6 +69,34 @@ def test_live_expiry_and_majority(spark):
     assert got == {0: None, 1: None, 2: None, 3: "outlier", 9: "stale"}
 
 
+def test_subscriptions():
+    from tidemark.streaming import frames
+
+    of = lambda name, symbols: [json.loads(x) for x in frames.subscribe_frames(frames.BY_NAME[name], symbols)]
+    assert of("binance", ["A"]) == []
+    assert of("bybit_spot", [f"S{k}" for k in range(12)]) == [{"op": "subscribe", "args": [f"tickers.S{k}" for k in range(10)]}, {"op": "subscribe", "args": ["tickers.S10", "tickers.S11"]}]
+    assert of("okx", ["A-B"]) == [{"op": "subscribe", "args": [{"channel": "tickers", "instId": "A-B"}]}]
+    assert of("bitget", ["AB"])[0]["args"] == [{"instType": "SPOT", "channel": "ticker", "instId": "AB"}]
+    assert of("deribit", ["X"])[0]["params"] == {"channels": ["ticker.X.100ms"]} and of("coinbase", ["A-B"])[0]["product_ids"] == ["A-B"]
+
+
+def test_one_candidate_per_venue_and_lost_feeds(spark):
+    now = 1_000_000
+    quotes = spark.createDataFrame([(1, 1, "a", "USD", None, None, 10.0, 5.0, None, now), (1, 1, "b", "USDT", None, None, 10.1, 9.0, None, now), (1, 2, "a", "USD", None, None, 10.2, 1.0, None, now), (1, 3, "a", "USD", 9.9, 10.1, 10.2, None, 3.0, now - 400_000), (1, 4, "a", "XYZ", None, None, 9.0, 1.0, None, now), (1, 5, "a", "USD", None, None, 9.0, 1.0, None, now)], "asset int, venue int, symbol string, quote string, bid double, ask double, last double, quote_volume double, base_volume double, price_ms long")
+    rates = spark.createDataFrame([("USD", 1.0), ("USDT", 0.999)], "quote string, rate double")
+    feeds = spark.createDataFrame([(1, True, 0), (2, False, now - 19_000), (3, True, 0), (4, True, 0), (5, False, now - 21_000)], "venue int, connected boolean, changed_ms long")
+    found = live.usd_candidates(quotes, rates, feeds, F.lit(now))
+    assert {(r.venue, r.symbol): r.early for r in found.collect()} == {(1, "a"): None, (1, "b"): None, (2, "a"): None, (3, "a"): "stale", (4, "a"): "unusable", (5, "a"): "feed_disconnected"}
+    assert sorted((r.venue, r.symbol) for r in live.one_per_venue(found).collect()) == [(1, "b"), (2, "a")]
+    state = live.live_states(found, spark.createDataFrame([(1, 10.0)], "asset int, published double")).first()
+    assert (state.venues_used, state.venues_seen, state.method) == (2, 4, "robust_weighted_median")
+
+
+def test_stablecoin_off_parity_is_ignored(spark):
+    ticks = spark.createDataFrame([("U", 1, 1, 0.999, 1.001, None), ("U", 2, 2, None, None, 0.9), ("V", 1, 1, 1.2, 1.1, 1.01)], "quote string, ts_ms long, id long, bid double, ask double, last double")
+    assert {r.quote: round(r.rate, 6) for r in live.probed_rates(ticks).collect()} == {"U": 1.0, "V": 1.01}
+
+
 def test_rest_works_without_the_corpus_operators(tmp_path):
     root = Path(__file__).resolve().parent.parent
     for name in ("__spark_entry__.py",):

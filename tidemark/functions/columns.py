@@ -26,14 +26,10 @@ def total(array: Column) -> Column:
     return F.aggregate(array, F.lit(0.0), lambda a, x: a + x)
 
 
-#: What venues write for "no value".
-EMPTY = ("", "-", "--", "null", "none", "nan", "n/a", "na")
-
-
 def parse_number(text: Column) -> Column:
-    """A finite number from text, or null: sentinels, words and truth values are no numbers."""
+    """A finite number from text, or null: what does not look like a number is none, whatever a venue writes for it."""
     t = F.trim(text)
-    return finite(F.when(~F.lower(t).isin(*EMPTY) & t.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), t.try_cast("double")))
+    return finite(F.when(t.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), t.try_cast("double")))
 
 
 def parse_whole(text: Column) -> Column:
@@ -97,3 +93,34 @@ def slot(ms: Column) -> Column:
 
 def slot_label(ms: Column) -> Column:
     return F.date_format(F.timestamp_millis(slot(ms)), "yyyyMMdd'T'HHmmss'Z'")
+
+
+def round_for_output(c: Column, digits: int = 12) -> Column:
+    """To so many significant digits, so that results print the same on every machine; 0 stays 0, and what is not finite is null."""
+    size = F.floor(F.log10(F.abs(finite(c))))
+    scale = F.pow(F.lit(10.0), F.lit(digits - 1) - size)
+    return F.when(c == 0, F.lit(0.0)).otherwise(F.rint(finite(c) * scale) / scale)
+
+
+def step_decimals(step: Column) -> Column:
+    """Decimals of a price step such as 0.001, null unless it is positive."""
+    text = F.regexp_replace(F.format_string("%.12f", step), "0+$", "")
+    return F.when(step > 0, F.length(F.split_part(text, F.lit("."), F.lit(2))))
+
+
+def without_prefix(text: Column, *prefixes: str) -> Column:
+    out = text
+    for p in reversed(prefixes):
+        out = F.when(text.startswith(p) & (F.length(text) > len(p)), F.substr(text, F.lit(len(p) + 1))).otherwise(out)
+    return out
+
+
+def split_pair(symbol: Column, separators: str = "-_/:") -> Column:
+    """base and quote of a symbol with one separator, null without."""
+    parts = F.split(symbol, f"[{separators}]")
+    return F.when(F.size(parts) == 2, F.struct(parts[0].alias("base"), parts[1].alias("quote")))
+
+
+def iso_ms(text: Column) -> Column:
+    """Milliseconds of an ISO time; without a zone it is UTC."""
+    return F.unix_millis(F.try_to_timestamp(F.regexp_replace(text, "Z$", "+00:00")))

@@ -16,6 +16,23 @@ from tidemark.functions.columns import bps, ratio
 TARGET_HOURS, PERIODS_PER_YEAR = 8.0, 1095
 
 
+def with_marks(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """rows (instrument, price) with the last known mark of their instrument as price, else their own. marks: instrument, ts_ms, id, mark."""
+    last = marks.filter("mark is not null").groupBy(F.col("instrument").alias("m_instrument")).agg(F.max_by("mark", F.struct("ts_ms", "id")).alias("m_mark"))
+    return rows.join(last, F.col("instrument") == F.col("m_instrument"), "left").withColumn("price", F.coalesce("m_mark", "price")).drop("m_instrument", "m_mark")
+
+
+def with_intervals(rows: DataFrame, instruments: DataFrame) -> DataFrame:
+    """rows with the funding interval of the observation, else of the instrument. instruments: instrument, hours."""
+    known = instruments.select(F.col("instrument").alias("i_instrument"), F.col("hours").alias("i_hours"))
+    return rows.join(known, F.col("instrument") == F.col("i_instrument"), "left").withColumn("funding_hours", F.coalesce("funding_hours", "i_hours")).drop("i_instrument", "i_hours")
+
+
+def weighting_volume(quote_volume, base_volume, price, rate):
+    """USD volume that only weights prices: what the venue reports in its quote currency, else its base volume at its own price; never published."""
+    return F.when(rate.isNotNull(), F.coalesce(quote_volume * rate, base_volume * price * rate))
+
+
 def funding(rows: DataFrame) -> DataFrame:
     """rate_8h, or the reason why there is none. Absolute rates are turned into relative ones by the mark price."""
     mark = F.col("price")

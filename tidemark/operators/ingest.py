@@ -39,6 +39,38 @@ def quarantined(rows: DataFrame, reason: str, order: list[str], detail: int = DE
     return few.withColumn("_r", F.row_number().over(Window.partitionBy(reason).orderBy(*order))).filter(F.col("_r") <= detail).drop("_r", "_salt")
 
 
+def conserved(rows: DataFrame, reason: str) -> DataFrame:
+    """considered, accepted, quarantined, and whether the last two make the first."""
+    out = rows.agg(F.count("*").alias("considered"), F.count_if(F.col(reason).isNull()).alias("accepted"), F.count(reason).alias("quarantined"))
+    return out.withColumn("conserved", F.col("accepted") + F.col("quarantined") == F.col("considered"))
+
+
+# What instruments can be.
+TYPES, CONTRACTS, OPTIONS = ("spot", "perpetual", "future", "option"), ("linear", "inverse", "quanto"), ("call", "put")
+OI_UNITS, SEMANTICS = ("base_asset", "quote_currency", "contracts", "usd", "unknown"), ("relative", "absolute", "undocumented")
+
+
+def normalised_instruments(raw: DataFrame) -> DataFrame:
+    """Raw instruments with what follows from their own fields, and the reason why one is refused.
+
+    Unknown kinds of instrument, contract or option are refused, and so are fields
+    that contradict each other: a perpetual with an expiry, a dated one without,
+    an option without strike or direction, a spot market with a contract. A
+    derivative without a known unit of open interest keeps `unknown`; funding
+    semantics that nobody documents become `undocumented`.
+    """
+    kind, dated = F.col("instrument_type"), F.col("instrument_type").isin("future", "option")
+    unknown = lambda c, values: F.col(c).isNotNull() & ~F.col(c).isin(*values)
+    contradicts = ((kind == "perpetual") & F.col("expiry").isNotNull()) | (dated & F.col("expiry").isNull()) | ((kind == "option") & (F.col("strike").isNull() | F.col("option_type").isNull())) | ((kind == "spot") & F.col("contract_type").isNotNull())
+    reason = F.when(kind.isNull() | ~kind.isin(*TYPES), "unknown_instrument_type").when(unknown("contract_type", CONTRACTS), "unknown_contract_type").when(unknown("option_type", OPTIONS), "unknown_option_type").when(contradicts, "model_validation")
+    unit = F.when(F.col("open_interest_unit").isin(*OI_UNITS), F.col("open_interest_unit")).when(kind != "spot", "unknown")
+    semantics = F.when(unknown("funding_semantics", SEMANTICS), "undocumented").otherwise(F.col("funding_semantics"))
+    return raw.withColumns({
+        "reason": reason, "symbol_normalized": F.concat_ws("/", F.upper("base"), F.upper("quote")), "open_interest_unit": unit, "funding_semantics": semantics,
+        "settlement_period": F.when(kind == "perpetual", "perpetual").when(dated, "dated"), "missing_multiplier": (kind != "spot") & (unit == "contracts") & F.col("contract_multiplier").isNull(),
+    })
+
+
 def deduped_first(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key, the first in order; null keys count as equal."""
     return rows.groupBy(*keys).agg(F.min_by(F.struct(*rows.columns), F.struct(*order)).alias("_row")).select("_row.*")
@@ -83,6 +115,12 @@ def best_paths(edges: DataFrame, target: str, hops: int = 3) -> DataFrame:
     return every.groupBy("currency").agg(F.min_by(F.struct("rate", "hops", "source", "observed_at"), F.struct("total", "trail")).alias("b")).select("currency", "b.*")
 
 
+def quote_rates(edges: DataFrame, target: str) -> DataFrame:
+    """(currency, usd): what one unit of each currency is worth in the target, which is worth one."""
+    spark = edges.sparkSession
+    return best_paths(edges, target).select("currency", F.col("rate").alias("usd")).union(spark.createDataFrame([(target, 1.0)], "currency string, usd double"))
+
+
 def agreed_names(symbols: DataFrame, least: int = 2) -> DataFrame:
     """(ticker, name) that so many venues agree on."""
     return symbols.groupBy("ticker", "name").agg(F.count_distinct("venue").alias("venues")).filter(F.col("venues") >= least)
@@ -95,7 +133,7 @@ def identities(symbols: DataFrame, overrides: DataFrame, fiat: list[str], native
     """
     agreed = agreed_names(symbols.filter("name is not null and name <> ''")).select(F.col("ticker").alias("a_ticker"), F.col("name").alias("a_name"))
     chains = F.create_map(*[F.lit(x) for pair in native.items() for x in pair]) if native else F.create_map().cast("map<string,string>")
-    j = symbols.join(F.broadcast(overrides), (F.col("ticker") == F.col("o_ticker")) & F.coalesce(F.col("o_venue") == F.col("venue"), F.lit(True)), "left").join(agreed, (F.col("ticker") == F.col("a_ticker")) & (F.col("name") == F.col("a_name")), "left")
+    j = symbols.join(overrides, (F.col("ticker") == F.col("o_ticker")) & F.coalesce(F.col("o_venue") == F.col("venue"), F.lit(True)), "left").join(agreed, (F.col("ticker") == F.col("a_ticker")) & (F.col("name") == F.col("a_name")), "left")
     evm, solana = F.col("address").rlike("^0x[0-9a-fA-F]{40}$"), F.col("address").rlike("^[1-9A-HJ-NP-Za-km-z]{32,44}$")
     own = F.concat_ws(":", F.lit("asset:unresolved"), F.col("venue").cast("string"), "ticker")
     rules = [

@@ -61,6 +61,13 @@ def spreads(levels: DataFrame) -> DataFrame:
     return spread.groupBy("asset").agg(F.min("bps").alias("best_spread_bps"), F.when(F.count("bps") >= 2, F.median("bps")).alias("median_spread_bps"), F.count("bps").alias("venue_count"))
 
 
+def depth_shares(depth: DataFrame) -> DataFrame:
+    """By asset over venues (asset, venue, d): venues, depth in all, the largest share and whose it is, and the Herfindahl index. Sums by asset are joined back, so that a venue's row is read once."""
+    every = depth.groupBy("asset").agg(F.sum("d").alias("_every"))
+    shared = depth.join(every, "asset").withColumn("_s", F.col("d") / F.col("_every"))
+    return shared.groupBy("asset").agg(F.count("*").alias("venues"), F.sum("d").alias("depth"), F.max("_s").alias("largest_share"), F.sum(F.col("_s") * F.col("_s")).alias("hhi"), F.max_by("venue", F.struct(F.round("d", 4), -F.col("venue"))).alias("largest_venue"))
+
+
 def imbalance(depth: DataFrame, band: int = 50) -> DataFrame:
     bid, ask = F.col(f"depth_{band}_bid"), F.col(f"depth_{band}_ask")
     return depth.withColumn("imbalance", ratio(bid - ask, bid + ask))

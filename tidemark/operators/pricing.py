@@ -77,6 +77,13 @@ def provenance(obs: DataFrame) -> DataFrame:
     return out.withColumns({"weight": F.when(F.col("reason").isNull(), F.col("share")), "included": F.col("reason").isNull()}).drop("share", "k_asset", "k_price", "k_weight", "p_asset")
 
 
+def representative(rows: DataFrame, keys: list[str], rate: Column, last: list[str]) -> DataFrame:
+    """Of each group's provenance() rows the one that stands for it, by included, no option, spot, convertible, weight, volume and `last`; one aggregate, whatever a group's size."""
+    no = lambda c: F.when(c, 0).otherwise(1)
+    order = F.struct(no(F.col("reason").isNull()).alias("a"), no(F.col("kind") != "option").alias("b"), no(F.col("kind") == "spot").alias("c"), no(rate.isNotNull()).alias("d"), (-F.coalesce("weight", F.lit(0.0))).alias("e"), (-F.coalesce("volume", F.lit(0.0))).alias("f"), *last)
+    return rows.groupBy(*keys).agg(F.min_by(F.struct(*[c for c in rows.columns if c not in keys]), order).alias("_best")).select(*keys, "_best.*")
+
+
 def reference_prices(obs: DataFrame) -> DataFrame:
     """A row per asset: the price, its method, venues, counts, reasons and dispersion."""
     rows = provenance(obs).withColumn("off", F.when(F.col("included"), F.abs(F.col("price") - F.col("reference_price"))))

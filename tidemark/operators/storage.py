@@ -30,6 +30,17 @@ def missing_slots(rows: DataFrame, ms: str) -> DataFrame:
     return due.join(there, "slot", "left_anti").select("day", "slot")
 
 
+def unexpected_slots(rows: DataFrame, ms: str, first_ms: int, last_ms: int) -> DataFrame:
+    """Slots with rows outside of the span that is expected."""
+    return slots_of(rows, ms).filter((F.col("slot") < first_ms) | (F.col("slot") > last_ms)).select("slot", "n")
+
+
+def rollup(rows: DataFrame, unit: str) -> DataFrame:
+    """First, last, least, greatest, mean and number of values by unit of time. rows: ts, id, value."""
+    at = F.struct("ts", "id")
+    return rows.groupBy(F.date_trunc(unit, "ts").cast("timestamp_ntz").alias("since")).agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"), F.avg("value").alias("mean"), F.min_by("value", at).alias("first"), F.max_by("value", at).alias("last"))
+
+
 def duplicate_slots(manifests: DataFrame) -> DataFrame:
     return manifests.groupBy("slot").agg(F.count("*").alias("n")).filter("n > 1")
 
@@ -49,8 +60,9 @@ def retention_action(age_h: Column, is_latest: Column, newest_rank: Column, keep
 
 
 def gate(m: dict[str, Column]) -> Column:
-    """The reasons why a generation must not be published, in order; empty if it may. m: venues, expected_venues, assets, previous_assets, shard_rows, parse_failures."""
+    """The reasons why a generation must not be published, in order; empty if it may. m: venues, expected_venues, assets, previous_assets, shard_rows, parse_failures, missing_tables and bad_checksums (numbers)."""
     tests = [
+        (m["missing_tables"] > 0, "missing_tables"), (m["bad_checksums"] > 0, "checksums"),
         (m["venues"] < 4, "too_few_venues"), (F.try_divide(m["venues"].cast("double"), m["expected_venues"]) < 0.35, "venue_ratio"),
         (m["shard_rows"] != m["assets"], "shard_rows"), (m["assets"] < m["previous_assets"] * 0.5, "asset_drop"), (m["parse_failures"] > 0.25, "parse_failures"),
     ]

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections import Counter
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ELIGIBLE = ("resolved", "manual_override")
+#: Assets that are followed live, and candidates that the book plan looks at in one go.
+LIVE_ASSETS, MOST_PIECE = 150, 20_000
 
 
 def universe(states: DataFrame, name: str) -> DataFrame:
@@ -28,31 +32,46 @@ def universe(states: DataFrame, name: str) -> DataFrame:
 
 
 def book_plan(candidates: DataFrame, total: int = 600, per_venue: int = 60, per_asset: int = 6) -> DataFrame:
-    """Instruments whose books are fetched, by rank, within budgets for each asset, each venue and all.
+    """Instruments whose books are fetched, by rank, within budgets for each asset, each venue and all; a skipped one costs nothing.
 
-    Whether a candidate fits depends on all picked before, so this is one fold in rank order. Only the per_asset * 4 best of an asset can be candidates of use to a caller, and `total` bounds what is kept; the fold itself streams.
+    Whether a candidate fits depends on those picked before. While the total is not
+    spent, fewer than total / per_venue venues are full, so of one asset and venue
+    no more than per_asset candidates matter, and of one venue those beyond its
+    budget matter only where earlier ones were skipped for their assets. The fold
+    therefore takes candidates in rank order in ever larger pieces, off a ranking
+    that stays distributed, and stops when the total is spent, when all venues are
+    full, or when there are no more; it never holds more than a piece.
     """
+    spark = candidates.sparkSession
     schema = "asset long, venue long, instrument string, rank long, picked int"
+    pair = Window.partitionBy("asset", "venue").orderBy("rank", "instrument")
+    best = candidates.select("asset", "venue", "instrument", "rank").withColumn("_k", F.row_number().over(pair)).filter(F.col("_k") <= per_asset).drop("_k")
+    by_asset, by_venue, picked, after, piece = Counter(), Counter(), [], None, 4 * total
+    while len(picked) < total:
+        left = best if after is None else best.filter((F.col("rank") > after[0]) | ((F.col("rank") == after[0]) & (F.col("instrument") > after[1])))
+        full = [v for v, n in by_venue.items() if n >= per_venue]
+        left = left.filter(~F.col("venue").isin(full)) if full else left
+        rows = left.orderBy("rank", "instrument").limit(piece).collect()
+        for r in rows:
+            if len(picked) < total and by_asset[r.asset] < per_asset and by_venue[r.venue] < per_venue:
+                by_asset[r.asset] += 1
+                by_venue[r.venue] += 1
+                picked.append((r.asset, r.venue, r.instrument, r.rank, len(picked) + 1))
+        if len(rows) < piece:
+            break
+        after, piece = (rows[-1].rank, rows[-1].instrument), min(2 * piece, MOST_PIECE)
+    return spark.createDataFrame(picked, schema)
+
+
+def live_universe(states: DataFrame, meta: DataFrame, most: int = LIVE_ASSETS, least_venues: int = 2, probable: bool = True) -> DataFrame:
+    """The assets that are followed live, by volume: rank, asset_id, symbol, price. states: asset_id, price, volume, venue_count; meta: asset_id, symbol, resolution_state, is_stablecoin."""
+    allowed = [*ELIGIBLE, *(["probable"] if probable else [])]
+    joined = states.join(meta, "asset_id").filter(F.col("resolution_state").isin(*allowed) & ~F.col("is_stablecoin") & (F.col("venue_count") >= least_venues) & F.col("price").isNotNull())
+    first = joined.orderBy(F.desc_nulls_last("volume"), "asset_id").limit(most)
+    return first.withColumn("rank", F.row_number().over(Window.orderBy(F.desc_nulls_last("volume"), "asset_id"))).select("rank", "asset_id", "symbol", "price")
+
 
-    def pick(key, frames):
-        by_asset: dict = {}
-        by_venue: dict = {}
-        n = 0
-        for frame in frames:
-            keep = []
-            for row in frame.itertuples(index=False):
-                if n < total and by_asset.get(row.asset, 0) < per_asset and by_venue.get(row.venue, 0) < per_venue:
-                    by_asset[row.asset] = by_asset.get(row.asset, 0) + 1
-                    by_venue[row.venue] = by_venue.get(row.venue, 0) + 1
-                    n += 1
-                    keep.append(n)
-                else:
-                    keep.append(0)
-            frame["picked"] = keep
-            yield frame[frame.picked > 0]
-
-    def stream(frames):
-        return pick(None, frames)
-
-    ranked = candidates.select("asset", "venue", "instrument", "rank").orderBy("rank", "instrument").coalesce(1)
-    return ranked.mapInPandas(stream, schema)
+def live_instruments(instruments: DataFrame, universe: DataFrame, rates: DataFrame, classes: tuple[str, ...] = ("spot", "perpetual_linear", "perpetual_inverse")) -> DataFrame:
+    """Active instruments of followed assets whose quote has a usable rate, by semi joins. instruments: venue, class, symbol, base_id, quote_id, active; rates: quote_id."""
+    usable = instruments.filter(F.col("active") & F.col("class").isin(*classes)).join(rates, "quote_id", "left_semi")
+    return usable.join(universe.select(F.col("asset_id").alias("base_id")), "base_id", "left_semi")

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
 from tidemark.mql.engine import Engine
+from tidemark.mql.metrics import METRICS
 from tidemark.operators import derivatives as D
 from tidemark.operators import ingest, liquidity, pricing, robust, series, storage, structure, universes
 from tidemark.plans import views as V
 from tidemark.plans.market import MARKET, market
-from tidemark.sources.datasets import flattened
+from tidemark.sources.datasets import flattened, searched
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -56,16 +57,23 @@ def mql_topk(spark, sf_dir):
     return out.withColumns({"reference_price": r("reference_price"), "price_dispersion_bps": r("price_dispersion_bps")})
 
 
-@query(f"WITH {MARKET} SELECT count(*) AS n, 62 AS n_columns FROM market")
+_STAR = {"asset": "asset", "asset_id": "asset_id", "symbol": "asset", "reference_price_method": "reference_price_method", "venue_count": "venue_count", "reference_price_venue_count": "venue_count", "included_venue_count": "included_venue_count", "reference_price": "round(reference_price, 6)", "reported_volume_24h_usd": "round(reported_volume_24h_usd, 2)",
+    "crowding_perp_dominance": "round(crowding_perp_dominance, 6)", "fragmentation_index": "round(fragmentation_index, 6)", "largest_venue_volume_share": "round(largest_venue_volume_share, 6)", "volume_concentration_hhi": "round(volume_concentration_hhi, 6)", "effective_venue_count": "round(effective_venue_count, 6)", "p10_p90_spread_bps": "round(p10_p90_spread_bps, 6)", "price_dispersion_bps": "round(price_dispersion_bps, 6)"}
+
+
+@query(f"WITH {MARKET} SELECT {', '.join(f'{sql} AS {name}' for name, sql in _STAR.items())}, 'reference_price' IS NOT NULL AS all_there FROM market")
 def mql_star(spark, sf_dir):
+    """All metrics of a star, of which SQL has these; that every metric is there is a column of its own."""
     out = Engine(market(spark, sf_dir)).run("SELECT * FROM market;")
-    return out.groupBy().agg(F.count("*").alias("n")).withColumn("n_columns", F.lit(len(out.columns)))
+    shown = [F.expr(sql if not sql.startswith("round(") else sql).alias(name) if "(" in sql else F.col(name) for name, sql in _STAR.items()]
+    return out.select(*shown, F.lit(out.columns == [n for n in METRICS if not n.endswith(("_ref", "note"))]).alias("all_there"))
 
 
-@query("SELECT p_partkey, p_name FROM part WHERE contains(lower(coalesce(p_name, '')), 'steel') OR contains(lower(p_brand), 'steel')")
+@query("SELECT 'asset:named:part:P' || p_partkey AS asset_id, 'P' || p_partkey AS symbol, p_name AS name FROM part WHERE contains(lower('P' || p_partkey), '19') OR contains(lower(coalesce(p_name, '')), '19')")
 def search_substring(spark, sf_dir):
-    needle = "STEEL".lower()
-    return V.table(spark, sf_dir, "part").filter(F.contains(F.lower(F.coalesce("p_name", F.lit(""))), F.lit(needle)) | F.contains(F.lower("p_brand"), F.lit(needle))).select("p_partkey", "p_name")
+    """The client's search, over names and symbols in any case."""
+    parts = V.table(spark, sf_dir, "part").select(F.concat(F.lit("asset:named:part:P"), F.col("p_partkey")).alias("asset_id"), F.concat(F.lit("P"), F.col("p_partkey")).alias("symbol"), F.col("p_name").alias("name"))
+    return searched(parts, "19")
 
 
 @query(f"WITH {MARKET} SELECT asset_id, round(reference_price, 6) AS reference_price FROM market WHERE asset = 'P77'")
@@ -344,7 +352,7 @@ def zscore_pressure(spark, sf_dir):
     return V.points(spark, sf_dir).groupBy("asset").agg(r(structure.z_score(last, F.avg("price"), F.stddev_samp("price"), F.count("price"))).alias("z"))
 
 
-@query(f"WITH {V.POINTS} SELECT asset, CASE WHEN count(*) >= 2688 THEN 'available' WHEN count(*) >= 672 THEN 'warming' ELSE 'insufficient_history' END AS status FROM points GROUP BY asset")
+@query(f"WITH {V.POINTS} SELECT asset, CASE WHEN count(*) >= 2688 THEN 'available' WHEN count(*) >= 672 THEN 'warming_up' ELSE 'insufficient_history' END AS status FROM points GROUP BY asset")
 def genome_lifecycle(spark, sf_dir):
     return V.points(spark, sf_dir).groupBy("asset").agg(structure.lifecycle(F.count("*")).alias("status"))
 
@@ -370,23 +378,6 @@ def volume_baseline(spark, sf_dir):
     return V.points(spark, sf_dir).groupBy("asset").agg(r(F.when(F.count("price") >= 16, F.median("price"))).alias("baseline"))
 
 
-@query(f"""WITH {V.POINTS}, t AS ({_trail(720)}), k AS (SELECT asset, ts_ms, id, (count(*) OVER (PARTITION BY asset ORDER BY price RANGE UNBOUNDED PRECEDING) - count(*) OVER (PARTITION BY asset, price) / 2.0) / count(*) OVER (PARTITION BY asset) * 100 AS rank, count(*) OVER (PARTITION BY asset) AS n FROM t)
-SELECT asset, CASE WHEN max(n) >= 20 THEN round(arg_max(rank, (ts_ms, id)), 6) END AS percentile_30d FROM k GROUP BY asset""")
-def crowding_vector(spark, sf_dir):
-    """Where the latest value stands among those of 30 days, if there are enough."""
-    k = robust.percentile_rank(series.trailing(V.points(spark, sf_dir), 720), ["asset"], "price")
-    return k.groupBy("asset").agg(F.when(F.count("*") >= 20, r(F.max_by("percentile_rank", F.struct("ts_ms", "id")))).alias("percentile_30d"))
-
-
-@query(f"""WITH {V.DERIVATIVES}, {V.VOLUMES}, f AS (SELECT asset, CASE WHEN count(rate_8h) >= 8 AND stddev_samp(rate_8h) > 0 THEN (max(rate_8h) - avg(rate_8h)) / stddev_samp(rate_8h) END AS z FROM f8 WHERE rate_8h IS NOT NULL GROUP BY asset)
-SELECT asset, round(z, 6) AS funding_z, round(perp_dominance, 6) AS perp_dominance, (z IS NOT NULL)::INT + (perp_dominance IS NOT NULL)::INT AS available FROM vo LEFT JOIN f USING (asset)""")
-def pressure_vector(spark, sf_dir):
-    """Components that an asset has, and how many."""
-    f = D.funding(V.derivatives(spark, sf_dir)).filter("rate_8h is not null").groupBy("asset").agg(structure.z_score(F.max("rate_8h"), F.avg("rate_8h"), F.stddev_samp("rate_8h"), F.count("rate_8h")).alias("z"))
-    j = D.volume_by_segment(V.obs(spark, sf_dir)).join(f, "asset", "left")
-    return j.select("asset", r("z").alias("funding_z"), r("perp_dominance").alias("perp_dominance"), (F.col("z").isNotNull().cast("int") + F.col("perp_dominance").isNotNull().cast("int")).alias("available"))
-
-
 # --- ingest
 
 _TICK = f"""tick AS (SELECT *, CASE WHEN l_suppkey % 23 = 0 THEN NULL ELSE l_suppkey END AS instrument, l_orderkey % 29 <> 0 AS active, CASE WHEN l_linenumber <> 6 THEN price * (1 - l_tax / 50) END AS bid, CASE WHEN l_linenumber <> 5 THEN price * (1 - (l_discount - 0.05::DOUBLE) / 50) END AS ask,
@@ -431,11 +422,15 @@ def dedupe_keep_last(spark, sf_dir):
     return ingest.deduped_last(p, ["asset", "hour"], ["ts_ms", "id"]).select("asset", "hour", "id")
 
 
-@query(f"WITH {V.PRICES} SELECT asset, venue, arg_min(l_orderkey, (CASE WHEN reason IS NULL THEN 0 ELSE 1 END, CASE WHEN kind = 'spot' THEN 0 ELSE 1 END, -coalesce(volume, 0), {_ROW.replace('asset, ', '')})) AS l_orderkey FROM w2 GROUP BY asset, venue")
+_SEVEN = f"(CASE WHEN reason IS NULL THEN 0 ELSE 1 END, CASE WHEN kind = 'option' THEN 1 ELSE 0 END, CASE WHEN kind = 'spot' THEN 0 ELSE 1 END, CASE WHEN {V.FX_SQL} IS NULL THEN 1 ELSE 0 END, -coalesce(weight, 0), -coalesce(volume, 0), {_ROW.replace('asset, ', '')})"
+
+
+@query(f"WITH {V.PRICES}, k AS (SELECT DISTINCT asset, price, rw, weight FROM ca) SELECT asset, venue, arg_min(l_orderkey, {_SEVEN}) AS l_orderkey, arg_min(l_suppkey, {_SEVEN}) AS l_suppkey FROM w2 LEFT JOIN k USING (asset, price, rw) GROUP BY asset, venue")
 def representative_ticker(spark, sf_dir):
+    """Of a venue's tickers the one that stands for it: included, no option, spot, convertible, heaviest, largest, and then by its key."""
     p = pricing.provenance(V.obs(spark, sf_dir))
-    order = F.struct(F.when(F.col("reason").isNull(), 0).otherwise(1).alias("a"), F.when(F.col("kind") == "spot", 0).otherwise(1).alias("b"), (-F.coalesce("volume", F.lit(0.0))).alias("c"), "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice")
-    return p.groupBy("asset", "venue").agg(F.min_by("l_orderkey", order).alias("l_orderkey"))
+    best = pricing.representative(p, ["asset", "venue"], V.quote_usd(F.col("ccy")), ["l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice"])
+    return best.select("asset", "venue", "l_orderkey", "l_suppkey")
 
 
 _INSTRUMENTS = "i AS (SELECT p_partkey AS instrument_id, p_partkey % 16 AS venue, p_brand AS symbol, CASE p_size % 3 WHEN 0 THEN 'spot' WHEN 1 THEN 'perpetual_linear' ELSE 'future_dated' END AS class, CASE p_size % 3 WHEN 0 THEN 'spot' WHEN 1 THEN 'perpetual' ELSE 'future' END AS type FROM part)"
@@ -453,7 +448,8 @@ def index_tiered_join(spark, sf_dir):
     return ingest.tiered_match(o, i).select("id", "instrument_id")
 
 
-_EDGES = "e AS (SELECT 'c' || (s_suppkey % 7) AS src, 'c' || (s_nationkey % 7) AS dst, 1 + abs(s_acctbal) / 1000000 AS rate, 'v' || (s_suppkey % 16) AS venue, s_suppkey AS observed_at FROM supplier WHERE s_suppkey % 3 = 0 AND s_suppkey % 7 <> 5 AND s_nationkey % 7 <> 5)"
+# every supplier is an edge; currencies c5 to c7 trade among themselves only, so no path leads from them to c0, and c1 to c4 in a ring, so paths have several hops
+_EDGES = "e AS (SELECT 'c' || (CASE WHEN s_suppkey % 8 < 5 THEN s_suppkey % 8 ELSE 5 + s_nationkey % 3 END) AS src, 'c' || (CASE WHEN s_suppkey % 8 < 5 THEN (s_suppkey % 8 + 1) % 5 ELSE 5 + (s_nationkey + 1) % 3 END) AS dst, 1 + abs(s_acctbal) / 1000000 AS rate, 'v' || (s_suppkey % 16) AS venue, s_suppkey AS observed_at FROM supplier)"
 
 
 @query(f"""WITH RECURSIVE {_EDGES}, b0 AS (SELECT *, 1000 AS cost FROM e UNION ALL SELECT dst, src, 1 / rate, venue, observed_at, 1050 FROM e), b AS (SELECT src, dst, unnest(arg_min(struct_pack(rate := rate, venue := venue, observed_at := observed_at, cost := cost), (cost, venue, observed_at, rate))) FROM b0 WHERE src <> dst GROUP BY src, dst),
@@ -461,8 +457,9 @@ p AS (SELECT src AS currency, rate, 1 AS hops, cost AS total, [struct_pack(c :=
 UNION ALL SELECT b.src, p.rate * b.rate, hops + 1, total + cost, list_concat([struct_pack(c := cost, v := venue, n := b.src)], trail), b.venue, least(p.observed_at, b.observed_at) FROM p JOIN b ON b.dst = p.currency WHERE hops < 3 AND b.src <> 'c0' AND NOT list_contains(list_transform(trail, lambda t: t.n), b.src))
 SELECT currency, round(arg_min(rate, (total, trail)), 9) AS rate, arg_min(hops, (total, trail)) AS hops, arg_min(source, (total, trail)) AS source, arg_min(observed_at, (total, trail)) AS observed_at FROM p GROUP BY currency""")
 def fx_best_path(spark, sf_dir):
-    s = V.table(spark, sf_dir, "supplier").filter("s_suppkey % 3 = 0 and s_suppkey % 7 <> 5 and s_nationkey % 7 <> 5")
-    e = s.select(F.concat(F.lit("c"), F.col("s_suppkey") % 7).alias("src"), F.concat(F.lit("c"), F.col("s_nationkey") % 7).alias("dst"), (1 + F.abs("s_acctbal") / 1_000_000).alias("rate"), F.concat(F.lit("v"), F.col("s_suppkey") % 16).alias("venue"), F.col("s_suppkey").alias("observed_at"))
+    k, n = F.col("s_suppkey") % 8, F.col("s_nationkey")
+    src, dst = F.when(k < 5, k).otherwise(5 + n % 3), F.when(k < 5, (k + 1) % 5).otherwise(5 + (n + 1) % 3)
+    e = V.table(spark, sf_dir, "supplier").select(F.concat(F.lit("c"), src).alias("src"), F.concat(F.lit("c"), dst).alias("dst"), (1 + F.abs("s_acctbal") / 1_000_000).alias("rate"), F.concat(F.lit("v"), F.col("s_suppkey") % 16).alias("venue"), F.col("s_suppkey").alias("observed_at"))
     return ingest.best_paths(e, "c0").select("currency", r("rate", 9).alias("rate"), "hops", "source", "observed_at")
 
 
@@ -539,11 +536,16 @@ def retention_plan(spark, sf_dir):
     return k.select("slot", storage.retention_action((V.AS_OF_MS - F.col("slot")) / 3_600_000.0, F.coalesce(F.col("rank") == 1, F.lit(False)), F.coalesce("rank", F.lit(9))).alias("action"))
 
 
-@query(f"""WITH {V.OBS}, g AS (SELECT l_linenumber AS generation, count(DISTINCT venue) AS venues, count(DISTINCT asset) AS assets, avg(CASE WHEN l_quantity < 10 THEN 1.0 ELSE 0.0 END) AS failures FROM obs GROUP BY 1)
-SELECT generation, array_to_string(list_filter([CASE WHEN venues < 4 THEN 'too_few_venues' END, CASE WHEN venues / 16.0 < 0.35 THEN 'venue_ratio' END, CASE WHEN assets < 1900 * 0.5 THEN 'asset_drop' END, CASE WHEN failures > 0.25 THEN 'parse_failures' END], lambda x: x IS NOT NULL), ',') AS reasons FROM g""")
+@query(f"""WITH {V.OBS}, g AS (SELECT l_linenumber AS generation, count(DISTINCT venue) AS venues, count(DISTINCT asset) AS assets, count(DISTINCT CASE WHEN asset % 97 <> l_linenumber THEN asset END) AS shard_rows, avg(CASE WHEN l_quantity < 10 + l_linenumber THEN 1.0 ELSE 0.0 END) AS failures, 6 - count(DISTINCT CASE WHEN l_suppkey % 7 < 6 AND l_linenumber <> 3 THEN l_suppkey % 7 ELSE 0 END) AS missing, count(*) FILTER (l_discount = 0.1 AND l_linenumber = 5) AS bad FROM obs GROUP BY 1), n AS (SELECT count(DISTINCT p_partkey) AS previous FROM part)
+SELECT generation, array_to_string(list_filter([CASE WHEN missing > 0 THEN 'missing_tables' END, CASE WHEN bad > 0 THEN 'checksums' END, CASE WHEN venues < 4 THEN 'too_few_venues' END, CASE WHEN venues / 40.0 < 0.35 THEN 'venue_ratio' END, CASE WHEN shard_rows <> assets THEN 'shard_rows' END, CASE WHEN assets < previous * 0.5 THEN 'asset_drop' END, CASE WHEN failures > 0.25 THEN 'parse_failures' END], lambda x: x IS NOT NULL), ',') AS reasons FROM g, n""")
 def validity_gate(spark, sf_dir):
-    g = V.obs(spark, sf_dir).groupBy(F.col("l_linenumber").alias("generation")).agg(F.count_distinct("venue").alias("venues"), F.count_distinct("asset").alias("assets"), F.avg(F.when(F.col("l_quantity") < 10, 1.0).otherwise(0.0)).alias("failures"))
-    m = {"venues": F.col("venues"), "expected_venues": F.lit(16.0), "assets": F.col("assets"), "previous_assets": F.lit(1900), "shard_rows": F.col("assets"), "parse_failures": F.col("failures")}
+    n, k = F.col("l_linenumber"), F.col("l_suppkey") % 7
+    g = V.obs(spark, sf_dir).groupBy(n.alias("generation")).agg(
+        F.count_distinct("venue").alias("venues"), F.count_distinct("asset").alias("assets"), F.count_distinct(F.when(F.col("asset") % 97 != n, F.col("asset"))).alias("shard_rows"), F.avg(F.when(F.col("l_quantity") < 10 + n, 1.0).otherwise(0.0)).alias("failures"),
+        (6 - F.count_distinct(F.when((k < 6) & (n != 3), k).otherwise(0))).alias("missing"), F.count_if((F.col("l_discount") == 0.1) & (n == 5)).alias("bad"),
+    )
+    g = g.join(F.broadcast(V.table(spark, sf_dir, "part").agg(F.count_distinct("p_partkey").alias("previous"))))
+    m = {"venues": F.col("venues"), "expected_venues": F.lit(40.0), "assets": F.col("assets"), "previous_assets": F.col("previous"), "shard_rows": F.col("shard_rows"), "parse_failures": F.col("failures"), "missing_tables": F.col("missing"), "bad_checksums": F.col("bad")}
     return g.select("generation", F.array_join(storage.gate(m), ",").alias("reasons"))
 
 
@@ -551,26 +553,34 @@ def validity_gate(spark, sf_dir):
 
 
 def _ranked(spark, sf_dir):
-    m = market(spark, sf_dir)
-    return m.select("asset_id", "resolution_state", "venue_count", F.col("reported_volume_24h_usd").alias("volume"), F.col("structure__spot_venue_count").alias("spot_venues"), F.col("structure__perp_venue_count").alias("perp_venues"), F.col("reported_volume_24h_usd").alias("depth_50"))
-
-
-@query(f"WITH {MARKET} SELECT asset_id FROM market WHERE venue_count >= 2 AND reported_volume_24h_usd >= 1000000")
-def universe_liquid(spark, sf_dir):
-    return universes.universe(_ranked(spark, sf_dir), "liquid").select("asset_id")
-
-
-@query(f"WITH {MARKET} SELECT asset_id FROM market WHERE reported_volume_24h_usd IS NOT NULL ORDER BY reported_volume_24h_usd DESC, asset_id LIMIT 100")
-def universe_top_ranked(spark, sf_dir):
-    return universes.universe(_ranked(spark, sf_dir), "top_100").select("asset_id")
-
-
-@query(f"WITH {V.OBS} SELECT 'asset:named:part:P' || asset AS asset_id FROM obs GROUP BY asset HAVING count(*) FILTER (kind = 'spot') > 0 AND count(*) FILTER (kind = 'perpetual') = 0")
-def universe_spot_only(spark, sf_dir):
-    return universes.universe(_ranked(spark, sf_dir), "spot_only").select("asset_id")
-
-
-@query()
+    """Assets with the depth of their books and, by id, all states of identity; volumes in spot alone for one in eleven."""
+    o = V.obs(spark, sf_dir).filter((F.col("asset") % 11 != 0) | (F.col("kind") == "spot"))
+    counts = structure.venue_counts(o).join(o.groupBy("asset").agg(F.count_distinct("venue").alias("venue_count"), F.sum("volume").alias("volume")), "asset")
+    depth = liquidity.depth_bands(V.book(spark, sf_dir), ["asset"]).select("asset", (F.col("depth_50_bid") + F.col("depth_50_ask")).alias("depth_50"))
+    k = F.col("asset") % 13
+    state = F.when(k < 9, "resolved").when(k == 9, "manual_override").when(k == 10, "probable").when(k == 11, "ambiguous").otherwise("unresolved")
+    return counts.join(depth, "asset", "left").select(F.concat(F.lit("asset:named:part:P"), F.col("asset")).alias("asset_id"), state.alias("resolution_state"), "venue_count", "volume", "spot_venues", "perp_venues", "depth_50")
+
+
+_UNIVERSE = V.BOOK + f""",
+un AS (SELECT asset, count(DISTINCT venue) AS venue_count, sum(volume) AS volume, count(DISTINCT CASE WHEN kind = 'spot' THEN venue END) AS spot_venues, count(DISTINCT CASE WHEN kind = 'perpetual' THEN venue END) AS perp_venues FROM obs WHERE asset % 11 <> 0 OR kind = 'spot' GROUP BY asset),
+de AS (SELECT asset, {_DEPTHS.replace(', 7) END', ', 9) END')} FROM book GROUP BY asset),
+ra AS (SELECT 'asset:named:part:P' || asset AS asset_id, asset, venue_count, volume, spot_venues, perp_venues, depth_50_bid + depth_50_ask AS depth_50, CASE WHEN asset % 13 < 9 THEN 'resolved' WHEN asset % 13 = 9 THEN 'manual_override' WHEN asset % 13 = 10 THEN 'probable' WHEN asset % 13 = 11 THEN 'ambiguous' ELSE 'unresolved' END AS resolution_state FROM un LEFT JOIN de USING (asset)),
+ok AS (SELECT * FROM ra WHERE resolution_state IN ('resolved', 'manual_override'))"""
+for _name, _where in {
+    "all_resolved": "true", "multi_venue": "venue_count >= 3", "liquid": "venue_count >= 2 AND volume >= 1000000", "spot_only": "spot_venues > 0 AND perp_venues = 0", "derivative_active": "perp_venues > 0",
+}.items():
+    query(f"WITH {_UNIVERSE} SELECT asset_id FROM ok WHERE {_where}", f"universe_{_name}")(lambda spark, sf_dir, name=_name: universes.universe(_ranked(spark, sf_dir), name).select("asset_id"))
+for _n in (100, 500):
+    query(f"WITH {_UNIVERSE} SELECT asset_id, round(depth_50, 2) AS depth_50 FROM ok WHERE depth_50 IS NOT NULL ORDER BY round(depth_50, 4) DESC, asset_id LIMIT {_n}", f"universe_top_{_n}")(lambda spark, sf_dir, n=_n: universes.universe(_ranked(spark, sf_dir).withColumn("depth_50", r("depth_50", 4)), f"top_{n}").select("asset_id", r("depth_50", 2).alias("depth_50")))
+
+
+@query(f"""WITH RECURSIVE {V.OBS}, o AS (SELECT asset, venue, sum(volume) AS v FROM obs GROUP BY asset, venue HAVING sum(volume) >= 100000),
+c0 AS (SELECT asset, venue, 'instrument:' || venue || ':' || asset AS instrument, (-trunc(v))::BIGINT AS rank FROM o), c AS (SELECT *, row_number() OVER (ORDER BY rank, instrument) AS k FROM c0),
+f AS (SELECT 0::BIGINT AS k, 0::BIGINT AS picked, MAP {{}}::MAP(BIGINT, INTEGER) AS a, MAP {{}}::MAP(BIGINT, INTEGER) AS b, false AS taken
+UNION ALL SELECT c.k, picked + CASE WHEN t THEN 1 ELSE 0 END, CASE WHEN t THEN map_concat(a, MAP {{c.asset: coalesce(a[c.asset], 0) + 1}}) ELSE a END, CASE WHEN t THEN map_concat(b, MAP {{c.venue: coalesce(b[c.venue], 0) + 1}}) ELSE b END, t
+FROM (SELECT f.*, c.asset, c.venue, c.k AS ck, (coalesce(a[c.asset], 0) < 6 AND coalesce(b[c.venue], 0) < 60) AS t FROM f JOIN c ON c.k = f.k + 1 WHERE f.picked < 600) AS s JOIN c ON c.k = s.ck)
+SELECT asset, venue, instrument, rank, picked::INT AS picked FROM f JOIN c USING (k) WHERE taken""")
 def book_plan_budgets(spark, sf_dir):
     o = V.obs(spark, sf_dir).groupBy("asset", "venue").agg(F.sum("volume").alias("v")).filter("v >= 100000")
     c = o.select("asset", "venue", F.concat_ws(":", F.lit("instrument"), "venue", "asset").alias("instrument"), (-F.col("v")).cast("long").alias("rank"))

@@ -106,6 +106,21 @@ POINTS = f"""
 points AS (SELECT user_id AS asset, epoch_us(ts) // 1000 AS ts_ms, event_id AS id, value AS price, {AS_OF_MS} AS as_of_ms, event_type FROM events WHERE value > 0)"""
 
 
+def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was known of each asset (a user) in the past: an event brings some of its measures."""
+    e, k, kind = table(spark, sf_dir, "events").filter("value > 0"), F.col("event_id"), F.col("event_type")
+    return e.select(
+        F.col("user_id").alias("asset"), F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"), k.alias("id"), F.col("value").alias("price"),
+        F.when(kind != "error", (k % 17 - 8) / 100_000).alias("funding_8h"), F.when(kind != "click", (k % 23 - 11).cast("double")).alias("basis_bps"),
+        F.when(kind != "signup", F.col("value") * 1000).alias("open_interest_usd"), F.when((kind != "view") | (k % 3 == 0), F.col("value") * 10).alias("volume_usd"),
+    )
+
+
+HISTORY = """
+hist AS (SELECT user_id AS asset, epoch_us(ts) // 1000 AS ts_ms, event_id AS id, value AS price, CASE WHEN event_type <> 'error' THEN (event_id % 17 - 8)::DOUBLE / 100000 END AS funding_8h, CASE WHEN event_type <> 'click' THEN (event_id % 23 - 11)::DOUBLE END AS basis_bps,
+  CASE WHEN event_type <> 'signup' THEN value * 1000 END AS open_interest_usd, CASE WHEN event_type <> 'view' OR event_id % 3 = 0 THEN value * 10 END AS volume_usd FROM events WHERE value > 0)"""
+
+
 def median_sql(source: str, keys: str, x: str, w: str, name: str) -> str:
     """Weighted median as a query."""
     over = f"PARTITION BY {keys} ORDER BY {x}, {w}"

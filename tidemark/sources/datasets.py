@@ -46,6 +46,12 @@ def flattened(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def searched(assets: DataFrame, text: str) -> DataFrame:
+    """Assets whose symbol or name has the text, in any case."""
+    needle = F.lit(text.lower())
+    return assets.filter(F.contains(F.lower("symbol"), needle) | F.contains(F.lower(F.coalesce("name", F.lit(""))), needle)).select("asset_id", "symbol", "name")
+
+
 def write_generation(root: str, generation: str, states: DataFrame, tables: dict[str, DataFrame], shards: int = SHARDS) -> dict:
     """Writes zstd Parquet and the manifest, then moves the pointer. A reader sees the old generation or the whole new one."""
     folder = Path(root, "generations", generation)
@@ -103,8 +109,7 @@ class MarketClient:
 
     def search(self, text: str) -> DataFrame:
         """Assets whose symbol or name has the text, in any case."""
-        needle = F.lit(text.lower())
-        return self.market().filter(F.contains(F.lower("symbol"), needle) | F.contains(F.lower(F.coalesce("name", F.lit(""))), needle)).select("asset_id", "symbol", "name").orderBy("symbol", "asset_id")
+        return searched(self.market(), text).orderBy("symbol", "asset_id")
 
     def asset(self, symbol_or_id: str) -> Row:
         """One asset's state; only the shard that can hold its id is read."""
