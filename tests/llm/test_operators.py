@@ -114,9 +114,9 @@ def test_tree_in_packing_order_and_saturated_counts():
     r = np.random.Generator(np.random.PCG64(5))
     v = r.poisson(1, (200, neardup.DIMENSIONS)).astype(np.int32)
     v[100:] = v[:100] + (r.random((100, neardup.DIMENSIONS)) < 0.05)
-    v[7, 3] = v[107, 3] = 200_000  # one group with more shingles than 16 bits count
+    v[7, 3] = v[107, 3] = 200_000  # one group with more shingles than 8 bits count
     n = v.sum(1)
-    loose = neardup.loosened([x.tobytes() for x in neardup.saturated(v)])
+    loose = neardup.saturated(v)
     order = neardup.packing_order(loose, n)
     tree = neardup.RTree(loose[order], n[order])
     for k in range(200):

@@ -16,7 +16,7 @@ Nulls: a null or empty text has no shingles and links with nothing; a row
 without doc_id takes part, and its component is that of the smallest id there
 is. Rows that repeat a doc_id are judged by their own texts. Without rows there
 is no result; columns other than doc_id and text are not looked at. Whole texts
-take part, however long: a group's count that does not fit 16 bits bounds nothing.
+take part, however long: a group's count that does not fit 8 bits bounds nothing.
 """
 
 from __future__ import annotations
@@ -34,10 +34,10 @@ from tidemark.llm.runtime import shuffle_partitions, small_batches, store, table
 from tidemark.llm.substrings import _packed, _unpacked
 from tidemark.llm.words import Words, blocks, mix, window_places, windows
 
-SHINGLE, DIMENSION_BITS, FAN_OUT = 5, 9, 16
-#: With so many, unrelated texts of up to some 8,000 words fall below the bound; fewer tell only shorter ones apart.
+SHINGLE, DIMENSION_BITS, FAN_OUT = 5, 10, 16
+#: With so many, unrelated texts of up to some 16,000 words fall below the bound; fewer tell only shorter ones apart.
 DIMENSIONS = 1 << DIMENSION_BITS
-SATURATED = (1 << 16) - 1
+SATURATED = (1 << 8) - 1
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT = 75
 BLOCK_BYTES = 12 << 20
@@ -80,23 +80,24 @@ def points(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def saturated(vectors: np.ndarray) -> np.ndarray:
-    """Count vectors in 16 bits; a count that does not fit becomes the largest number, which loosened() takes for any."""
-    return np.minimum(vectors, SATURATED).astype(np.uint16)
+    """Count vectors in 8 bits; a count that does not fit becomes the largest number, which stands for any."""
+    return np.minimum(vectors, SATURATED).astype(np.uint8)
 
 
-def loosened(blobs: list[bytes]) -> np.ndarray:
-    """Count vectors of which the bound stays one: saturated counts are as large as any."""
-    vectors = np.frombuffer(b"".join(blobs), np.uint16).reshape(len(blobs), DIMENSIONS).astype(np.int32)
-    vectors[vectors == SATURATED] = 1 << 22
-    return vectors
+def overlap_bounds(vectors: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Sums of the smaller coordinates; where both are saturated there is no bound."""
+    bound = np.minimum(vectors, own).sum(1, dtype=np.int64)
+    if (full := own == SATURATED).any():
+        bound += (vectors[:, full] == SATURATED).sum(1) << 22
+    return bound
 
 
 def packing_order(vectors: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The order in which points are packed to nodes: slabs of sizes that can link (a factor of 4/3), in them by the groups that stand out most, so that like points share nodes and the nodes' maxima stay close to them."""
     slab = np.floor(np.log(np.maximum(sizes, 1)) / np.log(100 / PERCENT)).astype(np.int64)
-    offset = vectors * 8 - (vectors.sum(0) * 8 // max(1, len(vectors)))
+    offset = vectors.astype(np.float32) - vectors.mean(0, dtype=np.float32) if len(vectors) else vectors.astype(np.float32)
     first = offset.argmax(1)
-    offset[np.arange(len(vectors)), first] = -(1 << 30)
+    offset[np.arange(len(vectors)), first] = -np.inf
     return np.lexsort((sizes, offset.argmax(1), first, slab))
 
 
@@ -120,7 +121,7 @@ class RTree:
             rows = rows[rows * FAN_OUT**level < k]
             fits = (100 * low[rows] * PERCENT <= 10_000 * size) & (100 * size * PERCENT <= 10_000 * high[rows])
             rows = rows[fits]
-            bound = np.minimum(most[rows], own).sum(1, dtype=np.int64)
+            bound = overlap_bounds(most[rows], own)
             rows = rows[(100 + PERCENT) * bound >= PERCENT * (size + low[rows])]
             if level:
                 rows = (rows[:, None] * FAN_OUT + np.arange(FAN_OUT)).ravel()
@@ -333,7 +334,7 @@ def labelled(docs: DataFrame) -> DataFrame:
     members = rare_blocks(texts, frequent(texts), text_bytes).join(each.select("cid", "point"), "cid")
 
     def in_block(ids, blobs, sides):
-        vectors = loosened([x[8:] for x in blobs])
+        vectors = np.frombuffer(b"".join(x[8:] for x in blobs), np.uint8).reshape(len(blobs), DIMENSIONS)
         return connected(vectors, np.frombuffer(b"".join(x[:8] for x in blobs), np.int64), ids, sides=sides)
 
     members = _tiled(store(members.withColumn("weight", F.lit(1)), "blocks"), "block", "weight", MOST_MEMBERS, "cid")
@@ -354,8 +355,7 @@ def labelled(docs: DataFrame) -> DataFrame:
         ids, first = np.unique(ids, return_index=True)  # a row that stands for a class may be there twice
         sets = [np.frombuffer(blobs[k], _U) for k in first]
         sides = sides[first] if sides is not None else None
-        vectors = points(sets)
-        return connected(vectors, vectors.sum(1), ids, lambda i, j: overlap_links(sets[i], sets[j]), sides)
+        return connected(saturated(points(sets)), np.array(list(map(len, sets)), np.int64), ids, lambda i, j: overlap_links(sets[i], sets[j]), sides)
 
     sure = components(_links_of_groups(_tiled(rows.mapInArrow(whole, "cid long, linked long, weight long, shingles binary"), "linked", "weight", MOST_SHINGLES, "cid"), "linked", "shingles", in_group))
     joined = each.select("cid", "rep").join(sure.select(F.col("node").alias("cid"), "label"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
