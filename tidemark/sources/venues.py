@@ -44,9 +44,15 @@ def _px(last, bid=None, ask=None, high=None, low=None, open_=None, base=None, qu
 FEEDS = [
     Feed("okx", "spot", "$.data", "objects", "instId", _px("last", "bidPx", "askPx", "high24h", "low24h", "open24h", "vol24h", "volCcy24h", "bidSz", "askSz", event_ms="ts")),
     Feed("okx", "swap", "$.data", "objects", "instId", _px("last", "bidPx", "askPx", "high24h", "low24h", "open24h", "volCcy24h", None, "bidSz", "askSz", contract_volume_24h="vol24h", event_ms="ts")),
+    Feed("okx", "funding", "$.data", "objects", "instId", {"funding_rate_raw": "fundingRate", "previous_funding_time": "fundingTime", "next_funding_time": "nextFundingTime"}, constants={"funding_semantics": "relative"}),
+    Feed("okx", "open_interest", "$.data", "objects", "instId", {"open_interest_raw": "oi", "open_interest_base": "oiCcy", "open_interest_usd": "oiUsd", "event_ms": "ts"}, constants={"open_interest_unit": "contracts"}),
+    Feed("okx", "marks", "$.data", "objects", "instId", {"mark_price": "markPx", "event_ms": "ts"}),
     Feed("binance", "spot", "$", "objects", "symbol", _px("lastPrice", "bidPrice", "askPrice", "highPrice", "lowPrice", "openPrice", "volume", "quoteVolume", "bidQty", "askQty", trade_count_24h="count", event_ms="closeTime")),
     Feed("binance_derivatives", "usdm", "$", "objects", "symbol", _px("lastPrice", None, None, "highPrice", "lowPrice", "openPrice", "volume", "quoteVolume", trade_count_24h="count", event_ms="closeTime")),
     Feed("binance_derivatives", "usdm_premium", "$", "objects", "symbol", {"mark_price": "markPrice", "index_price": "indexPrice", "funding_rate_raw": "lastFundingRate", "next_funding_time": "nextFundingTime", "event_ms": "time"}, constants={"funding_interval_hours": 8.0}),
+    Feed("binance_derivatives", "coinm", "$", "objects", "symbol", _px("lastPrice", None, None, "highPrice", "lowPrice", "openPrice", "baseVolume", None, contract_volume_24h="volume", trade_count_24h="count", event_ms="closeTime")),
+    Feed("binance_derivatives", "open_interest", "$", "objects", "symbol", {"open_interest_raw": "openInterest", "event_ms": "time"}),
+    Feed("binance_derivatives", "funding_info", "$", "objects", "symbol", {"funding_interval_hours": "fundingIntervalHours"}),
     Feed("bybit", "spot", "$.result.list", "objects", "symbol", _px("lastPrice", "bid1Price", "ask1Price", "highPrice24h", "lowPrice24h", "prevPrice24h", "volume24h", "turnover24h", "bid1Size", "ask1Size"), {"server_ms": "$.time"}),
     Feed("bybit", "linear", "$.result.list", "objects", "symbol", _px("lastPrice", "bid1Price", "ask1Price", "highPrice24h", "lowPrice24h", "prevPrice24h", "volume24h", "turnover24h", mark_price="markPrice", index_price="indexPrice", funding_rate_raw="fundingRate", next_funding_time="nextFundingTime", open_interest_raw="openInterest", open_interest_usd="openInterestValue"), {"server_ms": "$.time"}, constants={"open_interest_unit": "base_asset"}),
     Feed("bybit", "inverse", "$.result.list", "objects", "symbol", _px("lastPrice", "bid1Price", "ask1Price", "highPrice24h", "lowPrice24h", "prevPrice24h", "turnover24h", None, contract_volume_24h="volume24h", mark_price="markPrice", index_price="indexPrice", funding_rate_raw="fundingRate", open_interest_raw="openInterest", open_interest_base="openInterestValue"), {"server_ms": "$.time"}, constants={"open_interest_unit": "contracts"}),
@@ -62,6 +68,7 @@ FEEDS = [
     Feed("mexc", "spot", "$", "objects", "symbol", _px("lastPrice", "bidPrice", "askPrice", "highPrice", "lowPrice", "openPrice", "volume", "quoteVolume", "bidQty", "askQty", event_ms="closeTime")),
     Feed("htx", "spot", "$.data", "objects", "symbol", _px("close", "bid", "ask", "high", "low", "open", "amount", "vol", "bidSize", "askSize", trade_count_24h="count"), {"server_ms": "$.ts"}),
     Feed("cryptocom", "spot", "$.result.data", "objects", "i", _px("a", "b", "k", "h", "l", None, "v", event_ms="t")),
+    Feed("cryptocom", "derivatives", "$.result.data", "objects", "i", _px("a", "b", "k", "h", "l", None, "v", open_interest_raw="oi", event_ms="t")),
     Feed("deribit", "derivatives", "$.result", "objects", "instrument_name", _px("last", "bid_price", "ask_price", "high", "low", None, "volume", None, mark_price="mark_price", funding_rate_raw="funding_8h", open_interest_raw="open_interest", underlying_price="underlying_price", mark_iv="mark_iv", event_ms="creation_timestamp"), constants={"funding_interval_hours": 8.0}, keep="not rlike(symbol, '_') or rlike(symbol, '^[A-Z]+_[A-Z]+(-|$)')"),
     Feed("hyperliquid", "perpetual", "$", "parallel", "name", {"mark_price": "markPx", "index_price": "oraclePx", "funding_rate_raw": "funding", "open_interest_raw": "openInterest", "last_price": "midPx", "quote_volume_24h": "dayNtlVlm"}, constants={"funding_interval_hours": 1.0, "open_interest_unit": "base_asset"}),
     Feed("dydx", "perpetual", "$.markets", "map", None, {"index_price": "oraclePrice", "funding_rate_raw": "nextFundingRate", "open_interest_raw": "openInterest", "quote_volume_24h": "volume24H", "trade_count_24h": "trades24H"}, constants={"funding_interval_hours": 1.0, "open_interest_unit": "base_asset"}),
@@ -105,6 +112,8 @@ def rows_of(payloads: DataFrame, feed: Feed) -> DataFrame:
 
 def raw(payloads: DataFrame, venue: str, product: str) -> DataFrame:
     """Typed raw records of one feed: venue, product, symbol and all numeric fields, null where not published."""
+    if venue in DISABLED:
+        raise ValueError(f"{venue} is disabled: {DISABLED[venue]}")
     feed = BY_NAME[venue, product]
     rows = rows_of(payloads, feed)
     readers = dict.fromkeys(POSITIVE, parse_positive) | dict.fromkeys(NON_NEGATIVE, parse_non_negative) | dict.fromkeys(ANY_NUMBER, parse_number) | dict.fromkeys(WHOLE, parse_whole)
@@ -125,6 +134,11 @@ def raw(payloads: DataFrame, venue: str, product: str) -> DataFrame:
     return rows.select(F.lit(venue).alias("venue"), F.lit(product).alias("product"), "symbol", *out, *texts)
 
 
+def disabled_health(spark) -> DataFrame:
+    """A row for each venue that is closed to us, with its reason; its feeds refuse to be read."""
+    return spark.createDataFrame([(venue, "disabled", why, 0) for venue, why in sorted(DISABLED.items())], "venue string, status string, reason string, rows long")
+
+
 def health(rows: Column, priced: Column, requests: Column, failed: Column) -> Column:
     """A venue's run in one word."""
     return F.when(failed & (rows == 0), "failed").when(failed, "degraded").when(rows == 0, "unavailable").when(F.try_divide(priced.cast("double"), rows) < 0.25, "degraded").when(requests > 40, "degraded").otherwise("success")
