@@ -76,11 +76,6 @@ def search_substring(spark, sf_dir):
     return searched(parts, "19")
 
 
-@query(f"WITH {MARKET} SELECT asset_id, round(reference_price, 6) AS reference_price FROM market WHERE asset = 'P77'")
-def asset_lookup(spark, sf_dir):
-    return market(spark, sf_dir).filter(F.col("symbol") == "P77").select("asset_id", r("reference_price__value").alias("reference_price"))
-
-
 @query(f"WITH {MARKET} SELECT asset, round(reported_volume_24h_usd, 2) AS volume FROM market WHERE venue_count >= 3 ORDER BY reported_volume_24h_usd DESC NULLS LAST, asset_id LIMIT 20")
 def top_by_volume_min_venues(spark, sf_dir):
     m = market(spark, sf_dir).filter("venue_count >= 3").orderBy(F.desc_nulls_last("reported_volume_24h_usd"), "asset_id").limit(20)

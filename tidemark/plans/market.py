@@ -25,8 +25,13 @@ def series_families(points: DataFrame) -> list[DataFrame]:
     return [indicators, series.true_range(points), *changes, *realised]
 
 
-def states(obs: DataFrame, derivs: DataFrame, levels: DataFrame, points: DataFrame, names: DataFrame) -> DataFrame:
-    """The wide row; families that an asset lacks are null, and so are those that nothing here derives yet (README, known limits). All parts are partitioned by asset, so the joins need no exchange of their own."""
+def states(obs: DataFrame, derivs: DataFrame, levels: DataFrame, points: DataFrame, names: DataFrame, history: DataFrame | None = None, as_of_ms: int = V.AS_OF_MS) -> DataFrame:
+    """The wide row; families that an asset lacks are null. All parts are partitioned by asset, so the joins need no exchange of their own.
+
+    names: asset, asset_name, and, if known, resolution_state and ambiguous (how
+    many listings could as well be of another asset). history: as in
+    structure.history_measures. An asset whose books were read is of tier B.
+    """
     prices = reference_prices(obs)
     parts = [
         D.volume_by_segment(obs), concentration(obs, "asset", "venue", "volume"), structure.venue_counts(obs), D.funding_by_asset(derivs).withColumnsRenamed({"venue_count": "funding_venues", "dispersion_bps": "funding_dispersion"}),
@@ -34,12 +39,15 @@ def states(obs: DataFrame, derivs: DataFrame, levels: DataFrame, points: DataFra
         obs.groupBy("asset").agg(F.min("age_s").alias("freshest"), F.max("age_s").alias("oldest"), F.count_distinct("venue").alias("expected_venues")),
         concentration(levels.withColumn("usd", liquidity.notional()), "asset", "venue", "usd").select("asset", F.col("hhi").alias("liquidity_hhi"), F.col("largest_share").alias("liquidity_share")), names, *series_families(points),
     ]
+    if history is not None:
+        now = D.funding_by_asset(derivs).select("asset", F.col("rate_8h_median").alias("funding_8h"), *[F.lit(None).cast("double").alias(c) for c in ("basis_bps", "open_interest_usd", "volume_usd")])
+        parts.append(structure.history_measures(now, history, as_of_ms).select("asset", "funding_percentile_30d"))
     wide = prices
     for part in parts:
         wide = wide.join(part, "asset", "left")
     index = structure.fragmentation_index(F.col("venue_count"), F.col("effective_count"), F.col("largest_share"), F.col("mad_bps"))
     named = {
-        "symbol": F.concat(F.lit("P"), F.col("asset")), "asset_id": F.concat(F.lit("asset:named:part:P"), F.col("asset")), "resolution_state": F.lit("resolved"), "observed_at": F.lit(V.AS_OF_MS), "coverage_tier": F.lit("a"),
+        "symbol": F.concat(F.lit("P"), F.col("asset")), "asset_id": F.concat(F.lit("asset:named:part:P"), F.col("asset")), "resolution_state": F.col("resolution_state") if "resolution_state" in names.columns else F.lit("resolved"), "observed_at": F.lit(as_of_ms), "coverage_tier": F.when(F.col("liquidity_venues").isNotNull(), "B").otherwise("A"),
         "reference_price__value": F.col("reference_price"), "reference_price__method": F.col("method"), "reference_price__venue_count": F.col("venue_count"), "reference_price__included_venue_count": F.col("included_count"), "reference_price__excluded_venue_count": F.col("excluded_count"),
         "venue_count": F.col("venue_count"), "reference_price__min_qualified_price": F.col("min_price"), "reference_price__max_qualified_price": F.col("max_price"),
         "dispersion__price_dispersion_bps": F.col("mad_bps"), "dispersion__weighted_mad_bps": F.col("mad_bps"), "dispersion__p10_p90_spread_bps": F.col("p10_p90_bps"),
@@ -50,14 +58,22 @@ def states(obs: DataFrame, derivs: DataFrame, levels: DataFrame, points: DataFra
         "fragmentation__effective_venue_count": F.col("effective_count"), "fragmentation__volume_concentration_hhi": F.col("hhi"), "fragmentation__largest_venue_volume_share": F.col("largest_share"), "fragmentation__fragmentation_index": index,
         "crowding__oi_to_volume": F.try_divide("oi_usd", "total_usd"), "crowding__perp_dominance": F.col("perp_dominance"), "genome__status": F.coalesce("genome_status", F.lit("insufficient_history")), "quality__coverage__coverage_ratio": F.least(F.lit(1.0), F.try_divide("venue_count", "expected_venues")),
         "quality__freshness__freshest_observation_age_seconds": F.col("freshest"), "quality__freshness__oldest_observation_age_seconds": F.col("oldest"), "is_partial": F.col("reference_price").isNull(),
-        "name": F.col("asset_name"), "liquidity__largest_venue_share": F.col("liquidity_share"), "liquidity__concentration_hhi": F.col("liquidity_hhi"), "volatility__atr_14_bps": F.col("atr_bps"), "technical__rsi_14": F.col("rsi_14"), "technical__ema_12": F.col("ema_12"), "technical__ema_26": F.col("ema_26"),
+        "name": F.col("asset_name"), "crowding__funding_percentile_30d": F.col("funding_percentile_30d") if history is not None else F.lit(None), "quality__coverage__ambiguous_identity_count": F.col("ambiguous") if "ambiguous" in names.columns else F.lit(0), "liquidity__largest_venue_share": F.col("liquidity_share"), "liquidity__concentration_hhi": F.col("liquidity_hhi"), "volatility__atr_14_bps": F.col("atr_bps"), "technical__rsi_14": F.col("rsi_14"), "technical__ema_12": F.col("ema_12"), "technical__ema_26": F.col("ema_26"),
         **{f"returns__change_{w}": F.col(f"change_{w}") for w in CHANGES}, **{f"volatility__realised_{w}": F.col(f"realised_{w}") for w in VOLATILITIES},
     }
     return wide.select(*[named.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in market_schema().fields])
 
 
+def names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of assets; one is resolved by its name, and other parts of that name could be meant as well."""
+    parts = V.table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    alike = parts.groupBy(F.col("p_name").alias("a_name")).agg((F.count("*") - 1).alias("ambiguous"))
+    state = F.when(F.coalesce(F.col("p_name"), F.lit("")) == "", "unresolved").otherwise("resolved")
+    return parts.join(alike, F.col("p_name") == F.col("a_name"), "left").select(F.col("p_partkey").alias("asset"), F.col("p_name").alias("asset_name"), state.alias("resolution_state"), F.coalesce("ambiguous", F.lit(0)).alias("ambiguous"))
+
+
 def market(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return states(V.obs(spark, sf_dir), V.derivatives(spark, sf_dir), V.book(spark, sf_dir), V.points(spark, sf_dir), V.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("asset"), F.col("p_name").alias("asset_name")))
+    return states(V.obs(spark, sf_dir), V.derivatives(spark, sf_dir), V.book(spark, sf_dir), V.points(spark, sf_dir), names(spark, sf_dir), V.history(spark, sf_dir))
 
 
 #: The columns of the market that the registered queries use.
