@@ -9,8 +9,11 @@ it is part of a path or address, and the words beside it. The forest is trained
 from labelled findings, at most MOST_FINDINGS of them; without any given, from
 findings written by `made_findings`, whose seed is fixed.
 
-Nulls: a null text has no candidates. Rows that repeat a document are scanned
-each for itself.
+Nulls: a null text has no candidates. Rows that repeat a document, or have no
+doc_id, are scanned each for itself. A document without candidates has no row;
+columns other than doc_id and text are not looked at. The forest is as large as
+TREES and TREE_DEPTH allow, so it is broadcast; its seed is fixed, so equal
+findings give equal forests.
 """
 
 from __future__ import annotations
@@ -110,6 +113,7 @@ def made_findings(n: int = 4000, seed: int = 7) -> list[tuple[str, int, int, boo
     of = lambda chars, k: "".join(r.choice(chars) for _ in range(k))
     syllable = lambda: r.choice("re ti on an er th in st ed ou al en la de men tion".split())
     word = lambda: "".join(syllable() for _ in range(r.randint(1, 4)))
+    phrase = lambda: "".join((word() + word()).capitalize() for _ in range(r.randint(3, 5))) if r.random() < 0.5 else "-".join([*(word() for _ in range(r.randint(2, 4))), of(digits, r.randint(2, 4)), word().capitalize()])
     hexed, mixed = "0123456789abcdef", upper + lower + digits
     out = []
     while len(out) < n:
@@ -117,7 +121,7 @@ def made_findings(n: int = 4000, seed: int = 7) -> list[tuple[str, int, int, boo
         if secret:
             form = r.randrange(10)
             value = ["AKIA" + of(upper + digits, 16), of(hexed, r.choice((18, 32, 40, 64))), of(mixed, r.randint(20, 44)), of(mixed + "+/", 40), "ghp_" + of(mixed, 36), of(mixed + "_-", r.randint(16, 30)),
-                "AKIA" + of(upper + "234567", 16) if r.random() < 0.5 else "AKIA" + of(upper, 16), of(lower, r.randint(16, 32)) if r.random() < 0.5 else of(upper + lower, r.randint(16, 32)), "".join((word() + word()).capitalize() for _ in range(r.randint(3, 5))), of(mixed + "!$#%*?", r.randint(8, 16))][form]
+                "AKIA" + of(upper + "234567", 16) if r.random() < 0.5 else "AKIA" + of(upper, 16), of(lower, r.randint(16, 32)) if r.random() < 0.5 else of(upper + lower, r.randint(16, 32)), phrase(), of(mixed + "!$#%*?", r.randint(8, 16))][form]
             named = form in (1, 2, 3, 5, 7, 8, 9) or r.random() < 0.3
             key = r.choice(KEY_WORDS)
             lead = r.choice((f"{key}=", f'{key} = "', f"{key}: ", f"{word()}_{key}=")) if named else ""
@@ -126,7 +130,7 @@ def made_findings(n: int = 4000, seed: int = 7) -> list[tuple[str, int, int, boo
             value = [
                 f"{of(hexed, 8)}-{of(hexed, 4)}-{of(hexed, 4)}-{of(hexed, 4)}-{of(hexed, 12)}", of(hexed, 40), of(digits, r.randint(12, 16)), f"{word()}/{word()}{of(digits, 2)}/{word()}{word()}", f"{word()}_{word()}_{word()}{of(digits, 2)}",
                 "-".join((of(digits, 4), of(digits, 2), of(digits, 2), of(digits, 4))), word() + word() + word() + of(digits, 1), f"{word()}-{word()}-{word()}-{of(digits, 3)}", of(hexed, 64),
-                word(), r.choice("changeme enabled false nil no none null required true undefined unknown yes".split()), r.choice((of(digits, r.randint(1, 4)), "${" + word().upper() + "}", f"<{word()}>", f"{word()}_{word()}", f"{word()}.{word()}()")),
+                word(), r.choice((str.lower, str.capitalize, str.upper))(r.choice("changeme enabled false nil no none null required true undefined unknown yes".split())), r.choice((of(digits, r.randint(1, 4)), "${" + word().upper() + "}", f"<{word()}>", f"{word()}_{word()}", f"{r.choice(('MY', 'THE', 'YOUR'))}_{word().upper()}_{word().upper()}", f"{word()}.{word()}()")),
             ][form]
             key = r.choice(KEY_WORDS)
             lead = r.choice((f"{key}=", f'{key} = "', f"{key}: ", f"{word()}_{key}=")) if form > 8 else r.choice((f"{r.choice(OTHER_WORDS)} ", f"{r.choice(OTHER_WORDS)}: ", "https://example.com/")) if form in (0, 1, 8) else r.choice(("", "https://example.com/", f"{r.choice(OTHER_WORDS)} ", "/"))
@@ -212,5 +216,6 @@ def scan(docs: DataFrame, forest: Forest | None = None, threshold: float = 0.5)
 
 
 def op9_secret_scan(spark, sf_dir):
+    """Every candidate of every whole text, with the digest of what it is and the forest's verdict."""
     out = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "start", "end", F.sha2(F.col("candidate").cast("binary"), 256).alias("candidate_sha256"), F.round("score", 6).alias("score"), "is_secret")
