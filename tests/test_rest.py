@@ -1,4 +1,5 @@
 import json
+import os
 import subprocess
 import sys
 from pathlib import Path
@@ -105,6 +106,28 @@ def test_rest_works_without_the_corpus_operators(tmp_path):
     for p in (root / "tidemark").iterdir():
         if p.name != "llm":
             (tmp_path / "tidemark" / p.name).symlink_to(p)
-    code = "import json, __spark_entry__ as e; print(json.dumps([len(e.queries()), 'pipeline' in e.queries()]))"
+    (tmp_path / "tests").mkdir()
+    for name in ("__init__.py", "conftest.py", "test_mql.py"):
+        if (root / "tests" / name).exists():
+            (tmp_path / "tests" / name).write_text((root / "tests" / name).read_text())
+    code = "import json, __spark_entry__ as e; q = e.queries(); print(json.dumps([len(q), 'pipeline' in q, sorted(k for k in e.oracle_sql() if k not in q)]))"
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PYTHONPATH": str(tmp_path), "PATH": "/usr/bin:/bin"}, capture_output=True, text=True)
-    assert json.loads(out.stdout.splitlines()[-1])[1] is False, out.stderr
+    found = json.loads(out.stdout.splitlines()[-1])
+    assert found[0] > 150 and found[1:] == [False, []], out.stderr
+    run = subprocess.run([sys.executable, "-m", "pytest", "-q", "-x", "tests/test_mql.py", "-k", "not series"], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path), "PYSPARK_PYTHON": sys.executable}, capture_output=True, text=True)
+    assert run.returncode == 0, run.stdout[-2000:]
+
+
+def test_a_missing_dependency_is_an_error(tmp_path):
+    """Corpus operators that are there but cannot be imported do not vanish in silence."""
+    root = Path(__file__).resolve().parent.parent
+    (tmp_path / "__spark_entry__.py").write_text((root / "__spark_entry__.py").read_text())
+    (tmp_path / "corpus_pipeline.py").write_text("import a_module_that_nobody_has")
+    (tmp_path / "tidemark").mkdir()
+    for p in (root / "tidemark").iterdir():
+        if p.name != "llm":
+            (tmp_path / "tidemark" / p.name).symlink_to(p)
+    (tmp_path / "tidemark" / "llm").mkdir()
+    (tmp_path / "tidemark" / "llm" / "__init__.py").write_text("")
+    out = subprocess.run([sys.executable, "-c", "import __spark_entry__"], cwd=tmp_path, env={"PYTHONPATH": str(tmp_path), "PATH": "/usr/bin:/bin"}, capture_output=True, text=True)
+    assert out.returncode and "a_module_that_nobody_has" in out.stderr
