@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.components import components
 from tidemark.llm.runtime import shuffle_partitions, small_batches, store, table
 from tidemark.llm.substrings import _packed, _unpacked
-from tidemark.llm.words import Words, blocks, mix, window_places, windows
+from tidemark.llm.words import Words, blocks, mix, release, window_places, windows
 
 SHINGLE, DIMENSION_BITS, FAN_OUT = 5, 10, 16
 #: With so many, unrelated texts of up to some 16,000 words fall below the bound; fewer tell only shorter ones apart.
@@ -212,6 +212,7 @@ def _links_of_groups(rows: DataFrame, key: str, blob: str, make) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=LINKS)
                 a, b = [], []
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=LINKS)
+        release()
 
     n = shuffle_partitions(rows.sparkSession)
     dealt = rows.select(key, "tile_a", "tile_b", "cid", blob, "own").repartition(n, key, "tile_a", "tile_b").sortWithinPartitions(key, "tile_a", "tile_b", "cid")
@@ -225,7 +226,7 @@ def classes(docs: DataFrame) -> DataFrame:
     def measure(batches):
         for texts, ids, keys in blocks(batches, BLOCK_BYTES, ["text", "doc_id", "row_key"]):
             sets = shingle_sets(texts)
-            vectors = saturated(points(sets))
+            vectors = [v for k in range(0, len(sets), 512) for v in saturated(points(sets[k : k + 512]))]
             cids = [class_id(s) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(cids, pa.int64()), pa.array([len(s).to_bytes(8, "little") + v.tobytes() for s, v in zip(sets, vectors, strict=True)], pa.binary())], schema=schema)
 
