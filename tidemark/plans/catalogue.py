@@ -567,7 +567,7 @@ for _name, _where in {
 }.items():
     query(f"WITH {_UNIVERSE} SELECT asset_id FROM ok WHERE {_where}", f"universe_{_name}")(lambda spark, sf_dir, name=_name: universes.universe(_ranked(spark, sf_dir), name).select("asset_id"))
 for _n in (100, 500):
-    query(f"WITH {_UNIVERSE} SELECT asset_id, round(depth_50, 2) AS depth_50 FROM ok WHERE depth_50 IS NOT NULL ORDER BY round(depth_50, 4) DESC, asset_id LIMIT {_n}", f"universe_top_{_n}")(lambda spark, sf_dir, n=_n: universes.universe(_ranked(spark, sf_dir).withColumn("depth_50", r("depth_50", 4)), f"top_{n}").select("asset_id", r("depth_50", 2).alias("depth_50")))
+    query(f"WITH {_UNIVERSE} SELECT asset_id FROM ok WHERE depth_50 IS NOT NULL ORDER BY round(depth_50, 4) DESC, asset_id LIMIT {_n}", f"universe_top_{_n}")(lambda spark, sf_dir, n=_n: universes.universe(_ranked(spark, sf_dir).withColumn("depth_50", r("depth_50", 4)), f"top_{n}").select("asset_id"))
 
 
 @query(f"""WITH RECURSIVE {V.OBS}, o AS (SELECT asset, venue, sum(volume) AS v FROM obs GROUP BY asset, venue HAVING sum(volume) >= 100000),

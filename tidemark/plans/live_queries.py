@@ -175,10 +175,10 @@ def _states(spark, sf_dir):
     return live.live_states(_found(spark, sf_dir), published, STALE)
 
 
-@query(f"WITH {_STATES} SELECT asset, round(price, 6) AS price, method, used AS venues_used, seen AS venues_seen, round(dispersion, 4) AS dispersion_bps, round(volume, 4) AS volume, round(vs, 4) AS vs_generation_bps FROM li")
+@query(f"WITH {_STATES} SELECT asset, round(price, 6) AS price, method, used AS venues_used, seen AS venues_seen, round(dispersion, 4) AS dispersion_bps, round(volume, 8) AS volume, round(vs, 4) AS vs_generation_bps FROM li")
 def live_states(spark, sf_dir):
     s = _states(spark, sf_dir)
-    return s.select("asset", r("price").alias("price"), "method", "venues_used", "venues_seen", r("dispersion_bps", 4).alias("dispersion_bps"), r("volume_24h_usd", 4).alias("volume"), r("vs_generation_bps", 4).alias("vs_generation_bps"))
+    return s.select("asset", r("price").alias("price"), "method", "venues_used", "venues_seen", r("dispersion_bps", 4).alias("dispersion_bps"), r("volume_24h_usd", 8).alias("volume"), r("vs_generation_bps", 4).alias("vs_generation_bps"))
 
 
 @query(f"WITH {_STATES} SELECT rank, symbol, round(price, 6) AS price FROM (SELECT *, 's' || asset AS symbol, row_number() OVER (ORDER BY asset % 7, asset) AS rank FROM (SELECT DISTINCT user_id AS asset FROM events)) JOIN li USING (asset) WHERE asset % 3 > 0 ORDER BY rank LIMIT 40")

@@ -128,7 +128,7 @@ fm AS (SELECT d.*, coalesce(mark, price) AS marked, coalesce(funding_hours, hour
 fr AS (SELECT asset, CASE WHEN funding_semantics = 'undocumented' THEN NULL WHEN coalesce(interval_hours, 0) <= 0 THEN NULL ELSE (CASE WHEN funding_semantics = 'relative' THEN funding_raw WHEN inverse THEN funding_raw * marked ELSE funding_raw / marked END) * 8 / interval_hours END AS rate_8h FROM fm)"""
 
 
-@query(f"WITH {_MARKS} SELECT asset, count(*) AS n, count(rate_8h) AS known, round(sum(rate_8h), 6) AS total FROM fr GROUP BY asset")
+@query(f"WITH {_MARKS} SELECT asset, count(*) AS n, count(rate_8h) AS known, round(sum(rate_8h), 9) AS total FROM fr GROUP BY asset")
 def funding_with_marks(spark, sf_dir):
     """Funding turned relative by the instrument's last mark; intervals come from the instrument where the observation has none."""
     key = F.concat_ws(":", "asset", "venue")
@@ -137,7 +137,7 @@ def funding_with_marks(spark, sf_dir):
     known = V.table(spark, sf_dir, "part").select(F.concat_ws(":", "p_partkey", F.col("p_partkey") % 16).alias("instrument"), F.when(F.col("p_size") % 2 == 0, 8.0).alias("hours"))
     d = V.derivatives(spark, sf_dir).filter("kind = 'perpetual' and funding_raw is not null").withColumn("instrument", key)
     f = D.funding(D.with_intervals(D.with_marks(d, marks), known))
-    return f.groupBy("asset").agg(F.count("*").alias("n"), F.count("rate_8h").alias("known"), r(F.sum("rate_8h")).alias("total"))
+    return f.groupBy("asset").agg(F.count("*").alias("n"), F.count("rate_8h").alias("known"), r(F.sum("rate_8h"), 9).alias("total"))
 
 
 # --- venue rows
