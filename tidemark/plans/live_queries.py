@@ -140,9 +140,9 @@ def live_stablecoin_rates(spark, sf_dir):
     return _rates(spark, sf_dir).select("quote", r("rate", 8).alias("rate"))
 
 
-@query(f"WITH {_BOOKS} SELECT asset, venue, symbol, source, round(price_usd, 6) AS price_usd, round(volume_usd, 3) AS volume_usd, early FROM ca2")
+@query(f"WITH {_BOOKS} SELECT asset, venue, symbol, source, round(price_usd, 9) AS price_usd, round(volume_usd, 8) AS volume_usd, early FROM ca2")
 def live_usd_candidates(spark, sf_dir):
-    return _found(spark, sf_dir).select("asset", "venue", "symbol", "source", r("price_usd").alias("price_usd"), r("volume_usd", 3).alias("volume_usd"), "early")
+    return _found(spark, sf_dir).select("asset", "venue", "symbol", "source", r("price_usd", 9).alias("price_usd"), r("volume_usd", 8).alias("volume_usd"), "early")
 
 
 _BEST = _BOOKS + """,
@@ -175,19 +175,19 @@ def _states(spark, sf_dir):
     return live.live_states(_found(spark, sf_dir), published, STALE)
 
 
-@query(f"WITH {_STATES} SELECT asset, round(price, 6) AS price, method, used AS venues_used, seen AS venues_seen, round(dispersion, 4) AS dispersion_bps, round(volume, 8) AS volume, round(vs, 4) AS vs_generation_bps FROM li")
+@query(f"WITH {_STATES} SELECT asset, round(price, 9) AS price, method, used AS venues_used, seen AS venues_seen, round(dispersion, 4) AS dispersion_bps, round(volume, 8) AS volume, round(vs, 4) AS vs_generation_bps FROM li")
 def live_states(spark, sf_dir):
     s = _states(spark, sf_dir)
-    return s.select("asset", r("price").alias("price"), "method", "venues_used", "venues_seen", r("dispersion_bps", 4).alias("dispersion_bps"), r("volume_24h_usd", 8).alias("volume"), r("vs_generation_bps", 4).alias("vs_generation_bps"))
+    return s.select("asset", r("price", 9).alias("price"), "method", "venues_used", "venues_seen", r("dispersion_bps", 4).alias("dispersion_bps"), r("volume_24h_usd", 8).alias("volume"), r("vs_generation_bps", 4).alias("vs_generation_bps"))
 
 
-@query(f"WITH {_STATES} SELECT rank, symbol, round(price, 6) AS price FROM (SELECT *, 's' || asset AS symbol, row_number() OVER (ORDER BY asset % 7, asset) AS rank FROM (SELECT DISTINCT user_id AS asset FROM events)) JOIN li USING (asset) WHERE asset % 3 > 0 ORDER BY rank LIMIT 40")
+@query(f"WITH {_STATES} SELECT rank, symbol, round(price, 9) AS price FROM (SELECT *, 's' || asset AS symbol, row_number() OVER (ORDER BY asset % 7, asset) AS rank FROM (SELECT DISTINCT user_id AS asset FROM events)) JOIN li USING (asset) WHERE asset % 3 > 0 ORDER BY rank LIMIT 40")
 def live_snapshot(spark, sf_dir):
     """The first assets by rank, of those whose symbols were asked for."""
     users = V.table(spark, sf_dir, "events").select(F.col("user_id").alias("asset")).distinct()
     universe = users.withColumn("rank", F.row_number().over(Window.orderBy(F.col("asset") % 7, "asset"))).withColumn("symbol", F.concat(F.lit("s"), "asset"))
     asked = [f"S{r_.asset}" for r_ in users.filter("asset % 3 > 0").collect()]  # a request's symbols
-    return live.snapshot(_states(spark, sf_dir), universe, asked, 40).select(F.col("rank").cast("long").alias("rank"), "symbol", r("price").alias("price"))
+    return live.snapshot(_states(spark, sf_dir), universe, asked, 40).select(F.col("rank").cast("long").alias("rank"), "symbol", r("price", 9).alias("price"))
 
 
 _PERPS = _STATES + f""",
