@@ -205,6 +205,7 @@ def averaged(texts: DataFrame, model: Model) -> list[np.ndarray]:
         return pa.table({"part": group["part"][:1], "salt": pa.array([0], pa.int32()), "payload": pa.array([_packed(*pieces)], pa.binary())})
 
     found = texts.mapInArrow(learn, SLICE).groupBy("part", "salt").applyInArrow(mean, SLICE).groupBy("part").applyInArrow(mean, SLICE).collect()  # as much as the model, at most 63 MB
+    shared.unpersist()
     out = [s.weights.copy() for s in model.levels]
     for r in found:
         parts = _unpacked(bytes(r["payload"]), np.float32, np.float16, np.float32, np.float16)
@@ -273,7 +274,9 @@ def neighbours(texts: DataFrame, words: np.ndarray) -> np.ndarray:
                 total += np.bincount(((at * 2 + side) * CONTEXTS + bucket)[there], minlength=len(total)).astype(np.float32)
         yield slices(total, salts)
 
-    return summed(texts.mapInArrow(count, SLICE), len(words) * 2 * CONTEXTS).reshape(len(words), 2 * CONTEXTS)
+    out = summed(texts.mapInArrow(count, SLICE), len(words) * 2 * CONTEXTS).reshape(len(words), 2 * CONTEXTS)
+    shared.unpersist()
+    return out
 
 
 def learnt_leaves(hashes: np.ndarray, n: np.ndarray, near: np.ndarray, rounds: int = 12) -> Leaves:
@@ -314,6 +317,7 @@ def leaf_counts(counts: DataFrame, leaves: Leaves) -> tuple[np.ndarray, np.ndarr
         yield slices(total, salts)
 
     both = summed(counts.select("payload").mapInArrow(count, SLICE), 2 * n_leaves).reshape(2, n_leaves)
+    shared.unpersist()
     return both[0], both[1]
 
 
