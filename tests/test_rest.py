@@ -57,6 +57,21 @@ def test_rsi_needs_history_and_knows_flat(spark):
     assert [r[0] for r in df.orderBy("k").select(series.rsi(F.col("p"))).collect()] == [50.0, None, 100.0]
 
 
+def test_measures_in_one_pass_say_the_same(spark):
+    import random
+
+    r = random.Random(3)
+    rows = [(a, 900_000 * k + r.randint(0, 800_000), k, r.choice((0.0, 1.0, 2.5, r.random() * 9))) for a in range(4) for k in range(r.randint(1, 60)) if r.random() < 0.9]
+    p = spark.createDataFrame(rows, "asset int, ts_ms long, id long, price double")
+    m = {x.asset: x for x in series.measures(p, {"1h": 1, "4h": 4}, {"1h": (1, 2), "4h": (4, 3)}).collect()}
+    same = lambda a, b: a == b or (a is not None and b is not None and abs(a - b) < 1e-9)
+    for w, hours, least in (("1h", 1, 2), ("4h", 4, 3)):
+        assert all(same(x.change, m[x.asset][f"change_{w}"]) for x in series.window_returns(p, hours).collect())
+        assert all(same(x.realised, m[x.asset][f"realised_{w}"]) for x in series.volatility(p, hours, least).collect())
+    assert all(same(x.atr_bps, m[x.asset].atr_bps) for x in series.true_range(p).collect())
+    assert all(x.prices == m[x.asset].prices for x in series.paths(p).collect())
+
+
 def test_missing_slots_are_not_filled(spark):
     day = 1_704_067_200_000
     df = spark.createDataFrame([(day + k * C.SLOT_MS,) for k in range(96) if k not in (3, 95)], "ms long")

@@ -76,6 +76,31 @@ def rsi(prices: Column, n: int = 14) -> Column:
     return F.when(F.size(prices) >= n + 1, let(moves, of_moves))
 
 
+def measures(points: DataFrame, changes: dict[str, int], volatilities: dict[str, tuple[int, int]], n: int = 14) -> DataFrame:
+    """Of each asset: change_<w> and realised_<w> over windows of hours (with the least number of points), atr_bps, and prices in order.
+
+    All windows come from one pass: a point knows the one before it, and a return
+    belongs to a window if both its points do. What window_returns, volatility,
+    true_range and paths say is the same.
+    """
+    order, newest = _in_order(), Window.partitionBy("asset").orderBy(F.desc("ts_ms"), F.desc("id"))
+    before, since = F.lag("price").over(order), F.lag("ts_ms").over(order)
+    known = points.withColumns({"_last": F.max("ts_ms").over(Window.partitionBy("asset")), "_before": before, "_since": since}).withColumn("_back", F.row_number().over(newest))
+    at, moved = F.struct("ts_ms", "id"), F.when((F.col("price") > 0) & (F.col("_before") > 0), F.ln(F.col("price") / F.col("_before")))
+    made = [F.transform(F.array_sort(F.collect_list(F.struct("ts_ms", "id", "price"))), lambda p: p["price"]).alias("prices")]
+    made.append(F.when(F.count("price") >= n + 1, F.avg(F.when(F.col("_back") <= n, F.abs(F.col("price") - F.col("_before")))) / F.max_by("price", at) * 10_000.0).alias("atr_bps"))
+    for name, hours in changes.items():
+        price = F.when(F.col("ts_ms") >= F.col("_last") - hours * HOUR_MS, F.col("price"))
+        first, last = F.min_by(price, F.when(price.isNotNull(), at)), F.max_by(price, F.when(price.isNotNull(), at))
+        made.append(F.when((F.count(price) >= 2) & (first > 0), last / first - 1).alias(f"change_{name}"))
+    for name, (hours, least) in volatilities.items():
+        start = F.col("_last") - hours * HOUR_MS
+        price, inside = F.when(F.col("ts_ms") >= start, F.col("price")), F.when((F.col("ts_ms") >= start) & (F.col("_since") >= start), moved)
+        enough = (F.count(price) >= least) & (1 - F.count(price) / (hours * SLOTS_PER_HOUR) <= MOST_MISSING)
+        made.append(F.when(enough, F.stddev_samp(inside) * F.sqrt(F.lit(float(SLOTS_PER_YEAR)))).alias(f"realised_{name}"))
+    return known.groupBy("asset").agg(*made)
+
+
 def bollinger_width(points: DataFrame, n: int = 20) -> DataFrame:
     """4 deviations of the last n prices over their mean, in bps."""
     newest = Window.partitionBy("asset").orderBy(F.desc("ts_ms"), F.desc("id"))

@@ -16,13 +16,11 @@ from tidemark.plans import views as V
 CHANGES, VOLATILITIES = ("1h", "24h", "7d"), ("1h", "4h", "24h", "7d")
 
 
-def series_families(points: DataFrame) -> list[DataFrame]:
+def series_families(points: DataFrame) -> DataFrame:
     """Returns, volatilities, ranges and indicators by asset, and how far its history reaches."""
+    m = series.measures(points, {w: series.WINDOW_HOURS[w] for w in CHANGES}, {w: (series.WINDOW_HOURS[w], series.LEAST[w]) for w in VOLATILITIES})
     prices = F.col("prices")
-    indicators = series.paths(points).select("asset", series.rsi(prices).alias("rsi_14"), series.ema(prices, 12).alias("ema_12"), series.ema(prices, 26).alias("ema_26"), structure.lifecycle(F.size(prices)).alias("genome_status"))
-    changes = [series.window_returns(points, series.WINDOW_HOURS[w]).select("asset", F.col("change").alias(f"change_{w}")) for w in CHANGES]
-    realised = [series.volatility(points, series.WINDOW_HOURS[w], series.LEAST[w]).select("asset", F.col("realised").alias(f"realised_{w}")) for w in VOLATILITIES]
-    return [indicators, series.true_range(points), *changes, *realised]
+    return m.withColumns({"rsi_14": series.rsi(prices), "ema_12": series.ema(prices, 12), "ema_26": series.ema(prices, 26), "genome_status": structure.lifecycle(F.size(prices))}).drop("prices")
 
 
 def states(obs: DataFrame, derivs: DataFrame, levels: DataFrame, points: DataFrame, names: DataFrame, history: DataFrame | None = None, as_of_ms: int = V.AS_OF_MS) -> DataFrame:
@@ -37,7 +35,7 @@ def states(obs: DataFrame, derivs: DataFrame, levels: DataFrame, points: DataFra
         D.volume_by_segment(obs), concentration(obs, "asset", "venue", "volume"), structure.venue_counts(obs), D.funding_by_asset(derivs).withColumnsRenamed({"venue_count": "funding_venues", "dispersion_bps": "funding_dispersion"}),
         D.open_interest_by_asset(derivs).withColumnsRenamed({"total_usd": "oi_usd", "venue_count": "oi_venues", "excluded_count": "oi_excluded"}), D.basis_by_asset(derivs), liquidity.spreads(levels).withColumnRenamed("venue_count", "liquidity_venues"),
         obs.groupBy("asset").agg(F.min("age_s").alias("freshest"), F.max("age_s").alias("oldest"), F.count_distinct("venue").alias("expected_venues")),
-        concentration(levels.withColumn("usd", liquidity.notional()), "asset", "venue", "usd").select("asset", F.col("hhi").alias("liquidity_hhi"), F.col("largest_share").alias("liquidity_share")), names, *series_families(points),
+        concentration(levels.withColumn("usd", liquidity.notional()), "asset", "venue", "usd").select("asset", F.col("hhi").alias("liquidity_hhi"), F.col("largest_share").alias("liquidity_share")), names, series_families(points),
     ]
     if history is not None:
         now = D.funding_by_asset(derivs).select("asset", F.col("rate_8h_median").alias("funding_8h"), *[F.lit(None).cast("double").alias(c) for c in ("basis_bps", "open_interest_usd", "volume_usd")])
