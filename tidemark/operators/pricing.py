@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import bps
-from tidemark.operators.robust import over_median, weighted_median
+from tidemark.operators.robust import over_median
 
 STALE_S, FRESHNESS_FLOOR, LEAST_WEIGHT, MOST_SHARE, MOST_DEVIATION_BPS = 1800.0, 0.25, 1e-3, 0.35, 2000.0
 SOURCE_QUALITY = {"mid": 1.0, "last": 0.6, "mark": 0.5, "index": 0.5}
@@ -39,42 +39,38 @@ def mid_price(bid: Column, ask: Column) -> Column:
     return F.when(bid <= ask, (bid + ask) / 2)
 
 
-def capped_shares(pairs: DataFrame, keys: list[str], weight: str, count: str, most: float = MOST_SHARE) -> DataFrame:
-    """cap_weights() on rows: adds `share`, what one of the `count` equal observations of a row weighs."""
+def capped_shares(rows: DataFrame, keys: list[str], weight: str, most: float = MOST_SHARE) -> DataFrame:
+    """cap_weights() on rows: adds `share`, null where there is no weight."""
     by = Window.partitionBy(*keys)
-    begun = pairs.withColumns({"_n": F.sum(count).over(by), "_every": F.sum(F.col(weight) * F.col(count)).over(by)}).withColumn("_s", F.col(weight) / F.col("_every"))
-    over, room = F.greatest(F.lit(0.0), F.col("_s") - most) * F.col(count), F.greatest(F.lit(0.0), most - F.col("_s")) * F.col(count)
-    out = begun.withColumns({"_over": F.sum(over).over(by), "_room": F.sum(room).over(by)})
+    begun = rows.withColumns({"_n": F.count(weight).over(by), "_every": F.sum(weight).over(by)}).withColumn("_s", F.col(weight) / F.col("_every"))
+    over, room = F.greatest(F.lit(0.0), F.col("_s") - most), F.greatest(F.lit(0.0), most - F.col("_s"))  # greatest() passes over nulls, so rows without a weight are left out below
+    known = F.col(weight).isNotNull()
+    out = begun.withColumns({"_over": F.sum(F.when(known, over)).over(by), "_room": F.sum(F.when(known, room)).over(by)})
     moved = F.when(F.col("_s") >= most, F.lit(most)).otherwise(F.col("_s") + F.col("_over") * (most - F.col("_s")) / F.col("_room"))
     out = out.withColumn("_s", F.when((F.col("_over") <= 1e-12) | (F.col("_room") <= 1e-12), F.col("_s")).otherwise(moved))
-    final = F.col("_s") / F.sum(F.col("_s") * F.col(count)).over(by)
-    share = F.when(F.col("_every") <= 0, F.lit(0.0)).when(most * F.col("_n") <= 1.0, 1.0 / F.col("_n")).otherwise(final)
+    final = F.col("_s") / F.sum("_s").over(by)
+    share = F.when(known, F.when(F.col("_every") <= 0, F.lit(0.0)).when(most * F.col("_n") <= 1.0, 1.0 / F.col("_n")).otherwise(final))
     return out.withColumn("share", share).drop("_n", "_every", "_over", "_room", "_s")
 
 
 def provenance(obs: DataFrame) -> DataFrame:
-    """Every observation with: weight (capped share, null where left out), included, reason, method.
+    """Every observation with: weight (capped share, null where left out), included, reason, reference_price.
 
-    Centre, shares and price are worked out on an asset's distinct pairs of price
-    and weight, by windows that sort and spill, and joined back; all of it is
-    partitioned by asset, so a row costs the same however many an asset has.
+    Centre, shares and price come from windows over an asset's rows, which sort
+    and spill: one exchange on asset, and the same cost per row however many
+    observations an asset has.
     """
     asset = Window.partitionBy("asset")
     eligible = obs.withColumn("has_spot", F.max(F.when(F.col("kind") == "spot", 1).otherwise(0)).over(asset) == 1)
+    priced = F.col("price").isNotNull() & ~F.isnan("price")
     chosen = (F.col("kind") != "option") & (~F.col("has_spot") | (F.col("kind") == "spot"))
-    weighed = eligible.withColumn("raw_weight", F.when(chosen, raw_weight(F.col("volume"), F.col("age_s"), F.col("source"))))
-    pairs = weighed.filter("raw_weight is not null and price is not null and not isnan(price)").groupBy("asset", "price", "raw_weight").agg(F.count("*").alias("n"))
-    centred = over_median(pairs.withColumn("w", F.col("raw_weight") * F.col("n")), ["asset"], "price", "w", ["raw_weight"], "centre")
-    near = centred.filter(~F.coalesce(F.abs(bps(F.col("price"), F.col("centre"))) > MOST_DEVIATION_BPS, F.lit(False))).drop("w")
-    shared = capped_shares(near, ["asset"], "raw_weight", "n").withColumn("w", F.col("share") * F.col("n"))
-    priced = over_median(shared, ["asset"], "price", "w", ["raw_weight"], "reference_price")
-    known = priced.select(F.col("asset").alias("k_asset"), F.col("price").alias("k_price"), F.col("raw_weight").alias("k_weight"), "share")
-    prices = priced.groupBy("asset").agg(F.first("centre").alias("centre"), F.first("reference_price").alias("reference_price")).withColumnRenamed("asset", "p_asset")
-    joined = weighed.join(known, (F.col("asset") == F.col("k_asset")) & (F.col("price") == F.col("k_price")) & (F.col("raw_weight") == F.col("k_weight")), "left").join(prices, F.col("asset") == F.col("p_asset"), "left")
-    far = F.col("share").isNull()
-    reason = F.when(F.col("kind") == "option", F.lit("not_priced")).when(F.col("raw_weight").isNull(), F.lit("spot_preferred")).when(far, F.lit("extreme_deviation"))
-    out = joined.withColumn("reason", reason)
-    return out.withColumns({"weight": F.when(F.col("reason").isNull(), F.col("share")), "included": F.col("reason").isNull()}).drop("share", "k_asset", "k_price", "k_weight", "p_asset")
+    weighed = eligible.withColumn("raw_weight", F.when(chosen & priced, raw_weight(F.col("volume"), F.col("age_s"), F.col("source"))))
+    centred = over_median(weighed, ["asset"], "price", "raw_weight", ["raw_weight"], "centre")
+    far = F.coalesce(F.abs(bps(F.col("price"), F.col("centre"))) > MOST_DEVIATION_BPS, F.lit(False))
+    reason = F.when(F.col("kind") == "option", F.lit("not_priced")).when(~chosen, F.lit("spot_preferred")).when(~priced, F.lit("missing_price")).when(far, F.lit("extreme_deviation"))
+    reasoned = centred.withColumn("reason", reason).withColumn("_kept", F.when(F.col("reason").isNull(), F.col("raw_weight")))
+    shared = capped_shares(reasoned, ["asset"], "_kept").withColumnRenamed("share", "weight").withColumn("included", F.col("reason").isNull()).drop("_kept")
+    return over_median(shared, ["asset"], "price", "weight", ["raw_weight"], "reference_price")
 
 
 def representative(rows: DataFrame, keys: list[str], rate: Column, last: list[str]) -> DataFrame:
@@ -87,6 +83,7 @@ def representative(rows: DataFrame, keys: list[str], rate: Column, last: list[st
 def reference_prices(obs: DataFrame) -> DataFrame:
     """A row per asset: the price, its method, venues, counts, reasons and dispersion."""
     rows = provenance(obs).withColumn("off", F.when(F.col("included"), F.abs(F.col("price") - F.col("reference_price"))))
+    rows = over_median(rows, ["asset"], "off", "weight", ["weight"], "mad")
     kept = F.when(F.col("included"), F.col("price"))
     grouped = rows.groupBy("asset").agg(
         F.max("reference_price").alias("reference_price"), F.max("has_spot").alias("has_spot"),
@@ -94,10 +91,8 @@ def reference_prices(obs: DataFrame) -> DataFrame:
         F.count_if("included").alias("included_count"), F.count_if(~F.col("included")).alias("excluded_count"),
         F.count_if(F.col("reason") == "spot_preferred").alias("n_spot_preferred"), F.count_if(F.col("reason") == "extreme_deviation").alias("n_extreme_deviation"),
         F.min(kept).alias("min_price"), F.max(kept).alias("max_price"),
-        F.percentile(kept, F.lit(0.1)).alias("p10"), F.percentile(kept, F.lit(0.9)).alias("p90"), F.max("off").alias("max_off"),
+        F.percentile(kept, F.lit(0.1)).alias("p10"), F.percentile(kept, F.lit(0.9)).alias("p90"), F.max("off").alias("max_off"), F.max("mad").alias("mad"),
     )
-    middle = weighted_median(rows.filter("included"), ["asset"], "off", "weight", "mad").withColumnRenamed("asset", "m_asset")
-    grouped = grouped.join(middle, F.col("asset") == F.col("m_asset"), "left").drop("m_asset")
     several, centre = F.col("included_count") >= 2, F.col("reference_price")
     method = F.when(centre.isNull(), "unavailable").when(~F.col("has_spot"), "derivative_fallback").when(F.col("included_count") == 1, "single_venue_spot").otherwise("spot_weighted_median")
     return grouped.withColumns({

@@ -27,12 +27,12 @@ def weighted_median(df: DataFrame, keys: list[str], value: str, weight: str, nam
 
 
 def over_median(df: DataFrame, keys: list[str], value: str, weight: str, ties: list[str], name: str) -> DataFrame:
-    """df with the weighted median of its group on each row, in the partitioning by keys that it has."""
-    order = Window.partitionBy(*keys).orderBy(value, *ties)
-    every = Window.partitionBy(*keys)
-    ranked = df.withColumns({"_cum": F.sum(weight).over(order.rowsBetween(Window.unboundedPreceding, 0)), "_half": F.sum(weight).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) / 2, "_next": F.lead(value).over(order)})
+    """df with the weighted median of its group on each row, in the partitioning by keys that it has. Rows without a weight do not count."""
+    order, every = Window.partitionBy(*keys).orderBy(F.col(weight).isNull(), value, *ties), Window.partitionBy(*keys)
+    counted = F.when(F.col(weight).isNotNull(), F.col(value))
+    ranked = df.withColumns({"_cum": F.sum(weight).over(order.rowsBetween(Window.unboundedPreceding, 0)), "_half": F.sum(weight).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) / 2, "_next": F.lead(counted).over(order)})
     middle = F.when(F.col("_cum") == F.col("_half"), F.coalesce((F.col(value) + F.col("_next")) / 2, F.col(value))).otherwise(F.col(value))
-    at = F.when(F.col("_cum") >= F.col("_half"), F.struct(F.col("_cum").alias("c"), F.col(value).alias("x"), middle.alias("m")))
+    at = F.when(F.col(weight).isNotNull() & (F.col("_cum") >= F.col("_half")), F.struct(F.col("_cum").alias("c"), F.col(value).alias("x"), middle.alias("m")))
     return ranked.withColumn("_at", at).withColumn(name, F.min("_at").over(every)["m"]).drop("_cum", "_half", "_next", "_at")
 
 
