@@ -36,6 +36,16 @@ def distance(a: Column, b: Column) -> Column:
     return F.when(F.size(shared) >= LEAST_SHARED, F.sqrt(squares / F.size(shared)))
 
 
+def family_ages(families: dict[str, DataFrame]) -> DataFrame:
+    """By asset, how old the newest observation of each family is, and the newest and oldest of all; only observations with a venue's time count. families: name -> (asset, age_s)."""
+    rows = None
+    for name, df in families.items():
+        part = df.select("asset", F.lit(name).alias("family"), "age_s")
+        rows = part if rows is None else rows.unionByName(part)
+    known = rows.filter("age_s is not null")
+    return known.groupBy("asset").agg(*[F.min(F.when(F.col("family") == n, F.col("age_s"))).alias(f"{n}_age_s") for n in families], F.min("age_s").alias("freshest_age_s"), F.max("age_s").alias("oldest_age_s"))
+
+
 def venue_counts(obs: DataFrame) -> DataFrame:
     by = lambda kind: F.count_distinct(F.when(F.col("kind") == kind, F.col("venue")))
     n = lambda kind: F.count_if(F.col("kind") == kind)

@@ -87,10 +87,12 @@ def market_overview(spark, sf_dir):
     return market(spark, sf_dir).agg(F.count("*").alias("assets"), F.count_if(F.col("venue_count") >= 2).alias("multi_venue"), F.count_if(F.col("venue_count") == 1).alias("single_venue"), F.round(F.sum("reported_volume_24h_usd"), 0).alias("volume"), r(F.median("dispersion__price_dispersion_bps")).alias("median_dispersion"))
 
 
-def scanner_text(min_venues: int | None = None, min_volume: float | None = None, dispersion: tuple | None = None) -> str:
-    """Filters of the scanner as query text."""
-    tests = [f"venue_count >= {min_venues}"] * (min_venues is not None) + [f"reported_volume_24h_usd >= {min_volume}"] * (min_volume is not None) + [f"price_dispersion_bps BETWEEN {dispersion[0]} AND {dispersion[1]}"] * bool(dispersion)
-    return "SELECT asset, venue_count FROM market" + (" WHERE " + " AND ".join(tests) if tests else "")
+def scanner_text(min_venues: int | None = None, min_volume: float | None = None, dispersion: tuple | None = None, funding: str | None = None, sort: str | None = None, down: bool = True, limit: int | None = None) -> str:
+    """Filters and sorting of the scanner as query text; funding is `positive` or `negative`. Unknown values sort last and pass no filter."""
+    tests = [f"venue_count >= {min_venues}"] * (min_venues is not None) + [f"reported_volume_24h_usd >= {min_volume}"] * (min_volume is not None) + ([f"price_dispersion_bps BETWEEN {dispersion[0]} AND {dispersion[1]}"] if dispersion else [])
+    tests += [f"funding_rate_8h_median {'>' if funding == 'positive' else '<'} 0"] * (funding is not None)
+    where, order = " WHERE " + " AND ".join(tests) if tests else "", f" ORDER BY {sort} {'DESC' if down else 'ASC'}, asset" if sort else ""
+    return f"SELECT asset, venue_count FROM market{where}{order}" + (f" LIMIT {limit}" if limit is not None else "")
 
 
 @query(f"WITH {MARKET} SELECT asset, venue_count FROM market WHERE venue_count >= 4 AND reported_volume_24h_usd >= 1000000 AND price_dispersion_bps BETWEEN 0 AND 400")
@@ -98,6 +100,11 @@ def scanner_filter(spark, sf_dir):
     return Engine(market(spark, sf_dir)).run(scanner_text(4, 1_000_000, (0, 400)))
 
 
+for _sign, _op in (("positive", ">"), ("negative", "<")):
+    query(f"WITH {MARKET + V.DERIVATIVES.removeprefix(V.OBS)}, fm AS (SELECT 'P' || asset AS asset, median(rate_8h) AS f FROM f8 WHERE rate_8h IS NOT NULL GROUP BY 1) SELECT asset, venue_count FROM market LEFT JOIN fm USING (asset) WHERE venue_count >= 2 AND f {_op} 0 ORDER BY venue_count DESC NULLS LAST, asset LIMIT 40", f"scanner_funding_{_sign}")(
+        lambda spark, sf_dir, sign=_sign: Engine(market(spark, sf_dir)).run(scanner_text(2, funding=sign, sort="venue_count", limit=40)))
+
+
 # --- robust statistics
 
 
@@ -204,10 +211,10 @@ def funding_8h(spark, sf_dir):
     return D.funding(V.derivatives(spark, sf_dir)).groupBy("funding_reason").agg(F.count("*").alias("n"), r(F.sum("rate_8h")).alias("total"))
 
 
-@query(f"WITH {V.DERIVATIVES} SELECT asset, round(median(rate_8h), 9) AS median, round(min(rate_8h), 9) AS low, round(max(rate_8h), 9) AS high, round(median(rate_8h) * 1095, 8) AS annualised, round(CASE WHEN count(rate_8h) >= 2 THEN (max(rate_8h) - min(rate_8h)) * 10000 END, 8) AS dispersion_bps, count(DISTINCT venue) AS venue_count FROM f8 WHERE rate_8h IS NOT NULL GROUP BY asset")
+@query(f"WITH {V.DERIVATIVES} SELECT asset, round(median(rate_8h), 9) AS median, round(min(rate_8h), 9) AS low, round(max(rate_8h), 9) AS high, round(median(rate_8h) * 1095, 8) AS annualised, round(CASE WHEN count(rate_8h) >= 2 THEN (max(rate_8h) - min(rate_8h)) * 10000 END, 8) AS dispersion_bps, count(DISTINCT venue) AS venue_count, array_to_string(list_sort(list(DISTINCT funding_hours)), ' ') AS intervals FROM f8 WHERE rate_8h IS NOT NULL GROUP BY asset")
 def funding_aggregate(spark, sf_dir):
     f = D.funding_by_asset(V.derivatives(spark, sf_dir))
-    return f.select("asset", r("rate_8h_median", 9).alias("median"), r("rate_8h_min", 9).alias("low"), r("rate_8h_max", 9).alias("high"), r("annualised_simple", 8).alias("annualised"), r("dispersion_bps", 8).alias("dispersion_bps"), "venue_count")
+    return f.select("asset", r("rate_8h_median", 9).alias("median"), r("rate_8h_min", 9).alias("low"), r("rate_8h_max", 9).alias("high"), r("annualised_simple", 8).alias("annualised"), r("dispersion_bps", 8).alias("dispersion_bps"), "venue_count", F.array_join(F.col("intervals").cast("array<string>"), " ").alias("intervals"))
 
 
 @query(f"WITH {V.DERIVATIVES} SELECT oi_unit, oi_reason, count(*) AS n, round(sum(usd_equivalent), 2) AS usd, round(sum(base_equivalent), 4) AS base FROM oi GROUP BY oi_unit, oi_reason")

@@ -180,6 +180,14 @@ for _w in ("24h", "7d"):
         lambda spark, sf_dir, h=_h: series.volatility(V.points(spark, sf_dir), h, 3).join(series.log_returns(series.trailing(V.points(spark, sf_dir), h)).groupBy("asset").agg(r(F.stddev_samp("log_return")).alias("deviation")), "asset").select("asset", r("realised").alias("realised"), "points", "deviation"))
 
 
+@query(f"""WITH {V.OBS}, a AS (SELECT asset, l_linenumber, kind, CASE WHEN l_quantity % 9 > 0 THEN age_s END AS age, l_linestatus FROM obs)
+SELECT asset, min(age) AS ticker_age_s, min(age) FILTER (kind = 'perpetual' AND l_linenumber <> 6) AS funding_age_s, min(age) FILTER (kind <> 'spot' AND l_linenumber <> 7) AS open_interest_age_s, min(age) FILTER (l_linestatus = 'O') AS order_book_age_s, min(age) AS freshest_age_s, max(age) AS oldest_age_s FROM a WHERE age IS NOT NULL GROUP BY asset""")
+def freshness_by_family(spark, sf_dir):
+    """Ages of tickers, funding, open interest and books; observations without a venue's time tell nothing."""
+    o = V.obs(spark, sf_dir).withColumn("age_s", F.when(F.col("l_quantity") % 9 > 0, F.col("age_s")))
+    return structure.family_ages({"ticker": o, "funding": o.filter("kind = 'perpetual' and l_linenumber <> 6"), "open_interest": o.filter("kind <> 'spot' and l_linenumber <> 7"), "order_book": o.filter("source = 'mid'")})
+
+
 # --- ingest
 
 

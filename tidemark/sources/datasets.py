@@ -82,6 +82,10 @@ def searched(assets: DataFrame, text: str) -> DataFrame:
     return assets.filter(F.contains(F.lower("symbol"), needle) | F.contains(F.lower(F.coalesce("name", F.lit(""))), needle)).select("asset_id", "symbol", "name")
 
 
+#: How tables are written: small row groups, so that a reader of few rows prunes by their statistics.
+PARQUET = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9", "parquet.block.row.count.limit": "65536", "parquet.enable.summary-metadata": "false"}
+
+
 def built_table(name: str, rows: DataFrame) -> DataFrame:
     """rows flattened, with a table's columns in their order and sorted by the first ones; a column that rows lack is null text. Other columns are left out."""
     flat, columns = flattened(rows), TABLES[name]
@@ -97,9 +101,9 @@ def write_generation(spark: SparkSession, root: str, generation: str, states: Da
     """
     folder = f"{root.rstrip('/')}/generations/{generation}"
     sharded = states.withColumn("shard_index", shard(F.col("asset_id"), shards))
-    sharded.repartition(shards, "shard_index").sortWithinPartitions("shard_index", "asset_id").write.option("compression", "zstd").partitionBy("shard_index").parquet(f"{folder}/{STATES}")
+    sharded.repartition(shards, "shard_index").sortWithinPartitions("shard_index", "asset_id").write.options(**PARQUET).partitionBy("shard_index").parquet(f"{folder}/{STATES}")
     for name, df in tables.items():
-        (built_table(name, df) if name in TABLES else flattened(df)).write.option("compression", "zstd").parquet(f"{folder}/{name}")
+        (built_table(name, df) if name in TABLES else flattened(df)).write.options(**PARQUET).parquet(f"{folder}/{name}")
     listed = [r.asDict() for r in files.digests(spark, folder).orderBy("path").collect()]  # one row for each file
     if large := [f["path"] for f in listed if f["bytes"] > most_bytes]:
         raise NotPublishable(f"files over {most_bytes} bytes: {', '.join(large)}")
