@@ -74,3 +74,12 @@ def test_series_reach_the_market(spark):
     got = Engine(m).run(f"SELECT asset, genome_status, {', '.join(made)} FROM market WHERE realised_volatility_24h > 0").collect()
     assert [r.asset for r in got] == ["P77"] and got[0].genome_status == "warming_up" and None not in got[0]
     assert m.filter("name = 'a name'").count() == 1 and m.count() == V.obs(spark, sf).select("asset").distinct().count()
+
+
+def test_scanner_text():
+    from tidemark.plans.catalogue import scanner_text
+
+    assert scanner_text() == "SELECT asset, venue_count FROM market"
+    text = scanner_text(3, 5, (0, 9), "negative", "venue_count", False, 7)
+    assert text == "SELECT asset, venue_count FROM market WHERE venue_count >= 3 AND reported_volume_24h_usd >= 5 AND price_dispersion_bps BETWEEN 0 AND 9 AND funding_rate_8h_median < 0 ORDER BY venue_count ASC, asset LIMIT 7"
+    parse(text)

@@ -100,9 +100,10 @@ def scanner_filter(spark, sf_dir):
     return Engine(market(spark, sf_dir)).run(scanner_text(4, 1_000_000, (0, 400)))
 
 
-for _sign, _op in (("positive", ">"), ("negative", "<")):
-    query(f"WITH {MARKET + V.DERIVATIVES.removeprefix(V.OBS)}, fm AS (SELECT 'P' || asset AS asset, median(rate_8h) AS f FROM f8 WHERE rate_8h IS NOT NULL GROUP BY 1) SELECT asset, venue_count FROM market LEFT JOIN fm USING (asset) WHERE venue_count >= 2 AND f {_op} 0 ORDER BY venue_count DESC NULLS LAST, asset LIMIT 40", f"scanner_funding_{_sign}")(
-        lambda spark, sf_dir, sign=_sign: Engine(market(spark, sf_dir)).run(scanner_text(2, funding=sign, sort="venue_count", limit=40)))
+@query(f"WITH {MARKET + V.DERIVATIVES.removeprefix(V.OBS)}, fm AS (SELECT 'P' || asset AS asset, median(rate_8h) AS f FROM f8 WHERE rate_8h IS NOT NULL GROUP BY 1) SELECT asset, venue_count FROM market LEFT JOIN fm USING (asset) WHERE venue_count >= 2 AND f > 0 ORDER BY venue_count DESC NULLS LAST, asset LIMIT 40")
+def scanner_funding_sorted(spark, sf_dir):
+    """The scanner's table by venues, of assets whose funding is positive."""
+    return Engine(market(spark, sf_dir)).run(scanner_text(2, funding="positive", sort="venue_count", limit=40))
 
 
 # --- robust statistics
