@@ -223,7 +223,7 @@ def live_universe_refresh(spark, sf_dir):
     return live.kept_quotes(q, q.select("asset").distinct().filter("asset % 4 <> 1")).select("asset", "venue", "price_ms")
 
 
-@query(f"WITH {TICKS}, t AS (SELECT venue, count(*) AS n, max(ts_ms) AS last_ms FROM ticks WHERE venue <> 2 GROUP BY venue), f AS (SELECT unnest([0, 1, 2, 3, 9]) AS venue, unnest([true, false, true, true, true]) AS connected), m AS (SELECT event_id % 4 AS venue, count(*) AS malformed FROM events WHERE event_type = 'error' GROUP BY 1) SELECT venue, connected, coalesce(n, 0) AS ticks, coalesce(malformed, 0) AS malformed, ({NOW} - last_ms) / 1000.0 AS age_s, CASE WHEN NOT connected THEN 'disconnected' WHEN last_ms IS NULL THEN 'silent' WHEN ({NOW} - last_ms) / 1000.0 > {STALE} THEN 'stale' ELSE 'ok' END AS health FROM f LEFT JOIN t USING (venue) LEFT JOIN m USING (venue)")
+@query(f"WITH {TICKS}, t AS (SELECT venue, count(*) AS n, max(ts_ms) AS last_ms FROM ticks WHERE venue <> 2 GROUP BY venue), f AS (SELECT unnest([0, 1, 2, 3, 9])::BIGINT AS venue, unnest([true, false, true, true, true]) AS connected), m AS (SELECT event_id % 4 AS venue, count(*) AS malformed FROM events WHERE event_type = 'error' GROUP BY 1) SELECT venue, connected, coalesce(n, 0) AS ticks, coalesce(malformed, 0) AS malformed, ({NOW} - last_ms) / 1000.0 AS age_s, CASE WHEN NOT connected THEN 'disconnected' WHEN last_ms IS NULL THEN 'silent' WHEN ({NOW} - last_ms) / 1000.0 > {STALE} THEN 'stale' ELSE 'ok' END AS health FROM f LEFT JOIN t USING (venue) LEFT JOIN m USING (venue)")
 def live_feed_health(spark, sf_dir):
     feeds = spark.createDataFrame([(0, True), (1, False), (2, True), (3, True), (9, True)], "venue long, connected boolean")
     faults = V.table(spark, sf_dir, "events").filter("event_type = 'error'").groupBy((F.col("event_id") % 4).alias("venue")).agg(F.count("*").alias("malformed"))
@@ -276,7 +276,7 @@ _VALUES = {"last": "value", "bid": "value - 60", "ask": "value + 1", "mark": "va
 
 
 @query(f"""WITH f AS (SELECT *, {_FEED_SQL} AS feed FROM events WHERE event_type <> 'error')
-SELECT event_id AS received_ms, feed, 'S' || user_id AS symbol, epoch_us(ts) // 1000 AS event_ms, {', '.join(f'round({_told(n, f"CASE WHEN {v} > 0 THEN {v} END")}, 6) AS {n}' for n, v in _VALUES.items())}, round({_told('funding_rate', '(value - 50) / 1000')}, 9) AS funding_rate, CASE WHEN feed = 'deribit' THEN 8.0 WHEN feed = 'bybit_linear' THEN 4.0 END AS funding_interval_hours FROM f""")
+SELECT event_id AS received_ms, feed, 'S' || user_id AS symbol, epoch_us(ts) // 1000 AS event_ms, {', '.join(f'round({_told(n, f"CASE WHEN {v} > 0 THEN {v} END")}, 6) AS {n}' for n, v in _VALUES.items())}, round({_told('funding_rate', '(value - 50) / 1000')}, 9) AS funding_rate, CASE WHEN feed = 'deribit' THEN 8.0::DOUBLE WHEN feed = 'bybit_linear' THEN 4.0::DOUBLE END AS funding_interval_hours FROM f""")
 def feed_frames(spark, sf_dir):
     """Frames of all nine feeds, with some of another kind among them, as ticks."""
     e, v = V.table(spark, sf_dir, "events"), F.col("value")

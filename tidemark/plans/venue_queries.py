@@ -100,7 +100,7 @@ def _ticker_columns(feed):
     return keys, told
 
 
-_CELL = "SELECT '{product}' AS product, {symbol} AS symbol, '{field}' AS field, {number} AS number, {text} AS text FROM part WHERE {test}"
+_CELL = "SELECT '{product}' AS product, {symbol} AS symbol, '{field}' AS field, {number} AS number, ({text})::VARCHAR AS text FROM part WHERE {test}"
 
 
 def _exact(name: str, sql: str) -> str:

@@ -119,7 +119,7 @@ def live_states(found: DataFrame, generation: DataFrame, stale_s: float = STALE_
     off = F.array_sort(F.transform("capped", lambda p: F.struct(F.abs(p["x"] - F.col("price")).alias("x"), p["w"].alias("w"))))
     rejected = found.filter(F.col("early").isin("feed_disconnected", "stale")).groupBy(F.col("asset").alias("r_asset")).agg(F.count("*").alias("gone"))
     j = priced.join(rejected, F.col("asset") == F.col("r_asset"), "left").join(generation.select(F.col("asset").alias("g_asset"), "published"), F.col("asset") == F.col("g_asset"), "left")
-    return j.select("asset", "price", F.when(F.col("used") > 1, "robust_weighted_median").otherwise("single_venue").alias("method"), F.col("used").alias("venues_used"), (F.col("n") + F.coalesce("gone", F.lit(0))).alias("venues_seen"), F.when(F.col("used") >= 2, median_of(off) / F.col("price") * 10_000).alias("dispersion_bps"), "volume_24h_usd", bps(F.col("price"), F.col("published")).alias("vs_generation_bps"))
+    return j.select("asset", "price", F.when(F.col("used") > 1, "robust_weighted_median").otherwise("single_venue").alias("method"), F.col("used").cast("long").alias("venues_used"), (F.col("n") + F.coalesce("gone", F.lit(0))).alias("venues_seen"), F.when(F.col("used") >= 2, median_of(off) / F.col("price") * 10_000).alias("dispersion_bps"), "volume_24h_usd", bps(F.col("price"), F.col("published")).alias("vs_generation_bps"))
 
 
 def perps(quotes: DataFrame, states: DataFrame, rates: DataFrame, now_ms: Column, stale_s: float = STALE_S) -> DataFrame:
