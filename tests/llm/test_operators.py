@@ -97,6 +97,48 @@ def test_near_duplicates(spark, docs, monkeypatch):
         assert got == want
 
 
+def test_heavy_groups_lose_no_link(spark):
+    """A group of many tiles: one chain of near copies, some apart from it, and links that only tiles of different components have."""
+    r = random.Random(9)
+    vocab = [f"u{k}" for k in range(300)]
+    base, rows = [r.choice(vocab) for _ in range(60)], []
+    for k in range(150):
+        words_ = list(base) if k % 5 else [r.choice(vocab) for _ in range(60)]
+        for _ in range(r.choice((1, 2, 3))):
+            words_[r.randrange(60)] = r.choice(vocab)
+        if k % 5 and k % 7 == 0:
+            base = words_  # the chain moves on
+        rows.append((k, " ".join(words_)))
+    sets = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def top(x):
+        return x if root[x] == x else top(root[x])
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 75 * len(a | sets[j]):
+                x, y = sorted((top(i), top(j)))
+                root[y] = x
+    cids = {k: neardup.class_id(s) for k, s in enumerate(neardup.shingle_sets([t.encode() for _, t in rows]))}
+    blobs = [(7, cids[k], s.tobytes(), len(s)) for k, s in enumerate(neardup.shingle_sets([t.encode() for _, t in rows]))]
+    df = spark.createDataFrame([(g, c, b, n) for g, c, b, n in blobs], "linked long, cid long, shingles binary, weight long").dropDuplicates(["cid"])
+
+    def make(ids, parts, sides):
+        own = [np.frombuffer(x, np.uint64) for x in parts]
+        return neardup.connected(neardup.saturated(neardup.points(own)), np.array(list(map(len, own))), ids, lambda i, j: neardup.overlap_links(own[i], own[j]), sides)
+
+    for most in (10**9, 2000, 400):
+        found = {x.node: x.label for x in neardup.linked_by(df.drop("weight"), df.select("linked", "cid", "weight"), "linked", "shingles", most, make).collect()}
+        groups = collections.defaultdict(set)
+        for k in range(len(rows)):
+            groups[found.get(cids[k], cids[k])].add(k)
+        want = collections.defaultdict(set)
+        for k in range(len(rows)):
+            want[top(k)].add(k)
+        assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values())), most
+
+
 def test_tree_finds_all_pairs_within_the_bound():
     r = np.random.Generator(np.random.PCG64(3))
     v = r.integers(0, 4, (300, neardup.DIMENSIONS)).astype(np.int32)

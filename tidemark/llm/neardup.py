@@ -9,8 +9,9 @@ finds the pairs whose bound allows a link. What such pairs connect is verified
 on whole sets in one place, and verified links give the components.
 
 Equal sets are one class from the start. Blocks and connected groups that are
-too large for a task are dealt out as pairs of tiles. Links between members of
-a component that is already known are not written.
+too large for a task are dealt out to tiles; tiles meet only for members that
+are not yet in one component. Links between members of a component that is
+already known are not written.
 
 Nulls: a null or empty text has no shingles and links with nothing; a row
 without doc_id takes part, and its component is that of the smallest id there
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
@@ -135,25 +136,22 @@ def connected(vectors: np.ndarray, sizes: np.ndarray, ids: np.ndarray, linked=No
     Pairs already connected are not looked at again. With sides, only pairs of different sides count.
     """
     order = packing_order(vectors, sizes)
-    tree = RTree(vectors[order], sizes[order])
-    root = list(range(len(order)))
-
-    def top(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
+    tree, label = RTree(vectors[order], sizes[order]), np.arange(len(order))
     for k in range(1, len(order)):
-        for j in tree.near(k)[::-1].tolist():
-            a, b = top(k), top(j)
-            if a != b and (sides is None or sides[order[k]] != sides[order[j]]) and (linked is None or linked(order[k], order[j])):
-                root[max(a, b)] = min(a, b)
-    tops = np.array([top(x) for x in range(len(order))], np.int64)
-    by_top = np.lexsort((ids[order], tops))
-    cuts = np.flatnonzero(np.diff(tops[by_top], prepend=-1, append=-1))
+        near = tree.near(k)
+        if sides is not None:
+            near = near[sides[order[near]] != sides[order[k]]]
+        near = near[label[near] != label[k]]
+        while len(near):
+            j, near = near[-1], near[:-1]
+            if linked is None or linked(order[k], order[j]):
+                low, high = sorted((label[k], label[j]))
+                label[label == high] = low
+                near = near[label[near] != low]
+    by_label = np.lexsort((ids[order], label))
+    cuts = np.flatnonzero(np.diff(label[by_label], prepend=-1, append=-1))
     for a, b in zip(cuts, cuts[1:], strict=False):
-        members = ids[order][by_top[a:b]]
+        members = ids[order][by_label[a:b]]
         for member in members[1:].tolist():
             yield int(members[0]), member
 
@@ -187,13 +185,66 @@ def _groups(batches, key: list[str], values: list[str]):
         yield now, held
 
 
-def _tiled(rows: DataFrame, key: str, weight: str, most: int, member: str) -> DataFrame:
-    """rows with tile_a <= tile_b; a group heavier than `most` becomes all pairs of its tiles, each of half that weight."""
-    heavy = store(rows.groupBy(key).agg(F.sum(weight).alias("w")).filter(F.col("w") > most).select(F.col(key).alias("h_key"), F.ceil(F.col("w") * 2 / most).cast("int").alias("tiles")), "heavy")
+def _tile(member: str, tiles) -> Column:
+    return F.pmod(F.xxhash64(F.col(member)), tiles).cast("int")
+
+
+def _all_pairs(rows: DataFrame, own: Column, tiles: Column, first: Column) -> DataFrame:
+    """rows with tile_a <= tile_b for all pairs of a group's tiles, which are numbered from `first`."""
+    each = rows.withColumn("own", own + first).withColumn("other", F.explode(F.sequence(first, first + tiles - 1)))
+    return each.withColumns({"tile_a": F.least("own", "other"), "tile_b": F.greatest("own", "other")}).drop("other")
+
+
+def linked_by(rows: DataFrame, weights: DataFrame, key: str, blob: str, most: int, make) -> DataFrame:
+    """Components of what `make` links within groups: (node, label).
+
+    rows: key, cid and blob; weights: key, cid, weight. A group heavier than `most`
+    is dealt out to tiles of half that weight, and pairs are looked for in three
+    steps: in each tile; between one member of each component that came of it;
+    and then, as members of one component need no more links, between the heaviest
+    component's tiles and the members of all others, and among those. So a group
+    that is one component costs its size, not the square of its tiles; no pair of
+    members of different components is left out.
+    """
+    heavy = store(weights.groupBy(key).agg(F.sum("weight").alias("w")).filter(F.col("w") > most).select(F.col(key).alias("h_key"), F.ceil(F.col("w") * 2 / most).cast("int").alias("tiles")), "heavy")
     joined = rows.join(heavy, F.col(key) == F.col("h_key"), "left").drop("h_key")
-    own = F.pmod(F.xxhash64(F.col(member)), F.coalesce("tiles", F.lit(1))).cast("int")
-    with_own = joined.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("tiles"), F.lit(1)) - 1)))
-    return with_own.withColumns({"tile_a": F.least("own", "other"), "tile_b": F.greatest("own", "other")}).drop("tiles", "other")
+    own = joined.withColumn("own", _tile("cid", F.coalesce("tiles", F.lit(1)))).withColumns({"tile_a": F.col("own"), "tile_b": F.col("own")})
+    links = _links_of_groups(own, key, blob, make)
+    if not heavy.limit(1).count():
+        return components(links)
+    links = store(links, "links-of-tiles")
+    hot = weights.join(heavy, F.col(key) == F.col("h_key")).drop("h_key")
+
+    def labelled_hot() -> DataFrame:
+        label = components(links).select(F.col("node").alias("l_node"), "label")
+        return hot.join(label, F.col("cid") == F.col("l_node"), "left").withColumn("label", F.coalesce("label", "cid")).drop("l_node")
+
+    def dealt(members: DataFrame) -> DataFrame:
+        """rows of members (key, cid and more), their keys under other names."""
+        named = members.withColumnsRenamed({key: "m_key", "cid": "m_cid"})
+        return rows.join(named, (F.col(key) == F.col("m_key")) & (F.col("cid") == F.col("m_cid"))).drop("m_key", "m_cid")
+
+    one = labelled_hot().groupBy(key, "label").agg(F.min_by(F.struct("cid", "weight"), "cid").alias("m")).select(key, "m.*")
+    one = store(one, "standing")
+    parts = one.groupBy(F.col(key).alias("s_key")).agg(F.ceil(F.sum("weight") * 2 / most).cast("int").alias("parts"))
+    standing = dealt(one.join(parts, F.col(key) == F.col("s_key")).drop("s_key", "weight"))
+    between = _links_of_groups(_all_pairs(standing, _tile("cid", F.col("parts")), F.col("parts"), F.lit(0)), key, blob, make)
+    links = links.union(store(between, "links-between"))
+    found = store(labelled_hot(), "labelled")
+    sums = found.groupBy(key, "label").agg(F.sum("weight").alias("w"))
+    main = sums.groupBy(F.col(key).alias("g_key")).agg(F.max_by("label", F.struct("w", "label")).alias("main"), F.ceil((F.sum("w") - F.max("w")) * 2 / most).cast("int").alias("parts")).filter("parts > 0")
+    main = store(main, "main-components")
+    if not main.limit(1).count():
+        return components(links)
+    sided = store(found.join(main, F.col(key) == F.col("g_key")).select(key, "cid", "tiles", "parts", (F.col("label") == F.col("main")).alias("is_main")), "sided")
+    own_part = _tile("cid", F.col("parts"))
+    of_main = dealt(sided.filter("is_main")).withColumn("own", _tile("cid", F.col("tiles"))).withColumn("tile_b", F.explode(F.sequence(F.col("tiles"), F.col("tiles") + F.col("parts") - 1))).withColumn("tile_a", F.col("own"))
+    others = dealt(sided.filter("not is_main"))
+    to_main = others.withColumn("own", own_part + F.col("tiles")).withColumn("tile_a", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumn("tile_b", F.col("own"))
+    among = _all_pairs(others, own_part, F.col("parts"), F.col("tiles"))
+    columns = [key, "tile_a", "tile_b", "cid", blob, "own"]
+    last = _links_of_groups(of_main.select(*columns).union(to_main.select(*columns)).union(among.select(*columns)), key, blob, make)
+    return components(links.union(store(last, "links-of-others")))
 
 
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -338,8 +389,8 @@ def labelled(docs: DataFrame) -> DataFrame:
         vectors = np.frombuffer(b"".join(x[8:] for x in blobs), np.uint8).reshape(len(blobs), DIMENSIONS)
         return connected(vectors, np.frombuffer(b"".join(x[:8] for x in blobs), np.int64), ids, sides=sides)
 
-    members = _tiled(store(members.withColumn("weight", F.lit(1)), "blocks"), "block", "weight", MOST_MEMBERS, "cid")
-    maybe = components(_links_of_groups(members, "block", "point", in_block))
+    members = store(members, "blocks")
+    maybe = linked_by(members, members.select("block", "cid", F.lit(1).alias("weight")), "block", "point", MOST_MEMBERS, in_block)
     # whole sets of the classes that may be linked, from the row that stands for each
     group = store(maybe.select(F.col("node").alias("cid"), F.col("label").alias("linked")), "maybe")
     stand = own.join(group, "cid").groupBy("cid", "linked").agg(F.min(F.struct("doc_id", "row_key")).alias("r"), F.max("n_shingles").alias("weight"))
@@ -358,7 +409,8 @@ def labelled(docs: DataFrame) -> DataFrame:
         sides = sides[first] if sides is not None else None
         return connected(saturated(points(sets)), np.array(list(map(len, sets)), np.int64), ids, lambda i, j: overlap_links(sets[i], sets[j]), sides)
 
-    sure = components(_links_of_groups(_tiled(rows.mapInArrow(whole, "cid long, linked long, weight long, shingles binary"), "linked", "weight", MOST_SHINGLES, "cid"), "linked", "shingles", in_group))
+    sets = rows.mapInArrow(whole, "cid long, linked long, weight long, shingles binary")
+    sure = linked_by(sets, stand.select("linked", "cid", "weight"), "linked", "shingles", MOST_SHINGLES, in_group)
     joined = each.select("cid", "rep").join(sure.select(F.col("node").alias("cid"), "label"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     least = joined.groupBy("label").agg(F.min("rep").alias("component_id"))
     named = joined.join(least, "label").select("cid", "component_id")
