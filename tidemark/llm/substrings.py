@@ -48,7 +48,7 @@ from tidemark.llm.words import LONG, Words, blocks, release, spread, window_plac
 
 WINDOW = 13
 PREFIXES = (1, 2, 4, 8)
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 #: Suffixes that a group may have, and digests that one task compares.
 GROUP_SUFFIXES, TASK_DIGESTS = 2_000_000, 2_000_000
 #: Words that all tasks know, and how many of them each task proposes.
@@ -56,7 +56,7 @@ COMMON, COMMON_OF_TASK = 1 << 14, 4096
 #: Digests are cut to this many bits more than count all suffixes; equal ones only make suffixes travel, some of them for nothing.
 SPARE_BITS = 9
 #: Bytes of texts for a block.
-BUCKET_BYTES = 10 << 20
+BUCKET_BYTES = 6 << 20
 BLOCK_SQL, PART_SQL = "block long, payload binary", "target long, block long, payload binary"
 BLOCK = pa.schema([("block", pa.int64()), ("payload", pa.binary())])
 PART = pa.schema([("target", pa.int64()), ("block", pa.int64()), ("payload", pa.binary())])
