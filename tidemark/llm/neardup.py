@@ -199,12 +199,13 @@ def linked_by(rows: DataFrame, weights: DataFrame, key: str, blob: str, most: in
     """Components of what `make` links within groups: (node, label).
 
     rows: key, cid and blob; weights: key, cid, weight. A group heavier than `most`
-    is dealt out to tiles of half that weight, and pairs are looked for in three
-    steps: in each tile; between one member of each component that came of it;
-    and then, as members of one component need no more links, between the heaviest
-    component's tiles and the members of all others, and among those. So a group
-    that is one component costs its size, not the square of its tiles; no pair of
-    members of different components is left out.
+    is dealt out to tiles of half that weight, and pairs are looked for in steps:
+    in each tile first. Where the components that come of it are mostly single
+    members, all tiles meet. Else one member of each component meets the others;
+    and then, as members of one component need no more links, the heaviest
+    component's tiles meet the members of all others, and those each other. So a
+    group that is one component costs its size, not the square of its tiles; no
+    pair of members of different components is left out.
     """
     heavy = store(weights.groupBy(key).agg(F.sum("weight").alias("w")).filter(F.col("w") > most).select(F.col(key).alias("h_key"), F.ceil(F.col("w") * 2 / most).cast("int").alias("tiles")), "heavy")
     joined = rows.join(heavy, F.col(key) == F.col("h_key"), "left").drop("h_key")
@@ -213,24 +214,32 @@ def linked_by(rows: DataFrame, weights: DataFrame, key: str, blob: str, most: in
     if not heavy.limit(1).count():
         return components(links)
     links = store(links, "links-of-tiles")
-    hot = weights.join(heavy, F.col(key) == F.col("h_key")).drop("h_key")
+    hot_rows = store(rows.join(heavy, F.col(key) == F.col("h_key"), "left_semi").select(key, "cid", blob), "hot")
+    hot = weights.join(heavy, F.col(key) == F.col("h_key")).select(key, "cid", "weight", "tiles")
 
     def labelled_hot() -> DataFrame:
         label = components(links).select(F.col("node").alias("l_node"), "label")
         return hot.join(label, F.col("cid") == F.col("l_node"), "left").withColumn("label", F.coalesce("label", "cid")).drop("l_node")
 
     def dealt(members: DataFrame) -> DataFrame:
-        """rows of members (key, cid and more), their keys under other names."""
+        """hot_rows of members (key, cid and more), whose keys get other names."""
         named = members.withColumnsRenamed({key: "m_key", "cid": "m_cid"})
-        return rows.join(named, (F.col(key) == F.col("m_key")) & (F.col("cid") == F.col("m_cid"))).drop("m_key", "m_cid")
-
-    one = labelled_hot().groupBy(key, "label").agg(F.min_by(F.struct("cid", "weight"), "cid").alias("m")).select(key, "m.*")
-    one = store(one, "standing")
-    parts = one.groupBy(F.col(key).alias("s_key")).agg(F.ceil(F.sum("weight") * 2 / most).cast("int").alias("parts"))
-    standing = dealt(one.join(parts, F.col(key) == F.col("s_key")).drop("s_key", "weight"))
-    between = _links_of_groups(_all_pairs(standing, _tile("cid", F.col("parts")), F.col("parts"), F.lit(0)), key, blob, make)
-    links = links.union(store(between, "links-between"))
-    found = store(labelled_hot(), "labelled")
+        return hot_rows.join(named, (F.col(key) == F.col("m_key")) & (F.col("cid") == F.col("m_cid"))).drop("m_key", "m_cid")
+
+    columns = [key, "tile_a", "tile_b", "cid", blob, "own"]
+    one = labelled_hot().groupBy(key, "label", "tiles").agg(F.min_by(F.struct("cid", "weight"), "cid").alias("m"), F.sum("weight").alias("w"))
+    one = store(one.select(key, "tiles", "m.cid", "m.weight", "w"), "standing")
+    kinds = one.groupBy(F.col(key).alias("k_key"), "tiles").agg((2 * F.sum("weight") > F.sum("w")).alias("scattered"), F.ceil(F.sum("weight") * 2 / most).cast("int").alias("parts"))
+    kinds = store(kinds, "kinds")
+    everyone = hot_rows.join(kinds.filter("scattered"), F.col(key) == F.col("k_key"))
+    everyone = _all_pairs(everyone, _tile("cid", F.col("tiles")), F.col("tiles"), F.lit(0)).filter("tile_a < tile_b")
+    standing = dealt(one.select(key, "cid").join(kinds.filter("not scattered"), F.col(key) == F.col("k_key")).select(key, "cid", "parts"))
+    standing = _all_pairs(standing, _tile("cid", F.col("parts")), F.col("parts"), F.lit(0))
+    links = links.union(store(_links_of_groups(everyone.select(*columns).union(standing.select(*columns)), key, blob, make), "links-between"))
+    lumped = kinds.filter("not scattered").select("k_key")
+    if not lumped.limit(1).count():
+        return components(links)
+    found = store(labelled_hot().join(lumped, F.col(key) == F.col("k_key"), "left_semi"), "labelled")
     sums = found.groupBy(key, "label").agg(F.sum("weight").alias("w"))
     main = sums.groupBy(F.col(key).alias("g_key")).agg(F.max_by("label", F.struct("w", "label")).alias("main"), F.ceil((F.sum("w") - F.max("w")) * 2 / most).cast("int").alias("parts")).filter("parts > 0")
     main = store(main, "main-components")
@@ -242,7 +251,6 @@ def linked_by(rows: DataFrame, weights: DataFrame, key: str, blob: str, most: in
     others = dealt(sided.filter("not is_main"))
     to_main = others.withColumn("own", own_part + F.col("tiles")).withColumn("tile_a", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumn("tile_b", F.col("own"))
     among = _all_pairs(others, own_part, F.col("parts"), F.col("tiles"))
-    columns = [key, "tile_a", "tile_b", "cid", blob, "own"]
     last = _links_of_groups(of_main.select(*columns).union(to_main.select(*columns)).union(among.select(*columns)), key, blob, make)
     return components(links.union(store(last, "links-of-others")))
 
