@@ -27,7 +27,7 @@ from tidemark.llm.words import Words, blocks, delimiter_table, spread
 WINDOW = 13
 #: All of ASCII but digits and lower-case letters.
 GAPS = bytes([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 8 << 20
 #: Bytes of benchmark text that one pass holds, as arrays of some 12 times that and never over 50 times; a larger benchmark takes several passes.
 PHRASE_BYTES = 4 << 20
 SAMPLING = 16

@@ -41,7 +41,9 @@ DIMENSIONS = 1 << DIMENSION_BITS
 SATURATED = (1 << 8) - 1
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT = 75
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
+#: Bytes of texts in which a shingle is counted before it is told; more tell frequent ones apart better.
+FREQUENT_BYTES = 12 << 20
 #: Bytes of texts whose rare shingles one task gathers.
 TARGET_BYTES = 16 << 20
 #: Members of a block, or shingles of a connected group, that one task takes at once.
@@ -298,7 +300,7 @@ def frequent(texts: DataFrame) -> np.ndarray:
     schema = pa.schema([("slot", pa.int32()), ("n", pa.int64())])
 
     def count(batches):
-        for (block,) in blocks(batches, BLOCK_BYTES, ["text"]):
+        for (block,) in blocks(batches, FREQUENT_BYTES, ["text"]):
             found, n = np.unique(np.concatenate(shingle_sets(block) or [np.zeros(0, _U)]), return_counts=True)
             often = n >= FREQUENT_LOCAL
             slots, at = np.unique((found[often] >> _U(64 - FREQUENT_BITS)).astype(np.int32), return_inverse=True)
