@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import contamination, language, lines, neardup, packing, quality, scoring, secrets, substrings, warc
+from tidemark.llm import chat, contamination, divergence, language, lines, neardup, packing, quality, scoring, secrets, spelling, substrings, warc
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_content_addressed_warc": warc.op8_content_addressed_warc,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_ngram_jaccard_join": neardup.op10_ngram_jaccard_join,
+    "op11_source_divergence": divergence.op11_source_divergence,
+    "op12_spelling_variants": spelling.op12_spelling_variants,
+    "op13_chat_formatting": chat.op13_chat_formatting,
 }
 
 ORACLE_SQL = {
@@ -23,4 +26,7 @@ ORACLE_SQL = {
     "op3_quality_rules": quality.OP3_SQL,
     "op5_benchmark_decontamination": contamination.OP5_SQL,
     "op8_content_addressed_warc": warc.OP8_SQL,
+    "op11_source_divergence": divergence.OP11_SQL,
+    "op12_spelling_variants": spelling.OP12_SQL,
+    "op13_chat_formatting": chat.OP13_SQL,
 }

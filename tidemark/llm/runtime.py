@@ -12,14 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: By application, the folder of a session that has none; the setting itself cannot be changed once Spark runs.
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: spark.checkpoint.dir, or one of our own where that is unset and all runs in this process (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _own.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="tidemark-")
+        _own[spark.sparkContext.applicationId] = base
     return base.rstrip("/")
 
 
