@@ -556,8 +556,8 @@ def validity_gate(spark, sf_dir):
 
 
 def _ranked(spark, sf_dir):
-    """Assets with the depth of their books and, by id, all states of identity; volumes in spot alone for one in eleven."""
-    o = V.obs(spark, sf_dir).filter((F.col("asset") % 11 != 0) | (F.col("kind") == "spot"))
+    """Assets with the depth of their books and, by id, all states of identity; one in eleven is traded in spot alone."""
+    o = V.obs(spark, sf_dir).withColumn("kind", F.when(F.col("asset") % 11 == 0, "spot").otherwise(F.col("kind")))
     counts = structure.venue_counts(o).join(o.groupBy("asset").agg(F.count_distinct("venue").alias("venue_count"), F.sum("volume").alias("volume")), "asset")
     depth = liquidity.depth_bands(V.book(spark, sf_dir), ["asset"]).select("asset", (F.col("depth_50_bid") + F.col("depth_50_ask")).alias("depth_50"))
     k = F.col("asset") % 13
@@ -566,7 +566,7 @@ def _ranked(spark, sf_dir):
 
 
 _UNIVERSE = V.BOOK + f""",
-un AS (SELECT asset, count(DISTINCT venue) AS venue_count, sum(volume) AS volume, count(DISTINCT CASE WHEN kind = 'spot' THEN venue END) AS spot_venues, count(DISTINCT CASE WHEN kind = 'perpetual' THEN venue END) AS perp_venues FROM obs WHERE asset % 11 <> 0 OR kind = 'spot' GROUP BY asset),
+un AS (SELECT asset, count(DISTINCT venue) AS venue_count, sum(volume) AS volume, count(DISTINCT CASE WHEN kind = 'spot' OR asset % 11 = 0 THEN venue END) AS spot_venues, count(DISTINCT CASE WHEN kind = 'perpetual' AND asset % 11 <> 0 THEN venue END) AS perp_venues FROM obs GROUP BY asset),
 de AS (SELECT asset, {_DEPTHS.replace(', 7) END', ', 9) END')} FROM book GROUP BY asset),
 ra AS (SELECT 'asset:named:part:P' || asset AS asset_id, asset, venue_count, volume, spot_venues, perp_venues, depth_50_bid + depth_50_ask AS depth_50, CASE WHEN asset % 13 < 9 THEN 'resolved' WHEN asset % 13 = 9 THEN 'manual_override' WHEN asset % 13 = 10 THEN 'probable' WHEN asset % 13 = 11 THEN 'ambiguous' ELSE 'unresolved' END AS resolution_state FROM un LEFT JOIN de USING (asset)),
 ok AS (SELECT * FROM ra WHERE resolution_state IN ('resolved', 'manual_override'))"""

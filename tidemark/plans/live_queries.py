@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import views as V
 from tidemark.plans.catalogue import query, r
-from tidemark.streaming import frames, live
+from tidemark.streaming import book, frames, live
 
 NOW = V.AS_OF_MS - 86_400_000
 STALE = 5 * 86_400.0
@@ -183,15 +183,47 @@ def live_states(spark, sf_dir):
     return s.select("asset", r(F.col("price") + OFF, 4).alias("price"), "method", "venues_used", "venues_seen", r("dispersion_bps", 4).alias("dispersion_bps"), r(F.col("volume_24h_usd") + OFF, 4).alias("volume"), r("vs_generation_bps", 4).alias("vs_generation_bps"))
 
 
-@query(f"WITH {_STATES} SELECT rank, symbol, round(price + {OFF}, 4) AS price FROM (SELECT *, 's' || asset AS symbol, row_number() OVER (ORDER BY asset % 7, asset) AS rank FROM (SELECT DISTINCT user_id AS asset FROM events)) JOIN li USING (asset) WHERE asset % 3 > 0 ORDER BY rank LIMIT 40")
+@query(f"WITH {_STATES} SELECT rank, symbol, round(price + {OFF}, 4) AS price FROM (SELECT *, 's' || asset AS symbol, row_number() OVER (ORDER BY asset % 7, asset) AS rank FROM (SELECT DISTINCT user_id AS asset FROM events) QUALIFY rank <= 150) JOIN li USING (asset) WHERE asset IN (SELECT user_id FROM events WHERE event_type = 'signup') ORDER BY rank LIMIT 40")
 def live_snapshot(spark, sf_dir):
-    """The first assets by rank, of those whose symbols were asked for."""
-    users = V.table(spark, sf_dir, "events").select(F.col("user_id").alias("asset")).distinct()
-    universe = users.withColumn("rank", F.row_number().over(Window.orderBy(F.col("asset") % 7, "asset"))).withColumn("symbol", F.concat(F.lit("s"), "asset"))
-    asked = [f"S{r_.asset}" for r_ in users.filter("asset % 3 > 0").collect()]  # a request's symbols
+    """The first followed assets by rank, of those whose symbols are asked for: here by all who signed up."""
+    e = V.table(spark, sf_dir, "events")
+    followed = e.select(F.col("user_id").alias("asset")).distinct().orderBy(F.col("asset") % 7, "asset").limit(150)  # a universe is a top-k, so that one task can number it
+    universe = followed.withColumn("rank", F.row_number().over(Window.orderBy(F.col("asset") % 7, "asset"))).withColumn("symbol", F.concat(F.lit("s"), "asset"))
+    asked = e.filter("event_type = 'signup'").select(F.concat(F.lit("S"), "user_id").alias("symbol")).distinct()
     return live.snapshot(_states(spark, sf_dir), universe, asked, 40).select(F.col("rank").cast("long").alias("rank"), "symbol", r(F.col("price") + OFF, 4).alias("price"))
 
 
+# --- the book as a running stream
+
+_T0, _T1, _T2 = 1_703_980_800_000, 1_704_931_200_000, 1_705_795_200_000  # listings of the universe; the events begin after the first
+_STALE_MS = int(STALE * 1000)
+_ODD = "(asset % 4 = 1 OR (venue = 1 AND symbol = 'm2'))"  # markets that the second listing lacks
+_STREAMED = _BOOKS[: _BOOKS.index("fe AS (")] + f"""
+sb AS (SELECT unnest([0, 1, 2]) AS step, unnest([{_T0}, {_T1}, {_T2}]) AS since, unnest([{_T1}, {_T2}, 9999999999999]) AS until),
+sq AS (SELECT step, asset, venue, symbol, quote, {', '.join(f'arg_max({f}, (ts_ms, id)) FILTER ({f} IS NOT NULL) AS {f}' for f in ('bid', 'ask', 'last', 'quote_volume', 'base_volume'))}, max(ts_ms) FILTER (bid IS NOT NULL OR ask IS NOT NULL OR last IS NOT NULL) AS price_ms
+  FROM tk JOIN sb ON ts_ms < until WHERE NOT {_ODD} OR step = 0 OR (step = 2 AND ts_ms >= {_T2}) GROUP BY ALL),
+sl AS (SELECT step, asset, greatest(max(since), coalesce(max(ts_ms) FILTER (ts_ms >= since AND ts_ms < until), 0)) AS looked FROM tk, sb GROUP BY step, asset),
+sm AS (SELECT q.*, rate, venue <> 3 AS connected, looked, coalesce(bid <= ask AND (ask - bid) / ((bid + ask) / 2) * 10000 <= 100, false) AS m FROM sq AS q JOIN sl USING (step, asset) LEFT JOIN pr USING (quote)),
+sp AS (SELECT *, (CASE WHEN m THEN (bid + ask) / 2 ELSE last END) * rate AS price_usd, CASE WHEN m THEN 'mid' ELSE 'last' END AS source FROM sm),
+ev AS (SELECT DISTINCT asset FROM sp WHERE price_usd IS NOT NULL AND price_ms IS NOT NULL AND connected AND looked - price_ms <= {_STALE_MS}),
+te AS (SELECT asset, CASE WHEN min(price_ms + {_STALE_MS} + 1) FILTER (connected AND looked <= price_ms + {_STALE_MS}) <= (SELECT max(ts_ms) FROM tk) THEN (SELECT max(ts_ms) FROM tk) ELSE max(looked) END AS now FROM sp WHERE step = 2 GROUP BY asset),
+ca2 AS (SELECT sp.*, coalesce(quote_volume * rate, base_volume * price_usd) AS volume_usd, greatest(0, (now - price_ms) / 1000.0) AS age_s, CASE WHEN price_usd IS NULL OR price_ms IS NULL THEN 'unusable' WHEN NOT connected THEN 'feed_disconnected' WHEN now - price_ms > {_STALE_MS} THEN 'stale' END AS early FROM sp JOIN te USING (asset) WHERE step = 2)""" + _STATES[len(_BOOKS):]
+
+
+@query(f"WITH {_STREAMED} SELECT asset::VARCHAR AS asset, round(price + {OFF}, 4) AS price, coalesce(used, 0) AS venues_used FROM ev LEFT JOIN li USING (asset)")
+def stream_live_book(spark, sf_dir):
+    """What a running stream last told of each asset: quotes merge and expire by timers while two refreshes of the universe drop markets and take them up again, without what was known of them."""
+    ticks, rates = _live_ticks(spark, sf_dir), _rates(spark, sf_dir).select(F.col("quote").alias("r_quote"), "rate")
+    markets = ticks.select("asset", "venue", "symbol", "quote").distinct().join(rates, F.col("quote") == F.col("r_quote"), "left").withColumn("connected", F.col("venue") != 3).withColumns({"asset": F.col("asset").cast("string"), "venue_text": F.col("venue").cast("string")})
+    listed = markets.select("asset", F.col("venue_text").alias("venue"), "symbol", "quote", "rate", "connected")
+    fewer = listed.filter("not (cast(asset as long) % 4 = 1 or (venue = '1' and symbol = 'm2'))")
+    changes = [book.listing_changes(None, listed, 1, _T0), book.listing_changes(listed, fewer, 2, _T1), book.listing_changes(fewer, listed, 3, _T2)]
+    rows = book.tick_rows(ticks)
+    parts = [rows.filter(F.col("ts_ms") < _T1), rows.filter((F.col("ts_ms") >= _T1) & (F.col("ts_ms") < _T2)), rows.filter(F.col("ts_ms") >= _T2)]
+    told = book.told_in_steps([p.unionByName(c) for p, c in zip(parts, changes)], _place(spark), book.Pace(_STALE_MS, 0, None))
+    return book.latest_told(told).select("asset", r(F.col("price") + OFF, 4).alias("price"), F.col("venues_used").cast("long").alias("venues_used"))
+
+
 _PERPS = _STATES + f""",
 pq AS (SELECT user_id AS asset, event_id % 4 AS venue, 'p' || (event_id % 2) AS symbol, ['USDT', 'XYZ'][1 + event_id % 2] AS quote, arg_max(value, (ts, event_id)) FILTER (event_type = 'view' AND value > 0) AS mark, arg_max(value, (ts, event_id)) FILTER (event_type = 'click' AND value > 0) AS last, arg_max(value / 1000000, (ts, event_id)) FILTER (event_type = 'purchase') AS rate_raw, arg_max(CASE WHEN event_id % 3 = 0 THEN 4.0 ELSE 8.0 END, (ts, event_id)) FILTER (event_type = 'signup') AS hours,
   arg_max(value * 100, (ts, event_id)) FILTER (event_type = 'error' AND value > 0) AS oi, max(epoch_us(ts) // 1000) AS price_ms FROM events GROUP BY 1, 2, 3, 4)"""
@@ -223,11 +255,11 @@ def live_universe_refresh(spark, sf_dir):
     return live.kept_quotes(q, q.select("asset").distinct().filter("asset % 4 <> 1")).select("asset", "venue", "price_ms")
 
 
-@query(f"WITH {TICKS}, t AS (SELECT venue, count(*) AS n, max(ts_ms) AS last_ms FROM ticks WHERE venue <> 2 GROUP BY venue), f AS (SELECT unnest([0, 1, 2, 3, 9])::BIGINT AS venue, unnest([true, false, true, true, true]) AS connected), m AS (SELECT event_id % 4 AS venue, count(*) AS malformed FROM events WHERE event_type = 'error' GROUP BY 1) SELECT venue, connected, coalesce(n, 0) AS ticks, coalesce(malformed, 0) AS malformed, ({NOW} - last_ms) / 1000.0 AS age_s, CASE WHEN NOT connected THEN 'disconnected' WHEN last_ms IS NULL THEN 'silent' WHEN ({NOW} - last_ms) / 1000.0 > {STALE} THEN 'stale' ELSE 'ok' END AS health FROM f LEFT JOIN t USING (venue) LEFT JOIN m USING (venue)")
+@query(f"WITH {TICKS}, t AS (SELECT venue, count(*) AS n, max(ts_ms) AS last_ms FROM ticks GROUP BY venue), f AS (SELECT unnest([0, 1, 2, 3, 9])::BIGINT AS venue, unnest([true, false, true, true, true]) AS connected), m AS (SELECT event_id % 4 AS venue, count(*) AS malformed FROM events WHERE event_type = 'error' GROUP BY 1) SELECT venue, connected, coalesce(n, 0) AS ticks, coalesce(malformed, 0) AS malformed, ({NOW} - last_ms) / 1000.0 AS age_s, CASE WHEN NOT connected THEN 'disconnected' WHEN last_ms IS NULL THEN 'silent' WHEN ({NOW} - last_ms) / 1000.0 > {STALE} THEN 'stale' ELSE 'ok' END AS health FROM f LEFT JOIN t USING (venue) LEFT JOIN m USING (venue)")
 def live_feed_health(spark, sf_dir):
     feeds = spark.createDataFrame([(0, True), (1, False), (2, True), (3, True), (9, True)], "venue long, connected boolean")
     faults = V.table(spark, sf_dir, "events").filter("event_type = 'error'").groupBy((F.col("event_id") % 4).alias("venue")).agg(F.count("*").alias("malformed"))
-    return live.feed_health(live.ticks_of(V.table(spark, sf_dir, "events")).filter("venue <> 2"), feeds, faults, F.lit(NOW), STALE)
+    return live.feed_health(live.ticks_of(V.table(spark, sf_dir, "events")), feeds, faults, F.lit(NOW), STALE)
 
 
 # --- frames

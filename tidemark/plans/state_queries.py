@@ -106,16 +106,16 @@ def weighting_volume(spark, sf_dir):
 
 
 _RATES = """
-ed AS (SELECT 'c' || (s_suppkey % 5) AS src, 'c' || CASE WHEN s_suppkey % 5 = 4 THEN 4 ELSE s_suppkey % 5 - 1 END AS dst, 1 + abs(s_acctbal) / 1000000 AS rate, 'v' || (s_suppkey % 16) AS venue, s_suppkey AS observed_at FROM supplier WHERE s_suppkey % 5 > 0),
+ed AS (SELECT 'c' || (s_suppkey % 5) AS src, 'c' || CASE s_suppkey % 5 WHEN 4 THEN 4 WHEN 0 THEN 9 ELSE s_suppkey % 5 - 1 END AS dst, 1 + abs(s_acctbal) / 1000000 AS rate, 'v' || (s_suppkey % 16) AS venue, s_suppkey AS observed_at FROM supplier),
 e1 AS (SELECT src, dst, arg_min(rate, (venue, observed_at, rate)) AS rate FROM ed WHERE src <> dst GROUP BY src, dst),
 ra AS (SELECT 'c0' AS ccy, 1.0::DOUBLE AS usd UNION ALL SELECT 'c1', (SELECT rate FROM e1 WHERE src = 'c1') UNION ALL SELECT 'c2', (SELECT rate FROM e1 WHERE src = 'c2') * (SELECT rate FROM e1 WHERE src = 'c1') UNION ALL SELECT 'c3', (SELECT rate FROM e1 WHERE src = 'c3') * (SELECT rate FROM e1 WHERE src = 'c2') * (SELECT rate FROM e1 WHERE src = 'c1'))"""
 
 
 @query(f"WITH {V.OBS}, {_RATES} SELECT asset, obs.ccy, count(*) AS n, round(sum(volume * usd), 2) AS usd FROM obs LEFT JOIN ra ON ra.ccy = 'c' || obs.ccy GROUP BY ALL")
 def quote_conversion(spark, sf_dir):
-    """Volumes in USD by rates from the cheapest conversion paths; a currency without a path converts to nothing."""
+    """Volumes in USD by rates from the cheapest conversion paths; a currency without a path converts to nothing, and what leads away from USD alone is no path."""
     k = F.col("s_suppkey") % 5
-    e = V.table(spark, sf_dir, "supplier").filter(k > 0).select(F.concat(F.lit("c"), k).alias("src"), F.concat(F.lit("c"), F.when(k == 4, k).otherwise(k - 1)).alias("dst"), (1 + F.abs("s_acctbal") / 1_000_000).alias("rate"), F.concat(F.lit("v"), F.col("s_suppkey") % 16).alias("venue"), F.col("s_suppkey").alias("observed_at"))
+    e = V.table(spark, sf_dir, "supplier").select(F.concat(F.lit("c"), k).alias("src"), F.concat(F.lit("c"), F.when(k == 4, k).when(k == 0, 9).otherwise(k - 1)).alias("dst"), (1 + F.abs("s_acctbal") / 1_000_000).alias("rate"), F.concat(F.lit("v"), F.col("s_suppkey") % 16).alias("venue"), F.col("s_suppkey").alias("observed_at"))
     rates = ingest.quote_rates(e, "c0")
     o = V.obs(spark, sf_dir).withColumn("code", F.concat(F.lit("c"), "ccy")).join(rates, F.col("code") == F.col("currency"), "left")
     return o.groupBy("asset", "ccy").agg(F.count("*").alias("n"), r(F.sum(F.col("volume") * F.col("usd")), 2).alias("usd"))
@@ -249,10 +249,10 @@ for _unit in ("day", "month"):
         lambda spark, sf_dir, unit=_unit: storage.rollup(V.table(spark, sf_dir, "events").select("ts", F.col("event_id").alias("id"), "value"), unit).select("since", "n", *[r(c).alias(c) for c in ("low", "high", "mean", "first", "last")]))
 
 
-@query("SELECT p_partkey AS id, p_name AS name, p_size::BIGINT AS size, NULL::DOUBLE AS balance FROM part WHERE p_partkey % 2 = 0 UNION ALL BY NAME SELECT s_suppkey AS id, s_name AS name, s_acctbal AS balance, NULL::BIGINT AS size FROM supplier")
+@query("SELECT p_partkey AS id, p_name AS name, p_size::BIGINT AS size, NULL::DOUBLE AS balance FROM part UNION ALL BY NAME SELECT s_suppkey AS id, s_name AS name, s_acctbal AS balance, NULL::BIGINT AS size FROM supplier")
 def union_by_name(spark, sf_dir):
     """Tables of different generations as one: columns meet by name, and those that one lacks are null."""
-    a = V.table(spark, sf_dir, "part").filter("p_partkey % 2 = 0").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_size").cast("long").alias("size"))
+    a = V.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_size").cast("long").alias("size"))
     b = V.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("balance"), F.col("s_name").alias("name"))
     return a.unionByName(b, allowMissingColumns=True).select("id", "name", "size", "balance")
 
@@ -264,13 +264,13 @@ def shared_keys(spark, sf_dir):
 
 # --- live universe
 
-_META = "me AS (SELECT 'a' || p_partkey AS asset_id, p_name AS symbol, ['resolved', 'probable', 'ambiguous', 'manual_override'][1 + p_size % 4] AS resolution_state, p_partkey % 17 = 0 AS is_stablecoin FROM part WHERE p_partkey % 3 > 0)"
+_META = "me AS (SELECT 'a' || p_partkey AS asset_id, p_name AS symbol, CASE WHEN p_partkey % 3 = 0 THEN 'unresolved' ELSE ['resolved', 'probable', 'ambiguous', 'manual_override'][1 + p_size % 4] END AS resolution_state, p_partkey % 17 = 0 AS is_stablecoin FROM part)"
 _LIVE = V.OBS + f", {_META}, st AS (SELECT 'a' || asset AS asset_id, min(price) AS price, round(sum(volume), 2) AS volume, count(DISTINCT venue) AS venue_count FROM obs GROUP BY asset), lu AS (SELECT asset_id, symbol, price, row_number() OVER (ORDER BY volume DESC NULLS LAST, asset_id) AS rank FROM st JOIN me USING (asset_id) WHERE resolution_state IN ('resolved', 'manual_override', 'probable') AND NOT is_stablecoin AND venue_count >= 2 QUALIFY rank <= 150)"
 
 
 def _live(spark, sf_dir):
     k = F.col("p_partkey")
-    meta = V.table(spark, sf_dir, "part").filter(k % 3 > 0).select(F.concat(F.lit("a"), k).alias("asset_id"), F.col("p_name").alias("symbol"), F.element_at(F.array(*map(F.lit, ("resolved", "probable", "ambiguous", "manual_override"))), 1 + F.col("p_size") % 4).alias("resolution_state"), (k % 17 == 0).alias("is_stablecoin"))
+    meta = V.table(spark, sf_dir, "part").select(F.concat(F.lit("a"), k).alias("asset_id"), F.col("p_name").alias("symbol"), F.when(k % 3 == 0, "unresolved").otherwise(F.element_at(F.array(*map(F.lit, ("resolved", "probable", "ambiguous", "manual_override"))), 1 + F.col("p_size") % 4)).alias("resolution_state"), (k % 17 == 0).alias("is_stablecoin"))
     states = V.obs(spark, sf_dir).groupBy(F.concat(F.lit("a"), "asset").alias("asset_id")).agg(F.min("price").alias("price"), r(F.sum("volume"), 2).alias("volume"), F.count_distinct("venue").alias("venue_count"))
     return universes.live_universe(states, meta)
 

@@ -194,17 +194,17 @@ def _catalogue(spark, sf_dir, c):
     return _melted(made, (*K.NUMBERS, *K.TIMES), (*K.WORDS, *K.TEXTS, "funding_semantics", "open_interest_unit", "active"))
 
 
-# --- books: each supplier is a symbol, with its line items as levels
+# --- books: each supplier and year is a symbol, with its line items as levels
 
-_LEVELS = "lv AS (SELECT l_suppkey, CASE WHEN l_linestatus = 'O' THEN 'bid' ELSE 'ask' END AS side, l_extendedprice - 2000 AS price, l_quantity - 2 AS size FROM lineitem WHERE l_suppkey <= 40 AND l_partkey <= 400)"
+_LEVELS = "lv AS (SELECT 'S' || l_suppkey || 'Y' || year(l_shipdate) AS symbol, CASE WHEN l_linestatus = 'O' THEN 'bid' ELSE 'ask' END AS side, l_extendedprice - 2000 AS price, l_quantity - 2 AS size FROM lineitem)"
 
 
 def _books(spark, sf_dir, feed):
-    l = V.table(spark, sf_dir, "lineitem").filter("l_suppkey <= 40 and l_partkey <= 400")  # noqa: E741
+    l = V.table(spark, sf_dir, "lineitem").withColumn("symbol", F.concat(F.lit("S"), "l_suppkey", F.lit("Y"), F.year("l_shipdate")))  # noqa: E741
     p, s = (F.col("l_extendedprice") - 2000).cast("string"), (F.col("l_quantity") - 2).cast("string")
     level = F.to_json(F.array(p, s)) if isinstance(feed.price, int) else F.to_json(F.struct(p.alias(feed.price), s.alias(feed.size)))
     side = lambda status: F.concat(F.lit("["), F.array_join(F.collect_list(F.when(F.col("l_linestatus") == status, level)), ","), F.lit("]"))
-    texts = l.groupBy("l_suppkey").agg(side("O").alias("bids"), side("F").alias("asks"))
+    texts = l.groupBy("symbol").agg(side("O").alias("bids"), side("F").alias("asks"))
 
     def at(path):  # steps of a path, with levels of arrays as [0]
         return path.replace("$", "").replace("[", ".[").strip(".").split(".")
@@ -223,7 +223,7 @@ def _books(spark, sf_dir, feed):
             return F.concat(F.lit("["), F.concat_ws(",", *[body(node[k]) for k in sorted(node)]), F.lit("]"))
         return F.concat(F.lit("{"), F.concat_ws(",", *[F.concat(F.lit(f'"{"PAIR" if k == "*" else k}":'), body(v)) for k, v in node.items()]), F.lit("}"))
 
-    payloads = texts.select(F.concat(F.lit("S"), "l_suppkey").alias("symbol"), body(tree).alias("payload"))
+    payloads = texts.select("symbol", body(tree).alias("payload"))
     found = K.book(payloads, feed.venue, 20)
     best = lambda c: F.get(F.col(c), F.lit(0))["price"]
     total = lambda c: F.round(F.aggregate(F.col(c), F.lit(0.0), lambda a, x: a + x["price"] * x["size"]), 2)
@@ -234,8 +234,8 @@ def _books(spark, sf_dir, feed):
 def _book_sql(feed):
     time = "1700000000123" if feed.time else "NULL"
     return f"""SELECT 'book' AS product, symbol, field, round(number, 6) AS number, text FROM (SELECT symbol, unnest(['best_bid', 'best_ask', 'n_bids', 'n_asks', 'bid_value', 'ask_value', 'event_ms', 'cut']) AS field, unnest([bb, ba, nb, na, vb, va, {time}, NULL]::DOUBLE[]) AS number, unnest([NULL, NULL, NULL, NULL, NULL, NULL, NULL, cut]) AS text FROM (
-SELECT 'S' || l_suppkey AS symbol, max(price) FILTER (side = 'bid' AND k <= 20) AS bb, min(price) FILTER (side = 'ask' AND k <= 20) AS ba, count(*) FILTER (side = 'bid' AND k <= 20) AS nb, count(*) FILTER (side = 'ask' AND k <= 20) AS na, round(coalesce(sum(price * size) FILTER (side = 'bid' AND k <= 20), 0), 2) AS vb, round(coalesce(sum(price * size) FILTER (side = 'ask' AND k <= 20), 0), 2) AS va, CASE WHEN max(k) > 20 THEN 'true' ELSE 'false' END AS cut
-FROM (SELECT *, CASE WHEN price > 0 AND size > 0 THEN row_number() OVER (PARTITION BY l_suppkey, side, price > 0 AND size > 0 ORDER BY CASE side WHEN 'bid' THEN -price ELSE price END, CASE side WHEN 'bid' THEN -size ELSE size END) END AS k FROM lv) GROUP BY l_suppkey)) WHERE number IS NOT NULL OR text IS NOT NULL"""
+SELECT symbol, max(price) FILTER (side = 'bid' AND k <= 20) AS bb, min(price) FILTER (side = 'ask' AND k <= 20) AS ba, count(*) FILTER (side = 'bid' AND k <= 20) AS nb, count(*) FILTER (side = 'ask' AND k <= 20) AS na, round(coalesce(sum(price * size) FILTER (side = 'bid' AND k <= 20), 0), 2) AS vb, round(coalesce(sum(price * size) FILTER (side = 'ask' AND k <= 20), 0), 2) AS va, CASE WHEN max(k) > 20 THEN 'true' ELSE 'false' END AS cut
+FROM (SELECT *, CASE WHEN price > 0 AND size > 0 THEN row_number() OVER (PARTITION BY symbol, side, price > 0 AND size > 0 ORDER BY CASE side WHEN 'bid' THEN -price ELSE price END, CASE side WHEN 'bid' THEN -size ELSE size END) END AS k FROM lv) GROUP BY symbol)) WHERE number IS NOT NULL OR text IS NOT NULL"""
 
 
 def _venue(slug: str):

@@ -141,10 +141,12 @@ def kept_quotes(quotes: DataFrame, universe: DataFrame) -> DataFrame:
     return quotes.join(universe.select("asset"), "asset", "left_semi")
 
 
-def snapshot(states: DataFrame, universe: DataFrame, symbols: list[str] | None = None, limit: int | None = None) -> DataFrame:
-    """Live states by rank, of some symbols if wanted. universe: asset, symbol, rank."""
+def snapshot(states: DataFrame, universe: DataFrame, asked: DataFrame | None = None, limit: int | None = None) -> DataFrame:
+    """Live states by rank, of some symbols if wanted. universe: asset, symbol, rank. asked: symbol, in any case."""
     ranked = states.join(universe, "asset")
-    ranked = ranked.filter(F.upper("symbol").isin([s.upper() for s in symbols])) if symbols else ranked
+    if asked is not None:
+        wanted = asked.select(F.upper("symbol").alias("a_symbol"))
+        ranked = ranked.join(wanted, F.upper("symbol") == F.col("a_symbol"), "left_semi")
     ranked = ranked.orderBy("rank")
     return ranked.limit(limit) if limit else ranked
 
