@@ -231,6 +231,16 @@ def test_lines_that_recur_as_they_stand(spark):
     assert got == [(0, 1, 0, "one two three four five"), (3, 3, 0, rows[1][1]), (5, 2, 1, "short line"), (9, 1, 1, ""), (9, 2, 1, "one two three four 5")]
 
 
+def test_texts_of_very_many_lines(spark):
+    """All lines of the second text recur, but for one in a thousand."""
+    n = 200_000
+    made = [f"line number {k} of a very long text" if k % 1000 else f"{'ab'[d]} own{k}" for d in (0, 1) for k in range(n)]
+    text = ["\n".join(made[:n]), "\n".join(made[n:])]
+    got = {r.doc_id: r for r in lines.deduped(spark.createDataFrame([(1, text[0]), (2, text[1])], "doc_id long, text string")).collect()}
+    assert got[1].text == text[0] and got[1].n_dropped == 0
+    assert got[2].text == "\n".join(x for x in made[n:] if not x.startswith("line")) and got[2].n_dropped == n - n // 1000
+
+
 def test_quality(spark, docs):
     got = collections.Counter(tuple(r) for r in quality.judged(docs.select("doc_id", "text")).select(*quality.BASE[:-1]).collect())
     want = collections.Counter()

@@ -32,13 +32,20 @@ FIELD = "<*>"
 _DIGIT_WORD = rf"(?<![^{SPACES}])[^{SPACES}0-9]*+[0-9][^{SPACES}]*+"
 
 
+def _flags(places):
+    """An array that is true at each of the sorted places, as long as the last of them: gap after gap, so that what walks beside it looks nothing up."""
+    before = F.concat(F.array(F.lit(-1)), F.slice(places, F.lit(1), F.size(places) - 1))
+    return F.flatten(F.zip_with(places, before, lambda p, q: F.concat(F.array_repeat(F.lit(False), p - q - 1), F.array(F.lit(True)))))
+
+
 def _enough(words, n):
     return 10 * F.size(F.array_remove(words, FIELD)) >= CONSTANT_TENTHS * n
 
 
 def parsed(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """A row per line with a word: doc_id, row_key, pos, words (masked), n, leaf, key (its template as far as the line alone tells), exact (of the line as it stands, if it has LEAST_EXACT words)."""
-    lines = docs.filter("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("row_key"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    texts = docs.filter("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("row_key"), "text")
+    lines = texts.select("doc_id", "row_key", F.posexplode(F.split("text", "\n")).alias("pos", "line"))  # the key is made below, once for each text and not for each line
     masked = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", _DIGIT_WORD, FIELD)).otherwise(F.col("line"))
     split = lambda c: F.array_remove(F.split(c, f"[{SPACES}]+"), "")
     # blank lines are told by the line itself: a filter on the words would split each line twice
@@ -56,8 +63,8 @@ def templates(docs: DataFrame, facts: DataFrame, depth: int = DEPTH, most_values
     lines = parsed(docs, depth).join(busy, F.col("leaf") == F.col("b_leaf"), "left_semi").select("leaf", "key", "words", "n")
     lines = store(lines.groupBy("leaf", "key").agg(F.min("words").alias("words")), "leaf-lines")
     values = lines.select("leaf", F.posexplode("words").alias("p", "word")).filter(F.col("p") >= depth).groupBy("leaf", "p", F.xxhash64("word").alias("w")).count()
-    fields = values.groupBy("leaf", "p").count().filter(F.col("count") > most_values).groupBy("leaf").agg(F.collect_list("p").alias("fields"))
-    general = lines.join(fields, "leaf").withColumn("general", F.transform("words", lambda w, i: F.when(F.array_contains("fields", i), F.lit(FIELD)).otherwise(w)))
+    fields = values.groupBy("leaf", "p").count().filter(F.col("count") > most_values).groupBy("leaf").agg(F.sort_array(F.collect_list("p")).alias("fields"))
+    general = lines.join(fields, "leaf").withColumn("general", F.zip_with("words", _flags(F.col("fields")), lambda w, f: F.when(f, F.lit(FIELD)).otherwise(w)))
     return general.filter(_enough(F.col("general"), F.size("words"))).select("key", F.xxhash64(F.lit(2), "leaf", "general").alias("template"))
 
 
@@ -73,7 +80,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     by_template = keyed.join(often, (F.col("t") == F.col("o_t")) & (F.col("doc_id") > F.col("first")))
     by_line = facts.join(again, (F.col("exact") == F.col("o_exact")) & (F.col("doc_id") > F.col("first")))
     dropped = by_template.select("doc_id", "row_key", "pos").union(by_line.select("doc_id", "row_key", "pos"))
-    return dropped.groupBy("doc_id", "row_key").agg(F.collect_set("pos").alias("places"))
+    return dropped.groupBy("doc_id", "row_key").agg(F.sort_array(F.collect_set("pos")).alias("places"))
 
 
 def deduped(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -82,7 +89,7 @@ def deduped(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     doc_id, own = F.col("held.doc_id"), F.col("held.text")
     joined = held(docs).join(gone, (doc_id == F.col("doc_id")) & (F.xxhash64(own) == F.col("row_key")), "left")
     lines = F.split(own, "\n")
-    left = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("places", i)), "\n")
+    left = F.array_join(F.zip_with(lines, _flags(F.col("places")), lambda line, f: F.when(F.coalesce(~f, F.lit(True)), line)), "\n")  # nulls are not joined
     counted = F.size(F.filter(lines, lambda line: line.rlike(f"[^{SPACES}]")))
     text = F.when(F.col("places").isNull(), own).otherwise(left)
     made = joined.select("held", F.coalesce(counted, F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("places"), F.lit(0)).cast("long").alias("n_dropped"), text.alias("text"))
