@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import views as V
 from tidemark.plans.catalogue import query, r
-from tidemark.streaming import book, frames, live
+from tidemark.streaming import book, capture, frames, live
 
 NOW = V.AS_OF_MS - 86_400_000
 STALE = 5 * 86_400.0
@@ -307,12 +307,19 @@ def _told(name: str, value: str) -> str:
 _VALUES = {"last": "value", "bid": "value - 60", "ask": "value + 1", "mark": "value * 2", "index": "value * 3", "quote_volume_24h": "value * 10", "base_volume_24h": "value - 40", "open_interest_usd": "value * 100"}
 
 
-@query(f"""WITH f AS (SELECT *, {_FEED_SQL} AS feed FROM events WHERE event_type <> 'error')
-SELECT event_id AS received_ms, feed, 'S' || user_id AS symbol, epoch_us(ts) // 1000 AS event_ms, {', '.join(f'round({_told(n, f"CASE WHEN {v} > 0 THEN {v} END")}, 6) AS {n}' for n, v in _VALUES.items())}, round({_told('funding_rate', '(value - 50) / 1000')}, 9) AS funding_rate, CASE WHEN feed = 'deribit' THEN 8.0::DOUBLE WHEN feed = 'bybit_linear' THEN 4.0::DOUBLE END AS funding_interval_hours FROM f""")
+def _frame_values():
+    v = F.col("value")
+    return {"symbol": F.concat(F.lit("S"), "user_id"), "event_ms": F.unix_millis(F.col("ts").cast("timestamp")), "last": v, "bid": v - 60, "ask": v + 1, "mark": v * 2, "index": v * 3, "quote_volume_24h": v * 10, "base_volume_24h": v - 40, "open_interest_usd": v * 100, "funding_rate": (v - 50) / 1000, "funding_interval_hours": F.lit(4.0)}
+
+
+_FRAMES_SQL = f"""WITH f AS (SELECT *, {_FEED_SQL} AS feed FROM events WHERE event_type <> 'error')
+SELECT event_id AS received_ms, feed, 'S' || user_id AS symbol, epoch_us(ts) // 1000 AS event_ms, {', '.join(f'round({_told(n, f"CASE WHEN {v} > 0 THEN {v} END")}, 6) AS {n}' for n, v in _VALUES.items())}, round({_told('funding_rate', '(value - 50) / 1000')}, 9) AS funding_rate, CASE WHEN feed = 'deribit' THEN 8.0::DOUBLE WHEN feed = 'bybit_linear' THEN 4.0::DOUBLE END AS funding_interval_hours FROM f"""
+
+
+@query(_FRAMES_SQL)
 def feed_frames(spark, sf_dir):
     """Frames of all nine feeds, with some of another kind among them, as ticks."""
-    e, v = V.table(spark, sf_dir, "events"), F.col("value")
-    values = {"symbol": F.concat(F.lit("S"), "user_id"), "event_ms": F.unix_millis(F.col("ts").cast("timestamp")), "last": v, "bid": v - 60, "ask": v + 1, "mark": v * 2, "index": v * 3, "quote_volume_24h": v * 10, "base_volume_24h": v - 40, "open_interest_usd": v * 100, "funding_rate": (v - 50) / 1000, "funding_interval_hours": F.lit(4.0)}
+    e, values = V.table(spark, sf_dir, "events"), _frame_values()
     out = None
     for k, feed in enumerate(frames.FEEDS):
         other = F.when(F.col("event_id") % 2 == 0, F.lit('{"method": "something else", "channel": "x", "topic": "y"}')).otherwise(F.lit("pong"))
@@ -332,3 +339,35 @@ def feed_malformed_frames(spark, sf_dir):
         n = own.select(F.lit(feed.name).alias("feed")).distinct().join(frames.malformed(own, feed).agg(F.count("*").alias("malformed")))
         out = n if out is None else out.unionByName(n)
     return out
+
+
+# --- captured frames
+
+
+def _capture(spark, sf_dir) -> str:
+    """Capture files as collectors leave them: frames of all nine feeds, and for events of errors what venues send besides: other channels, keep-alives, odd shapes, cut frames."""
+    e, k, folder = V.table(spark, sf_dir, "events"), F.col("event_id"), f"{_place(spark)}/capture"
+    odd = F.when(k % 4 == 0, F.lit('{"method": "something else", "channel": "x", "topic": "y"}')).when(k % 4 == 1, "pong").when(k % 4 == 2, "[1, 2]").otherwise("{broken")
+    feed, frame = F.lit(None), F.lit(None)
+    for n, f in enumerate(frames.FEEDS):
+        feed, frame = F.when(k % 9 == n, f.name).otherwise(feed), F.when(k % 9 == n, _frame(f, _frame_values())).otherwise(frame)
+    line = F.struct(feed.alias("feed"), k.alias("received_ms"), F.when(F.col("event_type") == "error", odd).otherwise(frame).alias("frame"))
+    e.select(F.to_json(line).alias("value")).write.text(folder)
+    return folder
+
+
+@query(_FRAMES_SQL)
+def stream_captured_frames(spark, sf_dir):
+    """Ticks from a stream over capture files."""
+    place, found = _place(spark), capture.ticks(capture.captured(spark, _capture(spark, sf_dir), stream=True))
+    run = found.writeStream.format("parquet").option("path", f"{place}/ticks").option("checkpointLocation", f"{place}/state").trigger(availableNow=True).start()
+    run.awaitTermination()
+    t = spark.read.schema(found.schema).parquet(f"{place}/ticks")
+    return t.select("received_ms", "feed", "symbol", "event_ms", *[r(n).alias(n) for n in _VALUES], r("funding_rate", 9).alias("funding_rate"), "funding_interval_hours")
+
+
+@query(f"""WITH f AS (SELECT {_FEED_SQL} AS feed, event_id % 4 AS k FROM events WHERE event_type = 'error'), j AS (SELECT feed, CASE WHEN k = 3 OR (k = 1 AND feed NOT IN ('okx', 'bitget')) THEN 'not_json' WHEN k = 2 THEN CASE WHEN feed = 'binance' THEN 'row_not_an_object' ELSE 'not_an_object' END END AS fault FROM f)
+SELECT feed, fault, count(*) AS n FROM j WHERE fault IS NOT NULL GROUP BY 1, 2""")
+def captured_faults(spark, sf_dir):
+    """Captured frames that no parser takes, by feed and reason."""
+    return capture.faults(capture.captured(spark, _capture(spark, sf_dir))).groupBy("feed", "fault").agg(F.count("*").alias("n"))

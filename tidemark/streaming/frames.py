@@ -31,20 +31,23 @@ class FrameFeed:
     per_request: int = 100
     subscribe: dict | None = None  # a request, with SYMBOLS where the list of topics goes
     topic: str | dict = "{}"
+    listed: bool = False  # rows are an array
+    holder: str | None = None  # path of what holds the rows, where frames without it are no fault
+    iterated: bool = False  # a feed whose rows are gone through without a look at what they are
 
 
 _BYBIT = {"last": "lastPrice", "bid": "bid1Price", "ask": "ask1Price", "quote_volume_24h": "turnover24h", "base_volume_24h": "volume24h"}
 # Public channels and field names of each stream.
 FEEDS = [
-    FrameFeed("binance", "binance", "spot", "$", "s", {"last": "c", "quote_volume_24h": "q", "base_volume_24h": "v"}, "E", True),
+    FrameFeed("binance", "binance", "spot", "$", "s", {"last": "c", "quote_volume_24h": "q", "base_volume_24h": "v"}, "E", True, listed=True),
     FrameFeed("bybit_spot", "bybit", "spot", "$.data", "symbol", _BYBIT, "$.ts", tests={"$.topic": "tickers.*"}, per_request=10, subscribe={"op": "subscribe", "args": "SYMBOLS"}, topic="tickers.{}"),
     FrameFeed("bybit_linear", "bybit", "linear-perp", "$.data", "symbol", _BYBIT | {"mark": "markPrice", "index": "indexPrice", "funding_rate": "fundingRate", "funding_interval_hours": "fundingIntervalHour", "open_interest_usd": "openInterestValue"}, "$.ts", tests={"$.topic": "tickers.*"}, per_request=10, subscribe={"op": "subscribe", "args": "SYMBOLS"}, topic="tickers.{}"),
-    FrameFeed("okx", "okx", "spot", "$.data", "instId", {"last": "last", "bid": "bidPx", "ask": "askPx", "quote_volume_24h": "volCcy24h", "base_volume_24h": "vol24h"}, "ts", True, tests={"$.arg.channel": "tickers"}, silent=("pong",), per_request=50, subscribe={"op": "subscribe", "args": "SYMBOLS"}, topic={"channel": "tickers", "instId": "{}"}),
+    FrameFeed("okx", "okx", "spot", "$.data", "instId", {"last": "last", "bid": "bidPx", "ask": "askPx", "quote_volume_24h": "volCcy24h", "base_volume_24h": "vol24h"}, "ts", True, tests={"$.arg.channel": "tickers"}, silent=("pong",), per_request=50, subscribe={"op": "subscribe", "args": "SYMBOLS"}, topic={"channel": "tickers", "instId": "{}"}, listed=True),
     FrameFeed("coinbase", "coinbase", "spot", "$", "product_id", {"last": "price", "bid": "best_bid", "ask": "best_ask", "base_volume_24h": "volume_24h"}, "time", True, True, {"$.type": "ticker"}, subscribe={"type": "subscribe", "product_ids": "SYMBOLS", "channels": ["ticker"]}),
     FrameFeed("gateio", "gateio", "spot", "$.result", "currency_pair", {"last": "last", "bid": "highest_bid", "ask": "lowest_ask", "quote_volume_24h": "quote_volume", "base_volume_24h": "base_volume"}, "$.time_ms", tests={"$.channel": "spot.tickers", "$.event": "update"}, subscribe={"channel": "spot.tickers", "event": "subscribe", "payload": "SYMBOLS"}),
-    FrameFeed("bitget", "bitget", "spot", "$.data", "instId", {"last": "lastPr", "bid": "bidPr", "ask": "askPr", "quote_volume_24h": "quoteVolume", "base_volume_24h": "baseVolume"}, "ts", True, tests={"$.arg.channel": "ticker"}, silent=("pong",), per_request=50, subscribe={"op": "subscribe", "args": "SYMBOLS"}, topic={"instType": "SPOT", "channel": "ticker", "instId": "{}"}),
-    FrameFeed("cryptocom", "cryptocom", "spot", "$.result.data", "i", {"last": "a", "bid": "b", "ask": "k", "base_volume_24h": "v"}, "t", True, tests={"$.result.channel": "ticker"}, subscribe={"method": "subscribe", "params": {"channels": "SYMBOLS"}}, topic="ticker.{}"),
-    FrameFeed("deribit", "deribit", "inverse-perp", "$.params.data", "instrument_name", {"last": "last_price", "bid": "best_bid_price", "ask": "best_ask_price", "mark": "mark_price", "index": "index_price", "funding_rate": "funding_8h", "open_interest_usd": "open_interest"}, "timestamp", True, tests={"$.method": "subscription"}, constants={"funding_interval_hours": 8.0}, per_request=20, subscribe={"jsonrpc": "2.0", "method": "public/subscribe", "params": {"channels": "SYMBOLS"}}, topic="ticker.{}.100ms"),
+    FrameFeed("bitget", "bitget", "spot", "$.data", "instId", {"last": "lastPr", "bid": "bidPr", "ask": "askPr", "quote_volume_24h": "quoteVolume", "base_volume_24h": "baseVolume"}, "ts", True, tests={"$.arg.channel": "ticker"}, silent=("pong",), per_request=50, subscribe={"op": "subscribe", "args": "SYMBOLS"}, topic={"instType": "SPOT", "channel": "ticker", "instId": "{}"}, listed=True),
+    FrameFeed("cryptocom", "cryptocom", "spot", "$.result.data", "i", {"last": "a", "bid": "b", "ask": "k", "base_volume_24h": "v"}, "t", True, tests={"$.result.channel": "ticker"}, subscribe={"method": "subscribe", "params": {"channels": "SYMBOLS"}}, topic="ticker.{}", listed=True, iterated=True),
+    FrameFeed("deribit", "deribit", "inverse-perp", "$.params.data", "instrument_name", {"last": "last_price", "bid": "best_bid_price", "ask": "best_ask_price", "mark": "mark_price", "index": "index_price", "funding_rate": "funding_8h", "open_interest_usd": "open_interest"}, "timestamp", True, tests={"$.method": "subscription"}, constants={"funding_interval_hours": 8.0}, per_request=20, subscribe={"jsonrpc": "2.0", "method": "public/subscribe", "params": {"channels": "SYMBOLS"}}, topic="ticker.{}.100ms", holder="$.params"),
 ]
 BY_NAME = {f.name: f for f in FEEDS}
 
@@ -61,6 +64,15 @@ def subscribe_frames(feed: FrameFeed, symbols: list[str]) -> list[str]:
     return [json.dumps(filled(feed.subscribe, [topic(s) for s in symbols[k : k + feed.per_request]])) for k in range(0, len(symbols), feed.per_request)]
 
 
+def value_of(feed: FrameFeed, name: str, row):
+    """A value of a feed's row (a map of texts), null where the feed does not tell it or it is no measurement."""
+    if name in feed.constants:
+        return F.lit(feed.constants[name])
+    if name in feed.fields:
+        return (parse_positive if name in PRICES else parse_number)(F.element_at(row, feed.fields[name]))
+    return F.lit(None).cast("double")
+
+
 def malformed(frames: DataFrame, feed: FrameFeed) -> DataFrame:
     """Frames that are no JSON at all; a feed's keep-alive texts are none of them."""
     known = F.col("frame").isin(*feed.silent) if feed.silent else F.lit(False)
@@ -79,12 +91,5 @@ def ticks(frames: DataFrame, feed: FrameFeed) -> DataFrame:
     rows = frames.filter(F.coalesce(ok, F.lit(False))).select("received_ms", *([event] if event is not None else []), F.explode(listed).alias("row"))
     at = F.col("_event") if event is not None else F.element_at("row", feed.event)
     out = [F.lit(feed.venue).alias("venue"), F.lit(feed.kind).alias("kind"), F.element_at("row", feed.symbol).alias("symbol"), "received_ms", (iso_ms(at) if feed.event_iso else parse_whole(at)).alias("event_ms")]
-    for name in TICK:
-        if name in feed.constants:
-            value = F.lit(feed.constants[name])
-        elif name in feed.fields:
-            value = (parse_positive if name in PRICES else parse_number)(F.element_at("row", feed.fields[name]))
-        else:
-            value = F.lit(None).cast("double")
-        out.append(value.alias(name))
+    out += [value_of(feed, name, F.col("row")).alias(name) for name in TICK]
     return rows.select(*out).filter("symbol is not null")
