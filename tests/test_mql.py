@@ -69,7 +69,7 @@ def test_series_reach_the_market(spark):
     sf = "/root/testdata/sf0.001"
     points = spark.range(672).select(F.lit(77).cast("long").alias("asset"), (V.AS_OF_MS - F.col("id") * 900_000).alias("ts_ms"), "id", (100 + F.col("id") % 7).cast("double").alias("price"))
     names = spark.createDataFrame([(77, "a name")], "asset long, asset_name string")
-    m = market.states(V.obs(spark, sf), V.derivatives(spark, sf), V.book(spark, sf), points, names)
+    m = market.States(obs=lambda: V.obs(spark, sf), derivs=lambda: V.derivatives(spark, sf), levels=lambda: V.book(spark, sf), points=lambda: points, names=lambda: names).table()
     made = ["price_change_1h", "price_change_24h", "price_change_7d", "realised_volatility_1h", "realised_volatility_4h", "realised_volatility_24h", "realised_volatility_7d", "atr_14_bps", "rsi_14", "ema_12", "ema_26", "largest_venue_liquidity_share", "liquidity_concentration_hhi"]
     got = Engine(m).run(f"SELECT asset, genome_status, {', '.join(made)} FROM market WHERE realised_volatility_24h > 0").collect()
     assert [r.asset for r in got] == ["P77"] and got[0].genome_status == "warming_up" and None not in got[0]

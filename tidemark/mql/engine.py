@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import difflib
 from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,8 +50,10 @@ def _same_kind(*nodes: tuple) -> None:
         raise MqlSemanticError(f"cannot compare {' with '.join(sorted(kinds))}", nodes[0][2])
 
 
-def _operand(node: tuple) -> Column:
-    return F.col(f"`{metric(node, True).column}`") if node[0] == "name" else F.lit(node[1])
+def _operands(*nodes: tuple) -> list[Column]:
+    """Columns and literals; whole numbers beside whole metrics stay whole, so that no cast keeps the test from the files."""
+    whole = all(metric(n, True).kind == "i" if n[0] == "name" else n[1] is None or isinstance(n[1], float) and n[1].is_integer() and abs(n[1]) < 2**53 for n in nodes)
+    return [F.col(f"`{metric(n, True).column}`") if n[0] == "name" else F.lit(int(n[1]) if whole and n[1] is not None else n[1]) for n in nodes]
 
 
 def condition(node: tuple) -> Column:
@@ -63,20 +66,35 @@ def condition(node: tuple) -> Column:
         case ("not", inner):
             return ~condition(inner)
         case ("null", operand, negated):
-            found = _operand(operand)
+            (found,) = _operands(operand)
             return found.isNotNull() if negated else found.isNull()
         case ("in", operand, values, negated):
             _same_kind(operand, *values)
-            found = _operand(operand).isin([v for _, v, _ in values])
+            found, *listed = _operands(operand, *values)
+            found = found.isin(*listed)
         case ("between", operand, low, high, negated):
             _same_kind(operand, low, high)
-            found = _operand(operand).between(_operand(low), _operand(high))
+            found, low, high = _operands(operand, low, high)
+            found = found.between(low, high)
         case ("compare", sign, left, right):
             _same_kind(left, right)
-            return _COMPARE[sign](_operand(left), _operand(right))
+            return _COMPARE[sign](*_operands(left, right))
     return ~found if negated else found
 
 
+def _names(node) -> Iterator[tuple]:
+    """All names in a condition."""
+    if isinstance(node, tuple):
+        if node and node[0] == "name":
+            yield node
+        else:
+            for part in node:
+                yield from _names(part)
+    elif isinstance(node, list):
+        for part in node:
+            yield from _names(part)
+
+
 @dataclass(frozen=True)
 class Plan:
     """A checked query: output names and metrics, the condition, the order."""
@@ -85,6 +103,7 @@ class Plan:
     where: Column | None
     order: tuple[tuple[Metric, bool], ...]
     limit: int | None
+    columns: frozenset[str]  # all that is read, by the names of columns
 
 
 def check(query: Query) -> Plan:
@@ -97,13 +116,15 @@ def check(query: Query) -> Plan:
     twice = sorted(n for n, count in Counter(n for n, _ in select).items() if count > 1)
     if twice:
         raise MqlSemanticError(f"output names used more than once: {', '.join(twice)}")
-    return Plan(select, None if query.where is None else condition(query.where), tuple((metric(name, True), down) for name, down in query.order), query.limit)
+    order = tuple((metric(name, True), down) for name, down in query.order)
+    read = {m.column for _, m in select} | {m.column for m, _ in order} | {metric(n, True).column for n in _names(query.where)}
+    return Plan(select, None if query.where is None else condition(query.where), order, query.limit, frozenset(read))
 
 
 class Engine:
-    """Runs queries over one market table."""
+    """Runs queries over one market: a table, or a function that makes one with the columns that a query names."""
 
-    def __init__(self, market: DataFrame):
+    def __init__(self, market: DataFrame | Callable[[list[str]], DataFrame]):
         self.market = market
 
     @classmethod
@@ -114,7 +135,8 @@ class Engine:
 
     def run(self, text: str) -> DataFrame:
         plan = check(parse(text))
-        out = self.market if plan.where is None else self.market.filter(plan.where)
+        market = self.market if isinstance(self.market, DataFrame) else self.market(sorted(plan.columns))
+        out = market if plan.where is None else market.filter(plan.where)
         if plan.order:
             out = out.orderBy(*[getattr(F.col(f"`{m.column}`"), "desc_nulls_last" if down else "asc_nulls_last")() for m, down in plan.order])
         if plan.limit is not None:

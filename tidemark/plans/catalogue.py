@@ -11,7 +11,7 @@ from tidemark.mql.metrics import METRICS
 from tidemark.operators import derivatives as D
 from tidemark.operators import ingest, liquidity, pricing, robust, series, storage, structure, universes
 from tidemark.plans import views as V
-from tidemark.plans.market import MARKET, market
+from tidemark.plans.market import MARKET, engine, market
 from tidemark.sources.datasets import flattened, searched
 
 QUERIES: dict = {}
@@ -46,14 +46,14 @@ _MQL = {
     "mql_order_nulls_last": ("SELECT asset FROM market WHERE venue_count <= 3 ORDER BY venue_count DESC, asset LIMIT 50", "SELECT asset FROM market WHERE venue_count <= 3 ORDER BY venue_count DESC NULLS LAST, asset LIMIT 50"),
 }
 for _name, (_text, _sql) in _MQL.items():
-    query(f"WITH {MARKET} {_sql}", _name)(lambda spark, sf_dir, text=_text: Engine(market(spark, sf_dir)).run(text))
+    query(f"WITH {MARKET} {_sql}", _name)(lambda spark, sf_dir, text=_text: engine(spark, sf_dir).run(text))
 
 _ROUNDED = "round(price_dispersion_bps, 6) AS price_dispersion_bps"
 
 
 @query(f"WITH {MARKET} SELECT asset, round(reference_price, 6) AS reference_price, venue_count, {_ROUNDED} FROM market WHERE venue_count >= 8 ORDER BY market.price_dispersion_bps DESC NULLS LAST, asset LIMIT 10")
 def mql_topk(spark, sf_dir):
-    out = Engine(market(spark, sf_dir)).run("SELECT asset, reference_price, venue_count, price_dispersion_bps FROM market WHERE venue_count >= 8 ORDER BY price_dispersion_bps DESC, asset LIMIT 10")
+    out = engine(spark, sf_dir).run("SELECT asset, reference_price, venue_count, price_dispersion_bps FROM market WHERE venue_count >= 8 ORDER BY price_dispersion_bps DESC, asset LIMIT 10")
     return out.withColumns({"reference_price": r("reference_price"), "price_dispersion_bps": r("price_dispersion_bps")})
 
 
@@ -64,7 +64,7 @@ _STAR = {"asset": "asset", "asset_id": "asset_id", "symbol": "asset", "reference
 @query(f"WITH {MARKET} SELECT {', '.join(f'{sql} AS {name}' for name, sql in _STAR.items())}, 'reference_price' IS NOT NULL AS all_there FROM market")
 def mql_star(spark, sf_dir):
     """All metrics of a star, of which SQL has these; that every metric is there is a column of its own."""
-    out = Engine(market(spark, sf_dir)).run("SELECT * FROM market;")
+    out = engine(spark, sf_dir).run("SELECT * FROM market;")
     shown = [F.expr(sql if not sql.startswith("round(") else sql).alias(name) if "(" in sql else F.col(name) for name, sql in _STAR.items()]
     return out.select(*shown, F.lit(out.columns == [n for n in METRICS if not n.endswith(("_ref", "note"))]).alias("all_there"))
 
@@ -78,13 +78,13 @@ def search_substring(spark, sf_dir):
 
 @query(f"WITH {MARKET} SELECT asset, round(reported_volume_24h_usd, 2) AS volume FROM market WHERE venue_count >= 3 ORDER BY reported_volume_24h_usd DESC NULLS LAST, asset_id LIMIT 20")
 def top_by_volume_min_venues(spark, sf_dir):
-    m = market(spark, sf_dir).filter("venue_count >= 3").orderBy(F.desc_nulls_last("reported_volume_24h_usd"), "asset_id").limit(20)
+    m = market(spark, sf_dir, ["asset_id", "symbol", "venue_count", "reported_volume_24h_usd"]).filter("venue_count >= 3").orderBy(F.desc_nulls_last("reported_volume_24h_usd"), "asset_id").limit(20)
     return m.select(F.col("symbol").alias("asset"), r("reported_volume_24h_usd", 2).alias("volume"))
 
 
 @query(f"WITH {MARKET} SELECT count(*) AS assets, count(*) FILTER (venue_count >= 2) AS multi_venue, count(*) FILTER (venue_count = 1) AS single_venue, round(sum(reported_volume_24h_usd), 0) AS volume, round(median(price_dispersion_bps), 6) AS median_dispersion FROM market")
 def market_overview(spark, sf_dir):
-    return market(spark, sf_dir).agg(F.count("*").alias("assets"), F.count_if(F.col("venue_count") >= 2).alias("multi_venue"), F.count_if(F.col("venue_count") == 1).alias("single_venue"), F.round(F.sum("reported_volume_24h_usd"), 0).alias("volume"), r(F.median("dispersion__price_dispersion_bps")).alias("median_dispersion"))
+    return market(spark, sf_dir, ["venue_count", "reported_volume_24h_usd", "dispersion__price_dispersion_bps"]).agg(F.count("*").alias("assets"), F.count_if(F.col("venue_count") >= 2).alias("multi_venue"), F.count_if(F.col("venue_count") == 1).alias("single_venue"), F.round(F.sum("reported_volume_24h_usd"), 0).alias("volume"), r(F.median("dispersion__price_dispersion_bps")).alias("median_dispersion"))
 
 
 def scanner_text(min_venues: int | None = None, min_volume: float | None = None, dispersion: tuple | None = None, funding: str | None = None, sort: str | None = None, down: bool = True, limit: int | None = None) -> str:
@@ -97,13 +97,13 @@ def scanner_text(min_venues: int | None = None, min_volume: float | None = None,
 
 @query(f"WITH {MARKET} SELECT asset, venue_count FROM market WHERE venue_count >= 4 AND reported_volume_24h_usd >= 1000000 AND price_dispersion_bps BETWEEN 0 AND 400")
 def scanner_filter(spark, sf_dir):
-    return Engine(market(spark, sf_dir)).run(scanner_text(4, 1_000_000, (0, 400)))
+    return engine(spark, sf_dir).run(scanner_text(4, 1_000_000, (0, 400)))
 
 
 @query(f"WITH {MARKET + V.DERIVATIVES.removeprefix(V.OBS)}, fm AS (SELECT 'P' || asset AS asset, median(rate_8h) AS f FROM f8 WHERE rate_8h IS NOT NULL GROUP BY 1) SELECT asset, venue_count FROM market LEFT JOIN fm USING (asset) WHERE venue_count >= 2 AND f > 0 ORDER BY venue_count DESC NULLS LAST, asset LIMIT 40")
 def scanner_funding_sorted(spark, sf_dir):
     """The scanner's table by venues, of assets whose funding is positive."""
-    return Engine(market(spark, sf_dir)).run(scanner_text(2, funding="positive", sort="venue_count", limit=40))
+    return engine(spark, sf_dir).run(scanner_text(2, funding="positive", sort="venue_count", limit=40))
 
 
 # --- robust statistics
@@ -241,7 +241,7 @@ def oi_to_volume(spark, sf_dir):
 
 @query(f"WITH {MARKET} SELECT asset_id, round(fragmentation_index, 6) AS fragmentation_index FROM market")
 def fragmentation_index(spark, sf_dir):
-    return market(spark, sf_dir).select("asset_id", r("fragmentation__fragmentation_index").alias("fragmentation_index"))
+    return market(spark, sf_dir, ["asset_id", "fragmentation__fragmentation_index"]).select("asset_id", r("fragmentation__fragmentation_index").alias("fragmentation_index"))
 
 
 @query(f"WITH {V.OBS} SELECT asset, count(DISTINCT CASE WHEN kind = 'spot' THEN venue END) AS spot_venues, count(DISTINCT CASE WHEN kind = 'perpetual' THEN venue END) AS perp_venues, count(DISTINCT CASE WHEN kind = 'future' THEN venue END) AS future_venues, count(*) FILTER (kind = 'spot') AS spot_count, count(*) FILTER (kind = 'perpetual') AS perp_count, count(*) FILTER (kind = 'future') AS future_count, count(DISTINCT ccy) AS currencies FROM obs GROUP BY asset")
@@ -251,7 +251,7 @@ def structure_counts(spark, sf_dir):
 
 @query(f"WITH {V.PRICES}, e AS (SELECT asset, count(DISTINCT venue) AS n, min(age_s) AS freshest, max(age_s) AS oldest FROM obs GROUP BY asset) SELECT 'asset:named:part:P' || asset AS asset_id, round(least(1, venue_count::DOUBLE / n), 6) AS coverage_ratio, freshest, oldest FROM e LEFT JOIN pr USING (asset)")
 def coverage_and_freshness(spark, sf_dir):
-    return market(spark, sf_dir).select("asset_id", r("quality__coverage__coverage_ratio").alias("coverage_ratio"), F.col("quality__freshness__freshest_observation_age_seconds").alias("freshest"), F.col("quality__freshness__oldest_observation_age_seconds").alias("oldest"))
+    return market(spark, sf_dir, ["asset_id", "quality__coverage__coverage_ratio", "quality__freshness__freshest_observation_age_seconds", "quality__freshness__oldest_observation_age_seconds"]).select("asset_id", r("quality__coverage__coverage_ratio").alias("coverage_ratio"), F.col("quality__freshness__freshest_observation_age_seconds").alias("freshest"), F.col("quality__freshness__oldest_observation_age_seconds").alias("oldest"))
 
 
 # --- order books

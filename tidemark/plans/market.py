@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.mql.engine import market_schema
+from tidemark.mql.engine import Engine, market_schema
 from tidemark.operators import derivatives as D
 from tidemark.operators import liquidity, series, structure
 from tidemark.operators.pricing import reference_prices
@@ -16,50 +16,97 @@ from tidemark.plans import views as V
 CHANGES, VOLATILITIES = ("1h", "24h", "7d"), ("1h", "4h", "24h", "7d")
 
 
-def series_families(points: DataFrame) -> DataFrame:
-    """Returns, volatilities, ranges and indicators by asset, and how far its history reaches."""
-    m = series.measures(points, {w: series.WINDOW_HOURS[w] for w in CHANGES}, {w: (series.WINDOW_HOURS[w], series.LEAST[w]) for w in VOLATILITIES})
-    prices = F.col("prices")
-    return m.withColumns({"rsi_14": series.rsi(prices), "ema_12": series.ema(prices, 12), "ema_26": series.ema(prices, 26), "genome_status": structure.lifecycle(F.size(prices))}).drop("prices")
+class States:
+    """The wide row, planned by demand: a metric is an expression over columns of families, and only families of the metrics that are asked for are built and joined.
 
-
-def states(obs: DataFrame, derivs: DataFrame, levels: DataFrame, points: DataFrame, names: DataFrame, history: DataFrame | None = None, as_of_ms: int = V.AS_OF_MS) -> DataFrame:
-    """The wide row; families that an asset lacks are null. All parts are partitioned by asset, so the joins need no exchange of their own.
-
-    names: asset, asset_name, and, if known, resolution_state and ambiguous (how
-    many listings could as well be of another asset). history: as in
+    Families that an asset lacks are null. All are partitioned by asset, so their
+    joins need no exchange of their own. Inputs are functions, called once and only
+    if a family needs them: obs, derivs, levels, points, names (asset, asset_name,
+    and, if known, resolution_state and ambiguous: how many listings could as well
+    be of another asset) and, if there is one, history, as in
     structure.history_measures. An asset whose books were read is of tier B.
     """
-    prices = reference_prices(obs)
-    parts = [
-        D.volume_by_segment(obs), concentration(obs, "asset", "venue", "volume"), structure.venue_counts(obs), D.funding_by_asset(derivs).withColumnsRenamed({"venue_count": "funding_venues", "dispersion_bps": "funding_dispersion"}),
-        D.open_interest_by_asset(derivs).withColumnsRenamed({"total_usd": "oi_usd", "venue_count": "oi_venues", "excluded_count": "oi_excluded"}), D.basis_by_asset(derivs), liquidity.spreads(levels).withColumnRenamed("venue_count", "liquidity_venues"),
-        obs.groupBy("asset").agg(F.min("age_s").alias("freshest"), F.max("age_s").alias("oldest"), F.count_distinct("venue").alias("expected_venues")),
-        concentration(levels.withColumn("usd", liquidity.notional()), "asset", "venue", "usd").select("asset", F.col("hhi").alias("liquidity_hhi"), F.col("largest_share").alias("liquidity_share")), names, series_families(points),
-    ]
-    if history is not None:
-        now = D.funding_by_asset(derivs).select("asset", F.col("rate_8h_median").alias("funding_8h"), *[F.lit(None).cast("double").alias(c) for c in ("basis_bps", "open_interest_usd", "volume_usd")])
-        parts.append(structure.history_measures(now, history, as_of_ms).select("asset", "funding_percentile_30d"))
-    wide = prices
-    for part in parts:
-        wide = wide.join(part, "asset", "left")
-    index = structure.fragmentation_index(F.col("venue_count"), F.col("effective_count"), F.col("largest_share"), F.col("mad_bps"))
-    named = {
-        "symbol": F.concat(F.lit("P"), F.col("asset")), "asset_id": F.concat(F.lit("asset:named:part:P"), F.col("asset")), "resolution_state": F.col("resolution_state") if "resolution_state" in names.columns else F.lit("resolved"), "observed_at": F.lit(as_of_ms), "coverage_tier": F.when(F.col("liquidity_venues").isNotNull(), "B").otherwise("A"),
-        "reference_price__value": F.col("reference_price"), "reference_price__method": F.col("method"), "reference_price__venue_count": F.col("venue_count"), "reference_price__included_venue_count": F.col("included_count"), "reference_price__excluded_venue_count": F.col("excluded_count"),
-        "venue_count": F.col("venue_count"), "reference_price__min_qualified_price": F.col("min_price"), "reference_price__max_qualified_price": F.col("max_price"),
-        "dispersion__price_dispersion_bps": F.col("mad_bps"), "dispersion__weighted_mad_bps": F.col("mad_bps"), "dispersion__p10_p90_spread_bps": F.col("p10_p90_bps"),
-        "volume__reported_spot_volume_24h_usd": F.col("spot_usd"), "volume__reported_perp_volume_24h_usd": F.col("perp_usd"), "volume__reported_futures_volume_24h_usd": F.col("futures_usd"), "reported_volume_24h_usd": F.col("total_usd"),
-        "liquidity__best_spread_bps": F.col("best_spread_bps"), "liquidity__median_spread_bps": F.col("median_spread_bps"), "liquidity__venue_count": F.col("liquidity_venues"), "structure__spot_venue_count": F.col("spot_venues"), "structure__perp_venue_count": F.col("perp_venues"),
-        "funding__rate_8h_median": F.col("rate_8h_median"), "funding__annualised_simple": F.col("annualised_simple"), "funding__venue_count": F.col("funding_venues"), "funding__dispersion_bps": F.col("funding_dispersion"),
-        "open_interest__total_usd": F.col("oi_usd"), "open_interest__total_base": F.col("total_base"), "open_interest__venue_count": F.col("oi_venues"), "basis__perp_basis_bps_median": F.col("perp_basis_bps_median"), "basis__futures_basis_bps_median": F.col("futures_basis_bps_median"),
-        "fragmentation__effective_venue_count": F.col("effective_count"), "fragmentation__volume_concentration_hhi": F.col("hhi"), "fragmentation__largest_venue_volume_share": F.col("largest_share"), "fragmentation__fragmentation_index": index,
-        "crowding__oi_to_volume": F.try_divide("oi_usd", "total_usd"), "crowding__perp_dominance": F.col("perp_dominance"), "genome__status": F.coalesce("genome_status", F.lit("insufficient_history")), "quality__coverage__coverage_ratio": F.least(F.lit(1.0), F.try_divide("venue_count", "expected_venues")),
-        "quality__freshness__freshest_observation_age_seconds": F.col("freshest"), "quality__freshness__oldest_observation_age_seconds": F.col("oldest"), "is_partial": F.col("reference_price").isNull(),
-        "name": F.col("asset_name"), "crowding__funding_percentile_30d": F.col("funding_percentile_30d") if history is not None else F.lit(None), "quality__coverage__ambiguous_identity_count": F.col("ambiguous") if "ambiguous" in names.columns else F.lit(0), "liquidity__largest_venue_share": F.col("liquidity_share"), "liquidity__concentration_hhi": F.col("liquidity_hhi"), "volatility__atr_14_bps": F.col("atr_bps"), "technical__rsi_14": F.col("rsi_14"), "technical__ema_12": F.col("ema_12"), "technical__ema_26": F.col("ema_26"),
-        **{f"returns__change_{w}": F.col(f"change_{w}") for w in CHANGES}, **{f"volatility__realised_{w}": F.col(f"realised_{w}") for w in VOLATILITIES},
-    }
-    return wide.select(*[named.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in market_schema().fields])
+
+    def __init__(self, as_of_ms: int = V.AS_OF_MS, **inputs):
+        self.as_of_ms, self._inputs, self._made = as_of_ms, inputs, {}
+
+    def _in(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._inputs[name]()
+        return self._made[name]
+
+    def _series(self, wanted: set[str]) -> DataFrame:
+        """Of a series only the windows and folds that are wanted: one pass over its points in any case."""
+        changes = {w: series.WINDOW_HOURS[w] for w in CHANGES if f"change_{w}" in wanted}
+        m = series.measures(self._in("points"), changes, {w: (series.WINDOW_HOURS[w], series.LEAST[w]) for w in VOLATILITIES if f"realised_{w}" in wanted})
+        prices = F.col("prices")
+        folds = {"rsi_14": lambda: series.rsi(prices), "ema_12": lambda: series.ema(prices, 12), "ema_26": lambda: series.ema(prices, 26), "genome_status": lambda: structure.lifecycle(F.size(prices))}
+        return m.withColumns({n: make() for n, make in folds.items() if n in wanted} or {"_": F.lit(None)}).drop("prices", "_")
+
+    def _percentile(self, wanted: set[str]) -> DataFrame:
+        now = D.funding_by_asset(self._in("derivs")).select("asset", F.col("rate_8h_median").alias("funding_8h"), *[F.lit(None).cast("double").alias(c) for c in ("basis_bps", "open_interest_usd", "volume_usd")])
+        return structure.history_measures(now, self._in("history"), self.as_of_ms).select("asset", "funding_percentile_30d")
+
+    def families(self) -> dict[tuple[str, ...], object]:
+        """What each family brings, and how it is built from what is wanted of it."""
+        i = self._in
+        known = {
+            ("spot_usd", "perp_usd", "futures_usd", "total_usd", "perp_dominance"): lambda w: D.volume_by_segment(i("obs")),
+            ("hhi", "largest_share", "effective_count"): lambda w: concentration(i("obs"), "asset", "venue", "volume"),
+            ("spot_venues", "perp_venues"): lambda w: structure.venue_counts(i("obs")),
+            ("rate_8h_median", "annualised_simple", "funding_venues", "funding_dispersion"): lambda w: D.funding_by_asset(i("derivs")).withColumnsRenamed({"venue_count": "funding_venues", "dispersion_bps": "funding_dispersion"}),
+            ("oi_usd", "total_base", "oi_venues"): lambda w: D.open_interest_by_asset(i("derivs")).withColumnsRenamed({"total_usd": "oi_usd", "venue_count": "oi_venues", "excluded_count": "oi_excluded"}),
+            ("perp_basis_bps_median", "futures_basis_bps_median"): lambda w: D.basis_by_asset(i("derivs")),
+            ("best_spread_bps", "median_spread_bps", "liquidity_venues"): lambda w: liquidity.spreads(i("levels")).withColumnRenamed("venue_count", "liquidity_venues"),
+            ("freshest", "oldest", "expected_venues"): lambda w: i("obs").groupBy("asset").agg(F.min("age_s").alias("freshest"), F.max("age_s").alias("oldest"), F.count_distinct("venue").alias("expected_venues")),
+            ("liquidity_hhi", "liquidity_share"): lambda w: concentration(i("levels").withColumn("usd", liquidity.notional()), "asset", "venue", "usd").select("asset", F.col("hhi").alias("liquidity_hhi"), F.col("largest_share").alias("liquidity_share")),
+            ("asset_name", "resolution_state", "ambiguous"): lambda w: i("names"),
+            ("atr_bps", *(f"change_{c}" for c in CHANGES), *(f"realised_{c}" for c in VOLATILITIES), "rsi_14", "ema_12", "ema_26", "genome_status"): self._series,
+        }
+        return known | ({("funding_percentile_30d",): self._percentile} if "history" in self._inputs else {})
+
+    def table(self, columns: list[str] | None = None) -> DataFrame:
+        """The market with some columns of market_schema(), in that order; all of them without a list."""
+        wanted = [f for f in market_schema().fields if columns is None or f.name in columns]
+        used: set[str] = set()
+
+        def c(name: str):
+            used.add(name)
+            return F.col(name)
+
+        made = [(f, METRIC_COLUMNS[f.name](c, self.as_of_ms)) for f in wanted]
+        wide = reference_prices(self._in("obs"))
+        for gives, build in self.families().items():
+            if used & set(gives):
+                part = build(used)
+                wide = wide.join(part.select("asset", *[n for n in gives if n in used and n in part.columns]), "asset", "left")
+        absent = used - set(wide.columns)  # what no input of this market knows
+        wide = wide.withColumns({n: F.lit(ABSENT.get(n)) for n in sorted(absent)}) if absent else wide
+        return wide.select(*[column.cast(f.dataType).alias(f.name) for f, column in made])
+
+
+#: What stands for columns of families that a market has no input for.
+ABSENT = {"resolution_state": "resolved", "ambiguous": 0}
+_plain = lambda name: lambda c, at: c(name)
+#: Every physical column as an expression over columns of families.
+METRIC_COLUMNS = {
+    "symbol": lambda c, at: F.concat(F.lit("P"), c("asset")), "asset_id": lambda c, at: F.concat(F.lit("asset:named:part:P"), c("asset")), "observed_at": lambda c, at: F.lit(at), "resolution_state": _plain("resolution_state"), "name": _plain("asset_name"),
+    "coverage_tier": lambda c, at: F.when(c("liquidity_venues").isNotNull(), "B").otherwise("A"), "is_partial": lambda c, at: c("reference_price").isNull(),
+    "reference_price__value": _plain("reference_price"), "reference_price__method": _plain("method"), "reference_price__venue_count": _plain("venue_count"), "reference_price__included_venue_count": _plain("included_count"), "reference_price__excluded_venue_count": _plain("excluded_count"),
+    "venue_count": _plain("venue_count"), "reference_price__min_qualified_price": _plain("min_price"), "reference_price__max_qualified_price": _plain("max_price"),
+    "dispersion__price_dispersion_bps": _plain("mad_bps"), "dispersion__weighted_mad_bps": _plain("mad_bps"), "dispersion__p10_p90_spread_bps": _plain("p10_p90_bps"),
+    "volume__reported_spot_volume_24h_usd": _plain("spot_usd"), "volume__reported_perp_volume_24h_usd": _plain("perp_usd"), "volume__reported_futures_volume_24h_usd": _plain("futures_usd"), "reported_volume_24h_usd": _plain("total_usd"),
+    "liquidity__best_spread_bps": _plain("best_spread_bps"), "liquidity__median_spread_bps": _plain("median_spread_bps"), "liquidity__venue_count": _plain("liquidity_venues"), "liquidity__largest_venue_share": _plain("liquidity_share"), "liquidity__concentration_hhi": _plain("liquidity_hhi"),
+    "structure__spot_venue_count": _plain("spot_venues"), "structure__perp_venue_count": _plain("perp_venues"),
+    "funding__rate_8h_median": _plain("rate_8h_median"), "funding__annualised_simple": _plain("annualised_simple"), "funding__venue_count": _plain("funding_venues"), "funding__dispersion_bps": _plain("funding_dispersion"),
+    "open_interest__total_usd": _plain("oi_usd"), "open_interest__total_base": _plain("total_base"), "open_interest__venue_count": _plain("oi_venues"), "basis__perp_basis_bps_median": _plain("perp_basis_bps_median"), "basis__futures_basis_bps_median": _plain("futures_basis_bps_median"),
+    "fragmentation__effective_venue_count": _plain("effective_count"), "fragmentation__volume_concentration_hhi": _plain("hhi"), "fragmentation__largest_venue_volume_share": _plain("largest_share"),
+    "fragmentation__fragmentation_index": lambda c, at: structure.fragmentation_index(c("venue_count"), c("effective_count"), c("largest_share"), c("mad_bps")),
+    "crowding__funding_percentile_30d": _plain("funding_percentile_30d"), "crowding__oi_to_volume": lambda c, at: F.try_divide(c("oi_usd"), c("total_usd")), "crowding__perp_dominance": _plain("perp_dominance"), "genome__status": lambda c, at: F.coalesce(c("genome_status"), F.lit("insufficient_history")),
+    "quality__coverage__coverage_ratio": lambda c, at: F.least(F.lit(1.0), F.try_divide(c("venue_count"), c("expected_venues"))), "quality__freshness__freshest_observation_age_seconds": _plain("freshest"), "quality__freshness__oldest_observation_age_seconds": _plain("oldest"), "quality__coverage__ambiguous_identity_count": _plain("ambiguous"),
+    "volatility__atr_14_bps": _plain("atr_bps"), "technical__rsi_14": _plain("rsi_14"), "technical__ema_12": _plain("ema_12"), "technical__ema_26": _plain("ema_26"),
+    **{f"returns__change_{w}": _plain(f"change_{w}") for w in CHANGES}, **{f"volatility__realised_{w}": _plain(f"realised_{w}") for w in VOLATILITIES},
+}
 
 
 def names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,8 +117,15 @@ def names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.join(alike, F.col("p_name") == F.col("a_name"), "left").select(F.col("p_partkey").alias("asset"), F.col("p_name").alias("asset_name"), state.alias("resolution_state"), F.coalesce("ambiguous", F.lit(0)).alias("ambiguous"))
 
 
-def market(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return states(V.obs(spark, sf_dir), V.derivatives(spark, sf_dir), V.book(spark, sf_dir), V.points(spark, sf_dir), names(spark, sf_dir), V.history(spark, sf_dir))
+def market(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
+    """The market of these tables, or some columns of it."""
+    known = {"obs": V.obs, "derivs": V.derivatives, "levels": V.book, "points": V.points, "names": names, "history": V.history}
+    return States(**{n: (lambda make=make: make(spark, sf_dir)) for n, make in known.items()}).table(columns)
+
+
+def engine(spark: SparkSession, sf_dir: str) -> Engine:
+    """Queries over the market of these tables, of which only what a query names is planned."""
+    return Engine(lambda columns: market(spark, sf_dir, columns))
 
 
 #: The columns of the market that the registered queries use.
