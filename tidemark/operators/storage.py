@@ -54,6 +54,47 @@ def shard_rows(ids: DataFrame, column: str, shards: int = 64) -> DataFrame:
     return ids.select(shard(F.col(column), shards).alias("shard_index")).groupBy("shard_index").agg(F.count("*").alias("n"))
 
 
+def slot_report(generations: DataFrame) -> DataFrame:
+    """What became of each slot that is due on a day with any generation, and of those that are not due. generations: id, ts_ms, due (whether a schedule started it), valid.
+
+    missing, duplicate and invalid are facts of their own: two runs may claim one
+    slot and both have failed. A slot is successful if one of its runs is valid.
+    """
+    own = generations.withColumn("slot", F.col("ts_ms") - F.pmod("ts_ms", F.lit(SLOT_MS))).withColumn("day", F.col("slot") - F.pmod("slot", F.lit(DAY_MS)))
+    taken = own.groupBy("day", "slot").agg(F.count_if("due").alias("runs"), F.count_if(F.col("due") & F.col("valid")).alias("good"), F.count_if(~F.col("due")).alias("unexpected"))
+    due = own.select("day").distinct().select(F.col("day").alias("d_day"), F.explode(F.sequence("day", F.col("day") + DAY_MS - SLOT_MS, F.lit(SLOT_MS).cast("long"))).alias("d_slot"))
+    every = due.join(taken, F.col("d_slot") == F.col("slot"), "left")
+    runs, good = F.coalesce("runs", F.lit(0)), F.coalesce("good", F.lit(0))
+    return every.select(F.col("d_day").alias("day"), F.col("d_slot").alias("slot"), (good > 0).alias("successful"), (runs == 0).alias("missing"), (runs > 1).alias("duplicate"), ((runs > 0) & (good == 0)).alias("invalid"), F.coalesce("unexpected", F.lit(0)).alias("unexpected"))
+
+
+def compactable(generations: DataFrame, report: DataFrame) -> DataFrame:
+    """Generations that go into their day's table: those of successful slots that no other run claims. Which of two runs counts is not for us to choose."""
+    good = report.filter("successful and not duplicate").select(F.col("slot").alias("g_slot"))
+    return generations.filter("due").join(good, (F.col("ts_ms") - F.pmod("ts_ms", F.lit(SLOT_MS))) == F.col("g_slot"), "left_semi")
+
+
+def closed_days(report: DataFrame, compacted: DataFrame, now_ms: int) -> DataFrame:
+    """Days that may be compacted: over, without a slot that two runs claim, not compacted yet, and with a successful slot at least. compacted: day."""
+    over = report.filter(F.col("day") + DAY_MS <= now_ms).groupBy("day").agg(F.count_if("successful").alias("slots")).filter("slots > 0")
+    return over.join(report.filter("duplicate").select("day"), "day", "left_anti").join(compacted.select("day"), "day", "left_anti")
+
+
+#: Guards of a deletion, and how many there may be in one run.
+TAG_PREFIX, PROTECTED_PREFIX, LEAST_HOURS, MOST_DELETIONS = "data-", "data-latest", 48.0, 200
+
+
+def deletion_plan(candidates: DataFrame, most: int = MOST_DELETIONS) -> DataFrame:
+    """What a clean-up does with each candidate (tag, age_hours, has_replacement, verified): `delete`, or the first guard that holds it back. Beyond `most` the oldest go first, by a top-k over what passed."""
+    held = (
+        F.when(~F.col("tag").startswith(TAG_PREFIX), "foreign_tag").when(F.col("tag").startswith(PROTECTED_PREFIX), "protected_tag").when(F.col("age_hours") < LEAST_HOURS, "too_young")
+        .when(~F.coalesce("has_replacement", F.lit(False)), "no_replacement").when(~F.coalesce("verified", F.lit(False)), "not_verified")
+    )
+    judged = candidates.withColumn("held", held)
+    first = judged.filter("held is null").orderBy(F.desc("age_hours"), "tag").limit(most).select(F.col("tag").alias("d_tag"))
+    return judged.join(first, F.col("tag") == F.col("d_tag"), "left").withColumn("action", F.coalesce("held", F.when(F.col("d_tag").isNull(), "over_the_limit"), F.lit("delete"))).drop("held", "d_tag")
+
+
 def retention_action(age_h: Column, is_latest: Column, newest_rank: Column, keep: int = 3, least_h: int = 6, most_h: int = 48) -> Column:
     """What happens to a generation, by the first guard that holds."""
     return F.when(is_latest, "keep_latest").when(newest_rank <= keep, "keep_newest").when(age_h < least_h, "keep_young").when(age_h <= most_h, "keep_retained").otherwise("delete")

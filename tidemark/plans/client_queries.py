@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 
@@ -14,7 +15,7 @@ from tidemark.mql.metrics import METRICS
 from tidemark.plans import views as V
 from tidemark.plans.catalogue import query, r
 from tidemark.plans.market import MARKET, market
-from tidemark.sources import collections, datasets
+from tidemark.sources import collections, datasets, relay
 
 _roots: dict[tuple[str, str], str] = {}
 
@@ -124,6 +125,35 @@ def collection_files(spark, sf_dir):
     return collections.collected(spark, folder, now).select("file", "status", "reason", F.when(F.col("status") == "success", F.size("tickers").cast("long")).alias("tickers"))
 
 
+_NOW = 1_700_000_000_000
+#: By nation, what is odd about a venue's result in the relay.
+_GUARDED = ("", "not_relayed", "not_published", "missing_file", "too_large", "digest_mismatch", "unreadable", "other_venue", "too_old", "in_the_future")
+
+
+@query(f"""WITH n AS (SELECT n_nationkey AS k, 'venue-' || n_nationkey AS venue, {list(_GUARDED)!r}[1 + n_nationkey % 10] AS reason FROM nation), s AS (SELECT s_nationkey AS k, count(*) AS tickers FROM supplier GROUP BY 1)
+SELECT venue, CASE WHEN reason = '' THEN 'success' ELSE 'failed' END AS status, nullif(reason, '') AS reason, CASE WHEN reason = '' THEN 'relay' END AS source, CASE WHEN reason = '' THEN 'cache' END AS again, CASE WHEN reason = '' THEN coalesce(tickers, 0) END AS tickers FROM n LEFT JOIN s USING (k)""")
+def relay_guards(spark, sf_dir):
+    """Suppliers' balances as results of venues that a relay publishes: each guard holds one back, and what passed comes from the cache the second time."""
+    k, folder = F.col("n_nationkey"), shared_folder(spark, "relay")
+    s = V.table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.collect_list(F.struct(F.lit("v").alias("venue_slug"), F.col("s_name").alias("symbol_native"), F.col("s_acctbal").alias("last_price"))).alias("tickers"))
+    n = V.table(spark, sf_dir, "nation").withColumns({"venue": F.concat(F.lit("venue-"), k), "odd": F.element_at(F.array(*map(F.lit, _GUARDED)), (1 + k % len(_GUARDED)).cast("int"))}).join(s, k == F.col("s_nationkey"), "left")
+    is_ = lambda name: F.col("odd") == name
+    finished = F.lit(_NOW) - F.when(is_("too_old"), 1_300_000).when(is_("in_the_future"), -400_000).otherwise(60_000)
+    body = F.to_json(F.struct(F.when(is_("other_venue"), "venue-x").otherwise(F.col("venue")).alias("venue_slug"), F.concat(F.lit("run"), k).alias("run_id"), finished.alias("collection_finished_at"), F.struct(F.lit("success").alias("status")).alias("health"), F.coalesce("tickers", F.array()).alias("tickers"), F.when(is_("too_large"), F.repeat(F.lit("x"), 1 << 20)).alias("note")))
+    relay.publish(n.select("venue", F.when(is_("unreadable"), '{"venue_slug": broken').when(is_("not_published"), F.lit(None)).otherwise(body).alias("body")), folder, _NOW, guarded=False)
+    manifest = json.loads(datasets.files.read_text(spark, f"{folder}/{relay.MANIFEST}"))
+    for venue, entry in manifest["files"].items():  # what goes wrong between a relay and its readers
+        odd = _GUARDED[int(venue.removeprefix("venue-")) % len(_GUARDED)]
+        entry["path"] = "results/sha256=0/none.txt" if odd == "missing_file" else entry["path"]
+        entry["sha256"] = "0" * 64 if odd == "digest_mismatch" else entry["sha256"]
+    datasets.files.write_text(spark, f"{folder}/{relay.MANIFEST}", json.dumps(manifest))
+    venues = n.select("venue", F.when(is_("not_relayed"), "direct").otherwise("relay").alias("egress"))
+    first, second = (relay.fetched(venues, folder, _NOW, f"{folder}-cache", largest=1 << 19) for _ in range(2))
+    first = first.select("venue", "status", "reason", F.lit("relay").alias("s"), F.size("tickers").cast("long").alias("tickers"))
+    j = second.select("venue", F.col("status").alias("status_2"), F.col("source").alias("again")).join(first, "venue").filter(F.col("status").eqNullSafe(F.col("status_2")))
+    return j.select("venue", "status", "reason", F.when(F.col("status") == "success", F.col("s")).alias("source"), "again", F.when(F.col("status") == "success", F.col("tickers")).alias("tickers"))
+
+
 # --- what the language says
 
 #: Queries with a nation's name in them, and what they are told; {n} is the name.

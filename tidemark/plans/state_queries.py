@@ -249,6 +249,51 @@ for _unit in ("day", "month"):
         lambda spark, sf_dir, unit=_unit: storage.rollup(V.table(spark, sf_dir, "events").select("ts", F.col("event_id").alias("id"), "value"), unit).select("since", "n", *[r(c).alias(c) for c in ("low", "high", "mean", "first", "last")]))
 
 
+_RUNS = f"""gen AS (SELECT event_id AS id, epoch_us(ts) // 1000 AS ts_ms, event_id % 7 > 0 AS due, event_type <> 'error' AS valid FROM events WHERE epoch_us(ts) // 1000 IS NOT NULL),
+slo AS (SELECT *, ts_ms // 900000 * 900000 AS slot, ts_ms // 86400000 * 86400000 AS day FROM gen),
+tak AS (SELECT slot, count(*) FILTER (due) AS runs, count(*) FILTER (due AND valid) AS good, count(*) FILTER (NOT due) AS unexpected FROM slo GROUP BY slot),
+rep AS (SELECT d.day, d.day + k * 900000 AS slot, coalesce(good, 0) > 0 AS successful, coalesce(runs, 0) = 0 AS missing, coalesce(runs, 0) > 1 AS duplicate, coalesce(runs, 0) > 0 AND coalesce(good, 0) = 0 AS invalid, coalesce(unexpected, 0) AS unexpected
+  FROM (SELECT DISTINCT day FROM slo) AS d, range(96) AS r(k) LEFT JOIN tak ON tak.slot = d.day + k * 900000)"""
+
+
+def _runs(spark, sf_dir):
+    return V.table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"), (F.col("event_id") % 7 > 0).alias("due"), (F.col("event_type") != "error").alias("valid"))
+
+
+@query(f"WITH {_RUNS} SELECT * FROM rep")
+def slot_report(spark, sf_dir):
+    """Of each slot whether it succeeded, is missing, was claimed twice or failed, and runs that nobody scheduled."""
+    return storage.slot_report(_runs(spark, sf_dir))
+
+
+@query(f"WITH {_RUNS} SELECT id, ts_ms FROM slo SEMI JOIN (SELECT slot FROM rep WHERE successful AND NOT duplicate) USING (slot) WHERE due")
+def compactable_generations(spark, sf_dir):
+    runs = _runs(spark, sf_dir)
+    return storage.compactable(runs, storage.slot_report(runs)).select("id", "ts_ms")
+
+
+_ORDERED = "gen AS (SELECT o_orderkey AS id, epoch_us(o_orderdate) // 1000 + (o_orderkey * 7919) % 86400000 AS ts_ms, true AS due, o_orderstatus <> 'P' AS valid FROM orders)"
+
+
+@query(f"WITH {_RUNS.replace(_RUNS[:_RUNS.index('slo AS')], _ORDERED + ', ')}, c AS (SELECT DISTINCT epoch_us(l_shipdate) // 1000 AS day FROM lineitem WHERE l_quantity = 50 AND l_linenumber = 7) SELECT day, count(*) FILTER (successful) AS slots FROM rep WHERE day + 86400000 <= {AS_OF} GROUP BY day HAVING count(*) FILTER (successful) > 0 AND NOT bool_or(duplicate) AND day NOT IN (SELECT day FROM c)")
+def closed_days(spark, sf_dir):
+    """Days whose runs may be put together, of orders as runs; days of some large shipments have been already."""
+    runs = V.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), (F.unix_millis(F.col("o_orderdate").cast("timestamp")) + (F.col("o_orderkey") * 7919) % 86_400_000).alias("ts_ms"), F.lit(True).alias("due"), (F.col("o_orderstatus") != "P").alias("valid"))
+    done = V.table(spark, sf_dir, "lineitem").filter("l_quantity = 50 and l_linenumber = 7").select(F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("day")).distinct()
+    return storage.closed_days(storage.slot_report(runs), done, AS_OF)
+
+
+_CANDIDATES = "(SELECT CASE o_orderkey % 9 WHEN 0 THEN 'code-' WHEN 1 THEN 'data-latest-' ELSE 'data-' END || o_orderkey AS tag, (o_orderkey * 31) % 4000 / 10.0 AS age_hours, CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN true END AS has_replacement, o_totalprice < 300000 AS verified FROM orders)"
+
+
+@query(f"WITH h AS (SELECT *, CASE WHEN NOT starts_with(tag, 'data-') THEN 'foreign_tag' WHEN starts_with(tag, 'data-latest') THEN 'protected_tag' WHEN age_hours < 48 THEN 'too_young' WHEN NOT coalesce(has_replacement, false) THEN 'no_replacement' WHEN NOT coalesce(verified, false) THEN 'not_verified' END AS held FROM {_CANDIDATES}), k AS (SELECT *, row_number() OVER (PARTITION BY held ORDER BY age_hours DESC, tag) AS n FROM h) SELECT tag, coalesce(held, CASE WHEN n > 200 THEN 'over_the_limit' ELSE 'delete' END) AS action FROM k")
+def deletion_plan(spark, sf_dir):
+    """What a clean-up deletes, at most 200 in one run, and why it leaves the rest."""
+    o, k = V.table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    c = o.select(F.concat(F.when(k % 9 == 0, "code-").when(k % 9 == 1, "data-latest-").otherwise("data-"), k).alias("tag"), ((k * 31) % 4000 / 10.0).alias("age_hours"), F.when(F.col("o_orderstatus").isin("F", "O"), True).alias("has_replacement"), (F.col("o_totalprice") < 300_000).alias("verified"))
+    return storage.deletion_plan(c).select("tag", "action")
+
+
 @query("SELECT p_partkey AS id, p_name AS name, p_size::BIGINT AS size, NULL::DOUBLE AS balance FROM part UNION ALL BY NAME SELECT s_suppkey AS id, s_name AS name, s_acctbal AS balance, NULL::BIGINT AS size FROM supplier")
 def union_by_name(spark, sf_dir):
     """Tables of different generations as one: columns meet by name, and those that one lacks are null."""
