@@ -13,7 +13,8 @@ from tidemark.functions.columns import slot
 from tidemark.mql import MqlError
 from tidemark.operators.ingest import deduped_last
 from tidemark.plans.market import market
-from tidemark.sources import files
+from tidemark.plans.tables import tables
+from tidemark.sources import files, relay
 from tidemark.sources.collections import collected
 from tidemark.sources.datasets import AmbiguousAsset, AssetNotFound, MarketClient, expired, export_web, unflattened, write_generation
 from tidemark.sources.venues import DISABLED, FEEDS
@@ -31,7 +32,7 @@ def main(argv: list[str] | None = None) -> int:
         commands.add_parser(name)
     for name, arg in (("query", "text"), ("explain", "text"), ("search", "text"), ("asset", "symbol")):
         commands.add_parser(name).add_argument(arg)
-    for name, arg in (("build-dataset", "tables"), ("export-web", "out"), ("aggregate", "runs"), ("compact-day", "out")):
+    for name, arg in (("build-dataset", "tables"), ("export-web", "out"), ("aggregate", "runs"), ("compact-day", "out"), ("publish-relay", "runs"), ("pull-relay", "relay")):
         commands.add_parser(name).add_argument(arg)
     top = commands.add_parser("market")
     top.add_argument("--top", type=int, default=20)
@@ -45,9 +46,21 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     spark = SparkSession.builder.getOrCreate()
     if args.command == "build-dataset":
-        manifest = write_generation(spark, args.root, f"g{int(time.time() * 1000)}", market(spark, args.tables), {})
+        now = int(time.time() * 1000)
+        before = MarketClient.latest(spark, args.root) if files.exists(spark, f"{args.root}/latest.json") else None
+        manifest = write_generation(spark, args.root, f"g{now}", market(spark, args.tables), tables(spark, args.tables, f"g{now}", now, before))
         print(manifest["generation"], manifest["asset_count"], "assets")
         return 0
+    if args.command == "publish-relay":
+        runs = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(args.runs)
+        named = runs.select(F.regexp_extract(F.input_file_name(), "([^/]+)[.]json$", 1).alias("venue"), F.col("value").alias("body"))
+        print(", ".join(sorted(relay.publish(named, args.root, int(time.time() * 1000))["files"])))
+        return 0
+    if args.command == "pull-relay":
+        venues = spark.createDataFrame([(v,) for v in sorted({f.venue for f in FEEDS})], "venue string").withColumn("egress", F.lit("relay"))
+        found = relay.fetched(venues, args.relay, int(time.time() * 1000), f"{args.root}/relay-cache")
+        found.select("venue", "status", "reason", "source", "run_id", F.size("tickers").alias("tickers")).orderBy("venue").show(100, truncate=False)
+        return 0
     if args.command == "aggregate":
         runs = collected(spark, args.runs, int(time.time() * 1000))
         runs.groupBy("status", "reason").count().show()

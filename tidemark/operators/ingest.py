@@ -97,7 +97,7 @@ def tiered_match(obs: DataFrame, instruments: DataFrame) -> DataFrame:
 
 
 def best_paths(edges: DataFrame, target: str, hops: int = 3) -> DataFrame:
-    """Cheapest conversion from each currency to the target: (currency, rate, hops, source, observed_at).
+    """Cheapest conversion from each currency to the target: (currency, rate, hops, source, observed_at, trail: cost, venue and currency of each hop).
 
     edges: src, dst, rate, venue, observed_at. A stated rate costs 1000, its inverse 1050, so fewer hops always win. Of parallel edges the cheapest stays, then the first venue's.
     """
@@ -112,7 +112,7 @@ def best_paths(edges: DataFrame, target: str, hops: int = 3) -> DataFrame:
         grown = paths.join(step, F.col("d") == F.col("currency")).filter((F.col("s") != target) & ~F.exists("trail", lambda t: t["n"] == F.col("s")))
         paths = grown.select(F.col("s").alias("currency"), (F.col("rate") * F.col("r")).alias("rate"), F.lit(k).alias("hops"), (F.col("total") + F.col("c")).alias("total"), F.concat(F.array(F.struct("c", "v", F.col("s").alias("n"))), F.col("trail")).alias("trail"), F.col("v").alias("source"), F.least("observed_at", "o").alias("observed_at"))
         every = every.unionByName(paths)
-    return every.groupBy("currency").agg(F.min_by(F.struct("rate", "hops", "source", "observed_at"), F.struct("total", "trail")).alias("b")).select("currency", "b.*")
+    return every.groupBy("currency").agg(F.min_by(F.struct("rate", "hops", "source", "observed_at", "trail"), F.struct("total", "trail")).alias("b")).select("currency", "b.*")
 
 
 def quote_rates(edges: DataFrame, target: str) -> DataFrame:
@@ -121,6 +121,20 @@ def quote_rates(edges: DataFrame, target: str) -> DataFrame:
     return best_paths(edges, target).select("currency", F.col("rate").alias("usd")).union(spark.createDataFrame([(target, 1.0)], "currency string, usd double"))
 
 
+def conversions(edges: DataFrame, target: str, pegged: list[str]) -> DataFrame:
+    """(currency, conversion): how each currency is turned into the target, as a nested value that travels along a row: rate, method, clock, first venue, path, and for pegged currencies how far they are from parity."""
+    own = edges.sparkSession.range(1)
+    stated = F.forall("trail", lambda t: t["c"] == 1000)
+    method = F.when(F.col("hops") > 1, "chained").when(stated, "direct").otherwise("inverse")
+    nested = lambda currency, rate, how, at, venue, path: F.struct(
+        currency.alias("from_asset_id"), F.lit(target).alias("to_asset_id"), rate.alias("rate"), how.alias("method"), at.cast("long").alias("observed_at"), venue.cast("string").alias("source_venue_slug"), path.alias("path"),
+        F.when(currency.isin(pegged), (rate - 1) * 10_000.0).alias("deviation_from_parity_bps"),
+    )
+    found = best_paths(edges, target).select("currency", nested(F.col("currency"), F.col("rate"), method, F.col("observed_at"), F.col("source"), F.concat(F.transform("trail", lambda t: t["n"]), F.array(F.lit(target)))).alias("conversion"))
+    itself = own.select(F.lit(target).alias("currency"), nested(F.lit(target), F.lit(1.0), F.lit("identity"), F.lit(None), F.lit(None), F.array(F.lit(target))).alias("conversion"))
+    return found.union(itself)
+
+
 def agreed_names(symbols: DataFrame, least: int = 2) -> DataFrame:
     """(ticker, name) that so many venues agree on."""
     return symbols.groupBy("ticker", "name").agg(F.count_distinct("venue").alias("venues")).filter(F.col("venues") >= least)

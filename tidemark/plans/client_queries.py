@@ -13,8 +13,9 @@ from tidemark.mql.engine import Engine, check
 from tidemark.mql.language import parse
 from tidemark.mql.metrics import METRICS
 from tidemark.plans import views as V
-from tidemark.plans.catalogue import query, r
+from tidemark.plans.catalogue import _TICK, query, r
 from tidemark.plans.market import MARKET, market
+from tidemark.plans.tables import tables
 from tidemark.sources import collections, datasets, relay
 
 _roots: dict[tuple[str, str], str] = {}
@@ -35,11 +36,7 @@ def stored(spark, sf_dir: str) -> datasets.MarketClient:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _roots:
         root = shared_folder(spark, "generations")
-        parts = V.table(spark, sf_dir, "part")
-        assets = parts.select(F.concat(F.lit("asset:named:part:P"), "p_partkey").alias("asset_id"), F.concat(F.lit("P"), "p_partkey").alias("symbol"), F.col("p_name").alias("name"), F.lit("resolved").alias("resolution_state"), F.lit(False).alias("is_stablecoin"))
-        venues = V.obs(spark, sf_dir).groupBy("asset", "venue").agg(F.sum("volume").alias("reported_volume_24h_usd"), F.count("*").alias("instrument_count"))
-        venues = venues.select(F.concat(F.lit("asset:named:part:P"), "asset").alias("asset_id"), F.col("venue").cast("string").alias("venue_slug"), "reported_volume_24h_usd", "instrument_count")
-        datasets.write_generation(spark, root, "g1", market(spark, sf_dir), {"assets": assets, "venue_asset_state": venues})
+        datasets.write_generation(spark, root, "g1", market(spark, sf_dir), tables(spark, sf_dir, "g1", V.AS_OF_MS))
         _roots[key] = root
     return datasets.MarketClient.latest(spark, _roots[key])
 
@@ -84,8 +81,23 @@ def client_metric_access(spark, sf_dir):
 def client_verify(spark, sf_dir):
     """Every file hashed again, and what the tables have."""
     c = stored(spark, sf_dir)
-    assets, venues = c.table("assets"), c.table("venue_asset_state")
-    return spark.createDataFrame([(c.mismatches().count(), c.verify() > 0, assets.count(), venues.count(), len(assets.columns), len(venues.columns))], "mismatches long, verified boolean, assets long, venue_rows long, asset_columns long, venue_columns long")
+    assets, venues, bad = c.table("assets"), c.table("venue_asset_state"), c.mismatches().count()  # every file is hashed once
+    return spark.createDataFrame([(bad, bad == 0, assets.count(), venues.count(), len(assets.columns), len(venues.columns))], "mismatches long, verified boolean, assets long, venue_rows long, asset_columns long, venue_columns long")
+
+
+@query(f"""WITH {V.OBS}, {_TICK} SELECT 'assets' AS name, count(*) AS n, 13::BIGINT AS columns, count(*) AS seen FROM part UNION ALL SELECT 'asset_aliases', count(*), 6, 0 FROM (SELECT DISTINCT asset, venue FROM obs)
+UNION ALL SELECT 'asset_relationships', count(*), 5, 0 FROM (SELECT p_partkey, min(p_partkey) OVER (PARTITION BY p_name) AS f FROM part) WHERE p_partkey > f
+UNION ALL SELECT 'instruments', count(*), 29, count(*) FROM (SELECT DISTINCT asset, venue, kind, ccy FROM obs) UNION ALL SELECT 'adapter_health', count(DISTINCT venue), 20, 0 FROM obs UNION ALL SELECT 'quality_events', count(*), 8, 0 FROM judged WHERE reason IS NOT NULL
+UNION ALL SELECT 'venue_asset_state', count(*), 32, 0 FROM (SELECT DISTINCT asset, venue FROM obs)""")
+def stored_tables(spark, sf_dir):
+    """Every stored table: its rows, its columns, and rows that know when they were first and last seen."""
+    c, out = stored(spark, sf_dir), None
+    for name in sorted(c.manifest["tables"]):
+        t = c.table(name)
+        seen = F.count_if((F.col("first_seen_at") == V.AS_OF_MS) & (F.col("last_seen_at") == V.AS_OF_MS)) if "first_seen_at" in t.columns else F.lit(0)
+        one = t.agg(F.count("*").alias("n"), seen.cast("long").alias("seen")).select(F.lit(name).alias("name"), "n", F.lit(len(t.columns)).cast("long").alias("columns"), "seen")
+        out = one if out is None else out.union(one)
+    return out
 
 
 @query(f"WITH {MARKET} SELECT status, n FROM (SELECT 'multi_venue' AS status, count(*) FILTER (venue_count >= 2) AS n FROM market UNION ALL SELECT 'resolved', count(*) FROM market UNION ALL SELECT 'top_by_dispersion', least(10, count(*) FILTER (venue_count >= 2)) FROM market UNION ALL SELECT 'detail_files', least(20, count(*)) FROM market)")

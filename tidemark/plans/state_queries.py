@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from tidemark.functions import columns as C
 from tidemark.operators import derivatives as D
 from tidemark.operators import ingest, liquidity, pricing, robust, series, storage, structure, universes
+from tidemark.operators import venue_rows as venue_parts
 from tidemark.plans import views as V
 from tidemark.plans.catalogue import _DEPTHS, _SLOT, _judged, _TICK, _trail, query, r
+from tidemark.sources import datasets
 
 #: The middle of the events, so that there is history before it.
 AS_OF = V.AS_OF_MS - 12 * 86_400_000
@@ -161,6 +163,64 @@ def venue_states(spark, sf_dir):
     return j.select("asset", "venue", r("price").alias("price"), "source", "kind", r("weight").alias("weight"), "reason", "included", "ccy", F.col("age_s").alias("age"), F.col("l_quantity").alias("base_volume"), "volume", r(C.bps(F.col("price"), F.col("reference_price")), 4).alias("deviation_bps"), "instruments", r("share").alias("volume_share"))
 
 
+def _edges(spark, sf_dir):
+    k = F.col("s_suppkey") % 5
+    return V.table(spark, sf_dir, "supplier").select(F.concat(F.lit("c"), k).alias("src"), F.concat(F.lit("c"), F.when(k == 4, k).when(k == 0, 9).otherwise(k - 1)).alias("dst"), (1 + F.abs("s_acctbal") / 1_000_000).alias("rate"), F.concat(F.lit("v"), F.col("s_suppkey") % 16).alias("venue"), F.col("s_suppkey").alias("observed_at"))
+
+
+def venue_rows(spark, sf_dir):
+    """All venue rows of these tables, nested."""
+    last = ["l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice"]
+    found = ingest.conversions(_edges(spark, sf_dir), "c0", ["c1", "c2"])
+    return venue_parts.venue_rows(V.obs(spark, sf_dir), V.derivatives(spark, sf_dir), V.book(spark, sf_dir), found, F.concat(F.lit("asset:named:part:P"), "asset"), F.concat(F.lit("c"), "ccy"), F.col("l_quantity"), AS_OF, last)
+
+
+_CONVERTED = _RATES.split("e1 AS")[0] + """e1 AS (SELECT src, dst, unnest(arg_min(struct_pack(rate := rate, venue := venue, seen := observed_at), (venue, observed_at, rate))) FROM ed WHERE src <> dst GROUP BY src, dst),
+x AS (SELECT src, rate, venue, seen FROM e1 WHERE src IN ('c1', 'c2', 'c3')),
+cv AS (SELECT 0 AS ccy, 'c0' AS cf, 1.0::DOUBLE AS rate, 'identity' AS method, NULL::BIGINT AS seen, NULL AS cs, '["c0"]' AS path, NULL::DOUBLE AS parity
+UNION ALL SELECT 1, 'c1', rate, 'direct', seen, venue, '["c1","c0"]', (rate - 1) * 10000 FROM x WHERE src = 'c1'
+UNION ALL SELECT 2, 'c2', b.rate * a.rate, 'chained', least(a.seen, b.seen), b.venue, '["c2","c1","c0"]', (b.rate * a.rate - 1) * 10000 FROM x a, x b WHERE a.src = 'c1' AND b.src = 'c2'
+UNION ALL SELECT 3, 'c3', c.rate * b.rate * a.rate, 'chained', least(a.seen, b.seen, c.seen), c.venue, '["c3","c2","c1","c0"]', NULL FROM x a, x b, x c WHERE a.src = 'c1' AND b.src = 'c2' AND c.src = 'c3')"""
+_FULL = V.PRICES + "," + V.VOLUMES + "," + V.DERIVATIVES.removeprefix(V.OBS).lstrip(", \n") + "," + V.BOOK.removeprefix(V.OBS).lstrip(", \n") + "," + _CONVERTED + f""",
+kk AS (SELECT DISTINCT asset, price, rw, weight FROM ca),
+vr AS (SELECT asset, venue, unnest(arg_min(struct_pack(price := w2.price, source := source, kind := kind, weight := weight, reason := reason, ccy := w2.ccy, age_s := age_s, base_volume := l_quantity, volume := volume),
+  (CASE WHEN reason IS NULL THEN 0 ELSE 1 END, CASE WHEN kind = 'option' THEN 1 ELSE 0 END, CASE WHEN kind = 'spot' THEN 0 ELSE 1 END, CASE WHEN cv.rate IS NULL THEN 1 ELSE 0 END, -coalesce(weight, 0), -coalesce(volume, 0), l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice))), count(*) AS instruments FROM w2 LEFT JOIN kk USING (asset, price, rw) LEFT JOIN cv ON cv.ccy = w2.ccy GROUP BY asset, venue),
+sx AS (SELECT asset, venue, max(price) FILTER (side = 'bid') AS bid, min(price) FILTER (side = 'ask') AS ask FROM book GROUP BY asset, venue),
+dx AS (SELECT asset, venue, depth_50_bid + depth_50_ask AS d FROM (SELECT asset, venue, {_DEPTHS.replace(', 7) END', ', 9) END')} FROM book GROUP BY asset, venue)),
+dz AS (SELECT asset, venue, d, CASE WHEN d > 0 THEN d / sum(CASE WHEN d > 0 THEN d END) OVER (PARTITION BY asset) END AS dshare FROM dx),
+fx AS (SELECT asset, venue, unnest(arg_max(struct_pack(fraw := funding_raw, fhours := funding_hours, f8 := rate_8h, mark := price), (coalesce(oi_raw, -1), funding_raw, coalesce(funding_hours, -1), coalesce(rate_8h, -9), price))) FROM f8 WHERE kind = 'perpetual' AND funding_raw IS NOT NULL GROUP BY asset, venue),
+ox AS (SELECT asset, venue, sum(oi_raw) AS oraw, sum(usd_equivalent) AS ousd FROM oi GROUP BY asset, venue)"""
+
+
+@query(f"""WITH {_FULL} SELECT 'asset:named:part:P' || asset AS asset_id, venue::VARCHAR AS venue_slug, ({AS_OF} - age_s * 1000)::BIGINT AS observed_at, round(vr.price, 6) AS price_usd, source AS price_source, round((vr.price - reference_price) / reference_price * 10000, 4) AS deviation_bps, round(weight, 6) AS reference_weight,
+round(CASE WHEN bid <= ask THEN (ask - bid) / ((ask + bid) / 2) * 10000 END, 6) AS spread_bps, base_volume AS reported_base_volume_24h, volume AS reported_quote_volume_24h, round(volume * cv.rate, 3) AS reported_volume_24h_usd, round(share, 6) AS volume_share, round(dshare, 6) AS liquidity_share, round(d, 2) AS depth_50bps_usd,
+fraw AS funding_rate_raw, fhours AS funding_interval_hours, round(f8, 10) AS funding_rate_8h, round(mark, 6) AS mark_price_usd, NULL::DOUBLE AS index_price_usd, round(oraw, 4) AS open_interest_raw, round(ousd, 2) AS open_interest_usd, instruments AS instrument_count, cf AS conversion__from_asset_id, CASE WHEN cf IS NOT NULL THEN 'c0' END AS conversion__to_asset_id, round(cv.rate, 8) AS conversion__rate, method AS conversion__method,
+seen AS conversion__observed_at, cs AS conversion__source_venue_slug, path AS conversion__path, round(parity, 6) AS conversion__deviation_from_parity_bps, reason IS NULL AS included_in_reference_price, reason AS exclusion_reason
+FROM vr LEFT JOIN (SELECT asset, reference_price FROM rp) USING (asset) LEFT JOIN sh USING (asset, venue) LEFT JOIN cv USING (ccy) LEFT JOIN sx USING (asset, venue) LEFT JOIN dz USING (asset, venue) LEFT JOIN fx USING (asset, venue) LEFT JOIN ox USING (asset, venue)""")
+def venue_table(spark, sf_dir):
+    """The whole row of each asset and venue, in all 32 columns as they are stored."""
+    t = datasets.built_table("venue_asset_state", venue_rows(spark, sf_dir))
+    digits = {"price_usd": 6, "deviation_bps": 4, "reference_weight": 6, "spread_bps": 6, "reported_volume_24h_usd": 3, "volume_share": 6, "liquidity_share": 6, "depth_50bps_usd": 2, "funding_rate_8h": 10, "mark_price_usd": 6, "open_interest_raw": 4, "open_interest_usd": 2, "conversion__rate": 8, "conversion__deviation_from_parity_bps": 6}
+    return t.withColumns({c: r(c, n) for c, n in digits.items()})
+
+
+_SEEN = "1995-01-01"
+
+
+@query(f"""WITH m AS (SELECT DISTINCT l_partkey || ':' || l_suppkey % 16 || ':' || l_returnflag AS instrument_id, l_suppkey % 16 AS v, l_shipdate < TIMESTAMP '{_SEEN}' AS early FROM lineitem),
+g AS (SELECT instrument_id, v::VARCHAR AS venue_slug, bool_or(early) AS a, bool_or(NOT early) AS b FROM m GROUP BY ALL)
+SELECT instrument_id, venue_slug, b AS active, CASE WHEN a THEN 1000 ELSE 2000 END::BIGINT AS first_seen_at, CASE WHEN b THEN 2000 ELSE 1000 END::BIGINT AS last_seen_at FROM g""")
+def carried_instruments(spark, sf_dir):
+    """Instruments over two generations, of shipments before and since a day: when each was first and last seen, and whether it is still there."""
+    l = V.table(spark, sf_dir, "lineitem")  # noqa: E741
+    key = F.concat_ws(":", "l_partkey", F.col("l_suppkey") % 16, "l_returnflag")
+    of = lambda rows: rows.select(key.alias("instrument_id"), (F.col("l_suppkey") % 16).cast("string").alias("venue_slug"), F.lit(True).alias("active")).distinct()
+    day = F.lit(_SEEN).cast("timestamp_ntz")
+    first = datasets.built_table("instruments", datasets.carried(of(l.filter(F.col("l_shipdate") < day)), None, "instrument_id", 1000))
+    second = datasets.built_table("instruments", datasets.carried(of(l.filter(F.col("l_shipdate") >= day)), first, "instrument_id", 2000, "active"))
+    return second.select("instrument_id", "venue_slug", "active", "first_seen_at", "last_seen_at")
+
+
 @query(f"""WITH {V.BOOK}, s AS (SELECT asset, venue, {_DEPTHS} FROM book GROUP BY asset, venue), t AS (SELECT asset, venue, depth_50_bid + depth_50_ask AS d FROM s), u AS (SELECT asset, venue, d, d / sum(d) OVER (PARTITION BY asset) AS share FROM t WHERE d > 0)
 SELECT asset, count(*) AS venues, round(sum(d), 2) AS depth, round(max(share), 6) AS largest_share, round(sum(share * share), 6) AS hhi, arg_max(venue, (round(d, 4), -venue)) AS largest_venue FROM u GROUP BY asset""")
 def liquidity_at_50bps(spark, sf_dir):

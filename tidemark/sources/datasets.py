@@ -43,6 +43,17 @@ TABLES = {
 }
 
 
+#: Columns of these tables that are no text.
+TYPES = {
+    "long": "chain_id first_seen_at last_seen_at venue_count expiry listing_time delisting_time duration_ms requests_attempted requests_successful timeouts rate_limit_responses application_errors parse_failures http_errors "
+    "instrument_count ticker_count derivative_observation_count order_book_count bytes_received observed_at conversion__observed_at clock_skew_ms",
+    "double": "contract_multiplier tick_size quantity_step minimum_quantity minimum_notional strike funding_interval_hours price_usd deviation_bps reference_weight spread_bps reported_base_volume_24h reported_quote_volume_24h reported_volume_24h_usd "
+    "volume_share liquidity_share depth_50bps_usd funding_rate_raw funding_rate_8h mark_price_usd index_price_usd open_interest_raw open_interest_usd conversion__rate conversion__deviation_from_parity_bps",
+    "boolean": "is_stablecoin is_fiat active circuit_opened included_in_reference_price",
+}
+_TYPE_OF = {name: kind for kind, names in TYPES.items() for name in names.split()}
+
+
 class AssetNotFound(LookupError):
     pass
 
@@ -87,12 +98,29 @@ PARQUET = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9", "
 
 
 def built_table(name: str, rows: DataFrame) -> DataFrame:
-    """rows flattened, with a table's columns in their order and sorted by the first ones; a column that rows lack is null text. Other columns are left out."""
+    """rows flattened, with a table's columns in their order and of their types, and sorted by the first ones; a column that rows lack is null. Other columns are left out."""
     flat, columns = flattened(rows), TABLES[name]
-    ordered = flat.select(*[F.col(c) if c in flat.columns else F.lit(None).cast("string").alias(c) for c in columns])
+    ordered = flat.select(*[(F.col(c) if c in flat.columns else F.lit(None)).cast(_TYPE_OF.get(c, "string")).alias(c) for c in columns])
     return ordered.sort(*[c for c in columns[:3] if c in flat.columns])
 
 
+def carried(now: DataFrame, before: DataFrame | None, key: str, at_ms: int, live: str | None = None) -> DataFrame:
+    """A generation's rows with first_seen_at and last_seen_at, and rows of the generation before that are not among them: those keep what was known, and `live`, if named, becomes false.
+
+    A keyed upsert: one join on the key, of which each side has a row. before has
+    the columns of now and both times; None for the first generation.
+    """
+    columns = [c for c in now.columns if c not in ("first_seen_at", "last_seen_at")]
+    fresh = now.select(*columns)
+    if before is None:
+        return fresh.withColumns({"first_seen_at": F.lit(at_ms).cast("long"), "last_seen_at": F.lit(at_ms).cast("long")})
+    old = before.select(F.col(key).alias("_key"), F.struct(*columns).alias("_old"), F.col("first_seen_at").alias("_first"), F.col("last_seen_at").alias("_last"))
+    j = fresh.select(F.col(key).alias("_now_key"), F.struct(*columns).alias("_now")).join(old, F.col("_now_key") == F.col("_key"), "full")
+    there = F.col("_now").isNotNull()
+    told = [(F.when(there, F.col(f"_now.{c}")).otherwise(F.lit(False) if c == live else F.col(f"_old.{c}"))).alias(c) for c in columns]
+    return j.select(*told, F.coalesce("_first", F.lit(at_ms)).cast("long").alias("first_seen_at"), F.when(there, F.lit(at_ms)).otherwise(F.col("_last")).cast("long").alias("last_seen_at"))
+
+
 def write_generation(spark: SparkSession, root: str, generation: str, states: DataFrame, tables: dict[str, DataFrame], shards: int = SHARDS, most_bytes: int = LARGEST_FILE) -> dict:
     """Writes zstd Parquet and the manifest, checks what was written, then moves the pointer. A reader sees the old generation or the whole new one.
 
