@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from tidemark.plans import catalogue, client_queries, live_queries, state_queries, venue_queries  # noqa: F401
+from tidemark.plans import catalogue, client_queries, live_queries, star_queries, state_queries, venue_queries  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
