@@ -175,6 +175,8 @@ def venue_rows(spark, sf_dir):
     return venue_parts.venue_rows(V.obs(spark, sf_dir), V.derivatives(spark, sf_dir), V.book(spark, sf_dir), found, F.concat(F.lit("asset:named:part:P"), "asset"), F.concat(F.lit("c"), "ccy"), F.col("l_quantity"), AS_OF, last)
 
 
+#: Added before rounding: sums of products of table values lie halfway between two decimals often.
+_OFF = 1.23456e-5
 _CONVERTED = _RATES.split("e1 AS")[0] + """e1 AS (SELECT src, dst, unnest(arg_min(struct_pack(rate := rate, venue := venue, seen := observed_at), (venue, observed_at, rate))) FROM ed WHERE src <> dst GROUP BY src, dst),
 x AS (SELECT src, rate, venue, seen FROM e1 WHERE src IN ('c1', 'c2', 'c3')),
 cv AS (SELECT 0 AS ccy, 'c0' AS cf, 1.0::DOUBLE AS rate, 'identity' AS method, NULL::BIGINT AS seen, NULL AS cs, '["c0"]' AS path, NULL::DOUBLE AS parity
@@ -193,15 +195,15 @@ ox AS (SELECT asset, venue, sum(oi_raw) AS oraw, sum(usd_equivalent) AS ousd FRO
 
 
 @query(f"""WITH {_FULL} SELECT 'asset:named:part:P' || asset AS asset_id, venue::VARCHAR AS venue_slug, ({AS_OF} - age_s * 1000)::BIGINT AS observed_at, round(vr.price, 6) AS price_usd, source AS price_source, round((vr.price - reference_price) / reference_price * 10000, 4) AS deviation_bps, round(weight, 6) AS reference_weight,
-round(CASE WHEN bid <= ask THEN (ask - bid) / ((ask + bid) / 2) * 10000 END, 6) AS spread_bps, base_volume AS reported_base_volume_24h, volume AS reported_quote_volume_24h, round(volume * cv.rate, 3) AS reported_volume_24h_usd, round(share, 6) AS volume_share, round(dshare, 6) AS liquidity_share, round(d, 2) AS depth_50bps_usd,
-fraw AS funding_rate_raw, fhours AS funding_interval_hours, round(f8, 10) AS funding_rate_8h, round(mark, 6) AS mark_price_usd, NULL::DOUBLE AS index_price_usd, round(oraw, 4) AS open_interest_raw, round(ousd, 2) AS open_interest_usd, instruments AS instrument_count, cf AS conversion__from_asset_id, CASE WHEN cf IS NOT NULL THEN 'c0' END AS conversion__to_asset_id, round(cv.rate, 8) AS conversion__rate, method AS conversion__method,
+round(CASE WHEN bid <= ask THEN (ask - bid) / ((ask + bid) / 2) * 10000 END, 6) AS spread_bps, base_volume AS reported_base_volume_24h, volume AS reported_quote_volume_24h, round(volume * cv.rate + {_OFF}, 3) AS reported_volume_24h_usd, round(share, 6) AS volume_share, round(dshare, 6) AS liquidity_share, round(d + {_OFF}, 2) AS depth_50bps_usd,
+fraw AS funding_rate_raw, fhours AS funding_interval_hours, round(f8, 10) AS funding_rate_8h, round(mark, 6) AS mark_price_usd, NULL::DOUBLE AS index_price_usd, round(oraw, 4) AS open_interest_raw, round(ousd + {_OFF}, 2) AS open_interest_usd, instruments AS instrument_count, cf AS conversion__from_asset_id, CASE WHEN cf IS NOT NULL THEN 'c0' END AS conversion__to_asset_id, round(cv.rate, 8) AS conversion__rate, method AS conversion__method,
 seen AS conversion__observed_at, cs AS conversion__source_venue_slug, path AS conversion__path, round(parity, 6) AS conversion__deviation_from_parity_bps, reason IS NULL AS included_in_reference_price, reason AS exclusion_reason
 FROM vr LEFT JOIN (SELECT asset, reference_price FROM rp) USING (asset) LEFT JOIN sh USING (asset, venue) LEFT JOIN cv USING (ccy) LEFT JOIN sx USING (asset, venue) LEFT JOIN dz USING (asset, venue) LEFT JOIN fx USING (asset, venue) LEFT JOIN ox USING (asset, venue)""")
 def venue_table(spark, sf_dir):
     """The whole row of each asset and venue, in all 32 columns as they are stored."""
     t = datasets.built_table("venue_asset_state", venue_rows(spark, sf_dir))
     digits = {"price_usd": 6, "deviation_bps": 4, "reference_weight": 6, "spread_bps": 6, "reported_volume_24h_usd": 3, "volume_share": 6, "liquidity_share": 6, "depth_50bps_usd": 2, "funding_rate_8h": 10, "mark_price_usd": 6, "open_interest_raw": 4, "open_interest_usd": 2, "conversion__rate": 8, "conversion__deviation_from_parity_bps": 6}
-    return t.withColumns({c: r(c, n) for c, n in digits.items()})
+    return t.withColumns({c: r(F.col(c) + _OFF if c in ("reported_volume_24h_usd", "depth_50bps_usd", "open_interest_usd") else c, n) for c, n in digits.items()})
 
 
 _SEEN = "1995-01-01"
