@@ -96,6 +96,18 @@ LABELLED = [
     ('version «1.2.3-beta.4+build.20240115» is out', False),
     ('etag: "«33a64df551425fcc55e4d42a148795d9f25f89d4»"', False),
     ('password: «true»', False),
+    ('postgres://app:«s3cr3tPa55w0rd»@db.internal:5432/x', True),
+    ('use «sk-ant-api03-Zk3vQ8mT1xWc7RbN5yLpHd2GfJ9s» for it', True),
+    ('bot «xoxb-2048113455-8812093451-abCDefGhIJklMNopQRstUVwx» joined', True),
+    ('mot de passe: «Soleil-42-Bleu»', True),
+    ('Passwort = «hX7!pq2Lm»', True),
+    ('contraseña: «zT9kLm3Qw»', True),
+    ('postgres://app:«${DB_PASSWORD}»@db/x', False),
+    ('import «sk-learn-utils_v2»', False),
+    ('from «hf_hub_download_v2»', False),
+    ('https://user:«<password>»@host/', False),
+    ('mot de passe: «changeme»', False),
+    ('clé: «valeur»', False),
 ]
 
 
@@ -103,7 +115,7 @@ def test_secrets_labelled_by_hand():
     forest, right = secrets.train(), 0
     for line, secret in LABELLED:
         a, b, text = line.index("«"), line.index("»") - 1, line.replace("«", "").replace("»", "")
-        found = (a, b) in secrets.candidates(text) and forest.score(np.array([secrets.features(text, a, b)]))[0] >= 0.5
+        found = (a, b) in secrets.candidates(text) and forest.score(np.array([secrets.features(text, a, b, forest.words)]))[0] >= 0.5
         right += found == secret
     assert right >= 0.95 * len(LABELLED)
 
