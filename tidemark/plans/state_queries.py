@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
 from tidemark.operators import derivatives as D
-from tidemark.operators import ingest, liquidity, pricing, robust, series, storage, structure, universes
+from tidemark.operators import genomes, ingest, liquidity, pricing, robust, series, storage, structure, universes
 from tidemark.operators import venue_rows as venue_parts
 from tidemark.plans import views as V
 from tidemark.plans.catalogue import _DEPTHS, _SLOT, _judged, _TICK, _trail, query, r
@@ -79,24 +79,46 @@ def history_join(spark, sf_dir):
 
 # --- genome
 
-_PARTS = "effective_count perp_dominance funding_8h oi_to_volume venue_count log_depth".split()
-_GENOME = _CURRENT + """,
+_PARTS = "effective_count perp_dominance funding_8h oi_to_volume venue_count log_depth volatility dispersion".split()
+_GENOME = _CURRENT + "," + V.PRICES.removeprefix(V.OBS).lstrip(", \n") + "," + V.POINTS + f""",
+tr AS ({_trail(720)}), lr AS (SELECT asset, CASE WHEN price > 0 AND lag(price) OVER o > 0 THEN ln(price / lag(price) OVER o) END AS x FROM tr WINDOW o AS (PARTITION BY asset ORDER BY ts_ms, id)), vl AS (SELECT asset, stddev_samp(x) AS volatility FROM lr GROUP BY asset),
 vc AS (SELECT asset, count(DISTINCT venue) AS venue_count FROM obs GROUP BY asset),
-ge AS (SELECT cu.asset, effective_count, cu.perp_dominance, funding_8h, oi_to_volume, venue_count::DOUBLE AS venue_count, CASE WHEN db + da > 0 THEN log10(db + da) END AS log_depth FROM cu LEFT JOIN hh USING (asset) LEFT JOIN dp USING (asset) LEFT JOIN vc USING (asset))"""
+ge AS (SELECT cu.asset, effective_count, cu.perp_dominance, funding_8h, oi_to_volume, venue_count::DOUBLE AS venue_count, CASE WHEN db + da > 0 THEN log10(db + da) END AS log_depth, volatility, mad_bps AS dispersion FROM cu LEFT JOIN hh USING (asset) LEFT JOIN dp USING (asset) LEFT JOIN vc USING (asset) LEFT JOIN vl USING (asset) LEFT JOIN (SELECT asset, mad_bps FROM pr) USING (asset))"""
 
 
 @query(f"""WITH {_GENOME}, p AS (SELECT g.asset, {', '.join(f'g.{n} - o.{n} AS {n}' for n in _PARTS)} FROM ge AS g, (SELECT * FROM ge WHERE asset = 77) AS o WHERE g.asset <> 77),
 q AS (SELECT asset, {' + '.join(f'({n} IS NOT NULL)::INT' for n in _PARTS)} AS shared, {' + '.join(f'coalesce({n} * {n}, 0)' for n in _PARTS)} AS total FROM p) SELECT asset, CASE WHEN shared >= 3 THEN round(sqrt(total / shared), 6) END AS distance, shared FROM q""")
 def genome_similarity(spark, sf_dir):
-    """How far every asset's features are from those of one asset; volatility and dispersion are left out here."""
-    depth = liquidity.depth_bands(V.book(spark, sf_dir), ["asset"]).select("asset", (F.col("depth_50_bid") + F.col("depth_50_ask")).alias("depth_50"))
-    venues = V.obs(spark, sf_dir).groupBy("asset").agg(F.count_distinct("venue").alias("venue_count"))
-    s = current(spark, sf_dir).join(robust.concentration(V.obs(spark, sf_dir), "asset", "venue", "volume"), "asset", "left").join(depth, "asset", "left").join(venues, "asset", "left")
-    s = s.withColumns({"volatility_24h": F.lit(None).cast("double"), "dispersion_bps": F.lit(None).cast("double")})
+    """How far every asset's features are from those of one asset."""
+    s = _genomes(spark, sf_dir)
     near = structure.nearest_genomes(s.select("asset", structure.genome_features(s).alias("features")), 77)
     return near.select("asset", r("distance").alias("distance"), F.size(F.split("shared", ",")).alias("shared"))
 
 
+def _genomes(spark, sf_dir):
+    """All features of assets: of today, of books, of venues, and of their series (thin ones, so a month of log returns with no gate)."""
+    obs, points = V.obs(spark, sf_dir), V.points(spark, sf_dir)
+    depth = liquidity.depth_bands(V.book(spark, sf_dir), ["asset"]).select("asset", (F.col("depth_50_bid") + F.col("depth_50_ask")).alias("depth_50"))
+    parts = [
+        robust.concentration(obs, "asset", "venue", "volume"), depth, obs.groupBy("asset").agg(F.count_distinct("venue").alias("venue_count")), pricing.reference_prices(obs).select("asset", F.col("mad_bps").alias("dispersion_bps")),
+        series.log_returns(series.trailing(points, 720)).groupBy("asset").agg(F.stddev_samp("log_return").alias("volatility_24h")),
+    ]
+    s = current(spark, sf_dir)
+    for part in parts:
+        s = s.join(part, "asset", "left")
+    return s
+
+
+@query(f"""WITH {_GENOME}, p AS (SELECT g.asset, o.asset AS neighbour, {', '.join(f'g.{n} - o.{n} AS {n}' for n in _PARTS)} FROM ge AS g JOIN ge AS o ON g.asset <> o.asset),
+q AS (SELECT asset, neighbour, {' + '.join(f'({n} IS NOT NULL)::INT' for n in _PARTS)} AS shared, {' + '.join(f'coalesce({n} * {n}, 0)' for n in _PARTS)} AS total FROM p), d AS (SELECT asset, neighbour, shared, sqrt(total / shared) AS distance FROM q WHERE shared >= 3)
+SELECT asset, neighbour, round(distance, 6) AS distance, shared, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY asset ORDER BY distance, neighbour) AS rank FROM d) WHERE rank <= 10""")
+def genome_nearest(spark, sf_dir):
+    """The ten nearest of every asset by all eight features."""
+    s = _genomes(spark, sf_dir)
+    named = s.select("asset", "effective_count", "perp_dominance", "funding_8h", "oi_to_volume", F.col("venue_count").cast("double").alias("venue_count"), F.when(F.col("depth_50") > 0, F.log10("depth_50")).alias("log_depth"), F.col("volatility_24h").alias("volatility"), F.col("dispersion_bps").alias("dispersion"))
+    return genomes.nearest(named, _PARTS, leaf=200).withColumn("distance", r("distance"))
+
+
 # --- joins of rates, marks and intervals
 
 
