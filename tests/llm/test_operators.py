@@ -90,9 +90,11 @@ def test_near_duplicates(spark, docs, monkeypatch):
     for i, (d, _) in enumerate(rows):
         least[top(i)].append(d)
     want = collections.Counter((d, len(s), min((x for x in least[top(i)] if x is not None), default=None)) for i, (d, s) in enumerate(rows))
-    for members, weight in ((4096, 8_000_000), (2, 40)):  # whole groups, and tiles of them
+    assert neardup.frequent(docs.select("text")).max() >= 8
+    for members, weight, split in ((4096, 8_000_000, 13), (2, 40, 13), (4096, 8_000_000, 3), (2, 40, 0)):  # whole groups, and tiles of them; postings of some shingles, or of all, in parts
         monkeypatch.setattr(neardup, "MOST_MEMBERS", members)
         monkeypatch.setattr(neardup, "MOST_SHINGLES", weight)
+        monkeypatch.setattr(neardup, "SPLIT_RANK", split)
         got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in neardup.labelled(docs).collect())
         assert got == want
 
@@ -139,6 +141,38 @@ def test_heavy_groups_lose_no_link(spark):
         assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values())), most
 
 
+def test_split_postings_make_the_same_blocks(spark, monkeypatch):
+    """Pairs that meet in any block are those that meet when nothing is split, and shingles with the same classes make one block."""
+    r = random.Random(6)
+    base = [f"b{k}" for k in range(40)]
+    texts = []
+    for k in range(120):
+        words_ = base[: 30 + k % 10] + [f"own{k}_{j}" for j in range(r.choice((1, 3, 60)))]
+        texts.append((" ".join(words_),))
+    df = spark.createDataFrame(texts * 3, "text string").repartition(3)
+    often = neardup.frequent(df)
+
+    def blocks_of(split):
+        monkeypatch.setattr(neardup, "SPLIT_RANK", split)
+        made = collections.defaultdict(set)
+        for x in neardup.rare_blocks(df, often, 1000).collect():
+            made[x.block].add(x.cid)
+        return {frozenset(v) for v in made.values() if len(v) > 1}
+
+    having = collections.defaultdict(set)
+    rank = np.floor(np.log2(often + 1.0)).astype(np.uint64)
+    for shingle_set in neardup.shingle_sets([t.encode() for (t,) in texts]):
+        keys = np.sort((rank[shingle_set >> np.uint64(64 - neardup.FREQUENT_BITS)] << np.uint64(58)) | (shingle_set >> np.uint64(6)))
+        for key in keys[: len(keys) - -(-75 * len(keys) // 100) + 1].tolist():
+            having[key].add(neardup.class_id(shingle_set))
+    pairs = lambda blocks: {(a, b) for block in blocks for a in block for b in block if a < b}
+    want = pairs(having.values())
+    assert len(want) > 300
+    all_split = blocks_of(0)
+    assert all_split == {frozenset(v) for v in having.values() if len(v) > 1}  # one block for each set of classes
+    assert pairs(all_split) == want and pairs(blocks_of(5)) >= want and pairs(blocks_of(60)) >= want
+
+
 def test_tree_finds_all_pairs_within_the_bound():
     r = np.random.Generator(np.random.PCG64(3))
     v = r.integers(0, 4, (300, neardup.DIMENSIONS)).astype(np.int32)

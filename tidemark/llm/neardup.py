@@ -51,6 +51,8 @@ MOST_MEMBERS, MOST_SHINGLES = 4096, 8_000_000
 #: Classes up to which their ids are sent to all tasks rather than joined by a shuffle.
 BROADCAST_CLASSES = 1_000_000
 FREQUENT_BITS, FREQUENT_LOCAL = 20, 4
+#: Shingles that occur 2**SPLIT_RANK times or more have their postings split over tasks, of some half as many each.
+SPLIT_RANK = 13
 _U = np.uint64
 
 
@@ -332,8 +334,13 @@ def rare_blocks(texts: DataFrame, often: np.ndarray, text_bytes: int) -> DataFra
     A task merges lists of its shingles that overlap, which loses no pair, and
     blocks with the same members, of whatever task, are one: a group of copies
     is then about one block and not one for each shingle.
+
+    A shingle of very many classes is split: each of its parts, by class, goes to
+    a task of its own, and the parts together are one block. Parts have digests
+    that add up to the block's, so blocks with the same members are found and
+    kept once here too, without any task that sees a whole one.
     """
-    n_targets = max(shuffle_partitions(texts.sparkSession), text_bytes // TARGET_BYTES)
+    n_targets, split_rank = max(shuffle_partitions(texts.sparkSession), text_bytes // TARGET_BYTES), SPLIT_RANK
     rank = texts.sparkSession.sparkContext.broadcast(np.floor(np.log2(often + 1.0)).astype(np.uint8))
     schema = pa.schema([("target", pa.int32()), ("payload", pa.binary())])
 
@@ -351,10 +358,14 @@ def rare_blocks(texts: DataFrame, often: np.ndarray, text_bytes: int) -> DataFra
                 continue
             keys = np.concatenate(prefixes)
             owner = np.repeat(np.arange(len(prefixes), dtype=np.uint32), [len(p) for p in prefixes])
-            target = (mix(keys) % _U(n_targets)).astype(np.int32)
+            names = np.fromiter(cids, np.int64, len(cids))
+            rank_of = (keys >> _U(58)).astype(np.int64)
+            parts = _U(1) << np.maximum(rank_of - split_rank + 1, 0).astype(_U)
+            with np.errstate(over="ignore"):
+                part = mix(names.view(_U))[owner] & (parts - _U(1))
+                target = (mix(keys + part * _U(0x9E3779B97F4A7C15)) % _U(n_targets)).astype(np.int32)
             order = np.lexsort((keys, target))
             keys, owner, target = keys[order], owner[order], target[order]
-            names = np.fromiter(cids, np.int64, len(cids))
             cuts = np.flatnonzero(np.diff(target, prepend=-1, append=-1))
             for a, b in zip(cuts, cuts[1:], strict=False):
                 used, at = np.unique(owner[a:b], return_inverse=True)
@@ -369,7 +380,9 @@ def rare_blocks(texts: DataFrame, often: np.ndarray, text_bytes: int) -> DataFra
         keys, cids = keys[order], cids[order]
         new = np.concatenate(([True], (keys[1:] != keys[:-1]) | (cids[1:] != cids[:-1])))
         keys, cids = keys[new], cids[new]
-        begin = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        hot = (keys >> _U(58)).astype(np.int64) >= split_rank
+        hot_keys, hot_cids, keys, cids = keys[hot], cids[hot], keys[~hot], cids[~hot]
+        begin = np.flatnonzero(np.diff(keys, prepend=~keys[:1])) if len(keys) else np.zeros(0, np.int64)
         size = np.diff(np.append(begin, len(keys)))
         several = np.repeat(size > 1, size)
         names, member = np.unique(cids[several], return_inverse=True)
@@ -380,10 +393,20 @@ def rare_blocks(texts: DataFrame, often: np.ndarray, text_bytes: int) -> DataFra
         begin = np.flatnonzero(np.diff(label, prepend=-1))
         with np.errstate(over="ignore"):
             block = mix(np.add.reduceat(mix(names.view(_U)), begin)) if len(begin) else np.zeros(0, _U)
-        lists = pa.ListArray.from_arrays(pa.array(np.append(begin, len(names)), pa.int32()), pa.array(names, pa.int64()))
-        return pa.table({"block": pa.array(block.view(np.int64)), "cids": lists})
-
-    return texts.select("text").mapInArrow(emit, "target int, payload binary").groupBy("target").applyInArrow(gather, "block long, cids array<long>").dropDuplicates(["block"]).select("block", F.explode("cids").alias("cid"))
+        first = np.flatnonzero(np.diff(hot_keys, prepend=~hot_keys[:1])) if len(hot_keys) else np.zeros(0, np.int64)
+        digest = np.bitwise_xor.reduceat(mix(hot_cids.view(_U)), first) if len(first) else np.zeros(0, _U)
+        ends = np.concatenate((np.append(begin, len(names)), len(names) + np.append(first, len(hot_cids))[1:])).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate((names, hot_cids)), pa.int64()))
+        key = pa.concat_arrays([pa.nulls(len(block), pa.int64()), pa.array(hot_keys[first].view(np.int64))])
+        return pa.table({"block": pa.array(np.concatenate((block, digest)).view(np.int64)), "cids": lists, "key": key})
+
+    found = texts.select("text").mapInArrow(emit, "target int, payload binary").groupBy("target").applyInArrow(gather, "block long, cids array<long>, key long")
+    if int(rank.value.max()) < split_rank:
+        return found.dropDuplicates(["block"]).select("block", F.explode("cids").alias("cid"))
+    found = store(found, "postings")
+    whole = found.filter("key is not null").groupBy("key").agg(F.bit_xor("block").alias("whole")).groupBy("whole").agg(F.min("key").alias("w_key"))  # of shingles with the same classes one is enough
+    parts = found.join(whole, F.col("key") == F.col("w_key")).select(F.xxhash64("whole").alias("block"), "cids")
+    return found.filter("key is null").dropDuplicates(["block"]).select("block", "cids").union(parts).select("block", F.explode("cids").alias("cid"))
 
 
 def labelled(docs: DataFrame) -> DataFrame:
