@@ -33,6 +33,25 @@ def test_levels(spark):
     assert [(x.price, x.size) for x in b.levels] == [(4.0, 2.0), (3.0, 1.0)] and b.truncated
 
 
+def test_book_plan_against_a_plain_fold(spark):
+    import random
+    from collections import Counter
+
+    from tidemark.operators import universes
+
+    r = random.Random(8)
+    for total, per_venue, per_asset, assets, venues in ((20, 5, 2, 6, 3), (20, 5, 2, 60, 9), (12, 12, 1, 30, 2), (30, 3, 3, 4, 40)):
+        rows = [(r.randrange(assets), r.randrange(venues), f"i{k:04d}", r.randrange(40)) for k in range(500)]
+        by_asset, by_venue, want = Counter(), Counter(), []
+        for a, v, i, rank in sorted(rows, key=lambda x: (x[3], x[2])):
+            if len(want) < total and by_asset[a] < per_asset and by_venue[v] < per_venue:
+                by_asset[a] += 1
+                by_venue[v] += 1
+                want.append((a, v, i, rank, len(want) + 1))
+        got = universes.book_plan(spark.createDataFrame(rows, "asset long, venue long, instrument string, rank long"), total, per_venue, per_asset).collect()
+        assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_book_plan_skips_without_spending(spark):
     rows = [(1, 1, f"a{k}", k) for k in range(3)] + [(2, 1, "b", 3), (3, 2, "c", 4)]
     got = universes.book_plan(spark.createDataFrame(rows, "asset long, venue long, instrument string, rank long"), total=4, per_venue=3, per_asset=2)

@@ -73,6 +73,12 @@ def provenance(obs: DataFrame) -> DataFrame:
     return over_median(shared, ["asset"], "price", "weight", ["raw_weight"], "reference_price")
 
 
+def ordered(rows: DataFrame, instrument: list[str]) -> DataFrame:
+    """provenance() rows with their place among an asset's, as they are told: included ones first, then by venue and instrument."""
+    order = Window.partitionBy("asset").orderBy(F.desc("included"), "venue", *instrument)
+    return rows.withColumn("place", F.row_number().over(order))
+
+
 def representative(rows: DataFrame, keys: list[str], rate: Column, last: list[str]) -> DataFrame:
     """Of each group's provenance() rows the one that stands for it, by included, no option, spot, convertible, weight, volume and `last`; one aggregate, whatever a group's size."""
     no = lambda c: F.when(c, 0).otherwise(1)

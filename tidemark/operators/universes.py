@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ELIGIBLE = ("resolved", "manual_override")
-#: Assets that are followed live, and candidates that the book plan looks at in one go.
-LIVE_ASSETS, MOST_PIECE = 150, 20_000
+#: Assets that are followed live.
+LIVE_ASSETS = 150
 
 
 def universe(states: DataFrame, name: str) -> DataFrame:
@@ -34,33 +34,31 @@ def universe(states: DataFrame, name: str) -> DataFrame:
 def book_plan(candidates: DataFrame, total: int = 600, per_venue: int = 60, per_asset: int = 6) -> DataFrame:
     """Instruments whose books are fetched, by rank, within budgets for each asset, each venue and all; a skipped one costs nothing.
 
-    Whether a candidate fits depends on those picked before. While the total is not
-    spent, fewer than total / per_venue venues are full, so of one asset and venue
-    no more than per_asset candidates matter, and of one venue those beyond its
-    budget matter only where earlier ones were skipped for their assets. The fold
-    therefore takes candidates in rank order in ever larger pieces, off a ranking
-    that stays distributed, and stops when the total is spent, when all venues are
-    full, or when there are no more; it never holds more than a piece.
+    Whether a candidate fits depends on those picked before, but few can matter.
+    No more than total / per_asset assets and total / per_venue venues are ever
+    full, so a candidate is out
+
+    - behind the first per_asset of its asset and venue: the asset is full, or the venue was when one of them was skipped;
+    - behind the first per_venue + full assets * per_asset of its venue: no more of those before it can have been skipped for their assets;
+    - behind the first per_asset + full venues * per_asset of its asset, likewise;
+    - behind the first total + full assets * (the limit of an asset) + full venues * (that of a venue) of all.
+
+    So windows and one top-k leave some thousands of rows, whatever the number of
+    candidates, and the driver goes through them once.
     """
-    spark = candidates.sparkSession
-    schema = "asset long, venue long, instrument string, rank long, picked int"
-    pair = Window.partitionBy("asset", "venue").orderBy("rank", "instrument")
-    best = candidates.select("asset", "venue", "instrument", "rank").withColumn("_k", F.row_number().over(pair)).filter(F.col("_k") <= per_asset).drop("_k")
-    by_asset, by_venue, picked, after, piece = Counter(), Counter(), [], None, 4 * total
-    while len(picked) < total:
-        left = best if after is None else best.filter((F.col("rank") > after[0]) | ((F.col("rank") == after[0]) & (F.col("instrument") > after[1])))
-        full = [v for v, n in by_venue.items() if n >= per_venue]
-        left = left.filter(~F.col("venue").isin(full)) if full else left
-        rows = left.orderBy("rank", "instrument").limit(piece).collect()
-        for r in rows:
-            if len(picked) < total and by_asset[r.asset] < per_asset and by_venue[r.venue] < per_venue:
-                by_asset[r.asset] += 1
-                by_venue[r.venue] += 1
-                picked.append((r.asset, r.venue, r.instrument, r.rank, len(picked) + 1))
-        if len(rows) < piece:
-            break
-        after, piece = (rows[-1].rank, rows[-1].instrument), min(2 * piece, MOST_PIECE)
-    return spark.createDataFrame(picked, schema)
+    full_assets, full_venues = total // per_asset, total // per_venue
+    of_venue, of_asset = per_venue + full_assets * per_asset, per_asset + full_venues * per_asset
+    first = lambda df, keys, most: df.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy("rank", "instrument"))).filter(F.col("_k") <= most).drop("_k")
+    few = candidates.select("asset", "venue", "instrument", "rank")
+    for keys, most in ((("asset", "venue"), per_asset), (("asset",), of_asset), (("venue",), of_venue)):
+        few = first(few, keys, most)
+    by_asset, by_venue, picked = Counter(), Counter(), []
+    for r in few.orderBy("rank", "instrument").limit(total + full_assets * of_asset + full_venues * of_venue).collect():
+        if len(picked) < total and by_asset[r.asset] < per_asset and by_venue[r.venue] < per_venue:
+            by_asset[r.asset] += 1
+            by_venue[r.venue] += 1
+            picked.append((r.asset, r.venue, r.instrument, r.rank, len(picked) + 1))
+    return candidates.sparkSession.createDataFrame(picked, "asset long, venue long, instrument string, rank long, picked int")
 
 
 def live_universe(states: DataFrame, meta: DataFrame, most: int = LIVE_ASSETS, least_venues: int = 2, probable: bool = True) -> DataFrame:

@@ -110,6 +110,18 @@ def web_export(spark, sf_dir):
     return spark.createDataFrame(rows, "status string, n long")
 
 
+@query(f"""WITH {MARKET}, t AS (SELECT asset_id, asset, round(reference_price, 6) AS price, venue_count, round(reported_volume_24h_usd, 2) AS volume, row_number() OVER (ORDER BY reported_volume_24h_usd DESC NULLS LAST, asset_id) AS n FROM market),
+d AS (SELECT asset_id, asset, price_dispersion_bps AS x, row_number() OVER (ORDER BY price_dispersion_bps DESC NULLS LAST, asset_id) AS n FROM market WHERE venue_count >= 2)
+SELECT 'detail' AS part, asset_id, asset AS symbol, price, venue_count, volume FROM t WHERE n <= 20 UNION ALL SELECT 'by_dispersion', asset_id, asset, round(x, 6), NULL, NULL FROM d WHERE n <= 10""")
+def web_export_content(spark, sf_dir):
+    """What the exported files say, read back: details of the largest assets, and the list by dispersion."""
+    folder = shared_folder(spark, "web")
+    datasets.export_web(stored(spark, sf_dir), folder, 20)
+    details = spark.read.json(f"{folder}/assets").select(F.lit("detail").alias("part"), "asset_id", "symbol", r("reference_price.value").alias("price"), F.col("venue_count").cast("long").alias("venue_count"), r("reported_volume_24h_usd", 2).alias("volume"))
+    listed = spark.read.json(f"{folder}/market-overview.json").select(F.inline("by_dispersion"))
+    return details.unionByName(listed.select(F.lit("by_dispersion").alias("part"), "asset_id", "symbol", r("dispersion__price_dispersion_bps").alias("price"), F.lit(None).cast("long").alias("venue_count"), F.lit(None).cast("double").alias("volume")))
+
+
 @query("SELECT 'P' || (p_partkey % 5) AS symbol, count(*) AS n, 'x' AS root__kind, min(p_partkey)::VARCHAR AS root__low__id FROM part GROUP BY 1")
 def unflattened_rows(spark, sf_dir):
     """Rows with a__b__c columns as nested values, flattened again."""

@@ -333,6 +333,15 @@ for _unit in ("day", "month"):
         lambda spark, sf_dir, unit=_unit: storage.rollup(V.table(spark, sf_dir, "events").select("ts", F.col("event_id").alias("id"), "value"), unit).select("since", "n", *[r(c).alias(c) for c in ("low", "high", "mean", "first", "last")]))
 
 
+_INSTRUMENT = ["l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice"]
+
+
+@query(f"WITH {V.PRICES} SELECT asset, venue, l_orderkey, l_linenumber, reason, row_number() OVER (PARTITION BY asset ORDER BY CASE WHEN reason IS NULL THEN 0 ELSE 1 END, venue, {', '.join(_INSTRUMENT)})::INT AS place FROM w2")
+def provenance_order(spark, sf_dir):
+    """The order in which an asset's observations are told: those in the price first, then by venue and instrument."""
+    return pricing.ordered(pricing.provenance(V.obs(spark, sf_dir)), _INSTRUMENT).select("asset", "venue", "l_orderkey", "l_linenumber", "reason", "place")
+
+
 _RUNS = f"""gen AS (SELECT event_id AS id, epoch_us(ts) // 1000 AS ts_ms, event_id % 7 > 0 AS due, event_type <> 'error' AS valid FROM events WHERE epoch_us(ts) // 1000 IS NOT NULL),
 slo AS (SELECT *, ts_ms // 900000 * 900000 AS slot, ts_ms // 86400000 * 86400000 AS day FROM gen),
 tak AS (SELECT slot, count(*) FILTER (due) AS runs, count(*) FILTER (due AND valid) AS good, count(*) FILTER (NOT due) AS unexpected FROM slo GROUP BY slot),
