@@ -52,10 +52,21 @@ BOOKS = {
     "okx": {"code": "0", "data": [{"bids": [[p, s, "0", "1"] for p, s in BIDS], "asks": [[p, s, "0", "2"] for p, s in ASKS], "ts": str(T)}]}, "binance": {"lastUpdateId": 5, "bids": BIDS, "asks": ASKS}, "binance_derivatives": {"E": T, "T": T - 1, "bids": BIDS, "asks": ASKS},
     "bybit": {"result": {"s": "A", "b": BIDS, "a": ASKS, "ts": T, "u": 1}, "time": T + 9}, "coinbase": {"bids": [[p, s, 1] for p, s in BIDS], "asks": [[p, s, 1] for p, s in ASKS], "sequence": 3}, "bitget": {"data": {"bids": BIDS, "asks": ASKS, "ts": str(T)}}, "gateio": {"bids": BIDS, "asks": ASKS, "current": T, "update": T - 1},
     "kucoin": {"data": {"time": T, "bids": BIDS, "asks": ASKS}}, "mexc": {"lastUpdateId": 1, "bids": BIDS, "asks": ASKS}, "kraken": {"result": {"XAA": {"bids": [[p, s, 1] for p, s in BIDS], "asks": [[p, s, 1] for p, s in ASKS]}}},
-}
+    "krakenfutures": {"result": "success", "orderBook": {"bids": [[float(p), float(s)] for p, s in BIDS], "asks": [[float(p), float(s)] for p, s in ASKS]}}, "htx": {"ch": "x", "ts": T + 50, "tick": {"ts": T, "bids": [[float(p), float(s)] for p, s in BIDS], "asks": [[float(p), float(s)] for p, s in ASKS]}},
+    "cryptocom": {"result": {"depth": 2, "data": [{"bids": [[p, s, "1"] for p, s in BIDS], "asks": [[p, s, "1"] for p, s in ASKS], "t": T}]}}, "deribit": {"result": {"timestamp": T, "bids": [[float(p), float(s)] for p, s in BIDS], "asks": [[float(p), float(s)] for p, s in ASKS]}},
+    "hyperliquid": {"coin": "A", "time": T, "levels": [[{"px": p, "sz": s, "n": 1} for p, s in BIDS], [{"px": p, "sz": s, "n": 1} for p, s in ASKS]]}, "dydx": {"bids": [{"price": p, "size": s} for p, s in BIDS], "asks": [{"price": p, "size": s} for p, s in ASKS]},
+    "bitstamp": {"timestamp": str(T // 1000), "microtimestamp": str(T * 1000 + 5), "bids": BIDS, "asks": ASKS},
+}
+#: Venues whose books tell no time.
+TIMELESS = {"binance", "coinbase", "kraken", "krakenfutures", "mexc", "dydx"}
 
 
-@pytest.mark.parametrize("venue", sorted(set(BOOKS) & set(K.BOOK_BY_VENUE)))
+def test_every_book_has_a_payload():
+    assert set(BOOKS) == set(K.BOOK_BY_VENUE)
+
+
+@pytest.mark.parametrize("venue", sorted(BOOKS))
 def test_book(spark, venue):
     got = K.book(spark.createDataFrame([("A", json.dumps(BOOKS[venue]))], "symbol string, payload string"), venue, 20).first()
     assert [(x.price, x.size) for x in got.bids] == [(10, 1), (9.5, 2)] and [(x.price, x.size) for x in got.asks] == [(11, 3), (11.5, 4)] and not got.truncated
+    assert got.event_ms == (None if venue in TIMELESS else T - 1 if venue == "binance_derivatives" else T)

@@ -199,6 +199,11 @@ def _catalogue(spark, sf_dir, c):
 _LEVELS = "lv AS (SELECT 'S' || l_suppkey || 'Y' || year(l_shipdate) AS symbol, CASE WHEN l_linestatus = 'O' THEN 'bid' ELSE 'ask' END AS side, l_extendedprice - 2000 AS price, l_quantity - 2 AS size FROM lineitem)"
 
 
+def _clock(feed) -> int:
+    """The time that the venue's books are of, in its own precision."""
+    return 1_700_000_000_123 // feed.time_ms * feed.time_ms
+
+
 def _books(spark, sf_dir, feed):
     l = V.table(spark, sf_dir, "lineitem").withColumn("symbol", F.concat(F.lit("S"), "l_suppkey", F.lit("Y"), F.year("l_shipdate")))  # noqa: E741
     p, s = (F.col("l_extendedprice") - 2000).cast("string"), (F.col("l_quantity") - 2).cast("string")
@@ -218,7 +223,7 @@ def _books(spark, sf_dir, feed):
 
     def body(node):
         if not isinstance(node, dict):
-            return {"BIDS": F.col("bids"), "ASKS": F.col("asks"), "TIME": F.lit("1700000000123")}[node]
+            return {"BIDS": F.col("bids"), "ASKS": F.col("asks"), "TIME": F.lit(str(_clock(feed) // feed.time_ms))}[node]
         if all(k.startswith("[") for k in node):
             return F.concat(F.lit("["), F.concat_ws(",", *[body(node[k]) for k in sorted(node)]), F.lit("]"))
         return F.concat(F.lit("{"), F.concat_ws(",", *[F.concat(F.lit(f'"{"PAIR" if k == "*" else k}":'), body(v)) for k, v in node.items()]), F.lit("}"))
@@ -232,7 +237,7 @@ def _books(spark, sf_dir, feed):
 
 
 def _book_sql(feed):
-    time = "1700000000123" if feed.time else "NULL"
+    time = str(_clock(feed)) if feed.time else "NULL"
     return f"""SELECT 'book' AS product, symbol, field, round(number, 6) AS number, text FROM (SELECT symbol, unnest(['best_bid', 'best_ask', 'n_bids', 'n_asks', 'bid_value', 'ask_value', 'event_ms', 'cut']) AS field, unnest([bb, ba, nb, na, vb, va, {time}, NULL]::DOUBLE[]) AS number, unnest([NULL, NULL, NULL, NULL, NULL, NULL, NULL, cut]) AS text FROM (
 SELECT symbol, max(price) FILTER (side = 'bid' AND k <= 20) AS bb, min(price) FILTER (side = 'ask' AND k <= 20) AS ba, count(*) FILTER (side = 'bid' AND k <= 20) AS nb, count(*) FILTER (side = 'ask' AND k <= 20) AS na, round(coalesce(sum(price * size) FILTER (side = 'bid' AND k <= 20), 0), 2) AS vb, round(coalesce(sum(price * size) FILTER (side = 'ask' AND k <= 20), 0), 2) AS va, CASE WHEN max(k) > 20 THEN 'true' ELSE 'false' END AS cut
 FROM (SELECT *, CASE WHEN price > 0 AND size > 0 THEN row_number() OVER (PARTITION BY symbol, side, price > 0 AND size > 0 ORDER BY CASE side WHEN 'bid' THEN -price ELSE price END, CASE side WHEN 'bid' THEN -size ELSE size END) END AS k FROM lv) GROUP BY symbol)) WHERE number IS NOT NULL OR text IS NOT NULL"""

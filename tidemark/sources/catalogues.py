@@ -132,15 +132,16 @@ class BookFeed:
     price: str | int = 0  # in a level: position or key
     size: str | int = 1
     time: str | None = None
+    time_ms: int = 1  # milliseconds in one of the clock's units
 
 
 # Where each venue's books have their levels.
 BOOKS = [
     BookFeed("okx", "$.data[0].bids", "$.data[0].asks", time="$.data[0].ts"), BookFeed("binance", "$.bids", "$.asks"), BookFeed("binance_derivatives", "$.bids", "$.asks", time="$.T"), BookFeed("bybit", "$.result.b", "$.result.a", time="$.result.ts"),
     BookFeed("coinbase", "$.bids", "$.asks"), BookFeed("kraken", "$.result.*.bids", "$.result.*.asks"), BookFeed("krakenfutures", "$.orderBook.bids", "$.orderBook.asks"), BookFeed("bitget", "$.data.bids", "$.data.asks", time="$.data.ts"),
-    BookFeed("gateio", "$.bids", "$.asks", time="$.current"), BookFeed("kucoin", "$.data.bids", "$.data.asks", time="$.data.time"), BookFeed("mexc", "$.bids", "$.asks", time="$.timestamp"), BookFeed("htx", "$.tick.bids", "$.tick.asks", time="$.ts"),
+    BookFeed("gateio", "$.bids", "$.asks", time="$.current"), BookFeed("kucoin", "$.data.bids", "$.data.asks", time="$.data.time"), BookFeed("mexc", "$.bids", "$.asks", time="$.timestamp"), BookFeed("htx", "$.tick.bids", "$.tick.asks", time="$.tick.ts"),
     BookFeed("cryptocom", "$.result.data[0].bids", "$.result.data[0].asks", time="$.result.data[0].t"), BookFeed("deribit", "$.result.bids", "$.result.asks", time="$.result.timestamp"), BookFeed("hyperliquid", "$.levels[0]", "$.levels[1]", "px", "sz", "$.time"),
-    BookFeed("dydx", "$.bids", "$.asks", "price", "size"), BookFeed("bitstamp", "$.bids", "$.asks", time="$.microtimestamp"),
+    BookFeed("dydx", "$.bids", "$.asks", "price", "size"), BookFeed("bitstamp", "$.bids", "$.asks", time="$.timestamp", time_ms=1000),
 ]
 BOOK_BY_VENUE = {b.venue: b for b in BOOKS}
 
@@ -159,7 +160,7 @@ def book(payloads: DataFrame, venue: str, depth: int = 50) -> DataFrame:
             pairs = F.transform(F.from_json(text, "array<map<string,string>>"), lambda x: F.array(F.element_at(x, feed.price), F.element_at(x, feed.size)))
         return build_levels(F.coalesce(pairs, F.array().cast("array<array<string>>")), depth, descending)
 
-    ms = F.lit(None).cast("long") if feed.time is None else parse_whole(F.get_json_object("payload", feed.time))
+    ms = F.lit(None).cast("long") if feed.time is None else parse_whole(F.get_json_object("payload", feed.time)) * feed.time_ms
     both = payloads.select("symbol", side(feed.bids, True).alias("b"), side(feed.asks, False).alias("a"), ms.alias("event_ms"))
     return both.select(F.lit(venue).alias("venue"), "symbol", F.col("b.levels").alias("bids"), F.col("a.levels").alias("asks"), (F.col("b.truncated") | F.col("a.truncated")).alias("truncated"), "event_ms")
 
