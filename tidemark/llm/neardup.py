@@ -403,10 +403,10 @@ def rare_blocks(texts: DataFrame, often: np.ndarray, text_bytes: int) -> DataFra
     found = texts.select("text").mapInArrow(emit, "target int, payload binary").groupBy("target").applyInArrow(gather, "block long, cids array<long>, key long")
     if int(rank.value.max()) < split_rank:
         return found.dropDuplicates(["block"]).select("block", F.explode("cids").alias("cid"))
-    found = store(found, "postings")
+    found = store(found.dropDuplicates(["block", "key"]), "postings")
     whole = found.filter("key is not null").groupBy("key").agg(F.bit_xor("block").alias("whole")).groupBy("whole").agg(F.min("key").alias("w_key"))  # of shingles with the same classes one is enough
     parts = found.join(whole, F.col("key") == F.col("w_key")).select(F.xxhash64("whole").alias("block"), "cids")
-    return found.filter("key is null").dropDuplicates(["block"]).select("block", "cids").union(parts).select("block", F.explode("cids").alias("cid"))
+    return found.filter("key is null").select("block", "cids").union(parts).select("block", F.explode("cids").alias("cid"))
 
 
 def labelled(docs: DataFrame) -> DataFrame:
