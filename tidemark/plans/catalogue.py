@@ -127,8 +127,9 @@ def group_statistics(spark, sf_dir):
 
 @query(f"WITH {V.OBS}, l AS (SELECT asset, list(volume ORDER BY volume) AS ws FROM obs WHERE volume IS NOT NULL GROUP BY asset), c AS (SELECT asset, {V.cap_sql('ws')} AS s FROM l) SELECT asset, round(list_max(s), 6) AS largest, round(list_min(s), 6) AS smallest, round(list_sum(s), 6) AS total FROM c")
 def cap_weights(spark, sf_dir):
-    w = V.obs(spark, sf_dir).groupBy("asset").agg(F.array_sort(F.collect_list("volume")).alias("w")).filter(F.size("w") > 0).withColumn("s", robust.cap_weights(F.col("w"), 0.35))
-    return w.select("asset", r(F.array_max("s")).alias("largest"), r(F.array_min("s")).alias("smallest"), r(C.total(F.col("s"))).alias("total"))
+    """Capped shares by windows, which spill, however many observations an asset has."""
+    shares = pricing.capped_shares(V.obs(spark, sf_dir).filter("volume is not null").select("asset", "volume"), ["asset"], "volume")
+    return shares.groupBy("asset").agg(r(F.max("share")).alias("largest"), r(F.min("share")).alias("smallest"), r(F.sum("share")).alias("total"))
 
 
 @query(f"WITH {V.OBS}, {V.VOLUMES} SELECT asset, round(hhi, 6) AS hhi, round(effective_count, 6) AS effective_count, round(largest_share, 6) AS largest_share FROM hh")
