@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.runtime import table
+from tidemark.llm.runtime import store, table
 
 ESC = "␛"
 #: Control strings of common chat templates, as their first sign and what follows it. No tail may hold a first sign.
@@ -69,18 +69,12 @@ def _unescaped_role(role):
     return unescaped(F.replace(F.replace(role, F.lit(ESC + "1"), F.lit("\n")), F.lit(ESC + "0"), F.lit(ESC)))
 
 
-def examples(conversations: DataFrame, template: Template = CHAT_ML, chunk: int = CHUNK) -> DataFrame:
-    """conv_id, example (the ordinal of its last turn), text, loss_start, loss_end (code points from 0, the end exclusive; null if nothing is trainable)."""
-    role, text = F.coalesce(F.col("role").cast("string"), F.lit("")), F.coalesce(F.col("text").cast("string"), F.lit(""))
-    turns = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"))
-    sizes = turns.groupBy(F.col("conv_id").alias("s_conv")).agg(F.count_if(F.col("role") == template.assistant).alias("replies"), F.sum(F.octet_length("text") + F.octet_length("role") + 32).alias("chars"))
-    heavy = sizes.withColumn("chunks", F.least(F.ceil(F.col("replies") / chunk * F.col("chars")), F.col("replies")).cast("int")).filter("chunks > 1").select("s_conv", "chunks")
-    dealt = turns.join(heavy, F.col("conv_id").eqNullSafe(F.col("s_conv")), "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-    dealt = dealt.select("conv_id", "turn", "role", "text", "chunks", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
-    whole = dealt.groupBy("conv_id", "chunk", "chunks").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+def _made(turns: DataFrame, template: Template, by: list[str]) -> DataFrame:
+    """Examples of conversations whose turns are grouped by conv_id, or by conv_id, chunk and chunks."""
+    whole = turns.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
     piece = lambda t: F.concat(F.lit(template.opening), _escaped_role(t.role), F.lit("\n"), escaped(t.text), F.lit(template.closing))
     ends = F.filter(F.sequence(F.lit(1), F.size("turns")), lambda i: (F.element_at("turns", i).role == template.assistant) | (i == F.size("turns")))
-    mine = F.filter(ends, lambda _, j: j % F.col("chunks") == F.col("chunk"))
+    mine = F.filter(ends, lambda _, j: j % F.col("chunks") == F.col("chunk")) if "chunk" in by else ends
     cut = whole.select("conv_id", F.transform("turns", piece).alias("pieces"), F.transform(mine, lambda i: F.struct(i.alias("example"), (F.element_at("turns", i).role == template.assistant).alias("reply"))).alias("ends"))
     one = cut.select("conv_id", "pieces", F.explode("ends").alias("end")).select("conv_id", F.col("end.example").alias("example"), F.col("end.reply").alias("reply"), F.array_join(F.slice("pieces", F.lit(1), F.col("end.example")), "").alias("text"), F.char_length(F.element_at("pieces", F.col("end.example"))).alias("last"))
     header = len(template.opening) + len(template.assistant) + 1
@@ -88,6 +82,26 @@ def examples(conversations: DataFrame, template: Template = CHAT_ML, chunk: int
     return one.select("conv_id", "example", "text", start.alias("loss_start"), F.when(F.col("reply"), F.char_length("text") - len(template.closing)).alias("loss_end"))
 
 
+def parts(conversations: DataFrame, template: Template = CHAT_ML, chunk: int = CHUNK) -> list[DataFrame]:
+    """The examples in one part, or in two if there are conversations to be dealt out; a conversation is wholly in one. Turns move once, by conversation, so what is then grouped by it moves no more."""
+    role, text = F.coalesce(F.col("role").cast("string"), F.lit("")), F.coalesce(F.col("text").cast("string"), F.lit(""))
+    turns = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"))
+    sizes = turns.groupBy(F.col("conv_id").alias("s_conv")).agg(F.count_if(F.col("role") == template.assistant).alias("replies"), F.sum(F.octet_length("text") + F.octet_length("role") + 32).alias("chars"))
+    chunks = F.least(F.ceil(F.col("replies") / chunk * F.col("chars")), F.col("replies")).cast("int")
+    heavy = store(sizes.withColumn("chunks", chunks).filter("chunks > 1").select("s_conv", "chunks"), "long-conversations")
+    if not heavy.limit(1).count():
+        return [_made(turns, template, ["conv_id"])]
+    same = F.col("conv_id").eqNullSafe(F.col("s_conv"))
+    dealt = turns.join(heavy, same).select("conv_id", "turn", "role", "text", "chunks", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    return [_made(turns.join(heavy, same, "left_anti"), template, ["conv_id"]), _made(dealt, template, ["conv_id", "chunk", "chunks"])]
+
+
+def examples(conversations: DataFrame, template: Template = CHAT_ML, chunk: int = CHUNK) -> DataFrame:
+    """conv_id, example (the ordinal of its last turn), text, loss_start, loss_end (code points from 0, the end exclusive; null if nothing is trainable)."""
+    made, *more = parts(conversations, template, chunk)
+    return made.union(more[0]) if more else made
+
+
 def trained(text: str = "text"):
     """What an example's mask covers, as it stood in the conversation; null if nothing is trainable."""
     return unescaped(F.substring(F.col(text), F.col("loss_start") + 1, F.col("loss_end") - F.col("loss_start")))
@@ -114,7 +128,8 @@ def read_back(made: DataFrame, template: Template = CHAT_ML) -> DataFrame:
 def op13_chat_formatting(spark, sf_dir):
     """All conversations, and one whose texts are control strings, formatted and read back."""
     probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
-    back = read_back(examples(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(probe)))
+    back, *more = [read_back(part) for part in parts(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(probe))]
+    back = back.union(more[0]) if more else back
     told, loss = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), ""), F.array_join("replies", "")
     return back.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told.cast("binary"), 256).alias("turns_sha256"),
