@@ -44,3 +44,21 @@ def tied(tmp_path_factory):
 @pytest.mark.parametrize("name", ["reference_price", "price_dispersion", "fragmentation_index", "venue_states", "venue_table"])
 def test_ties_at_half_of_all_weight(spark, tied, name):
     same(spark, tied, name)
+
+
+@pytest.fixture(scope="module")
+def unpriced(tmp_path_factory):
+    """The smallest tables and a part with two prices of equal weight, both too far from their mean."""
+    folder, sf = tmp_path_factory.mktemp("unpriced"), "/root/testdata/sf0.001"
+    duckdb.execute(f"COPY (FROM '{sf}/part.parquet' UNION ALL (SELECT * REPLACE (900001 AS p_partkey) FROM '{sf}/part.parquet' LIMIT 1)) TO '{folder}/part.parquet' (FORMAT parquet)")
+    line = f"SELECT * REPLACE (900001 AS l_partkey, 'A' AS l_returnflag, 'O' AS l_linestatus, 1 AS l_linenumber, 50000 AS l_extendedprice, %s AS l_discount, %s AS l_tax, %s AS l_suppkey) FROM (FROM '{sf}/lineitem.parquet' LIMIT 1)"
+    duckdb.execute(f"COPY (FROM '{sf}/lineitem.parquet' UNION ALL {line % (0.0, 0.0, 1)} UNION ALL {line % (0.1, 0.08, 2)}) TO '{folder}/lineitem.parquet' (FORMAT parquet)")
+    return _linked(folder, ("lineitem.parquet", "part.parquet"))
+
+
+UNPRICED = ["client_counts", "coverage_and_freshness", "market_overview", "market_star", "mql_is_null", "mql_star", "fragmentation_index", "price_dispersion", "reference_price", "web_export", "client_market", "client_search"]
+
+
+@pytest.mark.parametrize("name", UNPRICED)
+def test_assets_without_a_price(spark, unpriced, name):
+    same(spark, unpriced, name)
