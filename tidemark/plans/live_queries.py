@@ -183,12 +183,20 @@ def live_states(spark, sf_dir):
     return s.select("asset", r(F.col("price") + OFF, 4).alias("price"), "method", "venues_used", "venues_seen", r("dispersion_bps", 4).alias("dispersion_bps"), r(F.col("volume_24h_usd") + OFF, 4).alias("volume"), r("vs_generation_bps", 4).alias("vs_generation_bps"))
 
 
-@query(f"WITH {_STATES} SELECT rank, symbol, round(price + {OFF}, 4) AS price FROM (SELECT *, 's' || asset AS symbol, row_number() OVER (ORDER BY asset % 7, asset) AS rank FROM (SELECT DISTINCT user_id AS asset FROM events) QUALIFY rank <= 150) JOIN li USING (asset) WHERE asset IN (SELECT user_id FROM events WHERE event_type = 'signup') ORDER BY rank LIMIT 40")
+#: Ids of a block in which assets are numbered.
+_BLOCK = 100_000
+
+
+@query(f"WITH {_STATES} SELECT rank, symbol, round(price + {OFF}, 4) AS price FROM (SELECT *, 's' || asset AS symbol, row_number() OVER (ORDER BY asset % 7, asset) AS rank FROM (SELECT DISTINCT user_id AS asset FROM events)) JOIN li USING (asset) WHERE asset IN (SELECT user_id FROM events WHERE event_type = 'signup') ORDER BY rank LIMIT 40")
 def live_snapshot(spark, sf_dir):
-    """The first followed assets by rank, of those whose symbols are asked for: here by all who signed up."""
+    """The first assets by rank, of those whose symbols are asked for: here by all who signed up."""
     e = V.table(spark, sf_dir, "events")
-    followed = e.select(F.col("user_id").alias("asset")).distinct().orderBy(F.col("asset") % 7, "asset").limit(150)  # a universe is a top-k, so that one task can number it
-    universe = followed.withColumn("rank", F.row_number().over(Window.orderBy(F.col("asset") % 7, "asset"))).withColumn("symbol", F.concat(F.lit("s"), "asset"))
+    followed = e.select(F.col("user_id").alias("asset")).distinct().withColumns({"k": F.col("asset") % 7, "block": F.floor(F.col("asset") / _BLOCK)})
+    # assets are numbered within blocks of them; one task adds up how many the blocks before have
+    before = Window.orderBy("k", "block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = followed.groupBy("k", "block").agg(F.count("*").alias("n")).select("k", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    numbered = followed.withColumn("row", F.row_number().over(Window.partitionBy("k", "block").orderBy("asset")))
+    universe = numbered.join(blocks, ["k", "block"]).select("asset", (F.col("before") + F.col("row")).alias("rank"), F.concat(F.lit("s"), "asset").alias("symbol"))
     asked = e.filter("event_type = 'signup'").select(F.concat(F.lit("S"), "user_id").alias("symbol")).distinct()
     return live.snapshot(_states(spark, sf_dir), universe, asked, 40).select(F.col("rank").cast("long").alias("rank"), "symbol", r(F.col("price") + OFF, 4).alias("price"))
 
