@@ -62,3 +62,51 @@ UNPRICED = ["client_counts", "coverage_and_freshness", "market_overview", "marke
 @pytest.mark.parametrize("name", UNPRICED)
 def test_assets_without_a_price(spark, unpriced, name):
     same(spark, unpriced, name)
+
+
+def test_snapshot_of_assets_of_any_rank(spark, tmp_path):
+    """Only assets behind the first thousand are asked for."""
+    duckdb.execute(f"COPY (SELECT * REPLACE (CASE WHEN event_type = 'signup' AND user_id % 7 <> 6 THEN 'view' ELSE event_type END AS event_type) FROM '{SF}/events.parquet') TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    same(spark, _linked(tmp_path, ("events.parquet",)), "live_snapshot")
+
+
+def _added(n, x):
+    total = 0.0
+    for _ in range(n):
+        total += x
+    return total
+
+
+def test_plan_by_exact_volumes(spark, tmp_path):
+    """Sums that are whole numbers, but not as sums of doubles in any order."""
+    found = ((n, x) for n in range(10, 60) for x in range(1_000_000, 1_000_400) if n * x % 100 == 0)
+    n, cents = next((n, x) for n, x in found if int(_added(n, x / 100)) != n * x // 100)
+    line = f"SELECT * REPLACE (1 AS l_partkey, 1 AS l_suppkey, 1 AS l_linenumber, {cents / 100}::DOUBLE AS l_extendedprice) FROM (FROM '/root/testdata/sf0.001/lineitem.parquet' LIMIT 1), range({n})"
+    duckdb.execute(f"COPY (SELECT * EXCLUDE (range) FROM ({line})) TO '{tmp_path}/lineitem.parquet' (FORMAT parquet)")
+    row = catalogue.QUERIES["book_plan_budgets"](spark, _linked(tmp_path, ("lineitem.parquet",))).first()
+    assert row["rank"] == -(n * cents // 100)
+
+
+def test_payloads_stay_small(spark):
+    """More parts make more payloads."""
+    from pyspark.sql import functions as F
+
+    from tidemark.sources import venues as S
+
+    feed = next(f for f in S.FEEDS if f.venue == "kraken")
+    keys = {k: make() for k, make in venue_queries._ticker_columns(feed)[0].items()}
+    longest = lambda n: venue_queries._payloads(spark.range(n).withColumnRenamed("id", "p_partkey"), feed, keys).agg(F.max(F.length("payload"))).first()[0]
+    assert longest(40_000) < 1.2 * longest(5_000)
+
+
+def test_tiers_without_pairs(spark):
+    """Instruments are one row for each venue and symbol before they meet observations."""
+    from tidemark.operators import ingest
+
+    i = spark.createDataFrame([(0, "X", "spot", "spot", 1), (0, "X", "perpetual_linear", "perpetual", 2), (0, "X", "perpetual_linear", "perpetual", 3), (0, "Y", "future_dated", "future", 4)], "venue long, symbol string, class string, type string, instrument_id long")
+    o = spark.createDataFrame([(1, 0, "X", "spot"), (2, 0, "X", "perpetual_linear"), (3, 0, "X", "perpetual"), (4, 0, "X", None), (5, 0, "Y", "derivative"), (6, 0, "Y", None), (7, 1, "X", "spot"), (8, 0, "Y", "spot")], "id long, venue long, symbol string, hint string")
+    found = ingest.tiered_match(o, i)
+    assert {r.id: r.instrument_id for r in found.collect()} == {1: 1, 2: 2, 3: None, 4: None, 5: 4, 6: 4, 7: None, 8: None}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan[plan.index("Join") :]
+    assert "Aggregate [i_venue" in joined

@@ -11,6 +11,8 @@ from tidemark.sources import venues as S
 
 READ = [*S.POSITIVE, *S.NON_NEGATIVE, *S.ANY_NUMBER, *S.WHOLE]
 _KEY = "p_partkey"
+#: Parts whose rows are one payload.
+PAYLOAD = 512
 
 
 def _number(k: int):
@@ -46,7 +48,7 @@ def _row(fields: dict, positional: bool, symbol, extra: dict | None = None):
 
 
 def _payloads(parts, feed, fields: dict, extra: dict | None = None):
-    """Eight payloads of a feed's shape, each with the rows of an eighth of the parts."""
+    """Payloads of a feed's shape, each with the rows of PAYLOAD parts, so that more parts make more payloads and no larger ones."""
     name = F.concat(F.lit("S"), F.col(_KEY))
     own = {feed.symbol: name} if feed.symbol is not None and feed.shape != "parallel" else {}
     row = _row(fields, feed.shape == "arrays", own, extra)
@@ -54,10 +56,10 @@ def _payloads(parts, feed, fields: dict, extra: dict | None = None):
     listed = lambda c: F.array_join(F.collect_list(c), ",")
     if feed.shape == "parallel":
         names = F.to_json(F.struct(name.alias(feed.symbol)))
-        made = parts.groupBy((F.col(_KEY) % 8).alias("file")).agg(F.array_sort(F.collect_list(F.struct(F.col(_KEY).alias("k"), names.alias("n"), row.alias("r")))).alias("rows"))
+        made = parts.groupBy(F.floor(F.col(_KEY) / PAYLOAD).alias("file")).agg(F.array_sort(F.collect_list(F.struct(F.col(_KEY).alias("k"), names.alias("n"), row.alias("r")))).alias("rows"))
         body = F.concat(F.lit('[{"universe":['), F.array_join(F.transform("rows", lambda x: x["n"]), ","), F.lit("]},["), F.array_join(F.transform("rows", lambda x: x["r"]), ","), F.lit("]]"))
         return made.select(body.alias("payload"))
-    made = parts.groupBy((F.col(_KEY) % 8).alias("file")).agg(listed(row).alias("rows"))
+    made = parts.groupBy(F.floor(F.col(_KEY) / PAYLOAD).alias("file")).agg(listed(row).alias("rows"))
     body = F.concat(F.lit("{" if feed.shape == "map" else "["), "rows", F.lit("}" if feed.shape == "map" else "]"))
     steps = [x for x in feed.path.replace("[0]", ".[0]").split(".")[1:]]
     for step, above in reversed(list(zip(steps, ["$", *steps], strict=False))):
@@ -186,7 +188,7 @@ def _catalogue(spark, sf_dir, c):
         body = F.concat(F.lit("{" if c.shape == "map" else "["), F.array_join(F.collect_list(row), ","), F.lit("}" if c.shape == "map" else "]"))
         for step in reversed(c.path.split(".")[1:]):
             body = F.concat(F.lit('{"' + step + '":'), body, F.lit("}"))
-        payloads = parts.groupBy((F.col(_KEY) % 8).alias("file")).agg(body.alias("payload")).select("payload")
+        payloads = parts.groupBy(F.floor(F.col(_KEY) / PAYLOAD).alias("file")).agg(body.alias("payload")).select("payload")
     else:
         keys.pop(c.symbol, None)
         payloads = _payloads(parts, c, keys, extra)
