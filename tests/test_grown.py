@@ -110,3 +110,14 @@ def test_tiers_without_pairs(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     joined = plan[plan.index("Join") :]
     assert "Aggregate [i_venue" in joined
+
+
+def test_no_leaf_of_a_tree_is_left_large():
+    """Sixty times as many assets as are sampled: all leaves stay small, also those that the tree comes to last."""
+    import numpy as np
+
+    from tidemark.operators import genomes
+
+    x = np.random.Generator(np.random.PCG64(2)).normal(size=(20_000, 8))
+    _, n = np.unique(genomes.leaf_of(x, genomes.splits(x, 60 * len(x), 200)), return_counts=True)
+    assert len(n) <= genomes.MOST_LEAVES and n.max() < 20
