@@ -121,3 +121,10 @@ def test_no_leaf_of_a_tree_is_left_large():
     x = np.random.Generator(np.random.PCG64(2)).normal(size=(20_000, 8))
     _, n = np.unique(genomes.leaf_of(x, genomes.splits(x, 60 * len(x), 200)), return_counts=True)
     assert len(n) <= genomes.MOST_LEAVES and n.max() < 20
+
+
+def test_currencies_go_to_all_tasks(spark):
+    """Observations are not dealt out by their quote currency, of which there are few."""
+    plan = state_queries.venue_rows(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    on_currency = [line for line in plan.splitlines() if "Join LeftOuter, (quote#" in line]
+    assert on_currency and all("rightHint=(strategy=broadcast)" in line for line in on_currency)
