@@ -128,3 +128,12 @@ def test_currencies_go_to_all_tasks(spark):
     plan = state_queries.venue_rows(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     on_currency = [line for line in plan.splitlines() if "Join LeftOuter, (quote#" in line]
     assert on_currency and all("rightHint=(strategy=broadcast)" in line for line in on_currency)
+
+
+def test_queries_of_the_market_store_no_tables(spark, tmp_path):
+    """What queries of the market read are the states, each shard in one file; tables are stored with them where they are asked for."""
+    folder = _linked(tmp_path)
+    states = client_queries.stored(spark, folder)
+    assert states.manifest["tables"] == [] and len(states.manifest["files"]) <= states.manifest["shards"]
+    assert "quality_events" in client_queries.stored(spark, folder, whole=True).manifest["tables"]
+    assert client_queries.stored(spark, folder).manifest["tables"]  # once the tables are there, all read that generation
