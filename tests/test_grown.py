@@ -137,3 +137,20 @@ def test_queries_of_the_market_store_no_tables(spark, tmp_path):
     assert states.manifest["tables"] == [] and len(states.manifest["files"]) <= states.manifest["shards"]
     assert "quality_events" in client_queries.stored(spark, folder, whole=True).manifest["tables"]
     assert client_queries.stored(spark, folder).manifest["tables"]  # once the tables are there, all read that generation
+
+
+def test_events_are_judged_once(spark):
+    """The test for a reason is made on the reason itself, not on all that it is made of."""
+    from tidemark.plans import tables, views
+
+    plan = tables.tables(spark, "/root/testdata/sf0.001", "g", views.AS_OF_MS)["quality_events"]._jdf.queryExecution().optimizedPlan().toString()
+    tests = [line for line in plan.splitlines() if "Filter" in line and "CASE WHEN" in line]
+    assert "isnotnull(reason#" in plan and not tests
+
+
+def test_events_are_sorted_by_more_than_the_venue(spark):
+    from tidemark.sources import datasets
+
+    rows = spark.range(5000).selectExpr("'g' AS generation_id", "'1' AS venue_slug", "'P' || id AS asset_id", "'stale' AS event_type", "0L AS observed_at")
+    plan = datasets.built_table("quality_events", rows)._jdf.queryExecution().executedPlan().toString()
+    assert "asset_id#" in plan[plan.index("rangepartitioning(") :].splitlines()[0]
