@@ -154,3 +154,13 @@ def test_events_are_sorted_by_more_than_the_venue(spark):
     rows = spark.range(5000).selectExpr("'g' AS generation_id", "'1' AS venue_slug", "'P' || id AS asset_id", "'stale' AS event_type", "0L AS observed_at")
     plan = datasets.built_table("quality_events", rows)._jdf.queryExecution().executedPlan().toString()
     assert "asset_id#" in plan[plan.index("rangepartitioning(") :].splitlines()[0]
+
+
+def test_venues_are_counted_without_groups_of_them(spark):
+    """Percentiles of an asset stay one buffer: no aggregate by asset and venue comes before them."""
+    from tidemark.operators import derivatives, pricing
+    from tidemark.plans import views
+
+    for df in (pricing.reference_prices(views.obs(spark, "/root/testdata/sf0.001")), derivatives.funding_by_asset(views.derivatives(spark, "/root/testdata/sf0.001"))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "percentile" in plan and "distinct" not in plan and df.schema["venue_count"].dataType.simpleString() == "bigint"
