@@ -1,5 +1,6 @@
 """The live book as a stream: against the batch expressions, against a plain replay, and with timers alone."""
 
+import json
 import random
 import time
 
@@ -141,3 +142,68 @@ def test_listing_changes(spark):
     got = {r.asset: [m.symbol for m in r.markets] for r in book.listing_changes(before, after, 2, 5).collect()}
     assert got == {"A": ["t"], "B": [], "C": ["s"]}
     assert book.listing_changes(None, after, 1, 5).count() == 2
+
+
+def test_calls_to_the_state_do_not_grow_with_markets():
+    """What a batch tells of an asset is read and written with as many calls, however many markets it has."""
+
+    class Handle:
+        def __init__(self):
+            self.calls, self.kept = 0, {}
+
+        def getValueState(self, name, *_):
+            return self.Value(self, name)
+
+        getMapState = getValueState
+
+        def registerTimer(self, at):
+            self.calls += 1
+
+        deleteTimer = registerTimer
+
+        class Value:
+            def __init__(self, handle, name):
+                self.handle, self.name = handle, name
+
+            def get(self):
+                self.handle.calls += 1
+                return self.handle.kept.get(self.name)
+
+            def update(self, value):
+                self.handle.calls += 1
+                self.handle.kept[self.name] = value
+
+    class Timers:
+        getCurrentProcessingTimeInMs = getCurrentWatermarkInMs = lambda self: START
+
+    def calls(markets):
+        handle, own = Handle(), book.LiveBook(book.Pace(heartbeat_ms=None))
+        own.init(handle)
+        names = [f"m{k}" for k in range(markets)]
+        said = [{"ts_ms": START, "id": -1, "version": 1, "markets": [{"venue": "v", "symbol": m, "quote": "USD", "rate": 1.0, "connected": True} for m in names]}, *({"ts_ms": START, "id": k, "venue": "v", "symbol": m, "last": 100.0} for k, m in enumerate(names))]
+        told = list(own.handleInputRows(("A",), iter([{"said": json.dumps(x)} for x in said]), Timers()))
+        assert [t.price for t in told] == [100.0]
+        return handle.calls
+
+    assert calls(2) == calls(40) <= 3
+
+
+def test_stream_rests_while_a_step_is_written(spark, tmp_path):
+    """Files of a step come one by one; a stream that runs then would take the first and drop the others as late."""
+
+    class Step:
+        sparkSession = spark
+        running = []
+
+        def __init__(self, rows):
+            self.frame = spark.createDataFrame(rows, book.INPUT)
+
+        @property
+        def write(self):
+            self.running.append(len(spark.streams.active))
+            return self.frame.write
+
+    tick = lambda k, price: ("A", START + k, k, "v0", "m0", None, None, price, None, None, None, None)
+    steps = [Step([listing("A", 1, START, MARKETS), tick(1, 100.0)]), Step([tick(2, 101.0)])]
+    told = book.told_in_steps(steps, str(tmp_path), book.Pace(look_ms=0, heartbeat_ms=None))
+    assert sorted((t.n, t.price) for t in told.collect()) == [(1, 100.0), (2, 101.0)] and Step.running == [0, 0]

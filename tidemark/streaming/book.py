@@ -9,12 +9,13 @@ that it comes in: markets that stay keep their state, others lose it.
 Timers tell what happens without ticks: a quote that expires, a state that had to
 wait for the next look, and a heartbeat. The clock is the watermark and the
 newest tick of the asset (`event`, for replays) or that of the machine
-(`processing`); in the latter, state that no tick has renewed also has a time to
-live, after which Spark itself lets it go.
+(`processing`); in the latter, a quote that no tick has renewed also has a time to
+live, after which it counts as never heard of.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -30,7 +31,6 @@ FIELDS = (*PRICES, "quote_volume", "base_volume")
 MARKET = "venue string, symbol string"
 #: What is known of a market: each field with the (ts_ms, id) that it is from, and when a price last came.
 QUOTE = ", ".join(f"{f} double, {f}_ms long, {f}_id long" for f in FIELDS) + ", price_ms long"
-LISTED = "quote string, rate double, connected boolean"
 INPUT = f"asset string, ts_ms long, id long, {MARKET}, {', '.join(f'{f} double' for f in FIELDS)}, version int, markets array<struct<venue:string,symbol:string,quote:string,rate:double,connected:boolean>>"
 TOLD = "asset string, n long, at_ms long, price double, method string, venues_used int, venues_seen int, dispersion_bps double, volume_24h_usd double"
 
@@ -108,10 +108,12 @@ def valued(markets: Iterable[tuple[str, str, dict, float | None, bool]], now_ms:
     }
 
 
-def _newer(quote: dict, row: Row, fields: Iterable[str] = FIELDS) -> None:
+def _newer(quote: dict, row: dict) -> None:
     """Takes over what row tells; of each field the newest value counts, whatever order ticks come in."""
-    for f in fields:
-        value = row[f]
+    for f in FIELDS:
+        value = row.get(f)
+        if isinstance(value, str):  # how JSON has what is not finite
+            value = float(value)
         if value is not None and (quote[f] is None or (row["ts_ms"], row["id"]) > (quote[f"{f}_ms"], quote[f"{f}_id"])):
             quote[f], quote[f"{f}_ms"], quote[f"{f}_id"] = value, row["ts_ms"], row["id"]
         if value is not None and f in PRICES:
@@ -119,99 +121,114 @@ def _newer(quote: dict, row: Row, fields: Iterable[str] = FIELDS) -> None:
 
 
 _NAMES = [x.split()[0] for x in QUOTE.split(", ")]
+_SAID = [x.split()[0] for x in INPUT.split(", ") if not x.startswith("asset ")]
 
 
 class LiveBook(StatefulProcessor):
+    """All that is known of an asset is one value, as every look needs all of it and each call to the state goes from the worker to the JVM and back; calls do not grow with markets. Listing and quotes in it are JSON texts, as are rows (`said`): a worker takes a row apart cell by cell."""
+
     def __init__(self, pace: Pace = Pace(), clock: str = "event"):
         self.pace, self.clock = pace, clock
+        self.keep_ms = 2 * pace.stale_ms if clock == "processing" else None
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        keep = 2 * self.pace.stale_ms if self.clock == "processing" else None
         self.handle = handle
-        self.quotes = handle.getMapState("quotes", MARKET, QUOTE, keep)
-        self.listed = handle.getMapState("listed", MARKET, LISTED)
-        self.version = handle.getValueState("version", "version int")
-        self.told = handle.getValueState("told", "n long, at_ms long, price double, venues int")
+        self.book = handle.getValueState("book", "version int, listed string, quotes string, n long, at_ms long, price double, venues int, wake_ms long")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         seen: dict[tuple, dict] = {}  # what this batch tells, a row for each market, however many ticks there are
         listing, newest = None, 0
-        for row in rows:
+        for said in rows:
+            row = json.loads(said["said"])
             newest = max(newest, row["ts_ms"])
-            if row["markets"] is not None:
+            if "markets" in row:
                 if listing is None or row["version"] > listing["version"]:
                     listing = row
                 continue
-            _newer(seen.setdefault((row["venue"], row["symbol"]), dict.fromkeys(_NAMES)), row)
-        if listing is not None and (not self.version.exists() or listing["version"] > self.version.get()[0]):
-            self._list(listing)
+            _newer(seen.setdefault((row.get("venue"), row.get("symbol")), dict.fromkeys(_NAMES)), row)
+        known = self._known(timerValues)
+        version, listed, quotes = known["version"], known["listed"], known["quotes"]
+        if listing is not None and (version is None or listing["version"] > version):
+            listed = {(m.get("venue"), m.get("symbol")): (None if m.get("rate") is None else float(m["rate"]), m.get("connected")) for m in listing["markets"]}
+            quotes = {market: q for market, q in quotes.items() if market in listed}
+            known |= {"version": listing["version"], "listed": listed, "quotes": quotes}
+        touched = timerValues.getCurrentProcessingTimeInMs() if self.keep_ms else None
         for market, ticks in seen.items():
-            if self.listed.containsKey(market):
-                known = self.quotes.getValue(market)
-                quote = dict(zip(_NAMES, known)) if known is not None else dict.fromkeys(_NAMES)
+            if market in listed:
+                quote = quotes.setdefault(market, dict.fromkeys(_NAMES))
                 for f in FIELDS:
                     if ticks[f] is not None and (quote[f] is None or (ticks[f"{f}_ms"], ticks[f"{f}_id"]) > (quote[f"{f}_ms"], quote[f"{f}_id"])):
                         quote |= {n: ticks[n] for n in (f, f"{f}_ms", f"{f}_id")}
                 if ticks["price_ms"] is not None:
                     quote["price_ms"] = max(quote["price_ms"] or 0, ticks["price_ms"])
-                self.quotes.updateValue(market, tuple(quote[n] for n in _NAMES))
-        yield from self._look(key, timerValues, newest)
+                quote["touched_ms"] = touched
+        yield from self._look(key, timerValues, newest, known)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield from self._look(key, timerValues, expiredTimerInfo.getExpiryTimeInMs())
-
-    def _list(self, listing: Row) -> None:
-        markets = {(m["venue"], m["symbol"]): m for m in listing["markets"]}
-        for market in [tuple(k) for k in self.listed.keys()]:
-            if market not in markets:
-                self.listed.removeKey(market)
-                self.quotes.removeKey(market)
-        for market, m in markets.items():
-            self.listed.updateValue(market, (m["quote"], m["rate"], m["connected"]))
-        self.version.update((listing["version"],))
-
-    def _look(self, key, timers, newest: int) -> Iterator[Row]:
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        known = self._known(timerValues)
+        if known["wake_ms"] == at:  # Spark lets it go
+            known["wake_ms"] = None
+        yield from self._look(key, timerValues, at, known)
+
+    def _known(self, timers) -> dict:
+        """The asset's state, listing and quotes by market. Quotes that no tick has renewed in time are gone."""
+        found = self.book.get()
+        if found is None:
+            return dict.fromkeys(("version", "at_ms", "price", "wake_ms")) | {"listed": {}, "quotes": {}, "n": 0, "venues": 0}
+        version, listed, quotes, n, at, price, venues, wake = found
+        by_market = {(venue, symbol): dict(zip((*_NAMES, "touched_ms"), m)) for venue, symbol, *m in json.loads(quotes)}
+        if self.keep_ms:
+            now = timers.getCurrentProcessingTimeInMs()
+            by_market = {market: q for market, q in by_market.items() if now < q["touched_ms"] + self.keep_ms}
+        return {"version": version, "listed": {(venue, symbol): tuple(m) for venue, symbol, *m in json.loads(listed)}, "quotes": by_market, "n": n, "at_ms": at, "price": price, "venues": venues, "wake_ms": wake}
+
+    def _keep(self, known: dict, n: int, at: int | None, price: float | None, venues: int, wake: int | None) -> None:
+        """Writes the asset's state, and sets its one timer: the next moment at which something can change."""
+        if known["version"] is None:  # nobody follows it
+            return
+        listed = json.dumps([(*market, *m) for market, m in known["listed"].items()])
+        quotes = json.dumps([(*market, *(q[f] for f in _NAMES), q["touched_ms"]) for market, q in known["quotes"].items()])
+        if wake != known["wake_ms"]:
+            if known["wake_ms"] is not None:
+                self.handle.deleteTimer(known["wake_ms"])
+            if wake is not None:
+                self.handle.registerTimer(wake)
+        self.book.update((known["version"], listed, quotes, n, at, price, venues, wake))
+
+    def _look(self, key, timers, newest: int, known: dict) -> Iterator[Row]:
         now = timers.getCurrentProcessingTimeInMs() if self.clock == "processing" else max(newest, timers.getCurrentWatermarkInMs())
-        n, at, price, venues = self.told.get() if self.told.exists() else (0, None, None, 0)
+        n, at, price, venues, listed, quotes = (known[x] for x in ("n", "at_ms", "price", "venues", "listed", "quotes"))
         if at is not None and now < at + self.pace.look_ms:
-            self._wake([at + self.pace.look_ms])
+            self._keep(known, n, at, price, venues, at + self.pace.look_ms)
             return
-        listed = {tuple(k): v for k, v in self.listed.iterator()}
-        markets = []
-        for k, v in self.quotes.iterator():
-            if tuple(k) in listed:
-                markets.append((*k, dict(zip(_NAMES, v)), listed[tuple(k)][1], listed[tuple(k)][2]))
+        markets = [(*market, quotes[market], *listed[market]) for market in sorted(quotes, key=str)]
         state = valued(markets, now, self.pace.stale_ms)
         wake = [q["price_ms"] + self.pace.stale_ms + 1 for _, _, q, _, connected in markets if connected and q["price_ms"] is not None and now <= q["price_ms"] + self.pace.stale_ms]
+        told = None
         if state is None:
             if price is not None:  # told once that there is no price any more
-                self.told.update((n + 1, now, None, 0))
-                yield Row(asset=key[0], n=n + 1, at_ms=now, price=None, method=None, venues_used=0, venues_seen=0, dispersion_bps=None, volume_24h_usd=None)
+                n, at, price, venues = n + 1, now, None, 0
+                told = Row(asset=key[0], n=n, at_ms=now, price=None, method=None, venues_used=0, venues_seen=0, dispersion_bps=None, volume_24h_usd=None)
         else:
             moved = price is None or (abs(state["price"] - price) / price * 10_000 > self.pace.least_move_bps if self.pace.least_move_bps > 0 else state["price"] != price)
             beat = self.pace.heartbeat_ms is not None and at is not None and now >= at + self.pace.heartbeat_ms
             if moved or state["venues_used"] != venues or beat:
-                at = now
-                self.told.update((n + 1, now, state["price"], state["venues_used"]))
-                yield Row(asset=key[0], n=n + 1, at_ms=now, **state)
+                n, at, price, venues = n + 1, now, state["price"], state["venues_used"]
+                told = Row(asset=key[0], n=n, at_ms=now, **state)
             if self.pace.heartbeat_ms is not None:
                 wake.append(at + self.pace.heartbeat_ms)
-        self._wake(wake[:1] if len(wake) == 1 else [min(wake)] if wake else [])
-
-    def _wake(self, times: list[int]) -> None:
-        """One timer at a time: the next moment at which something can change."""
-        for old in list(self.handle.listTimers()):
-            if old not in times:
-                self.handle.deleteTimer(old)
-        for t in times:
-            self.handle.registerTimer(t)
+        self._keep(known, n, at, price, venues, min(wake, default=None))
+        if told is not None:
+            yield told
 
 
 def live_book(rows: DataFrame, pace: Pace = Pace(), clock: str = "event") -> DataFrame:
     """States as they are told. rows: a stream of INPUT; with the event clock it has a watermark, behind which rows are too late. The state is kept in RocksDB, as maps and timers need it."""
     rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     mode = {"event": "EventTime", "processing": "ProcessingTime"}[clock]
-    return rows.groupBy("asset").transformWithState(LiveBook(pace, clock), TOLD, "Update", mode)
+    said = rows.select("asset", *[c for c in rows.columns if c != "asset" and c not in _SAID], F.to_json(F.struct(*_SAID)).alias("said"))
+    return said.groupBy("asset").transformWithState(LiveBook(pace, clock), TOLD, "Update", mode)
 
 
 def listing_changes(before: DataFrame | None, after: DataFrame, version: int, ts_ms: int) -> DataFrame:
@@ -234,22 +251,17 @@ def tick_rows(ticks: DataFrame) -> DataFrame:
 
 
 def told_in_steps(steps: list[DataFrame], where: str, pace: Pace, schema: str = INPUT) -> DataFrame:
-    """Runs one stream while batches of INPUT arrive one after the other, and gives all that was told. Batches are written by tasks; the driver only waits."""
+    """Runs one stream over batches of INPUT that arrive one after the other, and gives all that was told. Batches are written by tasks; the driver only waits. While a batch is being written the stream rests: files come into the folder one by one, and it would take the first of them, move the watermark, and drop the others as late."""
     spark = steps[0].sparkSession
-    steps[0].write.parquet(f"{where}/in")
-    stream = spark.readStream.schema(schema).parquet(f"{where}/in").withColumn("at", F.timestamp_millis("ts_ms")).withWatermark("at", "0 seconds")
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{where}/out/part={number}")
 
-    run = live_book(stream, pace).writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{where}/state").start()
-    try:
-        run.processAllAvailable()
-        for step in steps[1:]:
-            step.write.mode("append").parquet(f"{where}/in")
-            run.processAllAvailable()
-    finally:
-        run.stop()
+    for step in steps:
+        step.write.mode("append").parquet(f"{where}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{where}/in").withColumn("at", F.timestamp_millis("ts_ms")).withWatermark("at", "0 seconds")
+        run = live_book(stream, pace).writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{where}/state").trigger(availableNow=True).start()
+        run.awaitTermination()
     return spark.read.schema(TOLD).option("recursiveFileLookup", "true").parquet(f"{where}/out")
 
 
