@@ -109,3 +109,10 @@ def test_stream_over_growing_files(spark, tmp_path):
     got = spark.read.parquet(f"{tmp_path}/out")
     assert got.count() == len(said) == got.select("file", "at").distinct().count()
     assert told(capture.ticks(got).collect()) == wanted()
+
+
+def test_rows_are_parsed_once(spark):
+    """A row of a frame is parsed once, not for each of its values."""
+    frames = spark.createDataFrame([], capture.SCHEMA)
+    plan = capture.ticks(frames)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("MapType") == len(capture.FEEDS)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
-from tidemark.functions.columns import iso_ms, parse_whole
+from tidemark.functions.columns import iso_ms, let, parse_whole
 from tidemark.streaming.frames import BY_NAME, FEEDS, TICK, FrameFeed, value_of
 
 SCHEMA = "feed string, received_ms long, frame string, shape string, file string, at long"
@@ -229,13 +229,12 @@ def _tick(feed: FrameFeed):
     """What a row of a feed (JSON text) becomes."""
     event = None if feed.event is None or feed.event_in_row else F.get_json_object("frame", feed.event)
 
-    def made(text: Column) -> Column:
-        row = F.from_json(text, "map<string,string>")
+    def made(row: Column) -> Column:
         at = F.element_at(row, feed.event) if event is None else event
         told = [value_of(feed, name, row).alias(name) for name in TICK]
         return F.struct(F.lit(feed.venue).alias("venue"), F.lit(feed.kind).alias("kind"), F.element_at(row, feed.symbol).alias("symbol"), (iso_ms(at) if feed.event_iso else parse_whole(at)).alias("event_ms"), *told)
 
-    return made
+    return lambda text: let(F.from_json(text, "map<string,string>"), made)  # else the text is parsed for each value
 
 
 def ticks(frames: DataFrame) -> DataFrame:
