@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -535,6 +536,69 @@ def test_an_update_follows_the_gradient():
     assert model.scores(t, n).sum() > before + 1
 
 
+def _plain_update(softmax, rows, right):
+    """A step as written down: sums by reduceat, and rows read and put by their numbers."""
+    z = sum(softmax.weights.take(r, 0) for r in rows)
+    z = np.exp(z - z.max(1, keepdims=True))
+    slope = -z / z.sum(1, keepdims=True)
+    slope[np.arange(len(right)), right] += 1
+    for r in rows:
+        order = np.argsort(r)
+        some, begin = np.unique(r[order], return_index=True)
+        total = np.add.reduceat(slope.take(order, 0), begin, axis=0)
+        softmax.squares[some] += (total * total).sum(1)
+        softmax.weights[some] += scoring.RATE * total / np.sqrt(softmax.squares[some] + 0.01)[:, None]
+        softmax.met[some] += np.diff(np.append(begin, len(r)))
+
+
+def test_an_update_is_the_plain_one_at_less_cost():
+    """Words as frequent as in prose: rows met once, a few times and more than 127 times in a step. The plain step's cost was that of op6 over its budget."""
+    r = np.random.Generator(np.random.PCG64(7))
+    t = scoring.Tokens([" ".join(f"w{k}" for k in np.exp(r.random(6 * scoring.STEP - 1) * np.log(30_000)).astype(int).tolist()).encode()])
+    hashes, n = np.unique(t.hashes, return_counts=True)
+    leaves = scoring.learnt_leaves(hashes, n, r.random((len(hashes), 2 * scoring.CONTEXTS)))
+    leaf = leaves.of(hashes)
+    models = [scoring.Model(leaves, np.bincount(leaf, n, scoring.CLASSES * scoring.SLOTS), np.bincount(leaf, minlength=scoring.CLASSES * scoring.SLOTS), 15) for _ in range(2)]
+    took = np.zeros((2, 6))
+    for level, (_, rows, right) in enumerate(models[0].cases(t)[1]):
+        got, want = (m.levels[level] for m in models)
+        got.start(), want.start()
+        for step in range(6):
+            cut = slice(step * scoring.STEP, (step + 1) * scoring.STEP)
+            met = np.unique(rows[0][cut], return_counts=True)[1]
+            assert met.min() == 1 and (level or met.max() > 127)
+            for k, (softmax, update) in enumerate(((got, scoring.Softmax.update), (want, _plain_update))):
+                before = time.process_time()
+                update(softmax, [x[cut] for x in rows], right[cut])
+                took[k, step] += time.process_time() - before
+        assert np.array_equal(got.met, want.met)
+        assert np.allclose(got.squares, want.squares, rtol=1e-3, atol=1e-4) and np.allclose(got.weights, want.weights, rtol=1e-3, atol=1e-3)
+    assert took[0].min() < 0.75 * took[1].min()
+
+
+def test_slopes_by_row_lose_nothing_however_often_a_row_is_met():
+    r = np.random.Generator(np.random.PCG64(3))
+    for often in ([1], [5000], [1] * 40, [127, 140] * 30, [126, 127, 128] * 30, [300] * 20 + [2] * 100, list(range(1, 200))):
+        rows = r.permutation(np.repeat(r.permutation(1 << 12)[: len(often)], often)).astype(np.int32)
+        slope = r.normal(size=(len(rows), 3)).astype(np.float32)
+        some, met, total = scoring.by_row(slope, rows)
+        want = np.zeros((1 << 12, 3))
+        np.add.at(want, rows, slope)
+        assert sorted(met.tolist()) == sorted(often) and np.array_equal(met, np.bincount(rows)[some])
+        assert len(set(some.tolist())) == len(often) and np.allclose(total, want[some], atol=1e-3)
+
+
+def test_probabilities_of_weights_beyond_the_exponents_range():
+    softmax = scoring.Softmax(10, np.ones((1, scoring.CLASSES), int))
+    rows = [np.array([5, 6, 7], np.int32)]
+    for low, high in ((-400, 300), (-500, -400), (200, 300), (-79, 79)):
+        softmax.weights[5:8] = np.linspace(low, high, scoring.CLASSES)
+        z = softmax.weights[5].astype(float)
+        want = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert np.allclose(softmax.probabilities(rows), want, rtol=1e-4, atol=1e-30)
+        assert np.allclose(softmax.right(rows, np.array([15, 14, 13])), want[[15, 14, 13]], rtol=1e-4)
+
+
 def test_scoring_learns_context(spark):
     r = random.Random(8)
     follow = {f"a{k}": f"b{k}" for k in range(30)}

@@ -49,6 +49,10 @@ CLASSES, SLOTS, TOP, CONTEXTS = 16, 32, 16_384, 16
 OFTEN = 1 << 17
 LEAST_BITS, MOST_BITS, KINDS = 10, 17, 3
 ROUNDS, RATE, STEP = 1, 0.6, 8192
+#: Exponents up to which neither they nor their sums leave the range of 32 bits.
+SAFE = 80
+#: Rows of a step that are added up one by one.
+FEW = 24
 BLOCK_BYTES = 4 << 20
 #: Bytes of text for a chunk, and for a holder of counts.
 CHUNK_BYTES, HOLDER_BYTES = 4 << 20, 64 << 20
@@ -108,15 +112,26 @@ class Softmax:
         out = [(k << self.bits) + (h >> _U(64 - self.bits)).astype(np.int32) for k, h in enumerate(histories)]
         return [*out, (KINDS << self.bits) + (np.zeros(len(out[0]), np.int32) if about is None else about)]
 
-    def probabilities(self, rows: list[np.ndarray]) -> np.ndarray:
+    def powers(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities before they are divided by their sums, and the sums."""
         z = self.weights.take(rows[0], 0)
         for r in rows[1:]:
             z += self.weights.take(r, 0)
-        z -= z.max(1, keepdims=True)
+        if len(z) and max(z.max(), -z.min()) > SAFE:
+            z -= z.max(1, keepdims=True)
         np.exp(z, out=z)
-        z /= z.sum(1, keepdims=True)
+        return z, z @ np.ones(z.shape[1], z.dtype)
+
+    def probabilities(self, rows: list[np.ndarray]) -> np.ndarray:
+        z, total = self.powers(rows)
+        z /= total[:, None]
         return z
 
+    def right(self, rows: list[np.ndarray], right: np.ndarray) -> np.ndarray:
+        """The probability of what is right alone."""
+        z, total = self.powers(rows)
+        return z[np.arange(len(right)), right] / total
+
     def start(self) -> None:
         """Ready to learn: squared gradients and numbers of tokens by row. The weights become its own."""
         self.weights = self.weights.copy()
@@ -124,21 +139,40 @@ class Softmax:
 
     def update(self, rows: list[np.ndarray], right: np.ndarray) -> None:
         """One step: log likelihood's gradient by row, scaled by the root of the squares so far."""
-        slope = self.probabilities(rows)
-        np.negative(slope, out=slope)
+        slope, total = self.powers(rows)
+        slope /= -total[:, None]
         slope[np.arange(len(right)), right] += 1
+        whole = self.weights.view(np.dtype((np.void, self.weights.itemsize * self.weights.shape[1]))).ravel()  # a row as one value: it is put several times as fast
         for r in rows:
-            if r[0] == r[-1] and (r == r[0]).all():  # one bias for all
-                some, begin, total = r[:1], np.zeros(1, np.int64), slope.sum(0, keepdims=True)
-            else:
-                order = np.argsort(r)
-                ordered = r[order]
-                begin = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-                some = ordered[begin]
-                total = np.add.reduceat(slope.take(order, 0), begin, axis=0)
+            some, met, total = by_row(slope, r)
             self.squares[some] += np.einsum("ij,ij->i", total, total)
-            self.weights[some] += RATE * total / np.sqrt(self.squares[some] + 0.01)[:, None]
-            self.met[some] += np.diff(np.append(begin, len(r)))
+            self.met[some] += met
+            total *= RATE
+            total /= np.sqrt(self.squares[some] + 0.01)[:, None]
+            total += self.weights.take(some, 0)
+            np.put(whole, some, total.view(whole.dtype).ravel())
+
+
+def by_row(slope: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct rows, how often each is there, and the sum of its slopes. Rows that are there k times or more get their kth in one go; what is left when only FEW rows have more is added up row by row."""
+    if rows[0] == rows[-1] and (rows == rows[0]).all():  # one bias for all
+        return rows[:1], np.array([len(rows)]), slope.sum(0, keepdims=True)
+    shift = len(rows).bit_length()
+    key = np.sort((rows.astype(np.int64) << shift) | np.arange(len(rows)))  # several times as fast as argsort
+    ordered, order = key >> shift, key & ((1 << shift) - 1)
+    begin = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    met = np.diff(begin, append=len(rows))
+    by = np.argsort(-np.minimum(met, 127).astype(np.int8), kind="stable")  # a radix sort
+    begin, met = begin[by], met[by]
+    total = slope.take(order[begin], 0)
+    more, done = np.count_nonzero(met > 1), 1
+    while more > FEW and done < 126:  # beyond, the order does not tell rows apart
+        total[:more] += slope.take(order[begin[:more] + done], 0)
+        done += 1
+        more = np.count_nonzero(met[:more] > done)
+    for k in range(more):
+        total[k] += slope.take(order[begin[k] + done : begin[k] + met[k]], 0).sum(0)
+    return ordered[begin], met, total
 
 
 class Model:
@@ -162,8 +196,8 @@ class Model:
         out = np.log10((n + 1) / (self.counts + self.kinds + 1)[leaf])
         for softmax, rows, right in cases:
             for a in range(0, len(right), STEP):
-                p = softmax.probabilities([r[a : a + STEP] for r in rows])
-                out[a : a + STEP] += np.log10(np.maximum(p[np.arange(len(p)), right[a : a + STEP]], 1e-30))
+                p = softmax.right([r[a : a + STEP] for r in rows], right[a : a + STEP])
+                out[a : a + STEP] += np.log10(np.maximum(p, 1e-30))
         return out
 
     def learn(self, t: Tokens) -> None:
