@@ -164,3 +164,20 @@ def test_venues_are_counted_without_groups_of_them(spark):
     for df in (pricing.reference_prices(views.obs(spark, "/root/testdata/sf0.001")), derivatives.funding_by_asset(views.derivatives(spark, "/root/testdata/sf0.001"))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "percentile" in plan and "distinct" not in plan and df.schema["venue_count"].dataType.simpleString() == "bigint"
+
+
+def test_kept_lines_are_not_moved_again(spark):
+    """What is grouped by asset is made where the lines lie, as many parts as there are."""
+    from tidemark.operators import pricing
+    from tidemark.plans import views
+
+    lines = views.kept_lines(spark, "/root/testdata/sf0.001")
+    plan = pricing.reference_prices(views.obs(spark, "/root/testdata/sf0.001", lines))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert not views.obs(spark, "/root/testdata/sf0.001", lines).exceptAll(views.obs(spark, "/root/testdata/sf0.001")).take(1) and lines.count() == views.obs(spark, "/root/testdata/sf0.001").count()
+
+
+def test_features_of_assets_are_made_once(spark):
+    """The search reads its assets several times; it reads a table, not all that they are made of."""
+    read = catalogue.QUERIES["genome_nearest"](spark, "/root/testdata/sf0.001").inputFiles()
+    assert read and not [f for f in read if "lineitem" in f or "/lines/" in f]
