@@ -181,3 +181,9 @@ def test_features_of_assets_are_made_once(spark):
     """The search reads its assets several times; it reads a table, not all that they are made of."""
     read = catalogue.QUERIES["genome_nearest"](spark, "/root/testdata/sf0.001").inputFiles()
     assert read and not [f for f in read if "lineitem" in f or "/lines/" in f]
+
+
+def test_rows_of_venues_read_kept_lines(spark):
+    """Their parts join and move no line items of their own."""
+    read = state_queries.venue_rows(spark, "/root/testdata/sf0.001").inputFiles()
+    assert [f for f in read if "/lines/" in f] and not [f for f in read if "lineitem" in f]
